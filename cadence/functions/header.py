@@ -133,3 +133,26 @@ def window_time_stamp(samples: Column, time_idx: Column, start_idx: Column, samp
     from_time = F.element_at(samples, time_idx + 1).cast("int")
     from_index = ((start_idx * 1000) / sampling_rate).cast("long").cast("int")
     return F.when(time_idx >= 0, from_time).otherwise(from_index)
+
+
+def split_time(df: DataFrame, samples: str = "samples", num_channels: str = "num_channels", time_idx: str = "time_idx") -> DataFrame:
+    """``time`` = the time channel's values, ``signal`` = the other
+    channels (sample-major).  Without a time channel (idx −1) nothing is split
+    off: ``time`` is empty and ``signal`` is the whole block."""
+    C, t = F.col(num_channels), F.col(time_idx)
+    return df.withColumn("time", F.filter(F.col(samples), lambda v, i: F.pmod(i, C) == t)).withColumn(
+        "signal", F.filter(F.col(samples), lambda v, i: F.pmod(i, C) != t)
+    )
+
+
+def sliding_window_starts(ts: Column, size_s: int, slide_s: int) -> Column:
+    """Starts of every ``size_s``/``slide_s`` event-time window containing
+    ``ts`` (epoch-aligned, like ``window()``), as an array to explode when a
+    per-window group must also carry ordered content."""
+    us = F.unix_micros(ts.cast("timestamp"))
+    slide, size = slide_s * 1_000_000, size_s * 1_000_000
+    last = us - F.pmod(us, F.lit(slide))
+    n = -(-size // slide)
+    starts = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: last - j * slide)
+    keep = F.filter(starts, lambda s: (s <= us) & (us < s + size))
+    return F.transform(keep, lambda s: F.timestamp_micros(s).cast("timestamp_ntz"))

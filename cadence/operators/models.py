@@ -30,9 +30,13 @@ def registered_models() -> dict[str, Callable[[], Column]]:
 register_model("default", lambda: rule_class(F.col("time_stamp")))
 
 
-def dispatch_model(df: DataFrame, model_col: str = "ML_model", out: str = "class", models: dict | None = None) -> DataFrame:
+def dispatch_model(
+    df: DataFrame, model_col: str = "ML_model", out: str = "class", models: dict | None = None, keep_unserved: bool = True
+) -> DataFrame:
     """Score each row with the model its header names, as one CASE
-    expression (no per-model pass).  Unknown model → NULL (unscored)."""
+    expression (no per-model pass).  A row naming a model nobody serves gets
+    NULL, or is held back (``keep_unserved=False``) as an unconsumed queue
+    would hold it."""
     models = registered_models() if models is None else models
     expr = None
     for name, fn in models.items():
@@ -40,4 +44,7 @@ def dispatch_model(df: DataFrame, model_col: str = "ML_model", out: str = "class
         expr = F.when(cond, fn()) if expr is None else expr.when(cond, fn())
     if expr is None:
         expr = F.lit(None)
-    return df.withColumn(out, expr.cast("int"))
+    scored = df.withColumn(out, expr.cast("int"))
+    if not keep_unserved:
+        scored = scored.where(F.col(model_col).isin(list(models)))
+    return scored

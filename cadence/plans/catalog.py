@@ -11,13 +11,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.functions.header import event_time, session_start
+from cadence.functions.arrays import weighted_checksum
+from cadence.functions.codec import split_frames
+from cadence.functions.header import (
+    event_time,
+    header_to_json,
+    parse_header,
+    session_start,
+    sliding_window_starts,
+    split_time,
+    time_channel_idx,
+)
 from cadence.operators import windows as W
-from cadence.operators.models import rule_class
-from cadence.operators.results import data_rows, score
+from cadence.operators.models import dispatch_model, rule_class
+from cadence.operators.results import data_rows, first_per_session, fk_orphans, new_sessions, register_sessions, score
 from cadence.plans import bindings as B
-from cadence.plans.reports import window_report
-from cadence.sources.frames import decode_frames, encode_frames
+from cadence.plans.reports import frame_report, window_report
+from cadence.schemas import HEADER
+from cadence.session import scratch_dir
+from cadence.sources.files import channels_like, recordings_to_samples
+from cadence.sources.frames import classify_frames, decode_frames, encode_frames, read_frames, split_malformed
+from cadence.sources.sinks import append_results, route_by_model, write_routed
+from cadence.streaming.runner import run_available_now, stage_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,3 +106,200 @@ def q_window_scores(spark, sf_dir):
     """Flagship pipeline: frames → sample windows (W2, P14) → model
     → event time (P5) → result rows, one per window."""
     return data_rows(score(frame_windows(spark, sf_dir)))
+
+
+# ---- frames: codec, quarantine, source ---------------------------------------
+@query
+def q_frame_decode(spark, sf_dir):
+    return frame_report(decode_frames(B.frame_bytes(spark, sf_dir)))
+
+
+@query
+def q_frame_encode(spark, sf_dir):
+    enc = B.frame_bytes(spark, sf_dir)
+    env = enc.select(split_frames(F.col("value")).alias("e"))
+    h = F.from_json(F.col("e.header_text"), HEADER)
+    return env.select(
+        h["session_id"].alias("session_id"),
+        h["frame_number"].alias("frame_number"),
+        F.col("e.n_bytes").alias("n_bytes"),
+        F.col("e.header_len").alias("header_len"),
+        F.col("e.header_text").alias("header_json"),
+    )
+
+
+def corrupted_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frame messages where each session's frame 0 lost its last float and
+    frame 1 carries a length field pointing past the message end."""
+    fb = B.frame_bytes(spark, sf_dir)
+    fn = F.col("frame_number")
+    rows = B.frame_rows(spark, sf_dir).select("vec_id", "frame_number")
+    v = F.col("value")
+    bad = (
+        F.when(fn == 0, F.expr("substring(value, 1, octet_length(value) - 4)"))
+        .when(fn == 1, F.concat(F.unhex(F.lit("FFFF0000")), F.expr("substring(value, 5)")))
+        .otherwise(v)
+    )
+    return fb.join(rows, "vec_id").select("vec_id", bad.alias("value"))
+
+
+@query
+def q_frame_quarantine(spark, sf_dir):
+    verdicts = classify_frames(corrupted_frames(spark, sf_dir))
+    return verdicts.select("vec_id", "n_bytes", "status")
+
+
+@query
+def q_frame_source(spark, sf_dir):
+    """The frame messages staged as files and consumed as a stream
+    (availableNow, two files per micro-batch), decoded, sunk, read back."""
+    staged = stage_files(B.frame_bytes(spark, sf_dir).select("value", "received_at"), "frame-source-input", files=4)
+    stream = read_frames(spark, staged, stream=True, max_files_per_trigger=2)
+    out = run_available_now(decode_frames(stream), "frame-source-output")
+    return frame_report(spark.read.parquet(out))
+
+
+# ---- frames: channels, time split, concat, fan-out ----------------------------
+@query
+def q_time_channel(spark, sf_dir):
+    f = B.frame_rows(spark, sf_dir)
+    return f.select("session_id", "frame_number", time_channel_idx(F.col("channel_names")).alias("time_idx"))
+
+
+@query
+def q_split_time(spark, sf_dir):
+    f = B.frame_rows(spark, sf_dir).withColumn("time_idx", time_channel_idx(F.col("channel_names")))
+    parts = split_time(f)
+    return parts.select(
+        "session_id",
+        "frame_number",
+        "time_idx",
+        F.size("time").alias("n_time"),
+        F.size("signal").alias("n_signal"),
+        weighted_checksum(F.col("time")).alias("time_checksum"),
+        weighted_checksum(F.col("signal")).alias("signal_checksum"),
+    )
+
+
+@query
+def q_channel_subset(spark, sf_dir):
+    f = B.frame_rows(spark, sf_dir)
+    kept = channels_like(f, "EEG")
+    return kept.select(
+        "session_id",
+        "frame_number",
+        F.size("kept_channels").alias("n_channels_kept"),
+        F.size("samples").alias("n_values"),
+        weighted_checksum(F.col("samples")).alias("checksum"),
+    )
+
+
+@query
+def q_block_concat(spark, sf_dir):
+    """A1/A3 inside W1: each session's frames per 2 s / 1 s event-time window,
+    appended in frame order."""
+    f = B.frame_rows(spark, sf_dir).withColumn("event_time", event_time(session_start(), F.col("time_stamp")))
+    keyed = f.withColumn("w", F.explode(sliding_window_starts(F.col("event_time"), 2, 1)))
+    cat = W.concat_blocks(keyed, ["session_id", "w"], "frame_number", "samples")
+    return cat.select(
+        "session_id",
+        F.col("w").alias("window_start"),
+        F.col("n_blocks").alias("n_frames"),
+        F.size("samples").alias("n_values"),
+        weighted_checksum(F.col("samples")).alias("checksum"),
+    )
+
+
+@query
+def q_fanout(spark, sf_dir):
+    return W.fanout(B.frame_rows(spark, sf_dir), frame_windows(spark, sf_dir))
+
+
+@query
+def q_relayout(spark, sf_dir):
+    s = recordings_to_samples(B.recordings(spark, sf_dir))
+    return s.select(
+        "recording_id",
+        "sample_idx",
+        F.size("values").alias("n_channels"),
+        weighted_checksum(F.col("values")).alias("checksum"),
+    )
+
+
+# ---- headers -----------------------------------------------------------------
+@query
+def q_header_build(spark, sf_dir):
+    h = B.headers(spark, sf_dir).select("event_id", "header.*")
+    return h.withColumn("channel_names", F.array_join("channel_names", ","))
+
+
+@query
+def q_header_json(spark, sf_dir):
+    h = B.headers(spark, sf_dir)
+    ev = B.table(spark, sf_dir, "events").select("event_id", "props")
+    j = h.select("event_id", header_to_json(F.col("header")).alias("header_json"), "header")
+    back = j.withColumn("_back", parse_header(F.col("header_json")))
+    out = back.join(ev, "event_id").select(
+        "event_id",
+        "header_json",
+        F.length("header_json").alias("json_len"),
+        (F.to_json(F.col("_back")) == F.col("header_json")).alias("roundtrip_ok"),
+        F.from_json("props", "k INT")["k"].alias("props_k"),
+    )
+    return out
+
+
+@query
+def q_route_by_model(spark, sf_dir):
+    h = B.headers(spark, sf_dir).select("event_id", "header.*")
+    routed = route_by_model(h)
+    out = write_routed(routed.select("route", "session_id", "frame_number", "time_stamp"), scratch_dir(spark, "routes"))
+    return spark.read.parquet(out).groupBy("route").agg(F.count(F.lit(1)).alias("n_messages"))
+
+
+def dispatch_fixture_models():
+    """Two model workers registered by name; other model names stay unserved."""
+    minute = lambda: rule_class(F.col("time_stamp"), 60_000, 30_000)
+    default = lambda: rule_class(F.col("time_stamp"))
+    return {"default": default, "view": default, "click": default, "purchase": minute}
+
+
+@query
+def q_dispatch_model(spark, sf_dir):
+    h = B.headers(spark, sf_dir).select("event_id", "header.*")
+    scored = dispatch_model(h, models=dispatch_fixture_models(), keep_unserved=False)
+    return scored.select("event_id", F.col("ML_model").alias("ml_model"), "class")
+
+
+def scored_events(spark, sf_dir):
+    frames = decode_frames(header_frames(spark, sf_dir))
+    return score(frames, models=all_types_default())
+
+
+@query
+def q_result_append(spark, sf_dir):
+    out = append_results(data_rows(scored_events(spark, sf_dir)), scratch_dir(spark, "data-table"))
+    return spark.read.parquet(out).select("sess_id", "time_in", "time_ms", "class")
+
+
+# ---- sessions ------------------------------------------------------------------
+def existing_sessions(spark, sf_dir):
+    """Sessions already stored: those of users with an even id."""
+    h = B.headers(spark, sf_dir).where(F.col("user_id") % 2 == 0).select("header.*")
+    return first_per_session(score(h, models=all_types_default()))
+
+
+@query
+def q_new_sessions(spark, sf_dir):
+    cands = first_per_session(scored_events(spark, sf_dir))
+    return new_sessions(cands, existing_sessions(spark, sf_dir)).select("sess_id")
+
+
+@query
+def q_register_sessions(spark, sf_dir):
+    return register_sessions(scored_events(spark, sf_dir), existing_sessions(spark, sf_dir))
+
+
+@query
+def q_fk_check(spark, sf_dir):
+    return fk_orphans(data_rows(scored_events(spark, sf_dir)), existing_sessions(spark, sf_dir))

@@ -112,3 +112,177 @@ SELECT session_id AS sess_id, {START} + to_milliseconds(trunc(win[1])::INTEGER)
        trunc(win[1])::INTEGER AS time_ms,
        CASE WHEN trunc(win[1])::INTEGER % 10000 > 5000 THEN 1 ELSE 0 END AS class
 FROM fw"""
+
+
+# ---- frames: codec / quarantine / source ------------------------------------
+FRAME_JSON = f"""to_json(struct_pack(
+    user_name := 'patient-' || label::VARCHAR,
+    session_id := 'patient-' || label::VARCHAR || '{B.SESSION_START}',
+    frame_number := frame_number::INTEGER, time_stamp := (frame_number * 1000)::INTEGER,
+    year := 2024, month := 1, day := 1, hour := 0, minute := 0, second := 0, microsecond := 0,
+    ML_model := 'default', preprocessing := 'standard', sampling_rate := 16,
+    num_samples := 16, num_channels := 4, channel_names := ['Time', 'EEG a', 'EEG b', 'aux']))::VARCHAR"""
+
+FRAME_REPORT = f"""SELECT session_id, 'patient-' || label::VARCHAR AS user_name, frame_number::INTEGER AS frame_number,
+       (frame_number * 1000)::INTEGER AS time_stamp, 2024 AS year, 1 AS month, 1 AS day,
+       'default' AS ML_model, 'standard' AS preprocessing, 16 AS sampling_rate, 16 AS num_samples, 4 AS num_channels,
+       'Time,EEG a,EEG b,aux' AS channel_names, len(samples) AS n_values, {checksum('samples')} AS checksum
+FROM fr"""
+
+
+@sql("frame_decode")
+def _():
+    return f"WITH {FRAMES_CTE}\n{FRAME_REPORT}"
+
+
+@sql("frame_source")
+def _():
+    return f"WITH {FRAMES_CTE}\n{FRAME_REPORT}"
+
+
+@sql("frame_encode")
+def _():
+    return f"""WITH {FRAMES_CTE},
+j AS (SELECT session_id, frame_number, {FRAME_JSON} AS header_json FROM fr)
+SELECT session_id, frame_number::INTEGER AS frame_number, (4 + octet_length(encode(header_json)) + 256)::INTEGER AS n_bytes,
+       octet_length(encode(header_json))::INTEGER AS header_len, header_json
+FROM j"""
+
+
+@sql("frame_quarantine")
+def _():
+    return f"""WITH {FRAMES_CTE},
+j AS (SELECT label, frame_number, octet_length(encode({FRAME_JSON})) AS hl FROM fr)
+SELECT fr0.vec_id, (4 + hl + 256 - CASE WHEN j.frame_number = 0 THEN 4 ELSE 0 END)::INTEGER AS n_bytes,
+       CASE WHEN j.frame_number = 0 THEN 'payload_size' WHEN j.frame_number = 1 THEN 'bad_length' ELSE 'ok' END AS status
+FROM j JOIN fr0 ON j.label = fr0.label AND j.frame_number = fr0.frame_number"""
+
+
+# ---- frames: channels / time split / concat / fan-out ------------------------
+@sql("time_channel")
+def _():
+    return f"WITH {FRAMES_CTE}\nSELECT session_id, frame_number::INTEGER AS frame_number, 0 AS time_idx FROM fr"
+
+
+@sql("split_time")
+def _():
+    return f"""WITH {FRAMES_CTE},
+p AS (SELECT session_id, frame_number, list_filter(samples, lambda x, i: (i - 1) % 4 = 0) AS t,
+             list_filter(samples, lambda x, i: (i - 1) % 4 <> 0) AS s FROM fr)
+SELECT session_id, frame_number::INTEGER AS frame_number, 0 AS time_idx, len(t) AS n_time, len(s) AS n_signal,
+       {checksum('t')} AS time_checksum, {checksum('s')} AS signal_checksum
+FROM p"""
+
+
+@sql("channel_subset")
+def _():
+    return f"""WITH {FRAMES_CTE},
+p AS (SELECT session_id, frame_number, list_filter(samples, lambda x, i: (i - 1) % 4 IN (1, 2)) AS s FROM fr)
+SELECT session_id, frame_number::INTEGER AS frame_number, 2 AS n_channels_kept, len(s) AS n_values, {checksum('s')} AS checksum
+FROM p"""
+
+
+@sql("block_concat")
+def _():
+    return f"""WITH {FRAMES_CTE},
+x AS (SELECT *, unnest([frame_number - 1, frame_number]) AS w FROM fr),
+g AS (SELECT session_id, w, count(*) AS n_frames, flatten(list(samples ORDER BY frame_number)) AS s FROM x GROUP BY session_id, w)
+SELECT session_id, {START} + to_seconds(w) AS window_start, n_frames, len(s) AS n_values, {checksum('s')} AS checksum
+FROM g"""
+
+
+@sql("fanout")
+def _():
+    return f"""WITH {FRAMES_CTE},
+n AS (SELECT session_id, count(*) AS n_frames FROM fr GROUP BY session_id)
+SELECT session_id, n_frames, greatest(0, ceil((n_frames * 16 - 16) / 4.0))::BIGINT AS n_windows,
+       round(greatest(0, ceil((n_frames * 16 - 16) / 4.0)) / n_frames, 6) AS windows_per_frame
+FROM n"""
+
+
+RECORDINGS_LONG = """
+rl AS (
+  SELECT vec_id // 4 AS recording_id, (vec_id % 4)::INTEGER AS channel,
+         unnest(embedding)::DOUBLE AS value, unnest(range(len(embedding))) AS sample_idx
+  FROM embeddings)"""
+
+
+@sql("relayout")
+def _():
+    return f"""WITH {RECORDINGS_LONG},
+g AS (SELECT recording_id, sample_idx, list(value ORDER BY channel) AS v FROM rl GROUP BY recording_id, sample_idx)
+SELECT recording_id, sample_idx, len(v) AS n_channels, {checksum('v')} AS checksum FROM g"""
+
+
+# ---- headers ---------------------------------------------------------------------
+HEADER_JSON = """to_json(struct_pack(
+    user_name := user_name, session_id := session_id, frame_number := frame_number, time_stamp := time_stamp,
+    year := year(session_start)::INTEGER, month := month(session_start)::INTEGER, day := day(session_start)::INTEGER,
+    hour := hour(session_start)::INTEGER, minute := minute(session_start)::INTEGER, second := second(session_start)::INTEGER,
+    microsecond := 0, ML_model := ML_model, preprocessing := 'standard', sampling_rate := 250,
+    num_samples := 1, num_channels := 2, channel_names := ['time', 'value']))::VARCHAR"""
+
+
+@sql("header_build")
+def _():
+    return f"""WITH {HEADERS_CTE}
+SELECT event_id, user_name, session_id, frame_number, time_stamp,
+       year(session_start)::INTEGER AS year, month(session_start)::INTEGER AS month, day(session_start)::INTEGER AS day,
+       hour(session_start)::INTEGER AS hour, minute(session_start)::INTEGER AS minute,
+       second(session_start)::INTEGER AS second, 0 AS microsecond, ML_model, 'standard' AS preprocessing,
+       250 AS sampling_rate, 1 AS num_samples, 2 AS num_channels, 'time,value' AS channel_names
+FROM hdr"""
+
+
+@sql("header_json")
+def _():
+    return f"""WITH {HEADERS_CTE},
+j AS (SELECT event_id, {HEADER_JSON} AS header_json FROM hdr)
+SELECT j.event_id, header_json, length(header_json)::INTEGER AS json_len, true AS roundtrip_ok,
+       json_extract(e.props, '$.k')::INTEGER AS props_k
+FROM j JOIN events e ON e.event_id = j.event_id"""
+
+
+@sql("route_by_model")
+def _():
+    return "SELECT 'ml.' || event_type AS route, count(*) AS n_messages FROM events GROUP BY 1"
+
+
+@sql("dispatch_model")
+def _():
+    return f"""WITH {HEADERS_CTE}
+SELECT event_id, ML_model AS ml_model,
+       (CASE WHEN ML_model IN ('default', 'view', 'click') THEN (CASE WHEN time_stamp % 10000 > 5000 THEN 1 ELSE 0 END)
+             WHEN ML_model = 'purchase' THEN (CASE WHEN time_stamp % 60000 > 30000 THEN 1 ELSE 0 END) END)::INTEGER AS class
+FROM hdr WHERE ML_model IN ('default', 'view', 'click', 'purchase')"""
+
+
+SCORED = f"""{HEADERS_CTE},
+sc AS (
+  SELECT hdr.*, session_id AS sess_id, session_start + to_milliseconds(time_stamp) AS time_in, time_stamp AS time_ms,
+         (CASE WHEN time_stamp % 10000 > 5000 THEN 1 ELSE 0 END)::INTEGER AS class, hd.user_id
+  FROM hdr JOIN hd USING (event_id))"""
+
+
+@sql("result_append")
+def _():
+    return f"WITH {SCORED}\nSELECT sess_id, time_in, time_ms, class FROM sc"
+
+
+@sql("new_sessions")
+def _():
+    return f"WITH {SCORED}\nSELECT DISTINCT sess_id FROM sc WHERE user_id % 2 = 1"
+
+
+@sql("register_sessions")
+def _():
+    return f"""WITH {SCORED}
+SELECT sess_id, arg_min(user_name, (frame_number, time_ms)) AS user_name,
+       arg_min(ML_model, (frame_number, time_ms)) AS ml_model,
+       arg_min(preprocessing, (frame_number, time_ms)) AS preprocessing
+FROM sc WHERE user_id % 2 = 1 GROUP BY sess_id"""
+
+
+@sql("fk_check")
+def _():
+    return f"WITH {SCORED}\nSELECT sess_id, time_in, time_ms, class FROM sc WHERE user_id % 2 = 1"

@@ -23,3 +23,23 @@ def window_report(w: DataFrame) -> DataFrame:
         F.size("samples").alias("n_values"),
         weighted_checksum(F.col("samples")).alias("checksum"),
     )
+
+
+def frame_report(f: DataFrame) -> DataFrame:
+    return f.select(
+        "session_id",
+        "user_name",
+        "frame_number",
+        "time_stamp",
+        "year",
+        "month",
+        "day",
+        "ML_model",
+        "preprocessing",
+        "sampling_rate",
+        "num_samples",
+        "num_channels",
+        F.array_join("channel_names", ",").alias("channel_names"),
+        F.size("samples").alias("n_values"),
+        weighted_checksum(F.col("samples")).alias("checksum"),
+    )
