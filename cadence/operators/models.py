@@ -48,3 +48,48 @@ def dispatch_model(
     if not keep_unserved:
         scored = scored.where(F.col(model_col).isin(list(models)))
     return scored
+
+
+# Processing name (the header's ``preprocessing``) → DataFrame → DataFrame.
+_PROCESSORS: dict[str, Callable[[DataFrame], DataFrame]] = {}
+
+
+def register_processor(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
+    _PROCESSORS[name] = fn
+
+
+def registered_processors() -> dict[str, Callable[[DataFrame], DataFrame]]:
+    return dict(_PROCESSORS)
+
+
+def _standard(df: DataFrame) -> DataFrame:
+    from cadence.operators.dsp import transform_windows
+
+    return transform_windows(df, "standard", time_idx=F.coalesce(F.col("time_idx"), F.lit(-1)) if "time_idx" in df.columns else None)
+
+
+def _spectrum_only(df: DataFrame) -> DataFrame:
+    from cadence.operators.dsp import transform_windows
+
+    return transform_windows(df, "spectrum", time_idx=F.coalesce(F.col("time_idx"), F.lit(-1)) if "time_idx" in df.columns else None)
+
+
+register_processor("standard", _standard)
+
+
+def fixture_processors() -> dict[str, Callable[[DataFrame], DataFrame]]:
+    """Registry used by the dispatch fixture: the standard chain plus a
+    spectrum-only processor."""
+    return {"standard": _standard, "spectrum": _spectrum_only}
+
+
+def dispatch_processing(df: DataFrame, col: str = "preprocessing", processors: dict | None = None) -> DataFrame:
+    """Run each window through the processor its header names — one
+    branch per registered name over the same input, results unioned.  Rows
+    naming an unregistered processor are held back."""
+    processors = registered_processors() if processors is None else processors
+    out = None
+    for name, fn in processors.items():
+        part = fn(df.where(F.col(col) == F.lit(name)))
+        out = part if out is None else out.unionByName(part)
+    return out

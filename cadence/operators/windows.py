@@ -22,6 +22,11 @@ from cadence.functions.header import time_channel_idx, window_time_stamp
 from cadence.schemas import HEADER_NAMES
 
 
+def int_range(lo: Column, hi: Column) -> Column:
+    """[lo, hi] as an array of BIGINT; empty when hi < lo."""
+    return F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
+
+
 def window_length(length_s: float, sampling_rate: Column) -> Column:
     """L = int(length·fs) in float32 arithmetic, as the windower computes it."""
     return (F.lit(length_s).cast("float") * sampling_rate.cast("float")).cast("int")
@@ -69,25 +74,16 @@ def time_windows(
     )
 
 
-def sample_windows(
+def window_pieces(
     frames: DataFrame,
     length_s: float = 1.0,
     overlap: float = 0.8,
     session: str = "session_id",
     start_col: str | None = None,
 ) -> DataFrame:
-    """Overlapping windows of ``int(length·fs)`` samples every
-    ``int((1-overlap)·length·fs + .5)`` samples, cut across frame edges.
-
-    ``frames`` has the flattened header fields and ``samples`` (sample-major).
-    A frame's first absolute sample index is ``start_col`` when given (use it
-    for sessions whose frames vary in length; :func:`prefix_sum_within` builds
-    it), else ``frame_number · num_samples``.
-
-    Output: one row per complete window with the header of the frame holding
-    its first sample, ``k``, ``start_idx``, ``num_samples`` = L, the window's
-    ``time_stamp`` (P14), ``samples`` (L·C floats) and ``n_frames``.
-    """
+    """Explode each frame into the (≤ (F+L)/S) windows it touches: one row per
+    (frame, window) with ``k``, the covered absolute range [_lo, _hi) — one
+    sample past the window end included as sentinel — and the ``_piece``."""
     fs = F.col("sampling_rate")
     C = F.col("num_channels").cast("long")
     Fn = F.col("num_samples").cast("long")
@@ -104,14 +100,36 @@ def sample_windows(
     L, S, A = F.col("_L"), F.col("_S"), F.col("_a")
     k_lo = F.greatest(F.lit(0).cast("long"), F.ceil((A - L) / S).cast("long"))
     k_hi = F.floor((A + Fn - 1) / S).cast("long")
-    pieces = (
+    return (
         staged.where((S > 0) & (L > 0))
-        .withColumn("k", F.explode(F.sequence(k_lo, F.greatest(k_lo - 1, k_hi))))
+        .withColumn("k", F.explode(int_range(k_lo, k_hi)))
         .withColumn("_lo", F.greatest(A, F.col("k") * S))
         .withColumn("_hi", F.least(A + Fn, F.col("k") * S + L + 1))
         .where(F.col("_hi") > F.col("_lo"))
         .withColumn("_piece", F.slice("samples", ((F.col("_lo") - A) * C + 1).cast("int"), ((F.col("_hi") - F.col("_lo")) * C).cast("int")))
     )
+
+
+def sample_windows(
+    frames: DataFrame,
+    length_s: float = 1.0,
+    overlap: float = 0.8,
+    session: str = "session_id",
+    start_col: str | None = None,
+) -> DataFrame:
+    """Overlapping windows of ``int(length·fs)`` samples every
+    ``int((1-overlap)·length·fs + .5)`` samples, cut across frame edges.
+
+    ``frames`` has the flattened header fields and ``samples`` (sample-major).
+    A frame's first absolute sample index is ``start_col`` when given (use it
+    for sessions whose frames vary in length; :func:`prefix_sum_within` builds
+    it), else ``frame_number · num_samples``.
+
+    Output: one row per complete window with the header of the frame holding
+    its first sample, ``k``, ``start_idx``, ``num_samples`` = L, the window's
+    ``time_stamp`` (P14), ``samples`` (L·C floats) and ``n_frames``.
+    """
+    pieces = window_pieces(frames, length_s, overlap, session, start_col)
     hdr = F.struct(*[F.col(n) for n in HEADER_NAMES if n != session])
     grouped = pieces.groupBy(session, "k").agg(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(F.col("_lo").alias("o"), F.col("_piece").alias("b")))), lambda z: z["b"])).alias("_all"),
@@ -194,10 +212,41 @@ def stft_segments(
     k_lo = F.greatest(F.lit(0).cast("long"), F.ceil((n_ext - (nperseg - 1)) / hop).cast("long"))
     k_hi = F.least(nseg - 1, F.floor(n_ext / hop).cast("long"))
     exploded = (
-        samples.withColumn("seg", F.explode(F.sequence(k_lo, F.greatest(k_lo - 1, k_hi))))
+        samples.withColumn("seg", F.explode(int_range(k_lo, k_hi)))
         .withColumn("_p", (n_ext - F.col("seg") * hop).cast("int"))
         .select(*keys, "seg", "_p", F.col(value).cast("double").alias("_v"))
     )
     grouped = exploded.groupBy(*keys, "seg").agg(F.map_from_entries(F.collect_list(F.struct("_p", "_v"))).alias("_m"))
     dense = F.transform(F.sequence(F.lit(0), F.lit(nperseg - 1)), lambda p: F.coalesce(F.element_at(F.col("_m"), p), F.lit(0.0)))
     return grouped.select(*keys, "seg", dense.alias("segment"))
+
+
+def apply_per_window(
+    frames: DataFrame,
+    fn,
+    schema,
+    length_s: float = 1.0,
+    overlap: float = 0.8,
+    session: str = "session_id",
+) -> DataFrame:
+    """Call ``fn(session, k, samples)`` on every complete window, where
+    ``samples`` is a (L, C) numpy array in sample order; ``fn`` returns a
+    pandas DataFrame matching ``schema``.  Groups are single windows, so their
+    size is bounded by the window length."""
+    import numpy as np
+    import pandas as pd
+
+    pieces = window_pieces(frames, length_s, overlap, session).select(
+        session, "k", "_lo", "_hi", "_L", "num_channels", "_piece"
+    )
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_lo")
+        L = int(pdf["_L"].iloc[0])
+        C = int(pdf["num_channels"].iloc[0])
+        if int((pdf["_hi"] - pdf["_lo"]).sum()) != L + 1:
+            return pd.DataFrame(columns=schema.names if hasattr(schema, "names") else None)
+        flat = np.concatenate([np.asarray(p, dtype=np.float64) for p in pdf["_piece"]])
+        return fn(pdf[session].iloc[0], int(pdf["k"].iloc[0]), flat[: L * C].reshape(L, C))
+
+    return pieces.groupBy(session, "k").applyInPandas(run, schema)

@@ -22,8 +22,9 @@ from cadence.functions.header import (
     split_time,
     time_channel_idx,
 )
+from cadence.operators import dsp
 from cadence.operators import windows as W
-from cadence.operators.models import dispatch_model, rule_class
+from cadence.operators.models import dispatch_model, dispatch_processing, fixture_processors, rule_class
 from cadence.operators.results import data_rows, first_per_session, fk_orphans, new_sessions, register_sessions, score
 from cadence.plans import bindings as B
 from cadence.plans.reports import frame_report, window_report
@@ -35,6 +36,11 @@ from cadence.sources.sinks import append_results, route_by_model, write_routed
 from cadence.streaming.runner import run_available_now, stage_files
 
 Query = Callable[[SparkSession, str], DataFrame]
+
+
+def r6(c):
+    """Round to 6 decimals; ``+ 0.0`` folds −0.0 into 0.0."""
+    return F.round(c, 6) + F.lit(0.0)
 QUERIES: dict[str, Query] = {}
 
 
@@ -303,3 +309,97 @@ def q_register_sessions(spark, sf_dir):
 @query
 def q_fk_check(spark, sf_dir):
     return fk_orphans(data_rows(scored_events(spark, sf_dir)), existing_sessions(spark, sf_dir))
+
+
+# ---- windows64: filters, spectrum, standard chain, processor plug-ins ---------
+def w64_long(df: DataFrame, col: str = "processed", extra: tuple[str, ...] = ()) -> DataFrame:
+    return df.select("window_id", *extra, F.posexplode(col).alias("n", "v")).select(
+        "window_id", *extra, F.col("n").cast("int").alias("n"), r6(F.col("v")).alias("value")
+    )
+
+
+@query
+def q_bandstop(spark, sf_dir):
+    return w64_long(dsp.transform_windows(B.windows64(spark, sf_dir), "bandstop"))
+
+
+@query
+def q_highpass(spark, sf_dir):
+    return w64_long(dsp.transform_windows(B.windows64(spark, sf_dir), "highpass"))
+
+
+@query
+def q_spectrum(spark, sf_dir):
+    return w64_long(dsp.transform_windows(B.windows64(spark, sf_dir), "spectrum"))
+
+
+@query
+def q_process_standard(spark, sf_dir):
+    return w64_long(dsp.transform_windows(B.windows64(spark, sf_dir), "standard"))
+
+
+@query
+def q_dispatch_processing(spark, sf_dir):
+    w = B.windows64(spark, sf_dir).withColumn(
+        "preprocessing", F.when(F.col("label") % 2 == 0, F.lit("standard")).otherwise(F.lit("spectrum"))
+    )
+    out = dispatch_processing(w, processors=fixture_processors())
+    return w64_long(out, extra=("preprocessing",))
+
+
+# ---- sig: sample time, frequency axis, per-window UDF, whole-signal ops -------
+@query
+def q_sample_time(spark, sf_dir):
+    s = B.sig(spark, sf_dir)
+    return s.select("user_id", "sample_idx", (F.col("sample_idx") / F.lit(float(B.SIG_FS))).alias("t"))
+
+
+@query
+def q_freq_axis(spark, sf_dir):
+    w = sig_windows(spark, sf_dir)
+    b = w.select(
+        F.col("session_id").cast("long").alias("user_id"), "k", "num_samples", "sampling_rate",
+        F.explode(F.sequence(F.lit(0), F.col("num_samples") - 1)).alias("bin"),
+    )
+    return b.select("user_id", "k", "bin", dsp.freq_axis(F.col("bin"), F.col("num_samples"), F.col("sampling_rate")).alias("freq"))
+
+
+def _window_stats(session, k, X):
+    import pandas as pd
+
+    v = X[:, 0]
+    return pd.DataFrame({"user_id": [int(session)], "k": [k], "n": [len(v)], "mean": [round(float(v.mean()), 6)], "max": [float(v.max())]})
+
+
+@query
+def q_window_udf(spark, sf_dir):
+    frames = W.samples_as_frames(B.sig(spark, sf_dir), "user_id", "sample_idx", "value", B.SIG_FS)
+    schema = "user_id long, k long, n long, mean double, max double"
+    return W.apply_per_window(frames, _window_stats, schema, B.SIG_LENGTH_S, B.SIG_OVERLAP)
+
+
+# Block length of the whole-signal filter in the registered query: small, so
+# the fixture's signals span several blocks and exercise the warm-up path.
+SIG_FILTER_BLOCK = 64
+
+
+@query
+def q_filter_recording(spark, sf_dir):
+    s = B.sig(spark, sf_dir).select("user_id", "sample_idx", "value")
+    y = dsp.filter_signals(s, ["user_id"], "sample_idx", "value", float(B.SIG_FS), "filters", SIG_FILTER_BLOCK)
+    return y.select("user_id", "sample_idx", r6(F.col("filtered")).alias("filtered"))
+
+
+@query
+def q_stft_segments(spark, sf_dir):
+    s = B.sig(spark, sf_dir).select("user_id", "sample_idx", "value")
+    n = s.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+    segs = W.stft_segments(s.join(n, "user_id"), ["user_id"], "sample_idx", "value", B.SIG_FS, int(B.SIG_FS * 4 / 5))
+    return segs.select("user_id", "seg", F.size("segment").alias("n_values"), weighted_checksum(F.col("segment")).alias("checksum"))
+
+
+@query
+def q_stft(spark, sf_dir):
+    s = B.sig(spark, sf_dir).select("user_id", "sample_idx", "value")
+    z = dsp.stft(s, ["user_id"], "sample_idx", "value", float(B.SIG_FS))
+    return z.select("user_id", "seg", "bin", "t", "freq", r6(F.col("re")).alias("re"), r6(F.col("im")).alias("im"))

@@ -286,3 +286,124 @@ FROM sc WHERE user_id % 2 = 1 GROUP BY sess_id"""
 @sql("fk_check")
 def _():
     return f"WITH {SCORED}\nSELECT sess_id, time_in, time_ms, class FROM sc WHERE user_id % 2 = 1"
+
+
+# ---- windows64 / sig signal transforms -------------------------------------------
+def h_values(fs: float, kind: str, n: int) -> str:
+    """Impulse response as a VALUES table h(j, hv) (design from the driver)."""
+    from cadence.operators.dsp import impulse_response
+
+    h = impulse_response(float(fs), kind, n)
+    return "h(j, hv) AS (VALUES " + ", ".join(f"({j}, {repr(float(v))}::DOUBLE)" for j, v in enumerate(h)) + ")"
+
+
+W64_X = """
+x AS (SELECT vec_id AS window_id, label, unnest(embedding)::DOUBLE AS v, unnest(range(64)) AS m FROM embeddings)"""
+
+
+def _conv64(kind: str, src: str = "x") -> str:
+    return f"""{h_values(B.W64_FS, kind, 64)},
+y AS (SELECT {src}.window_id, {src}.m + h.j AS m, sum(h.hv * {src}.v) AS v FROM {src}, h WHERE {src}.m + h.j < 64 GROUP BY 1, 2)"""
+
+
+def _dft(src: str, n: int = 64) -> str:
+    return f"""kk AS (SELECT unnest(range({n})) AS k),
+d AS (SELECT {src}.window_id, kk.k,
+             sum({src}.v * cos(2 * pi() * (({src}.m * kk.k) % {n}) / {n})) AS re,
+             sum({src}.v * sin(2 * pi() * (({src}.m * kk.k) % {n}) / {n})) AS im
+      FROM {src}, kk GROUP BY 1, 2)"""
+
+
+@sql("bandstop")
+def _():
+    return f"WITH {W64_X},\n{_conv64('bandstop')}\nSELECT window_id, m::INTEGER AS n, round(v, 6) + 0.0 AS value FROM y"
+
+
+@sql("highpass")
+def _():
+    return f"WITH {W64_X},\n{_conv64('highpass')}\nSELECT window_id, m::INTEGER AS n, round(v, 6) + 0.0 AS value FROM y"
+
+
+@sql("spectrum")
+def _():
+    return f"WITH {W64_X},\n{_dft('x')}\nSELECT window_id, k::INTEGER AS n, round(sqrt(re * re + im * im), 6) + 0.0 AS value FROM d"
+
+
+@sql("process_standard")
+def _():
+    return f"WITH {W64_X},\n{_conv64('standard')},\n{_dft('y')}\nSELECT window_id, k::INTEGER AS n, round(sqrt(re * re + im * im), 6) + 0.0 AS value FROM d"
+
+
+@sql("dispatch_processing")
+def _():
+    return f"""WITH {W64_X},
+{_conv64('standard')},
+{_dft('y')},
+kk2 AS (SELECT unnest(range(64)) AS k),
+ds AS (SELECT x.window_id, kk2.k, sum(x.v * cos(2 * pi() * ((x.m * kk2.k) % 64) / 64)) AS re,
+              sum(x.v * sin(2 * pi() * ((x.m * kk2.k) % 64) / 64)) AS im FROM x, kk2 GROUP BY 1, 2),
+lab AS (SELECT vec_id AS window_id, label FROM embeddings)
+SELECT d.window_id, 'standard' AS preprocessing, k::INTEGER AS n, round(sqrt(re * re + im * im), 6) + 0.0 AS value
+FROM d JOIN lab USING (window_id) WHERE label % 2 = 0
+UNION ALL
+SELECT ds.window_id, 'spectrum' AS preprocessing, k::INTEGER AS n, round(sqrt(re * re + im * im), 6) + 0.0 AS value
+FROM ds JOIN lab USING (window_id) WHERE label % 2 = 1"""
+
+
+@sql("sample_time")
+def _():
+    return f"WITH {SIG_CTE}\nSELECT user_id, sample_idx, sample_idx / 8.0::DOUBLE AS t FROM sg"
+
+
+SIG_WINDOWS = f"""{SIG_CTE},
+nw AS (SELECT user_id, count(*) AS n FROM sg GROUP BY user_id),
+sw AS (SELECT user_id, unnest(range(0, greatest(0, ceil((n - 8) / 2.0))::BIGINT)) AS k FROM nw)"""
+
+
+@sql("freq_axis")
+def _():
+    return f"""WITH {SIG_WINDOWS},
+b AS (SELECT user_id, k, unnest(range(8)) AS bin FROM sw)
+SELECT user_id, k, bin::INTEGER AS bin, (CASE WHEN bin < 4 THEN bin ELSE bin - 8 END)::DOUBLE * 8.0 / 8.0 AS freq FROM b"""
+
+
+@sql("window_udf")
+def _():
+    return f"""WITH {SIG_WINDOWS}
+SELECT sw.user_id, sw.k, count(*) AS n, round(avg(sg.value::FLOAT::DOUBLE), 6) AS mean, max(sg.value::FLOAT::DOUBLE) AS max
+FROM sw JOIN sg ON sg.user_id = sw.user_id AND sg.sample_idx >= sw.k * 2 AND sg.sample_idx < sw.k * 2 + 8
+GROUP BY sw.user_id, sw.k"""
+
+
+@sql("filter_recording")
+def _():
+    return f"""WITH {SIG_CTE},
+{h_values(B.SIG_FS, 'filters', 512)}
+SELECT a.user_id, a.sample_idx, round(sum(h.hv * b.value), 6) + 0.0 AS filtered
+FROM sg a JOIN sg b ON a.user_id = b.user_id AND b.sample_idx <= a.sample_idx
+JOIN h ON h.j = a.sample_idx - b.sample_idx
+GROUP BY a.user_id, a.sample_idx"""
+
+
+SIG_SEGMENTS = f"""{SIG_CTE},
+ps AS (SELECT user_id, count(*) AS n,
+              [0.0::DOUBLE, 0.0, 0.0, 0.0] || list(value::DOUBLE ORDER BY sample_idx) || [0.0::DOUBLE, 0.0, 0.0, 0.0] AS padded
+       FROM sg GROUP BY user_id),
+seg AS (SELECT user_id, k AS seg, padded[2 * k + 1 : 2 * k + 8] AS s
+        FROM (SELECT *, unnest(range(0, (n + 8 - 6) // 2)) AS k FROM ps))"""
+
+
+@sql("stft_segments")
+def _():
+    return f"WITH {SIG_SEGMENTS}\nSELECT user_id, seg, len(s) AS n_values, {checksum('s')} AS checksum FROM seg"
+
+
+@sql("stft")
+def _():
+    return f"""WITH {SIG_SEGMENTS},
+sv AS (SELECT user_id, seg, unnest(s) AS v, unnest(range(8)) AS p FROM seg),
+bins AS (SELECT unnest(range(5)) AS b)
+SELECT user_id, seg, b::INTEGER AS bin, seg * 0.25::DOUBLE AS t, b * 1.0::DOUBLE AS freq,
+       round(sum(v * (0.5 - 0.5 * cos(2 * pi() * p / 8)) * cos(2 * pi() * ((b * p) % 8) / 8)) / 4.0, 6) + 0.0 AS re,
+       round(-sum(v * (0.5 - 0.5 * cos(2 * pi() * p / 8)) * sin(2 * pi() * ((b * p) % 8) / 8)) / 4.0, 6) + 0.0 AS im
+FROM sv, bins GROUP BY user_id, seg, b"""
