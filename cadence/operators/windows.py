@@ -63,7 +63,9 @@ def time_windows(
     map side combines before the shuffle; an unkeyed window is then one small
     row per window and task, never one task holding the window's rows.
     """
-    t = F.col(ts).cast("timestamp")
+    # keep the bare column when it is already TIMESTAMP so a stream's
+    # watermark (defined on that column) applies to the window
+    t = F.col(ts) if dict(df.dtypes).get(ts) == "timestamp" else F.col(ts).cast("timestamp")
     grouped = df.groupBy(*keys, F.window(t, size, slide).alias("w"))
     out = grouped.agg(*aggs)
     return out.select(

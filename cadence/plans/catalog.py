@@ -33,6 +33,7 @@ from cadence.session import scratch_dir
 from cadence.sources.files import channels_like, recordings_to_samples
 from cadence.sources.frames import classify_frames, decode_frames, encode_frames, read_frames, split_malformed
 from cadence.sources.sinks import append_results, route_by_model, write_routed
+from cadence.streaming.ops import dedup_frames, drop_expired, split_late, stateful_windows, with_event_time
 from cadence.streaming.runner import run_available_now, stage_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -403,3 +404,90 @@ def q_stft(spark, sf_dir):
     s = B.sig(spark, sf_dir).select("user_id", "sample_idx", "value")
     z = dsp.stft(s, ["user_id"], "sample_idx", "value", float(B.SIG_FS))
     return z.select("user_id", "seg", "bin", "t", "freq", r6(F.col("re")).alias("re"), r6(F.col("im")).alias("im"))
+
+
+# ---- time windows and streams ---------------------------------------------------
+def _sum_value():
+    return F.sum(F.col("value").cast("decimal(18,2)")).cast("double")
+
+
+@query
+def q_sliding_time(spark, sf_dir):
+    t = B.timed(spark, sf_dir)
+    aggs = [F.count(F.lit(1)).alias("n_events"), _sum_value().alias("sum_value")]
+    return W.time_windows(t, "ts", "2 hours", "1 hour", ["user_id"], aggs)
+
+
+@query
+def q_global_sliding(spark, sf_dir):
+    t = B.timed(spark, sf_dir)
+    order = F.struct("ts", "event_id")
+    aggs = [
+        F.count(F.lit(1)).alias("n_events"),
+        _sum_value().alias("sum_value"),
+        F.min_by("value", order).alias("first_value"),
+        F.max_by("value", order).alias("last_value"),
+    ]
+    return W.time_windows(t, "ts", "2 hours", "1 hour", [], aggs)
+
+
+STREAM_DELAY = "1 hour"
+
+
+@query
+def q_stream_sliding(spark, sf_dir):
+    """Events as a stream on event time, 2 h / 1 h windows per user,
+    1 h watermark, append mode — emitted windows are the closed ones."""
+    schema = B.table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(stage_events(spark, sf_dir, 1))
+    ev = with_event_time(stream, "ts", STREAM_DELAY)
+    aggs = [F.count(F.lit(1)).alias("n_events"), _sum_value().alias("sum_value")]
+    win = W.time_windows(ev, "ts", "2 hours", "1 hour", ["user_id"], aggs)
+    out = run_available_now(win, "stream-sliding")
+    return spark.read.parquet(out)
+
+
+def stage_events(spark, sf_dir, copies: int) -> str:
+    """Events staged as stream input files (``copies`` appends of the table)."""
+    ev = B.table(spark, sf_dir, "events")
+    path = None
+    for _ in range(copies):
+        path = stage_files(ev, "events-stream", files=2, path=path)
+    return path
+
+
+@query
+def q_late_split(spark, sf_dir):
+    t = B.timed(spark, sf_dir).withColumn("arrival_batch", (F.col("event_id") % 3).cast("int"))
+    return split_late(t, "ts", "arrival_batch", 3600.0).select("event_id", "arrival_batch", "is_late")
+
+
+@query
+def q_stream_dedup(spark, sf_dir):
+    schema = B.table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).parquet(stage_events(spark, sf_dir, 2))
+    dedup = dedup_frames(stream, ["user_id", "event_id"], "ts", STREAM_DELAY)
+    out = run_available_now(dedup, "stream-dedup")
+    res = spark.read.parquet(out)
+    return res.select("event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
+
+
+TTL_DAYS = 7
+
+
+@query
+def q_ttl_filter(spark, sf_dir):
+    t = B.timed(spark, sf_dir)
+    as_of = t.select(F.max("ts")).scalar()
+    return drop_expired(t, "ts", TTL_DAYS * 86400.0, as_of).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+@query
+def q_stateful_windows(spark, sf_dir):
+    """Frames streamed in four scrambled files, windows cut by the keyed
+    cursor state; same closed windows as ``sample_windows``."""
+    staged = stage_files(B.frame_rows(spark, sf_dir), "frames-stream", files=4)
+    schema = spark.read.parquet(staged).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(staged)
+    out = run_available_now(stateful_windows(stream, B.FRAMES_LENGTH_S, B.FRAMES_OVERLAP), "stateful-windows")
+    return window_report(spark.read.parquet(out))

@@ -407,3 +407,53 @@ SELECT user_id, seg, b::INTEGER AS bin, seg * 0.25::DOUBLE AS t, b * 1.0::DOUBLE
        round(sum(v * (0.5 - 0.5 * cos(2 * pi() * p / 8)) * cos(2 * pi() * ((b * p) % 8) / 8)) / 4.0, 6) + 0.0 AS re,
        round(-sum(v * (0.5 - 0.5 * cos(2 * pi() * p / 8)) * sin(2 * pi() * ((b * p) % 8) / 8)) / 4.0, 6) + 0.0 AS im
 FROM sv, bins GROUP BY user_id, seg, b"""
+
+
+# ---- time windows and streams -----------------------------------------------------
+SLIDING = """
+sl AS (
+  SELECT user_id, ws AS window_start, ws + INTERVAL 2 HOUR AS window_end, count(*) AS n_events,
+         sum(value::DECIMAL(18,2))::DOUBLE AS sum_value
+  FROM (SELECT *, unnest([time_bucket(INTERVAL 1 HOUR, ts) - INTERVAL 1 HOUR, time_bucket(INTERVAL 1 HOUR, ts)]) AS ws FROM events)
+  GROUP BY user_id, ws)"""
+
+
+@sql("sliding_time")
+def _():
+    return f"WITH {SLIDING}\nSELECT * FROM sl"
+
+
+@sql("global_sliding")
+def _():
+    return """SELECT ws AS window_start, ws + INTERVAL 2 HOUR AS window_end, count(*) AS n_events,
+       sum(value::DECIMAL(18,2))::DOUBLE AS sum_value,
+       arg_min(value, (ts, event_id)) AS first_value, arg_max(value, (ts, event_id)) AS last_value
+FROM (SELECT *, unnest([time_bucket(INTERVAL 1 HOUR, ts) - INTERVAL 1 HOUR, time_bucket(INTERVAL 1 HOUR, ts)]) AS ws FROM events)
+GROUP BY ws"""
+
+
+@sql("stream_sliding")
+def _():
+    return f"WITH {SLIDING}\nSELECT * FROM sl WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"
+
+
+@sql("late_split")
+def _():
+    return """WITH e AS (SELECT event_id, ts, (event_id % 3)::INTEGER AS arrival_batch FROM events),
+m AS (SELECT arrival_batch, max(ts) AS mx FROM e GROUP BY 1),
+w AS (SELECT arrival_batch, max(mx) OVER (ORDER BY arrival_batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 HOUR AS wm FROM m)
+SELECT event_id, arrival_batch, coalesce(ts < wm, false) AS is_late FROM e JOIN w USING (arrival_batch)"""
+
+
+@sql("stream_dedup")
+def _():
+    return "SELECT event_id, user_id, ts, value FROM events"
+
+
+@sql("ttl_filter")
+def _():
+    return "SELECT event_id, ts FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY"
+
+
+# Same closed windows, same SQL.
+ORACLE["stateful_windows"] = ORACLE["sample_windows"]
