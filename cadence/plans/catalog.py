@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.functions.arrays import weighted_checksum
+from cadence.functions.arrays import pad_truncate, weighted_checksum
 from cadence.functions.codec import split_frames
 from cadence.functions.header import (
     event_time,
@@ -23,6 +23,8 @@ from cadence.functions.header import (
     time_channel_idx,
 )
 from cadence.operators import dsp
+from cadence.operators.features import channel_catalog, channel_corr, corr_features, recording_stft
+from cadence.operators.labels import class_counts, interval_label, label_code
 from cadence.operators import windows as W
 from cadence.operators.models import dispatch_model, dispatch_processing, fixture_processors, rule_class
 from cadence.operators.results import data_rows, first_per_session, fk_orphans, new_sessions, register_sessions, score
@@ -30,9 +32,15 @@ from cadence.plans import bindings as B
 from cadence.plans.reports import frame_report, window_report
 from cadence.schemas import HEADER
 from cadence.session import scratch_dir
-from cadence.sources.files import channels_like, recordings_to_samples
+from cadence.sources.files import (
+    channels_like,
+    read_annotations,
+    recordings_to_samples,
+    render_annotations,
+    write_annotation_files,
+)
 from cadence.sources.frames import classify_frames, decode_frames, encode_frames, read_frames, split_malformed
-from cadence.sources.sinks import append_results, route_by_model, write_routed
+from cadence.sources.sinks import append_results, route_by_model, write_routed, write_tiles
 from cadence.streaming.ops import dedup_frames, drop_expired, split_late, stateful_windows, with_event_time
 from cadence.streaming.runner import run_available_now, stage_files
 
@@ -491,3 +499,92 @@ def q_stateful_windows(spark, sf_dir):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(staged)
     out = run_available_now(stateful_windows(stream, B.FRAMES_LENGTH_S, B.FRAMES_OVERLAP), "stateful-windows")
     return window_report(spark.read.parquet(out))
+
+
+# ---- annotations and labels -------------------------------------------------------
+ANNOTATION_BUCKET_S = B.ANNOTATION_HOURS * 3600.0
+
+
+@query
+def q_label_code(spark, sf_dir):
+    a = B.annotations(spark, sf_dir)
+    return a.select("line_no", "label", label_code(F.col("label")).alias("code"))
+
+
+@query
+def q_class_counts(spark, sf_dir):
+    return class_counts(B.annotations(spark, sf_dir))
+
+
+@query
+def q_interval_label(spark, sf_dir):
+    return interval_label(B.label_times(spark, sf_dir), B.annotations(spark, sf_dir), bucket_s=ANNOTATION_BUCKET_S)
+
+
+@query
+def q_annotation_scan(spark, sf_dir):
+    """Annotations rendered as one text file per recording (with the
+    version line and a blank line), then scanned back line by line."""
+    ann = B.annotations(spark, sf_dir).withColumn("file", F.col("recording_id").cast("string"))
+    path = write_annotation_files(render_annotations(ann), scratch_dir(spark, "annotations"))
+    back = read_annotations(spark, path)
+    rec = F.regexp_extract(F.col("file"), r"file=([^/]+)/", 1).cast("long")
+    return back.select(rec.alias("recording_id"), r6(F.col("beg")).alias("beg"), r6(F.col("end")).alias("end"), "label")
+
+
+@query
+def q_training_table(spark, sf_dir):
+    """M7: whole-signal filter (D6) → STFT (D5) → interval labels."""
+    s = B.sig(spark, sf_dir).select("user_id", "sample_idx", "value")
+    filt = dsp.filter_signals(s, ["user_id"], "sample_idx", "value", float(B.SIG_FS), "filters", SIG_FILTER_BLOCK)
+    z = dsp.stft(filt, ["user_id"], "sample_idx", "filtered", float(B.SIG_FS))
+    frames = z.select(F.col("user_id").alias("recording_id"), "seg", "t").distinct()
+    ann = B.train_annotations(spark, sf_dir)
+    lab = interval_label(frames, ann, ids=("seg",), bucket_s=B.TRAIN_ANNOTATION_S)
+    out = z.join(lab.withColumnRenamed("recording_id", "user_id").drop("t"), ["user_id", "seg"])
+    return out.select(
+        F.col("user_id").alias("recording_id"), "seg", "bin", "t", "freq",
+        r6(dsp.magnitude(F.col("re"), F.col("im"))).alias("magnitude"), "code",
+    )
+
+
+# ---- recordings: catalogue, correlation, features, tiles, padding -------------------
+@query
+def q_channel_catalog(spark, sf_dir):
+    c = channel_catalog(B.recordings(spark, sf_dir))
+    return c.select("recording_id", F.size("channels").alias("n_channels"), F.array_join("channels", ",").alias("channels"))
+
+
+def rec_stft(spark, sf_dir):
+    return recording_stft(B.recordings(spark, sf_dir), float(B.RECORDING_FS))
+
+
+@query
+def q_channel_corr(spark, sf_dir):
+    c = channel_corr(rec_stft(spark, sf_dir))
+    return c.select("recording_id", "seg", "ch_a", "ch_b", r6(F.col("corr")).alias("corr"))
+
+
+@query
+def q_corr_features(spark, sf_dir):
+    return corr_features(rec_stft(spark, sf_dir))
+
+
+@query
+def q_pad_truncate(spark, sf_dir):
+    r = B.recordings(spark, sf_dir)
+    v = pad_truncate(F.filter("samples", lambda x: x > 0), 32)
+    return r.select("recording_id", "channel", F.posexplode(v).alias("pos", "value")).select(
+        "recording_id", "channel", F.col("pos").cast("int").alias("pos"), "value"
+    )
+
+
+@query
+def q_tile_store(spark, sf_dir):
+    z = rec_stft(spark, sf_dir)
+    path = write_tiles(z, scratch_dir(spark, "tiles"))
+    back = spark.read.parquet(path)
+    return back.select(
+        F.col("recording_id").cast("long").alias("recording_id"), "channel", "seg", "bin", "t", "freq",
+        r6(F.col("re")).alias("re"), r6(F.col("im")).alias("im"),
+    )

@@ -457,3 +457,126 @@ def _():
 
 # Same closed windows, same SQL.
 ORACLE["stateful_windows"] = ORACLE["sample_windows"]
+
+
+# ---- annotations and labels -----------------------------------------------------------
+SECS = f"(epoch_us(ts) - epoch_us({START}))::DOUBLE / 1000000.0::DOUBLE"
+ANN = f"""
+ann AS (
+  SELECT user_id AS recording_id, event_id AS line_no, {SECS} AS beg, {SECS} + 21600.0::DOUBLE AS "end",
+         CASE WHEN event_type = 'error' THEN 'fnsz' ELSE 'bckg' END AS label,
+         CASE WHEN event_type = 'error' THEN 8 ELSE 6 END AS code
+  FROM events WHERE event_type IN ('error', 'purchase'))"""
+
+
+@sql("label_code")
+def _():
+    return f"WITH {ANN}\nSELECT line_no, label, code FROM ann"
+
+
+@sql("class_counts")
+def _():
+    return f"""WITH {ANN}
+SELECT recording_id, count(*) FILTER (WHERE code = 6) AS n_background, count(*) FILTER (WHERE code <> 6) AS n_seizure
+FROM ann GROUP BY recording_id"""
+
+
+@sql("interval_label")
+def _():
+    return f"""WITH {ANN},
+tp AS (SELECT user_id AS recording_id, event_id, {SECS} AS t FROM events)
+SELECT tp.recording_id, tp.event_id, tp.t, coalesce(arg_max(ann.code, ann.line_no), 0)::INTEGER AS code
+FROM tp LEFT JOIN ann ON ann.recording_id = tp.recording_id AND ann.beg <= tp.t AND tp.t <= ann."end"
+GROUP BY tp.recording_id, tp.event_id, tp.t"""
+
+
+@sql("annotation_scan")
+def _():
+    return f"WITH {ANN}\nSELECT recording_id, round(beg, 6) + 0.0 AS beg, round(\"end\", 6) + 0.0 AS \"end\", label FROM ann"
+
+
+SIG_FILTERED_SEGMENTS = f"""{SIG_CTE},
+{h_values(B.SIG_FS, 'filters', 512)},
+fl AS (SELECT a.user_id, a.sample_idx, sum(h.hv * b.value) AS value
+       FROM sg a JOIN sg b ON a.user_id = b.user_id AND b.sample_idx <= a.sample_idx
+       JOIN h ON h.j = a.sample_idx - b.sample_idx GROUP BY a.user_id, a.sample_idx),
+ps AS (SELECT user_id, count(*) AS n,
+              [0.0::DOUBLE, 0.0, 0.0, 0.0] || list(value::DOUBLE ORDER BY sample_idx) || [0.0::DOUBLE, 0.0, 0.0, 0.0] AS padded
+       FROM fl GROUP BY user_id),
+seg AS (SELECT user_id, k AS seg, padded[2 * k + 1 : 2 * k + 8] AS s
+        FROM (SELECT *, unnest(range(0, (n + 8 - 6) // 2)) AS k FROM ps)),
+sv AS (SELECT user_id, seg, unnest(s) AS v, unnest(range(8)) AS p FROM seg),
+bins AS (SELECT unnest(range(5)) AS b),
+z AS (SELECT user_id, seg, b AS bin,
+             sum(v * (0.5 - 0.5 * cos(2 * pi() * p / 8)) * cos(2 * pi() * ((b * p) % 8) / 8)) / 4.0 AS re,
+             -sum(v * (0.5 - 0.5 * cos(2 * pi() * p / 8)) * sin(2 * pi() * ((b * p) % 8) / 8)) / 4.0 AS im
+      FROM sv, bins GROUP BY 1, 2, 3)"""
+
+
+@sql("training_table")
+def _():
+    return f"""WITH {SIG_FILTERED_SEGMENTS},
+tann AS (SELECT user_id AS recording_id, event_id AS line_no, sample_idx / 8.0::DOUBLE AS beg,
+                sample_idx / 8.0::DOUBLE + 2.0::DOUBLE AS "end", CASE WHEN event_type = 'error' THEN 8 ELSE 6 END AS code
+         FROM sg WHERE event_type IN ('error', 'purchase')),
+fr AS (SELECT DISTINCT user_id, seg, seg * 0.25::DOUBLE AS t FROM z),
+lab AS (SELECT fr.user_id, fr.seg, coalesce(arg_max(tann.code, tann.line_no), 0)::INTEGER AS code
+        FROM fr LEFT JOIN tann ON tann.recording_id = fr.user_id AND tann.beg <= fr.t AND fr.t <= tann."end"
+        GROUP BY fr.user_id, fr.seg)
+SELECT z.user_id AS recording_id, z.seg, z.bin::INTEGER AS bin, z.seg * 0.25::DOUBLE AS t, z.bin * 1.0::DOUBLE AS freq,
+       round(sqrt(re * re + im * im), 6) + 0.0 AS magnitude, lab.code
+FROM z JOIN lab USING (user_id, seg)"""
+
+
+# ---- recordings ---------------------------------------------------------------------------
+@sql("channel_catalog")
+def _():
+    return """SELECT vec_id // 4 AS recording_id, count(DISTINCT vec_id % 4)::INTEGER AS n_channels,
+       string_agg(DISTINCT 'EEG C' || (vec_id % 4)::VARCHAR || '-REF', ',' ORDER BY 'EEG C' || (vec_id % 4)::VARCHAR || '-REF') AS channels
+FROM embeddings GROUP BY 1"""
+
+
+REC_STFT = f"""{RECORDINGS_LONG},
+rp AS (SELECT recording_id, channel, count(*) AS n,
+              [0.0::DOUBLE, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0] || list(value ORDER BY sample_idx)
+              || [0.0::DOUBLE, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0] AS padded
+       FROM rl GROUP BY 1, 2),
+rs AS (SELECT recording_id, channel, k AS seg, padded[4 * k + 1 : 4 * k + 16] AS s
+       FROM (SELECT *, unnest(range(0, (n + 16 - 12) // 4)) AS k FROM rp)),
+rv AS (SELECT recording_id, channel, seg, unnest(s) AS v, unnest(range(16)) AS p FROM rs),
+rb AS (SELECT unnest(range(9)) AS b),
+rz AS (SELECT recording_id, channel, seg, b AS bin,
+              sum(v * (0.5 - 0.5 * cos(2 * pi() * p / 16)) * cos(2 * pi() * ((b * p) % 16) / 16)) / 8.0 AS re,
+              -sum(v * (0.5 - 0.5 * cos(2 * pi() * p / 16)) * sin(2 * pi() * ((b * p) % 16) / 16)) / 8.0 AS im
+       FROM rv, rb GROUP BY 1, 2, 3, 4)"""
+
+
+@sql("channel_corr")
+def _():
+    return f"""WITH {REC_STFT},
+mu AS (SELECT recording_id, seg, channel, avg(re) AS mr, avg(im) AS mi FROM rz GROUP BY 1, 2, 3),
+zc AS (SELECT rz.recording_id, rz.seg, rz.channel, rz.bin, re - mr AS cr, im - mi AS ci
+       FROM rz JOIN mu USING (recording_id, seg, channel)),
+pr AS (SELECT a.recording_id, a.seg, a.channel AS ch_a, b.channel AS ch_b,
+              sum(a.cr * b.cr + a.ci * b.ci) AS vr, sum(a.ci * b.cr - a.cr * b.ci) AS vi
+       FROM zc a JOIN zc b ON a.recording_id = b.recording_id AND a.seg = b.seg AND a.bin = b.bin
+       GROUP BY 1, 2, 3, 4),
+dg AS (SELECT recording_id, seg, ch_a AS ch, vr AS var FROM pr WHERE ch_a = ch_b)
+SELECT pr.recording_id, pr.seg, pr.ch_a, pr.ch_b, round(sqrt(vr * vr + vi * vi) / sqrt(da.var * db.var), 6) + 0.0 AS corr
+FROM pr JOIN dg da ON da.recording_id = pr.recording_id AND da.seg = pr.seg AND da.ch = pr.ch_a
+        JOIN dg db ON db.recording_id = pr.recording_id AND db.seg = pr.seg AND db.ch = pr.ch_b"""
+
+
+@sql("tile_store")
+def _():
+    return f"""WITH {REC_STFT}
+SELECT recording_id, channel, seg, bin::INTEGER AS bin, seg * 0.25::DOUBLE AS t, bin * 1.0::DOUBLE AS freq,
+       round(re, 6) + 0.0 AS re, round(im, 6) + 0.0 AS im
+FROM rz"""
+
+
+@sql("pad_truncate")
+def _():
+    return """SELECT vec_id // 4 AS recording_id, (vec_id % 4)::INTEGER AS channel, unnest(range(32))::INTEGER AS pos,
+       unnest((list_filter(embedding, lambda x: x > 0)::DOUBLE[] || list_transform(range(32), lambda i: 0.0::DOUBLE))[1:32]) AS value
+FROM embeddings"""
