@@ -93,3 +93,86 @@ def dispatch_processing(df: DataFrame, col: str = "preprocessing", processors: d
         part = fn(df.where(F.col(col) == F.lit(name)))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# ---- clustering (M4–M6) ------------------------------------------------------------
+def as_vector(arr_col: str, dims: int | None = None):
+    """ARRAY<FLOAT|DOUBLE> (optionally its first ``dims``) → ML vector."""
+    from pyspark.ml.functions import array_to_vector
+
+    a = F.col(arr_col)
+    if dims is not None:
+        a = F.slice(a, 1, dims)
+    return array_to_vector(F.transform(a, lambda x: x.cast("double")))
+
+
+def train_kmeans(df: DataFrame, features: str = "features", k: int = 2, seed: int = 0, max_iter: int = 20):
+    """M4: k-means (k-means|| init, fixed seed) over a vector column."""
+    from pyspark.ml.clustering import KMeans
+
+    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features, predictionCol="cluster").fit(df)
+
+
+def first_k_centroids(df: DataFrame, vec: str, order: str, k: int) -> list[list[float]]:
+    """Deterministic initial centroids: the first ``k`` vectors by ``order``.
+    Only k rows reach the driver (a top-k per partition, then a merge)."""
+    rows = df.orderBy(order).limit(k).select(F.transform(F.col(vec), lambda x: x.cast("double")).alias("v")).collect()
+    return [list(r["v"]) for r in rows]
+
+
+def _sq_dist(vec: str, centre: list[float]):
+    c = F.array(*[F.lit(float(x)) for x in centre])
+    diffs = F.zip_with(F.transform(F.col(vec), lambda x: x.cast("double")), c, lambda a, b: (a - b) * (a - b))
+    return F.aggregate(diffs, F.lit(0.0), lambda acc, y: acc + y)
+
+
+def assign_cluster(df: DataFrame, vec: str, centroids: list[list[float]]) -> DataFrame:
+    """M6: nearest centroid (squared Euclidean; ties → lower index).  The k
+    centroids are literals in the expression — k·d values, bounded by the
+    model, never by the data — so there is no join at all."""
+    cands = F.array(*[F.struct(_sq_dist(vec, c).alias("d"), F.lit(j).alias("j")) for j, c in enumerate(centroids)])
+    best = F.array_min(cands)
+    return df.withColumn("cluster", best["j"].cast("int")).withColumn("dist", best["d"])
+
+
+def update_kmeans(batch: DataFrame, vec: str, centroids: list[list[float]], seen: list[int] | None = None) -> DataFrame:
+    """M5: one mini-batch step.  Assign the batch, then per cluster
+    centre ← centre + (Σx − n·centre)/(seen + n).  Returns (cluster, n, dim,
+    value); clusters that got no points keep their centre.  The aggregation is
+    a partial (map-side) sum per cluster and dimension."""
+    d = len(centroids[0])
+    seen = seen or [0] * len(centroids)
+    a = assign_cluster(batch, vec, centroids)
+    sums = a.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(F.element_at(F.col(vec), i + 1).cast("double")).alias(f"s{i}") for i in range(d)],
+    )
+    c_lit = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centroids])
+    seen_lit = F.array(*[F.lit(int(s)) for s in seen])
+    rows = sums.select(
+        "cluster",
+        "n",
+        F.posexplode(F.array(*[F.col(f"s{i}") for i in range(d)])).alias("dim", "s"),
+    )
+    centre = F.element_at(F.element_at(c_lit, F.col("cluster") + 1), F.col("dim") + 1)
+    seen_c = F.element_at(seen_lit, F.col("cluster") + 1)
+    new = centre + (F.col("s") - F.col("n") * centre) / (seen_c + F.col("n"))
+    return rows.select("cluster", "n", F.col("dim").cast("int").alias("dim"), new.alias("value"))
+
+
+def minibatch_kmeans_sink(path: str, vec: str, centroids: list[list[float]]):
+    """M5 on a stream: a ``foreachBatch`` function that updates the centres
+    with each micro-batch and writes version ``batch_id`` of the centroid
+    table (a replayed batch rewrites the same version).  Only k·d numbers
+    live on the driver."""
+    state = {"c": [list(c) for c in centroids], "seen": [0] * len(centroids)}
+
+    def sink(batch_df: DataFrame, batch_id: int) -> None:
+        upd = update_kmeans(batch_df, vec, state["c"], state["seen"])
+        upd.withColumn("version", F.lit(int(batch_id))).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        for r in upd.collect():  # k·d rows
+            state["c"][r["cluster"]][r["dim"]] = r["value"]
+        for r in upd.select("cluster", "n").distinct().collect():
+            state["seen"][r["cluster"]] += int(r["n"])
+
+    return sink

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +28,18 @@ from cadence.operators import dsp
 from cadence.operators.features import channel_catalog, channel_corr, corr_features, recording_stft
 from cadence.operators.labels import class_counts, interval_label, label_code
 from cadence.operators import windows as W
-from cadence.operators.models import dispatch_model, dispatch_processing, fixture_processors, rule_class
+from cadence.operators.models import (
+    as_vector,
+    assign_cluster,
+    dispatch_model,
+    dispatch_processing,
+    first_k_centroids,
+    fixture_processors,
+    rule_class,
+    train_kmeans,
+    update_kmeans,
+)
+from cadence.operators.ordinal import skip_first
 from cadence.operators.results import data_rows, first_per_session, fk_orphans, new_sessions, register_sessions, score
 from cadence.plans import bindings as B
 from cadence.plans.reports import frame_report, window_report
@@ -34,13 +47,15 @@ from cadence.schemas import HEADER
 from cadence.session import scratch_dir
 from cadence.sources.files import (
     channels_like,
+    list_inputs,
+    pair_inputs,
     read_annotations,
     recordings_to_samples,
     render_annotations,
     write_annotation_files,
 )
 from cadence.sources.frames import classify_frames, decode_frames, encode_frames, read_frames, split_malformed
-from cadence.sources.sinks import append_results, route_by_model, write_routed, write_tiles
+from cadence.sources.sinks import append_results, load_kmeans, route_by_model, save_model, write_routed, write_tiles
 from cadence.streaming.ops import dedup_frames, drop_expired, split_late, stateful_windows, with_event_time
 from cadence.streaming.runner import run_available_now, stage_files
 
@@ -588,3 +603,118 @@ def q_tile_store(spark, sf_dir):
         F.col("recording_id").cast("long").alias("recording_id"), "channel", "seg", "bin", "t", "freq",
         r6(F.col("re")).alias("re"), r6(F.col("im")).alias("im"),
     )
+
+
+# ---- vectors: k-means -------------------------------------------------------------------
+VECTOR_DIMS = 8
+KMEANS_K = 2
+
+
+def vectors(spark, sf_dir):
+    e = B.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return e.select("vec_id", F.slice("embedding", 1, VECTOR_DIMS).alias("v"))
+
+
+@query
+def q_kmeans_train(spark, sf_dir):
+    v = vectors(spark, sf_dir).withColumn("features", as_vector("v"))
+    model = train_kmeans(v, "features", KMEANS_K, 0)
+    return model.transform(v).select("vec_id", F.col("cluster").cast("int").alias("cluster"))
+
+
+@query
+def q_assign_cluster(spark, sf_dir):
+    v = vectors(spark, sf_dir)
+    cents = first_k_centroids(v, "v", "vec_id", KMEANS_K)
+    return assign_cluster(v, "v", cents).select("vec_id", "cluster", r6(F.col("dist")).alias("dist"))
+
+
+@query
+def q_minibatch_update(spark, sf_dir):
+    v = vectors(spark, sf_dir)
+    cents = first_k_centroids(v, "v", "vec_id", KMEANS_K)
+    return update_kmeans(v, "v", cents).select("cluster", "n", "dim", r6(F.col("value")).alias("value"))
+
+
+@query
+def q_model_roundtrip(spark, sf_dir):
+    v = vectors(spark, sf_dir).withColumn("features", as_vector("v"))
+    model = train_kmeans(v, "features", KMEANS_K, 0)
+    path = save_model(model, scratch_dir(spark, "kmeans-model"))
+    loaded = load_kmeans(path)
+    a = model.transform(v).select("vec_id", F.col("cluster").alias("cluster_before"))
+    b = loaded.transform(v).select("vec_id", F.col("cluster").alias("cluster_after"))
+    return a.join(b, "vec_id").select("vec_id", "cluster_before", "cluster_after", (F.col("cluster_before") == F.col("cluster_after")).alias("same"))
+
+
+# ---- paths: listing, pairing, resume ---------------------------------------------------------
+def input_paths(spark, sf_dir):
+    """File tree of the training corpus: a recording (.edf) per document; an
+    annotation (.tse) and a binary-annotation file (.tse_bi) for the
+    documents that have a labels row."""
+    docs = B.table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    labelled = docs.join(B.table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    base = lambda d: F.concat(F.lit("tuh/"), d["lang"], F.lit("/"), d["source"], F.lit("/rec_"), d["doc_id"].cast("string"))
+    edf = docs.select(F.concat(base(docs), F.lit(".edf")).alias("path"))
+    tse = labelled.select(F.explode(F.array(F.concat(base(labelled), F.lit(".tse")), F.concat(base(labelled), F.lit(".tse_bi")))).alias("path"))
+    return edf.unionByName(tse)
+
+
+@query
+def q_list_inputs(spark, sf_dir):
+    return list_inputs(input_paths(spark, sf_dir))
+
+
+@query
+def q_pair_inputs(spark, sf_dir):
+    pairs, _unmatched = pair_inputs(list_inputs(input_paths(spark, sf_dir)))
+    return pairs
+
+
+SKIP_FIRST = 100
+
+
+@query
+def q_skip_inputs(spark, sf_dir):
+    edf = list_inputs(input_paths(spark, sf_dir)).where(F.col("kind") == "edf").select("path")
+    return skip_first(edf, ["path"], SKIP_FIRST)
+
+
+# ---- filter check: spectrogram before / after ---------------------------------------------
+TONES_HZ = (0.5, 4.0, 11.0, 19.0, 35.0, 60.0, 120.0)  # fixed values: the tone mix
+TONE_FS = 250
+SAMPLES_PER_EVENT = 25
+
+
+@query
+def q_filter_attenuation(spark, sf_dir):
+    """Per signal, the tone mix laid on the event grid of each user
+    (25 samples at 250 Hz per event, plus the event value), STFT before and
+    after the whole-signal filter chain; mean |Z| at each tone's bin."""
+    s = B.sig(spark, sf_dir).select("user_id", "sample_idx", "value")
+    n = (F.col("sample_idx") * SAMPLES_PER_EVENT + F.col("j")).cast("long")
+    tone = sum(F.cos(F.lit(2 * np.pi * f / TONE_FS) * n) for f in TONES_HZ)
+    x = s.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(SAMPLES_PER_EVENT - 1)))).select(
+        "user_id", n.alias("n"), (tone + F.col("value") / 100.0).alias("x")
+    )
+    before = dsp.stft(x, ["user_id"], "n", "x", float(TONE_FS))
+    y = dsp.filter_signals(x, ["user_id"], "n", "x", float(TONE_FS), "filters")
+    after = dsp.stft(y, ["user_id"], "n", "filtered", float(TONE_FS))
+    # STFT bins are 1 Hz apart (nperseg = fs): tone f sits in bin round(f)
+    # (the 0.5 Hz tone between bins 0 and 1 is reported at bin 1)
+    tone_bins = {f: max(1, int(round(f))) for f in TONES_HZ}
+    pick = F.create_map(*[x for f, b in tone_bins.items() for x in (F.lit(b), F.lit(f))])
+
+    def level(z, name):
+        m = z.where(F.col("bin").isin(list(tone_bins.values())))
+        return m.groupBy("user_id", "bin").agg(F.avg(dsp.magnitude(F.col("re"), F.col("im"))).alias(name))
+
+    out = level(before, "before").join(level(after, "after"), ["user_id", "bin"])
+    return out.select(
+        F.col("user_id").alias("recording_id"),
+        F.element_at(pick, F.col("bin")).alias("tone_hz"),
+        F.col("bin").cast("int").alias("bin"),
+        "before",
+        "after",
+        (F.col("after") / F.col("before")).alias("ratio"),
+    )

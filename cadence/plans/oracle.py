@@ -580,3 +580,54 @@ def _():
     return """SELECT vec_id // 4 AS recording_id, (vec_id % 4)::INTEGER AS channel, unnest(range(32))::INTEGER AS pos,
        unnest((list_filter(embedding, lambda x: x > 0)::DOUBLE[] || list_transform(range(32), lambda i: 0.0::DOUBLE))[1:32]) AS value
 FROM embeddings"""
+
+
+# ---- vectors -------------------------------------------------------------------------------
+KM = """
+v AS (SELECT vec_id, embedding[1:8] AS e FROM embeddings),
+c AS (SELECT (row_number() OVER (ORDER BY vec_id) - 1)::INTEGER AS cluster, embedding[1:8] AS ce FROM embeddings ORDER BY vec_id LIMIT 2),
+d AS (SELECT v.vec_id, v.e, c.cluster,
+             list_sum(list_transform(range(8), lambda i: (v.e[i + 1]::DOUBLE - c.ce[i + 1]::DOUBLE) ** 2)) AS dist FROM v, c),
+a AS (SELECT vec_id, arg_min(cluster, (dist, cluster)) AS cluster, min(dist) AS dist, any_value(e) AS e FROM d GROUP BY vec_id)"""
+
+
+@sql("assign_cluster")
+def _():
+    return f"WITH {KM}\nSELECT vec_id, cluster, round(dist, 6) + 0.0 AS dist FROM a"
+
+
+@sql("minibatch_update")
+def _():
+    return f"""WITH {KM},
+u AS (SELECT cluster, unnest(e)::DOUBLE AS x, unnest(range(8))::INTEGER AS dim FROM a),
+n AS (SELECT cluster, count(*) AS n FROM a GROUP BY cluster)
+SELECT u.cluster, n.n, u.dim, round(avg(x), 6) + 0.0 AS value FROM u JOIN n USING (cluster) GROUP BY u.cluster, n.n, u.dim"""
+
+
+# ---- paths -----------------------------------------------------------------------------------
+PATHS = """
+pth AS (
+  SELECT 'tuh/' || lang || '/' || source || '/rec_' || doc_id::VARCHAR AS base, doc_id,
+         doc_id IN (SELECT doc_id FROM labels) AS labelled
+  FROM documents),
+files AS (
+  SELECT base || '.edf' AS path, 'edf' AS kind, base FROM pth
+  UNION ALL SELECT base || '.tse', 'tse', base FROM pth WHERE labelled
+  UNION ALL SELECT base || '.tse_bi', 'tse_bi', base FROM pth WHERE labelled)"""
+
+
+@sql("list_inputs")
+def _():
+    return f"WITH {PATHS}\nSELECT path, kind FROM files WHERE kind <> 'tse_bi'"
+
+
+@sql("pair_inputs")
+def _():
+    return f"""WITH {PATHS}
+SELECT e.base AS stem, e.path AS edf_path, t.path AS tse_path
+FROM files e JOIN files t ON e.base = t.base AND e.kind = 'edf' AND t.kind = 'tse'"""
+
+
+@sql("skip_inputs")
+def _():
+    return f"WITH {PATHS}\nSELECT path FROM (SELECT path FROM files WHERE kind = 'edf' ORDER BY path OFFSET 100)"
