@@ -2,9 +2,16 @@
 
 ``row_number() OVER (PARTITION BY key ORDER BY ...)`` sends every row of a key
 to one task; a session that holds a third of the data would then be sorted by
-a single core.  Here the rows are range-partitioned on (key, order), so a hot
-key is spread over many partitions, each partition numbers its own rows, and a
-small table of per-(key, partition) totals supplies the offsets.
+a single core.  Here rows are first cut into ordered buckets on (key, order)
+— a hot key is split across many buckets — each bucket numbers its own rows
+with a window, and a small table of per-(key, bucket) totals supplies the
+offsets.
+
+Bucket bounds come from a seeded sample of the sort keys (at most
+``64 × buckets`` rows reach the driver) and enter the plan as literals, so
+every recomputation — the offsets branch, a retried task after executor loss
+— assigns every row to the same bucket.  (A sampled ``repartitionByRange``
+would resample its bounds per exchange and could disagree between branches.)
 """
 
 from __future__ import annotations
@@ -14,6 +21,58 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SAMPLE_PER_BUCKET = 64
+MAX_SAMPLE = 200_000
+
+
+def _as_col(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def bucket_bounds(df: DataFrame, cols: Sequence[str], buckets: int, seed: int = 17) -> list[tuple]:
+    """≤ buckets−1 increasing bounds over the tuple (cols…), as text values
+    in Spark's own ordering."""
+    if buckets <= 1:
+        return []
+    n = df.count()
+    if n == 0:
+        return []
+    want = min(MAX_SAMPLE, SAMPLE_PER_BUCKET * buckets)
+    frac = min(1.0, want / n)
+    sample = df.select(*cols)
+    if frac < 1.0:
+        sample = sample.sample(False, frac, seed)
+    rows = sample.orderBy(*cols).select(*[F.col(c).cast("string").alias(c) for c in cols]).collect()
+    if not rows:
+        return []
+    picks, last = [], None
+    for j in range(1, buckets):
+        t = tuple(rows[min(len(rows) - 1, (j * len(rows)) // buckets)])
+        if t != last:
+            picks.append(t)
+            last = t
+    return picks
+
+
+def bucket_of(df: DataFrame, cols: Sequence[str], bounds: list[tuple]) -> Column:
+    """Bucket index = number of bounds strictly below the row's key tuple,
+    via a balanced comparison tree (log2(#bounds) comparisons per row)."""
+    if not bounds:
+        return F.lit(0)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    key = F.struct(*[F.col(c).alias(c) for c in cols])
+
+    def lit(t):
+        return F.struct(*[(F.lit(v).cast(types[c]) if v is not None else F.lit(None).cast(types[c])).alias(c) for c, v in zip(cols, t)])
+
+    def build(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key > lit(bounds[mid]), build(mid + 1, hi)).otherwise(build(lo, mid))
+
+    return build(0, len(bounds))
+
 
 def prefix_sum_within(
     df: DataFrame,
@@ -22,32 +81,34 @@ def prefix_sum_within(
     value: Column | str | None = None,
     name: str = "pos",
     inclusive: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add ``name`` = sum of ``value`` over the rows of the same ``keys`` that
     sort before this row by ``order`` (plus this row when ``inclusive``).
 
     With ``value=None`` each row counts 1, giving the 0-based position.
-    ``order`` must break ties for a deterministic result.
-    """
+    ``order`` must break ties for a deterministic result; order entries must
+    be column names (they also define the buckets)."""
     keys = list(keys)
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    v = F.lit(1).cast("long") if value is None else (F.col(value) if isinstance(value, str) else value)
+    order_names = [c if isinstance(c, str) else None for c in order]
+    if any(c is None for c in order_names):
+        raise ValueError("order must be column names")
+    spark = df.sparkSession
+    nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    cols = keys + order_names
+    bounds = bucket_bounds(df, cols, nb)
+    v = F.lit(1).cast("long") if value is None else _as_col(value)
 
-    staged = (
-        df.withColumn("_pv", v)
-        .repartitionByRange(*[F.col(k) for k in keys], *order_cols)
-        .withColumn("_pid", F.spark_partition_id())
-    )
-    # Within one range partition a key's rows are contiguous; number them there.
+    staged = df.withColumn("_pv", v).withColumn("_pid", bucket_of(df, cols, bounds))
     frame = (
         Window.partitionBy(*keys, "_pid")
-        .orderBy(*order_cols)
+        .orderBy(*[F.col(c) for c in order_names])
         .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     )
     local = staged.withColumn("_loc", F.coalesce(F.sum("_pv").over(frame), F.lit(0)))
 
-    # At most (#partitions + #keys) rows: totals per key and partition, then
-    # offsets from the partitions before it.  AQE broadcasts it when small.
+    # At most (#buckets + #keys) rows: totals per key and bucket, then the
+    # offsets from the buckets before it.  AQE broadcasts it when small.
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         staged.groupBy(*keys, "_pid")
@@ -59,12 +120,12 @@ def prefix_sum_within(
     return joined.withColumn(name, (F.col("_off") + F.col("_loc")).cast("long")).drop("_pv", "_pid", "_loc", "_off")
 
 
-def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str = "pos") -> DataFrame:
+def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos", buckets: int | None = None) -> DataFrame:
     """0-based row position within ``keys`` (distributed ``row_number() - 1``)."""
-    return prefix_sum_within(df, keys, order, None, name)
+    return prefix_sum_within(df, keys, order, None, name, buckets=buckets)
 
 
-def skip_first(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
+def skip_first(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """Rows after the first ``n`` in ``order`` (O2) without funnelling the
     table through one task, as a global ``OFFSET`` would."""
     ranked = position_within(df.withColumn("_all", F.lit(0)), ["_all"], order, "_rank")

@@ -402,9 +402,10 @@ def q_window_udf(spark, sf_dir):
     return W.apply_per_window(frames, _window_stats, schema, B.SIG_LENGTH_S, B.SIG_OVERLAP)
 
 
-# Block length of the whole-signal filter in the registered query: small, so
-# the fixture's signals span several blocks and exercise the warm-up path.
-SIG_FILTER_BLOCK = 64
+# Block length (samples) of the whole-signal filter: each block plus its
+# warm-up is one bounded group.  Multi-block results are checked against a
+# direct recursion in tests/test_dsp.py.
+SIG_FILTER_BLOCK = 1 << 16
 
 
 @query
@@ -462,7 +463,7 @@ def q_stream_sliding(spark, sf_dir):
     """Events as a stream on event time, 2 h / 1 h windows per user,
     1 h watermark, append mode — emitted windows are the closed ones."""
     schema = B.table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(stage_events(spark, sf_dir, 1))
+    stream = spark.readStream.schema(schema).parquet(stage_events(spark, sf_dir, 1))
     ev = with_event_time(stream, "ts", STREAM_DELAY)
     aggs = [F.count(F.lit(1)).alias("n_events"), _sum_value().alias("sum_value")]
     win = W.time_windows(ev, "ts", "2 hours", "1 hour", ["user_id"], aggs)

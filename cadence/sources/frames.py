@@ -49,12 +49,20 @@ def frame_status_col() -> Column:
     )
 
 
+def _keep_where(df: DataFrame, cond: Column) -> DataFrame:
+    """Rows where ``cond`` holds, written as a generator rather than a Filter:
+    a Filter here would be pushed below the projections and re-evaluate the
+    Arrow envelope UDF and ``from_json`` inside its condition."""
+    keep = F.explode(F.when(cond, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
+    return df.select("*", keep.alias("_keep")).drop("_keep")
+
+
 def decode_frames(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per valid message with the header fields flattened and
     ``samples`` ARRAY<FLOAT> (sample-major).  Malformed rows are dropped;
     use :func:`split_malformed` to keep them."""
-    env = envelope(df, value)
-    good = env.where(frame_status_col() == "ok")
+    env = envelope(df, value).withColumn("_status", frame_status_col())
+    good = _keep_where(env, F.col("_status") == "ok")
     return good.select(
         *[F.col(k) for k in keep],
         *[F.col("_header")[n].alias(n) for n in HEADER_NAMES],
@@ -64,14 +72,13 @@ def decode_frames(df: DataFrame, value: str = "value", keep: tuple[str, ...] = (
 
 def split_malformed(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """(good, quarantined).  Good rows are decoded as in S2; quarantined
-    rows keep their input columns plus ``reason``.  One envelope pass feeds
-    both sides."""
+    rows keep their input columns plus ``reason``."""
     env = envelope(df, value).withColumn("_status", frame_status_col())
-    good = env.where(F.col("_status") == "ok").select(
+    good = _keep_where(env, F.col("_status") == "ok").select(
         *[F.col("_header")[n].alias(n) for n in HEADER_NAMES],
         F.col("_env.samples").alias("samples"),
     )
-    bad = env.where(F.col("_status") != "ok").select(*df.columns, F.col("_status").alias("reason"))
+    bad = _keep_where(env, F.col("_status") != "ok").select(*df.columns, F.col("_status").alias("reason"))
     return good, bad
 
 

@@ -104,3 +104,17 @@ def test_apply_per_window(spark):
     want = _brute(rows, 10, 2, 2)
     assert got.keys() == {k for _, k in want}
     assert all(abs(got[k] - want[("s1", k)][0]) < 1e-6 for k in got)
+
+
+def test_buckets_are_deterministic_and_split_hot_keys(spark):
+    from cadence.operators.ordinal import bucket_bounds, bucket_of
+
+    rng = np.random.default_rng(2)
+    n = 20000
+    pdf = pd.DataFrame({"key": np.where(rng.random(n) < 0.5, 7, rng.integers(0, 100, n)), "ts": rng.permutation(n)})
+    df = spark.createDataFrame(pdf).repartition(6)
+    b1 = bucket_bounds(df, ["key", "ts"], 16)
+    b2 = bucket_bounds(df.repartition(6), ["key", "ts"], 16)
+    assert b1 and b1 == b2
+    hot = df.where("key = 7").select(bucket_of(df, ["key", "ts"], b1).alias("b")).distinct().count()
+    assert hot >= 5
