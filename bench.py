@@ -32,6 +32,8 @@ HEADLINE = [
 
 
 def run(spark, fn, sf_dir):
+    """Wall time of building the query (streams run to completion and
+    bucket bounds are sampled while building) plus executing it fully."""
     t0 = time.perf_counter()
     fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t0

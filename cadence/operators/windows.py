@@ -118,6 +118,7 @@ def sample_windows(
     overlap: float = 0.8,
     session: str = "session_id",
     start_col: str | None = None,
+    block_windows: int = 4,
 ) -> DataFrame:
     """Overlapping windows of ``int(length·fs)`` samples every
     ``int((1-overlap)·length·fs + .5)`` samples, cut across frame edges.
@@ -127,24 +128,86 @@ def sample_windows(
     for sessions whose frames vary in length; :func:`prefix_sum_within` builds
     it), else ``frame_number · num_samples``.
 
-    Output: one row per complete window with the header of the frame holding
-    its first sample, ``k``, ``start_idx``, ``num_samples`` = L, the window's
-    ``time_stamp`` (P14), ``samples`` (L·C floats) and ``n_frames``.
+    Plan: windows are hosted by fixed blocks of H = ``block_windows``·L
+    samples (a window belongs to the block holding its first sample).  Each
+    frame is sent to the blocks whose range [b·H, b·H + H + L) it overlaps —
+    about (H + L)/H copies of the data cross the shuffle instead of one per
+    window — and each (session, block) group, at most H + L + 2F samples,
+    cuts all its windows locally.  A window is emitted only when the sample
+    one past its end exists (the strict rule), so an open window is never cut.
+
+    Output: one row per window with the header of the frame holding its first
+    sample, ``k``, ``start_idx``, ``num_samples`` = L, ``time_stamp`` (P14),
+    ``samples`` (L·C floats) and ``n_frames`` (frames the window touches).
     """
-    pieces = window_pieces(frames, length_s, overlap, session, start_col)
-    hdr = F.struct(*[F.col(n) for n in HEADER_NAMES if n != session])
-    grouped = pieces.groupBy(session, "k").agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(F.col("_lo").alias("o"), F.col("_piece").alias("b")))), lambda z: z["b"])).alias("_all"),
-        F.sum(F.col("_hi") - F.col("_lo")).alias("_have"),
-        F.count(F.lit(1)).alias("n_frames"),
-        F.min_by(hdr, F.col("_lo")).alias("_h"),
+    fs = F.col("sampling_rate")
+    C = F.col("num_channels").cast("long")
+    Fn = F.col("num_samples").cast("long")
+    a = F.col(start_col).cast("long") if start_col else F.col("frame_number").cast("long") * Fn
+    hdr_names = [n for n in HEADER_NAMES if n != session]
+    staged = frames.select(
+        F.col(session),
+        F.struct(*[F.col(n) for n in hdr_names]).alias("_h"),
+        F.col("samples"),
+        a.alias("_a"),
+        Fn.alias("_F"),
+        C.alias("_C"),
+        window_length(length_s, fs).cast("long").alias("_L"),
+        window_stride(length_s, overlap, fs).cast("long").alias("_S"),
+    ).where((F.col("_L") > 0) & (F.col("_S") > 0))
+    L, S, A, Fc = F.col("_L"), F.col("_S"), F.col("_a"), F.col("_F")
+    H = L * block_windows
+    b_lo = F.greatest(F.lit(0).cast("long"), F.floor((A - L - H + 1) / H).cast("long"))
+    b_hi = F.floor((A + Fc - 1) / H).cast("long")
+    span_hi = lambda b: b * H + H + L  # noqa: E731  (exclusive end of a block's needed range)
+    pieces = (
+        staged.withColumn("_b", F.explode(int_range(b_lo, b_hi)))
+        .withColumn("_lo", F.greatest(A, F.col("_b") * H))
+        .withColumn("_hi", F.least(A + Fc, span_hi(F.col("_b"))))
+        .where(F.col("_hi") > F.col("_lo"))
+        .select(
+            session,
+            "_b",
+            "_L",
+            "_S",
+            "_C",
+            F.struct(
+                F.col("_lo").alias("lo"),
+                F.col("_hi").alias("hi"),
+                F.col("_a").alias("a"),
+                F.col("_h").alias("h"),
+                F.slice("samples", ((F.col("_lo") - A) * F.col("_C") + 1).cast("int"), ((F.col("_hi") - F.col("_lo")) * F.col("_C")).cast("int")).alias("v"),
+            ).alias("_p"),
+        )
+    )
+    grouped = pieces.groupBy(session, "_b").agg(
+        F.array_sort(F.collect_list("_p")).alias("_ps"),
         F.first("_L").alias("_L"),
         F.first("_S").alias("_S"),
+        F.first("_C").alias("_C"),
+    )
+    Lg, Sg, Cg = F.col("_L"), F.col("_S"), F.col("_C")
+    base = F.col("_b") * Lg * block_windows
+    # end of the contiguous run of samples starting at the block start
+    run_end = F.aggregate(
+        "_ps",
+        base,
+        lambda acc, p: F.when(p["lo"] == acc, p["hi"]).otherwise(acc),
+    )
+    blocks = grouped.withColumn("_end", run_end).withColumn("_run", F.flatten(F.transform("_ps", lambda p: p["v"])))
+    k_first = F.ceil(base / Sg).cast("long")
+    k_last = F.least(
+        F.ceil((base + Lg * block_windows) / Sg).cast("long") - 1,  # starts inside this block
+        F.ceil((F.col("_end") - Lg) / Sg).cast("long") - 1,  # k·S + L < end (sentinel present)
+    )
+    wins = blocks.withColumn("k", F.explode(int_range(k_first, k_last)))
+    s0 = F.col("k") * Sg
+    first_piece = F.element_at(F.filter("_ps", lambda p: (p["lo"] <= s0) & (s0 < p["hi"])), 1)
+    touched = F.size(F.filter("_ps", lambda p: (p["lo"] <= s0 + Lg) & (s0 < p["hi"])))
+    win = F.slice("_run", ((s0 - base) * Cg + 1).cast("int"), (Lg * Cg).cast("int"))
+    out = wins.select(
+        F.col(session), "k", s0.alias("start_idx"), first_piece["h"].alias("_h"), win.alias("samples"), touched.alias("n_frames"), Lg.alias("_L")
     )
-    done = grouped.where(F.col("_have") == F.col("_L") + 1)
-    C2 = F.col("_h.num_channels")
-    win = F.slice("_all", 1, (F.col("_L") * C2).cast("int"))
-    start_idx = F.col("k") * F.col("_S")
     tidx = time_channel_idx(F.col("_h.channel_names"))
     cols = []
     for n in HEADER_NAMES:
@@ -153,10 +216,10 @@ def sample_windows(
         elif n == "num_samples":
             cols.append(F.col("_L").cast("int").alias("num_samples"))
         elif n == "time_stamp":
-            cols.append(window_time_stamp(win, tidx, start_idx, F.col("_h.sampling_rate")).alias("time_stamp"))
+            cols.append(window_time_stamp(F.col("samples"), tidx, F.col("start_idx"), F.col("_h.sampling_rate")).alias("time_stamp"))
         else:
             cols.append(F.col(f"_h.{n}").alias(n))
-    return done.select(*cols, F.col("k"), start_idx.alias("start_idx"), win.alias("samples"), F.col("n_frames"))
+    return out.select(*cols, "k", "start_idx", "samples", "n_frames")
 
 
 def samples_as_frames(df: DataFrame, session: str, idx: str, value: str, sampling_rate: int, channel_name: str = "value") -> DataFrame:
@@ -232,23 +295,22 @@ def apply_per_window(
     session: str = "session_id",
 ) -> DataFrame:
     """Call ``fn(session, k, samples)`` on every complete window, where
-    ``samples`` is a (L, C) numpy array in sample order; ``fn`` returns a
-    pandas DataFrame matching ``schema``.  Groups are single windows, so their
-    size is bounded by the window length."""
+    ``samples`` is the window as an (L, C) numpy array in sample order; ``fn``
+    returns a pandas DataFrame matching ``schema``.  Runs over the rows of
+    :func:`sample_windows` in Arrow batches — no extra shuffle."""
     import numpy as np
     import pandas as pd
 
-    pieces = window_pieces(frames, length_s, overlap, session).select(
-        session, "k", "_lo", "_hi", "_L", "num_channels", "_piece"
-    )
+    wins = sample_windows(frames, length_s, overlap, session).select(session, "k", "num_samples", "num_channels", "samples")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_lo")
-        L = int(pdf["_L"].iloc[0])
-        C = int(pdf["num_channels"].iloc[0])
-        if int((pdf["_hi"] - pdf["_lo"]).sum()) != L + 1:
-            return pd.DataFrame(columns=schema.names if hasattr(schema, "names") else None)
-        flat = np.concatenate([np.asarray(p, dtype=np.float64) for p in pdf["_piece"]])
-        return fn(pdf[session].iloc[0], int(pdf["k"].iloc[0]), flat[: L * C].reshape(L, C))
+    def run(batches):
+        for pdf in batches:
+            outs = [
+                fn(r[0], int(r[1]), np.asarray(r[4], dtype=np.float64).reshape(int(r[2]), int(r[3])))
+                for r in pdf.itertuples(index=False, name=None)
+            ]
+            outs = [o for o in outs if o is not None and len(o)]
+            if outs:
+                yield pd.concat(outs, ignore_index=True)
 
-    return pieces.groupBy(session, "k").applyInPandas(run, schema)
+    return wins.mapInPandas(run, schema)
