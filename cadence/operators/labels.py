@@ -59,7 +59,12 @@ def interval_label(
     hits = pts.join(spread, cond, "left")
     best = F.max_by(F.col("_code"), F.col("line_no"))
     out_cols = [c for c in times.columns]
-    return hits.groupBy(*[pts[c] for c in out_cols]).agg(F.coalesce(best, F.lit(UNLABELLED)).cast("int").alias(code))
+    # group by (key, bucket, time columns): a superset of the join keys, so
+    # the aggregation runs on the join's partitioning without a new shuffle
+    agg = hits.groupBy(pts[key], pts["_b"], *[pts[c] for c in out_cols if c != key]).agg(
+        F.coalesce(best, F.lit(UNLABELLED)).cast("int").alias(code)
+    )
+    return agg.select(*out_cols, code)
 
 
 def class_counts(annotations: DataFrame, key: str = "recording_id", code: str = "code") -> DataFrame:

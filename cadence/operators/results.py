@@ -62,3 +62,33 @@ def fk_orphans(data: DataFrame, sessions: DataFrame) -> DataFrame:
 def fk_valid(data: DataFrame, sessions: DataFrame) -> DataFrame:
     """``data`` rows that satisfy the foreign key (left semi-join)."""
     return data.join(sessions.select("sess_id"), "sess_id", "left_semi")
+
+
+def scoring_sink(sessions_path: str, data_path: str, models: dict | None = None, existing=None):
+    """M2 as a stream sink: a ``foreachBatch`` function that, per micro-batch
+    of decoded frames, scores them (U2 → P5), registers sessions not stored
+    yet (S7 against the sessions table, plus ``existing`` if given) and
+    appends the result rows (S6).  Both writes are keyed by batch id, so a
+    replayed batch overwrites its own output instead of duplicating it."""
+    from pyspark.sql.utils import AnalysisException
+
+    from cadence.sources.sinks import append_results
+
+    def sink(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        # one micro-batch feeds two writes: keep its scored rows for both
+        scored = score(batch_df, models=models).persist()
+        try:
+            stored = spark.read.parquet(sessions_path).where(F.col("batch_id") != batch_id).select("sess_id")
+        except AnalysisException:
+            stored = spark.createDataFrame([], "sess_id string")
+        if existing is not None:
+            stored = stored.unionByName(existing.select("sess_id"))
+        new = register_sessions(scored, stored)
+        new.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("batch_id").parquet(sessions_path)
+        append_results(data_rows(scored), data_path, batch_id=batch_id)
+        scored.unpersist()
+
+    return sink

@@ -40,7 +40,15 @@ from cadence.operators.models import (
     update_kmeans,
 )
 from cadence.operators.ordinal import skip_first
-from cadence.operators.results import data_rows, first_per_session, fk_orphans, new_sessions, register_sessions, score
+from cadence.operators.results import (
+    data_rows,
+    first_per_session,
+    fk_orphans,
+    new_sessions,
+    register_sessions,
+    score,
+    scoring_sink,
+)
 from cadence.plans import bindings as B
 from cadence.plans.reports import frame_report, window_report
 from cadence.schemas import HEADER
@@ -127,8 +135,14 @@ def all_types_default():
 
 @query
 def q_score_stream(spark, sf_dir):
-    frames = decode_frames(header_frames(spark, sf_dir))
-    return data_rows(score(frames, models=all_types_default()))
+    """M2: header messages staged as files and consumed as a stream; each
+    micro-batch is decoded, scored, its new sessions registered and its
+    result rows appended (foreachBatch, idempotent per batch id)."""
+    staged = stage_files(header_frames(spark, sf_dir).select("value"), "score-input", files=4)
+    stream = decode_frames(spark.readStream.schema("value binary").option("maxFilesPerTrigger", 2).parquet(staged))
+    sessions, data = scratch_dir(spark, "sessions-table"), scratch_dir(spark, "data-table")
+    run_available_now(stream, "score-stream", foreach_batch=scoring_sink(sessions, data, all_types_default()))
+    return spark.read.parquet(data).select("sess_id", "time_in", "time_ms", "class")
 
 
 @query

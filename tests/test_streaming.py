@@ -65,3 +65,21 @@ def test_late_rows_side_table(spark):
     late = spark.read.parquet(side)
     assert late.count() > 0
     assert set(r.batch_id for r in late.select("batch_id").distinct().collect()) <= {1, 2}
+
+
+def test_scoring_stream_registers_each_session_once(spark):
+    from cadence.operators.results import scoring_sink
+    from cadence.plans.catalog import all_types_default, header_frames
+    from cadence.sources.frames import decode_frames
+
+    msgs = header_frames(spark, "/root/testdata/sf0.001").select("value")
+    staged = stage_files(msgs, "score-test-in", files=4)
+    sessions, data = scratch_dir(spark, "score-test-sessions"), scratch_dir(spark, "score-test-data")
+    ckpt = scratch_dir(spark, "score-test-ckpt")
+    for _ in range(2):  # second run resumes from the checkpoint: nothing re-written
+        stream = decode_frames(spark.readStream.schema("value binary").option("maxFilesPerTrigger", 1).parquet(staged))
+        run_available_now(stream, "score-test", foreach_batch=scoring_sink(sessions, data, all_types_default()), checkpoint=ckpt)
+    d = spark.read.parquet(data)
+    s = spark.read.parquet(sessions)
+    assert d.count() == msgs.count()
+    assert s.count() == s.select("sess_id").distinct().count() == d.select("sess_id").distinct().count()
