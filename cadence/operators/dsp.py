@@ -304,6 +304,38 @@ def transform_windows(
 
 
 # ---- whole-recording filtering (D6) ---------------------------------------------
+BLOCK_OUT = T.ArrayType(T.StructType([T.StructField("i", T.LongType()), T.StructField("y", T.DoubleType())]))
+
+
+def _filter_blocks(kind: str, fs: float, block: int, mem: int, xs: pa.Array, blk: pa.Array) -> pa.Array:
+    n = len(xs)
+    offs = np.asarray(xs.offsets.to_numpy(zero_copy_only=False), dtype=np.int64)
+    base = offs[0]
+    ii = np.asarray(xs.values.field("i").to_numpy(zero_copy_only=False), dtype=np.int64)[base:]
+    vv = np.asarray(xs.values.field("v").to_numpy(zero_copy_only=False), dtype=np.float64)[base:]
+    bb = np.asarray(blk.to_numpy(zero_copy_only=False), dtype=np.int64)
+    out_i, out_y, counts = [], [], np.zeros(n, dtype=np.int64)
+    for r in range(n):
+        s0, s1 = offs[r] - base, offs[r + 1] - base
+        if s1 <= s0:
+            continue
+        i_r, v_r = ii[s0:s1], vv[s0:s1]
+        lo = int(i_r[0])
+        dense = np.zeros(int(i_r[-1]) - lo + 1)
+        dense[i_r - lo] = v_r
+        h = impulse_response(fs, kind, min(len(dense), mem + 1))
+        nfft = 1 << int(np.ceil(np.log2(len(dense) + len(h))))
+        y = np.fft.irfft(np.fft.rfft(dense, nfft) * np.fft.rfft(h, nfft), nfft)[: len(dense)]
+        keep = i_r >= bb[r] * block
+        out_i.append(i_r[keep])
+        out_y.append(y[i_r[keep] - lo])
+        counts[r] = int(keep.sum())
+    lo_offs = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    cat = lambda xs_, dt: np.concatenate(xs_) if xs_ else np.zeros(0, dt)
+    values = pa.StructArray.from_arrays([pa.array(cat(out_i, np.int64)), pa.array(cat(out_y, np.float64))], names=["i", "y"])
+    return pa.ListArray.from_arrays(pa.array(lo_offs), values)
+
+
 def filter_signals(
     samples: DataFrame,
     keys: list[str],
@@ -313,41 +345,28 @@ def filter_signals(
     kind: str = "filters",
     block: int = 1 << 16,
 ) -> DataFrame:
-    """Continuous-state filtering of long signals (keys…, idx, value).
+    """Continuous-state filtering of long signals (keys…, idx, value) →
+    (keys…, idx, filtered).
 
     Each sample also feeds the next ``memory`` samples' block as warm-up, so a
-    block (≤ block + memory rows) is filtered independently from zero state;
-    the result equals one pass over the whole signal to double precision."""
+    block (≤ block + memory samples, gathered into one sorted array) is
+    filtered independently from zero state; the result equals one pass over
+    the whole signal to double precision.  Blocks of many signals are filtered
+    in one Arrow batch."""
     mem = int(memory_length(float(fs), kind))
     blk = max(int(block), 1)
     i = F.col(idx).cast("long")
     first = F.floor(i / blk).cast("long")
     last = F.floor((i + mem) / blk).cast("long")
-    fan = samples.select(*keys, i.alias("_i"), F.col(value).cast("double").alias("_v"), F.explode(F.sequence(first, last)).alias("_blk"))
-    schema = T.StructType(
-        [samples.schema[k] for k in keys]
-        + [T.StructField(idx, T.LongType()), T.StructField("filtered", T.DoubleType())]
-    )
+    fan = samples.select(*keys, F.struct(i.alias("i"), F.col(value).cast("double").alias("v")).alias("_x"), F.explode(F.sequence(first, last)).alias("_blk"))
+    grouped = fan.groupBy(*keys, "_blk").agg(F.array_sort(F.collect_list("_x")).alias("_xs"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_i")
-        b = int(pdf["_blk"].iloc[0])
-        i_np = pdf["_i"].to_numpy()
-        x = pdf["_v"].to_numpy(dtype=np.float64)
-        # dense over the block's span (gaps are zeros, as a missing sample)
-        lo = int(i_np[0])
-        dense = np.zeros(int(i_np[-1]) - lo + 1)
-        dense[i_np - lo] = x
-        h = impulse_response(float(fs), kind, min(len(dense), mem + 1))
-        nfft = 1 << int(np.ceil(np.log2(len(dense) + len(h))))
-        y = np.fft.irfft(np.fft.rfft(dense, nfft) * np.fft.rfft(h, nfft), nfft)[: len(dense)]
-        keep = i_np >= b * blk
-        out = pdf.loc[keep, keys].copy()
-        out[idx] = i_np[keep]
-        out["filtered"] = y[i_np[keep] - lo]
-        return out
+    @arrow_udf(BLOCK_OUT)
+    def run(xs: pa.Array, b: pa.Array) -> pa.Array:
+        return _filter_blocks(kind, float(fs), blk, mem, xs, b)
 
-    return fan.groupBy(*keys, "_blk").applyInPandas(run, schema)
+    out = grouped.select(*keys, F.explode(run(F.col("_xs"), F.col("_blk"))).alias("_o"))
+    return out.select(*keys, F.col("_o.i").alias(idx), F.col("_o.y").alias("filtered"))
 
 
 # ---- short-time Fourier transform (D5) ------------------------------------------
@@ -400,8 +419,7 @@ def stft(
     nperseg = int(nperseg or fs)
     noverlap = int(noverlap if noverlap is not None else int(fs * 4 / 5))
     hop = nperseg - noverlap
-    counts = samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    segs = stft_segments(samples.join(counts, keys), keys, idx, value, nperseg, noverlap)
+    segs = stft_segments(samples, keys, idx, value, nperseg, noverlap)
     spec = segs.select(*keys, "seg", hann_rfft(F.col("segment")).alias("z"))
     z = spec.select(*keys, "seg", F.posexplode(F.arrays_zip(F.col("z.re").alias("re"), F.col("z.im").alias("im"))).alias("bin", "c"))
     return z.select(

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadence.functions.dense import scatter_dense
 from cadence.functions.header import time_channel_idx, window_time_stamp
 from cadence.schemas import HEADER_NAMES
 
@@ -260,30 +261,43 @@ def stft_segments(
     value: str,
     nperseg: int,
     noverlap: int,
-    n_total: str = "_n",
+    block_hops: int = 64,
 ) -> DataFrame:
-    """Segments of ``nperseg`` samples every ``nperseg − noverlap``, the
-    signal extended by ``nperseg // 2`` zeros at both ends, no end padding.
-
-    ``samples``: long table (keys…, idx, value) plus ``n_total`` = the
-    signal's sample count.  Each sample goes to the (≤ nperseg/hop) segments
-    covering it; a segment is rebuilt from at most ``nperseg`` entries with
-    absent positions as 0.  Output: keys…, ``seg``, ``segment`` ARRAY<DOUBLE>.
-    """
+    """Segments of ``nperseg`` samples every hop = ``nperseg − noverlap``,
+    the signal extended by ``nperseg // 2`` zeros at both ends, no end
+    padding (segment count ⌊(N + 2·pad − noverlap)/hop⌋).
+
+    ``samples``: long table (keys…, idx, value), idx = 0 … N−1.  Segments
+    are hosted by blocks of ``block_hops`` hops; a sample is sent to the (≤ 2)
+    blocks whose range — the block plus one segment of look-ahead — holds it,
+    and each block rebuilds its dense stretch (absent positions are 0) and
+    slices its segments out, all in Catalyst.  Whether a segment fits before
+    the end is decided inside the block from the signal's last sample, which
+    every block that hosts a final segment holds.
+    Output: keys…, ``seg``, ``segment`` ARRAY<DOUBLE>."""
     hop = nperseg - noverlap
     pad = nperseg // 2
+    H = hop * block_hops
+    reach = H - hop + nperseg  # extended positions a block needs: [bH, bH + reach)
     n_ext = F.col(idx).cast("long") + pad
-    nseg = F.floor((F.col(n_total) + 2 * pad - noverlap) / hop).cast("long")
-    k_lo = F.greatest(F.lit(0).cast("long"), F.ceil((n_ext - (nperseg - 1)) / hop).cast("long"))
-    k_hi = F.least(nseg - 1, F.floor(n_ext / hop).cast("long"))
-    exploded = (
-        samples.withColumn("seg", F.explode(int_range(k_lo, k_hi)))
-        .withColumn("_p", (n_ext - F.col("seg") * hop).cast("int"))
-        .select(*keys, "seg", "_p", F.col(value).cast("double").alias("_v"))
+    b_lo = F.greatest(F.lit(0).cast("long"), F.ceil((n_ext - reach + 1) / H).cast("long"))
+    b_hi = F.floor(n_ext / H).cast("long")
+    fan = samples.select(
+        *keys,
+        F.struct(n_ext.alias("p"), F.col(value).cast("double").alias("v")).alias("_x"),
+        F.explode(int_range(b_lo, b_hi)).alias("_b"),
+    )
+    g = fan.groupBy(*keys, "_b").agg(
+        F.collect_list("_x").alias("_xs"),
+        F.max("_x.p").alias("_last"),
     )
-    grouped = exploded.groupBy(*keys, "seg").agg(F.map_from_entries(F.collect_list(F.struct("_p", "_v"))).alias("_m"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(nperseg - 1)), lambda p: F.coalesce(F.element_at(F.col("_m"), p), F.lit(0.0)))
-    return grouped.select(*keys, "seg", dense.alias("segment"))
+    base = F.col("_b") * H
+    dense = scatter_dense(F.col("_xs"), base, F.lit(reach))
+    # segment k fits when k·hop + nperseg ≤ N + 2·pad = last extended index + 1 + pad
+    k_first = F.col("_b") * block_hops
+    k_last = F.least(k_first + block_hops - 1, F.floor((F.col("_last") + 1 + pad - nperseg) / hop).cast("long"))
+    segs = g.select(*keys, "_b", dense.alias("_d"), F.explode(int_range(k_first, k_last)).alias("seg"))
+    return segs.select(*keys, "seg", F.slice("_d", ((F.col("seg") * hop - base) + 1).cast("int"), nperseg).alias("segment"))
 
 
 def apply_per_window(

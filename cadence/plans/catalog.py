@@ -432,8 +432,7 @@ def q_filter_recording(spark, sf_dir):
 @query
 def q_stft_segments(spark, sf_dir):
     s = B.sig(spark, sf_dir).select("user_id", "sample_idx", "value")
-    n = s.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
-    segs = W.stft_segments(s.join(n, "user_id"), ["user_id"], "sample_idx", "value", B.SIG_FS, int(B.SIG_FS * 4 / 5))
+    segs = W.stft_segments(s, ["user_id"], "sample_idx", "value", B.SIG_FS, int(B.SIG_FS * 4 / 5))
     return segs.select("user_id", "seg", F.size("segment").alias("n_values"), weighted_checksum(F.col("segment")).alias("checksum"))
 
 
