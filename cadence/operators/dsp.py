@@ -224,17 +224,32 @@ def standard_operator(fs: float, w: int) -> np.ndarray:
 
 
 # ---- window transforms (Arrow, stacked per batch) -----------------------------
+# Windows up to this many samples use the cached W×W operator (one matmul per
+# batch); longer windows use FFT convolution so memory stays O(W).
+DENSE_OPERATOR_MAX_W = 1024
+
+
+def _zero_state_filter(kind: str, X: np.ndarray, fs: float) -> np.ndarray:
+    w = X.shape[1]
+    if w <= DENSE_OPERATOR_MAX_W:
+        return np.einsum("ij,rjc->ric", toeplitz_operator(float(fs), kind, w), X)
+    h = impulse_response(float(fs), kind, w)
+    nfft = 1 << int(np.ceil(np.log2(2 * w)))
+    Hf = np.fft.rfft(h, nfft)[None, :, None]
+    return np.fft.irfft(np.fft.rfft(X, nfft, axis=1) * Hf, nfft, axis=1)[:, :w, :]
+
+
 def _apply(kind: str, X: np.ndarray, fs: float) -> np.ndarray:
     """X: (rows, W, channels) float64 → transformed, same shape."""
     w = X.shape[1]
     if kind in ("bandstop", "highpass", "filters"):
-        Tm = toeplitz_operator(float(fs), kind, w)
-        return np.einsum("ij,rjc->ric", Tm, X)
+        return _zero_state_filter(kind, X, fs)
     if kind == "spectrum":
         return np.abs(np.fft.fft(X, axis=1))
     if kind == "standard":
-        M = standard_operator(float(fs), w)
-        return np.abs(np.einsum("ij,rjc->ric", M, X))
+        if w <= DENSE_OPERATOR_MAX_W:
+            return np.abs(np.einsum("ij,rjc->ric", standard_operator(float(fs), w), X))
+        return np.abs(np.fft.fft(_zero_state_filter("standard", X, fs), axis=1))
     raise ValueError(kind)
 
 

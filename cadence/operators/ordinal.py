@@ -7,11 +7,19 @@ a single core.  Here rows are first cut into ordered buckets on (key, order)
 with a window, and a small table of per-(key, bucket) totals supplies the
 offsets.
 
-Bucket bounds come from a seeded sample of the sort keys (at most
-``64 × buckets`` rows reach the driver) and enter the plan as literals, so
-every recomputation — the offsets branch, a retried task after executor loss
-— assigns every row to the same bucket.  (A sampled ``repartitionByRange``
-would resample its bounds per exchange and could disagree between branches.)
+Buckets are deterministic, so every recomputation — the offsets branch, a
+retried task after executor loss — assigns every row to the same bucket (a
+sampled ``repartitionByRange`` would resample per exchange and could
+disagree between branches):
+
+* numeric / temporal first order column: exact per-key count, min and max
+  find the hot keys (more than ``ROWS_PER_BUCKET`` rows; at most
+  n / ROWS_PER_BUCKET of them, a proven bound checked before broadcasting)
+  and split each into ⌈count / ROWS_PER_BUCKET⌉ equal-width ranges of that
+  column — one lookup and one division per row;
+* otherwise: bounds from a seeded sample of the sort keys (≤ 64 × buckets
+  rows reach the driver, ≤ ``MAX_TREE_BUCKETS`` buckets) as literals in a
+  balanced comparison tree.
 """
 
 from __future__ import annotations
@@ -23,19 +31,29 @@ from pyspark.sql import functions as F
 
 SAMPLE_PER_BUCKET = 64
 MAX_SAMPLE = 200_000
+MAX_TREE_BUCKETS = 256
+# Target rows per (key, bucket) window partition, and the hot-key threshold.
+ROWS_PER_BUCKET = 4_000_000
+# Hot-key tables up to this many rows are broadcast (n / ROWS_PER_BUCKET
+# bounds them; above it the join is a regular, AQE-managed join).
+MAX_BROADCAST_HOT_KEYS = 500_000
+# Inputs this small are numbered without splitting keys (no sample job): a
+# single bucket of this many rows is an ordinary task-sized window partition.
+MIN_ROWS_PER_BUCKET = 1_000_000
 
 
 def _as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def bucket_bounds(df: DataFrame, cols: Sequence[str], buckets: int, seed: int = 17) -> list[tuple]:
+def bucket_bounds(df: DataFrame, cols: Sequence[str], buckets: int, seed: int = 17, min_rows: int | None = None) -> list[tuple]:
     """≤ buckets−1 increasing bounds over the tuple (cols…), as text values
     in Spark's own ordering."""
     if buckets <= 1:
         return []
     n = df.count()
-    if n == 0:
+    buckets = min(buckets, -(-n // (MIN_ROWS_PER_BUCKET if min_rows is None else max(1, min_rows))))
+    if n == 0 or buckets <= 1:
         return []
     want = min(MAX_SAMPLE, SAMPLE_PER_BUCKET * buckets)
     frac = min(1.0, want / n)
@@ -74,6 +92,39 @@ def bucket_of(df: DataFrame, cols: Sequence[str], bounds: list[tuple]) -> Column
     return build(0, len(bounds))
 
 
+def _order_number(df: DataFrame, col: str) -> Column | None:
+    """Monotone numeric view of an order column, or None when it has none."""
+    t = dict(df.dtypes)[col]
+    if t in ("tinyint", "smallint", "int", "bigint", "float", "double") or t.startswith("decimal"):
+        return F.col(col).cast("double")
+    if t in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    if t == "date":
+        return F.unix_date(F.col(col)).cast("double")
+    return None
+
+
+def _stat_buckets(df: DataFrame, keys: list[str], x: Column, rows_per_bucket: int) -> DataFrame:
+    """Add ``_pid`` from exact per-key statistics (see module doc)."""
+    hot = (
+        df.select(*keys, x.alias("_x"))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+        .where(F.col("_n") > rows_per_bucket)
+        .select(*keys, "_lo", ((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / rows_per_bucket)).alias("_w"), F.ceil(F.col("_n") / rows_per_bucket).alias("_nb"))
+    )
+    n_hot = hot.count()
+    if n_hot == 0:
+        return df.withColumn("_pid", F.lit(0).cast("long"))
+    side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
+    j = df.withColumn("_x", x).join(side, keys, "left")
+    pid = F.when(
+        F.col("_w").isNotNull() & (F.col("_w") > 0),
+        F.least(F.col("_nb") - 1, F.floor((F.col("_x") - F.col("_lo")) / F.col("_w"))),
+    ).otherwise(F.lit(0))
+    return j.withColumn("_pid", pid.cast("long")).drop("_x", "_lo", "_w", "_nb")
+
+
 def prefix_sum_within(
     df: DataFrame,
     keys: Sequence[str],
@@ -82,6 +133,7 @@ def prefix_sum_within(
     name: str = "pos",
     inclusive: bool = False,
     buckets: int | None = None,
+    min_rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Add ``name`` = sum of ``value`` over the rows of the same ``keys`` that
     sort before this row by ``order`` (plus this row when ``inclusive``).
@@ -94,12 +146,16 @@ def prefix_sum_within(
     if any(c is None for c in order_names):
         raise ValueError("order must be column names")
     spark = df.sparkSession
-    nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    cols = keys + order_names
-    bounds = bucket_bounds(df, cols, nb)
+    rows_per_bucket = min_rows_per_bucket or ROWS_PER_BUCKET
     v = F.lit(1).cast("long") if value is None else _as_col(value)
-
-    staged = df.withColumn("_pv", v).withColumn("_pid", bucket_of(df, cols, bounds))
+    x = _order_number(df, order_names[0])
+    if x is not None and buckets is None:
+        staged = _stat_buckets(df, keys, x, rows_per_bucket).withColumn("_pv", v)
+    else:
+        nb = min(buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200")), MAX_TREE_BUCKETS)
+        cols = keys + order_names
+        bounds = bucket_bounds(df, cols, nb, min_rows=rows_per_bucket)
+        staged = df.withColumn("_pv", v).withColumn("_pid", bucket_of(df, cols, bounds))
     frame = (
         Window.partitionBy(*keys, "_pid")
         .orderBy(*[F.col(c) for c in order_names])
@@ -120,13 +176,15 @@ def prefix_sum_within(
     return joined.withColumn(name, (F.col("_off") + F.col("_loc")).cast("long")).drop("_pv", "_pid", "_loc", "_off")
 
 
-def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos", buckets: int | None = None) -> DataFrame:
+def position_within(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos", buckets: int | None = None, min_rows_per_bucket: int | None = None
+) -> DataFrame:
     """0-based row position within ``keys`` (distributed ``row_number() - 1``)."""
-    return prefix_sum_within(df, keys, order, None, name, buckets=buckets)
+    return prefix_sum_within(df, keys, order, None, name, buckets=buckets, min_rows_per_bucket=min_rows_per_bucket)
 
 
-def skip_first(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+def skip_first(df: DataFrame, order: Sequence[str], n: int, min_rows_per_bucket: int | None = None) -> DataFrame:
     """Rows after the first ``n`` in ``order`` (O2) without funnelling the
     table through one task, as a global ``OFFSET`` would."""
-    ranked = position_within(df.withColumn("_all", F.lit(0)), ["_all"], order, "_rank")
+    ranked = position_within(df.withColumn("_all", F.lit(0)), ["_all"], order, "_rank", min_rows_per_bucket=min_rows_per_bucket)
     return ranked.where(F.col("_rank") >= F.lit(n)).drop("_all", "_rank")

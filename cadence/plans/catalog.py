@@ -65,7 +65,7 @@ from cadence.sources.files import (
 from cadence.sources.frames import classify_frames, decode_frames, encode_frames, read_frames, split_malformed
 from cadence.sources.sinks import append_results, load_kmeans, route_by_model, save_model, write_routed, write_tiles
 from cadence.streaming.ops import dedup_frames, drop_expired, split_late, stateful_windows, with_event_time
-from cadence.streaming.runner import run_available_now, stage_files
+from cadence.streaming.runner import run_available_now, stage_files, stream_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,8 +138,9 @@ def q_score_stream(spark, sf_dir):
     """M2: header messages staged as files and consumed as a stream; each
     micro-batch is decoded, scored, its new sessions registered and its
     result rows appended (foreachBatch, idempotent per batch id)."""
-    staged = stage_files(header_frames(spark, sf_dir).select("value"), "score-input", files=4)
-    stream = decode_frames(spark.readStream.schema("value binary").option("maxFilesPerTrigger", 2).parquet(staged))
+    files = stream_files(spark)
+    staged = stage_files(header_frames(spark, sf_dir).select("value"), "score-input", files=files)
+    stream = decode_frames(spark.readStream.schema("value binary").option("maxFilesPerTrigger", files // 2).parquet(staged))
     sessions, data = scratch_dir(spark, "sessions-table"), scratch_dir(spark, "data-table")
     run_available_now(stream, "score-stream", foreach_batch=scoring_sink(sessions, data, all_types_default()))
     return spark.read.parquet(data).select("sess_id", "time_in", "time_ms", "class")
@@ -197,8 +198,9 @@ def q_frame_quarantine(spark, sf_dir):
 def q_frame_source(spark, sf_dir):
     """The frame messages staged as files and consumed as a stream
     (availableNow, two files per micro-batch), decoded, sunk, read back."""
-    staged = stage_files(B.frame_bytes(spark, sf_dir).select("value", "received_at"), "frame-source-input", files=4)
-    stream = read_frames(spark, staged, stream=True, max_files_per_trigger=2)
+    files = stream_files(spark)
+    staged = stage_files(B.frame_bytes(spark, sf_dir).select("value", "received_at"), "frame-source-input", files=files)
+    stream = read_frames(spark, staged, stream=True, max_files_per_trigger=files // 2)
     out = run_available_now(decode_frames(stream), "frame-source-output")
     return frame_report(spark.read.parquet(out))
 
@@ -489,7 +491,7 @@ def stage_events(spark, sf_dir, copies: int) -> str:
     ev = B.table(spark, sf_dir, "events")
     path = None
     for _ in range(copies):
-        path = stage_files(ev, "events-stream", files=2, path=path)
+        path = stage_files(ev, "events-stream", files=stream_files(spark, 2), path=path)
     return path
 
 
@@ -523,9 +525,10 @@ def q_ttl_filter(spark, sf_dir):
 def q_stateful_windows(spark, sf_dir):
     """Frames streamed in four scrambled files, windows cut by the keyed
     cursor state; same closed windows as ``sample_windows``."""
-    staged = stage_files(B.frame_rows(spark, sf_dir), "frames-stream", files=4)
+    files = stream_files(spark)
+    staged = stage_files(B.frame_rows(spark, sf_dir), "frames-stream", files=files)
     schema = spark.read.parquet(staged).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(staged)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max(1, files // 4)).parquet(staged)
     out = run_available_now(stateful_windows(stream, B.FRAMES_LENGTH_S, B.FRAMES_OVERLAP), "stateful-windows")
     return window_report(spark.read.parquet(out))
 

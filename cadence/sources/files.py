@@ -116,17 +116,28 @@ def channels_like(frames: DataFrame, token: str = "EEG") -> DataFrame:
     )
 
 
-def recordings_to_samples(rec: DataFrame) -> DataFrame:
-    """Channel-major rows (recording_id, channel, samples) → sample-major
-    rows (recording_id, sample_idx, values in channel order).  Each group holds
-    one value per channel, however long the recording."""
-    long = rec.select("recording_id", "channel", F.posexplode("samples").alias("sample_idx", "value"))
+def _record_offset(rec: DataFrame, start_col: str | None) -> Column:
+    return F.col(start_col).cast("long") if start_col and start_col in rec.columns else F.lit(0).cast("long")
+
+
+def recordings_to_samples(rec: DataFrame, start_col: str | None = "block_start") -> DataFrame:
+    """Channel-major rows (recording_id, channel, samples[, block_start])
+    → sample-major rows (recording_id, sample_idx, values in channel order).
+
+    A recording may arrive as data records — one row per (channel, record)
+    with ``block_start`` = index of its first sample — so no row ever holds a
+    whole long channel.  Each output group holds one value per channel."""
+    off = _record_offset(rec, start_col)
+    long = rec.select("recording_id", "channel", off.alias("_o"), F.posexplode("samples").alias("_j", "value"))
+    long = long.withColumn("sample_idx", F.col("_o") + F.col("_j"))
     grouped = long.groupBy("recording_id", "sample_idx").agg(F.array_sort(F.collect_list(F.struct("channel", "value"))).alias("_cv"))
     return grouped.select("recording_id", F.col("sample_idx").cast("long"), F.transform("_cv", lambda z: z["value"]).alias("values"))
 
 
-def recordings_long(rec: DataFrame) -> DataFrame:
-    """Channel-major recordings → long (recording_id, channel, sample_idx, value)."""
+def recordings_long(rec: DataFrame, start_col: str | None = "block_start") -> DataFrame:
+    """Channel-major recordings (whole channels or data records with
+    ``block_start``) → long (recording_id, channel, sample_idx, value)."""
+    off = _record_offset(rec, start_col)
     return rec.select(
-        "recording_id", "channel", "channel_label", "sampling_rate", F.posexplode("samples").alias("sample_idx", "value")
-    ).withColumn("sample_idx", F.col("sample_idx").cast("long"))
+        "recording_id", "channel", "channel_label", "sampling_rate", off.alias("_o"), F.posexplode("samples").alias("_j", "value")
+    ).select("recording_id", "channel", "channel_label", "sampling_rate", (F.col("_o") + F.col("_j")).cast("long").alias("sample_idx"), "value")

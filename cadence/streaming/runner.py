@@ -14,15 +14,23 @@ from pyspark.sql import DataFrame, SparkSession
 from cadence.session import scratch_dir
 
 
-def stage_files(df: DataFrame, purpose: str, files: int = 4, path: str | None = None) -> str:
-    """Write ``df`` as ``files`` parquet files (one append) and return the
-    folder.  Call again with the same ``path`` to add later arrivals."""
+def stage_files(df: DataFrame, purpose: str, files: int | None = 4, path: str | None = None) -> str:
+    """Write ``df`` as ``files`` parquet files (one append; ``None`` keeps the
+    DataFrame's own partitioning) and return the folder.  Call again with the
+    same ``path`` to add later arrivals."""
     spark = df.sparkSession
     path = path or scratch_dir(spark, purpose)
-    df.repartition(files).write.mode("append").parquet(path)
+    (df.repartition(files) if files else df).write.mode("append").parquet(path)
     return path
 
 
+def stream_files(spark: SparkSession, minimum: int = 4) -> int:
+    """File count for staging a table as stream input: at least ``minimum``
+    (so a stream sees several micro-batches), else the cluster's default
+    parallelism, so each file stays a task-sized piece at any scale."""
+    return max(minimum, spark.sparkContext.defaultParallelism)
+
+
 def run_available_now(
     stream: DataFrame,
     purpose: str,

@@ -97,3 +97,12 @@ def test_transform_windows_keeps_time_channel(spark):
     assert arr[:, 1] == pytest.approx(_direct(dsp.chain_sections(250.0, "filters"), sig.astype(float)), abs=1e-6)
     spec = np.asarray(dsp.transform_windows(df, "spectrum", time_idx=F.lit(0)).first()["processed"]).reshape(w, 2)
     assert spec[:, 0] == pytest.approx(t) and spec[:, 1] == pytest.approx(np.abs(np.fft.fft(sig.astype(float))), abs=1e-4)
+
+
+def test_long_windows_use_fft_path_with_same_result():
+    x = np.random.default_rng(5).normal(size=(3, 2000, 1))
+    got = dsp._apply("filters", x, 250.0)
+    want = np.stack([_direct(dsp.chain_sections(250.0, "filters"), x[r, :, 0]) for r in range(3)])[:, :, None]
+    assert np.max(np.abs(got - want)) < 1e-9
+    std = dsp._apply("standard", x, 250.0)
+    assert np.max(np.abs(std[:, :, 0] - np.abs(np.fft.fft(want[:, :, 0], axis=1)))) < 1e-7

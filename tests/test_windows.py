@@ -67,7 +67,7 @@ def test_ragged_frames_with_running_start(spark):
         rows.append(("s", "u", f, 0, 2024, 1, 1, 0, 0, 0, 0, "default", "standard", 10, n, 1, ["x"], vals))
     cols = "session_id string, user_name string, frame_number int, time_stamp int, year int, month int, day int, hour int, minute int, second int, microsecond int, ML_model string, preprocessing string, sampling_rate int, num_samples int, num_channels int, channel_names array<string>, samples array<float>"
     df = spark.createDataFrame(rows, cols)
-    df = prefix_sum_within(df, ["session_id"], ["frame_number"], "num_samples", "start")
+    df = prefix_sum_within(df, ["session_id"], ["frame_number"], "num_samples", "start", min_rows_per_bucket=2)
     got = {r.k: list(r.samples) for r in W.sample_windows(df, 1.0, 0.8, start_col="start").collect()}
     L, S = 10, 2
     want = {k: flat[k * S : k * S + L] for k in range(len(flat)) if k * S + L < len(flat)}
@@ -81,7 +81,9 @@ def test_position_within_hot_key(spark):
     key = np.where(rng.random(n) < 0.6, 0, rng.integers(1, 40, n))  # one key holds ~60%
     pdf = pd.DataFrame({"key": key, "ts": rng.permutation(n), "id": np.arange(n)})
     df = spark.createDataFrame(pdf).repartition(7)
-    got = position_within(df, ["key"], ["ts", "id"], "pos").toPandas().set_index("id")["pos"]
+    got = position_within(df, ["key"], ["ts", "id"], "pos", min_rows_per_bucket=100).toPandas().set_index("id")["pos"]
+    tree = position_within(df, ["key"], ["ts", "id"], "pos", buckets=16, min_rows_per_bucket=100).toPandas().set_index("id")["pos"]
+    assert (got.sort_index() == tree.sort_index()).all()
     pdf = pdf.sort_values(["key", "ts", "id"])
     pdf["want"] = pdf.groupby("key").cumcount()
     assert (got.loc[pdf["id"]].to_numpy() == pdf["want"].to_numpy()).all()
@@ -89,7 +91,7 @@ def test_position_within_hot_key(spark):
 
 def test_skip_first(spark):
     df = spark.range(0, 1000).withColumn("p", F.format_string("f%04d", (F.col("id") * 7919) % 1000))
-    got = sorted(r.p for r in skip_first(df.select("p"), ["p"], 100).collect())
+    got = sorted(r.p for r in skip_first(df.select("p"), ["p"], 100, min_rows_per_bucket=50).collect())
     assert got == sorted(f"f{i:04d}" for i in range(100, 1000))
 
 
@@ -113,8 +115,21 @@ def test_buckets_are_deterministic_and_split_hot_keys(spark):
     n = 20000
     pdf = pd.DataFrame({"key": np.where(rng.random(n) < 0.5, 7, rng.integers(0, 100, n)), "ts": rng.permutation(n)})
     df = spark.createDataFrame(pdf).repartition(6)
-    b1 = bucket_bounds(df, ["key", "ts"], 16)
-    b2 = bucket_bounds(df.repartition(6), ["key", "ts"], 16)
+    b1 = bucket_bounds(df, ["key", "ts"], 16, min_rows=100)
+    b2 = bucket_bounds(df.repartition(6), ["key", "ts"], 16, min_rows=100)
     assert b1 and b1 == b2
     hot = df.where("key = 7").select(bucket_of(df, ["key", "ts"], b1).alias("b")).distinct().count()
     assert hot >= 5
+
+
+def test_stat_buckets_split_hot_key(spark):
+    from cadence.operators.ordinal import _stat_buckets
+
+    rng = np.random.default_rng(8)
+    n = 20000
+    pdf = pd.DataFrame({"key": np.where(rng.random(n) < 0.5, 7, rng.integers(0, 100, n)), "ts": rng.permutation(n)})
+    df = spark.createDataFrame(pdf)
+    b = _stat_buckets(df, ["key"], F.col("ts").cast("double"), 500)
+    sizes = b.groupBy("key", "_pid").count().toPandas()
+    assert sizes[sizes.key == 7]["_pid"].nunique() >= 15
+    assert sizes["count"].max() < 1500
