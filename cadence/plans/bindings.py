@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cadence.functions.header import make_header
 from cadence.operators.ordinal import position_within
 from cadence.schemas import LABEL_CODES
+from cadence.session import ensure_utc
 from cadence.sources.frames import encode_frames
 
 # ---- fixture parameters ------------------------------------------------------
@@ -42,6 +43,7 @@ TRAIN_ANNOTATION_S = 2.0  # interval length in signal seconds (training table)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ensure_utc(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -64,3 +64,10 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def ensure_utc(spark: SparkSession) -> None:
+    """Session starts are naive UTC (the wire format carries no zone), so
+    timestamp arithmetic runs with the session time zone set to UTC."""
+    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
