@@ -72,7 +72,7 @@ def _():
     return f"""WITH {FRAME_WINDOWS_CTE}
 SELECT session_id, k, start_idx, frame_number::INTEGER AS frame_number,
        trunc(win[1])::INTEGER AS time_stamp, 16 AS num_samples, 4 AS num_channels,
-       len(win) AS n_values,
+       len(win)::INTEGER AS n_values,
        {checksum('win')} AS checksum
 FROM fw"""
 
@@ -126,7 +126,7 @@ FRAME_JSON = f"""to_json(struct_pack(
 FRAME_REPORT = f"""SELECT session_id, 'patient-' || label::VARCHAR AS user_name, frame_number::INTEGER AS frame_number,
        (frame_number * 1000)::INTEGER AS time_stamp, 2024 AS year, 1 AS month, 1 AS day,
        'default' AS ML_model, 'standard' AS preprocessing, 16 AS sampling_rate, 16 AS num_samples, 4 AS num_channels,
-       'Time,EEG a,EEG b,aux' AS channel_names, len(samples) AS n_values, {checksum('samples')} AS checksum
+       'Time,EEG a,EEG b,aux' AS channel_names, len(samples)::INTEGER AS n_values, {checksum('samples')} AS checksum
 FROM fr"""
 
 
@@ -169,7 +169,7 @@ def _():
     return f"""WITH {FRAMES_CTE},
 p AS (SELECT session_id, frame_number, list_filter(samples, lambda x, i: (i - 1) % 4 = 0) AS t,
              list_filter(samples, lambda x, i: (i - 1) % 4 <> 0) AS s FROM fr)
-SELECT session_id, frame_number::INTEGER AS frame_number, 0 AS time_idx, len(t) AS n_time, len(s) AS n_signal,
+SELECT session_id, frame_number::INTEGER AS frame_number, 0 AS time_idx, len(t)::INTEGER AS n_time, len(s)::INTEGER AS n_signal,
        {checksum('t')} AS time_checksum, {checksum('s')} AS signal_checksum
 FROM p"""
 
@@ -178,7 +178,7 @@ FROM p"""
 def _():
     return f"""WITH {FRAMES_CTE},
 p AS (SELECT session_id, frame_number, list_filter(samples, lambda x, i: (i - 1) % 4 IN (1, 2)) AS s FROM fr)
-SELECT session_id, frame_number::INTEGER AS frame_number, 2 AS n_channels_kept, len(s) AS n_values, {checksum('s')} AS checksum
+SELECT session_id, frame_number::INTEGER AS frame_number, 2 AS n_channels_kept, len(s)::INTEGER AS n_values, {checksum('s')} AS checksum
 FROM p"""
 
 
@@ -187,7 +187,7 @@ def _():
     return f"""WITH {FRAMES_CTE},
 x AS (SELECT *, unnest([frame_number - 1, frame_number]) AS w FROM fr),
 g AS (SELECT session_id, w, count(*) AS n_frames, flatten(list(samples ORDER BY frame_number)) AS s FROM x GROUP BY session_id, w)
-SELECT session_id, {START} + to_seconds(w) AS window_start, n_frames, len(s) AS n_values, {checksum('s')} AS checksum
+SELECT session_id, {START} + to_seconds(w) AS window_start, n_frames, len(s)::INTEGER AS n_values, {checksum('s')} AS checksum
 FROM g"""
 
 
@@ -211,7 +211,7 @@ rl AS (
 def _():
     return f"""WITH {RECORDINGS_LONG},
 g AS (SELECT recording_id, sample_idx, list(value ORDER BY channel) AS v FROM rl GROUP BY recording_id, sample_idx)
-SELECT recording_id, sample_idx, len(v) AS n_channels, {checksum('v')} AS checksum FROM g"""
+SELECT recording_id, sample_idx, len(v)::INTEGER AS n_channels, {checksum('v')} AS checksum FROM g"""
 
 
 # ---- headers ---------------------------------------------------------------------
@@ -395,7 +395,7 @@ seg AS (SELECT user_id, k AS seg, padded[2 * k + 1 : 2 * k + 8] AS s
 
 @sql("stft_segments")
 def _():
-    return f"WITH {SIG_SEGMENTS}\nSELECT user_id, seg, len(s) AS n_values, {checksum('s')} AS checksum FROM seg"
+    return f"WITH {SIG_SEGMENTS}\nSELECT user_id, seg, len(s)::INTEGER AS n_values, {checksum('s')} AS checksum FROM seg"
 
 
 @sql("stft")
