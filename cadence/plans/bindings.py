@@ -85,7 +85,8 @@ def frame_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = frame_rows(spark, sf_dir)
     hdr_cols = [c for c in rows.columns if c not in ("vec_id", "samples")]
     enc = encode_frames(rows.select("vec_id", F.struct(*hdr_cols).alias("header"), "samples"))
-    return enc.select("vec_id", "value", (_start() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("header.frame_number").cast("decimal(18,6)"))).cast("timestamp").alias("received_at"))
+    received = _start() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("header.frame_number").cast("decimal(18,6)"))
+    return enc.select("vec_id", F.col("header.frame_number").alias("frame_number"), "value", received.cast("timestamp").alias("received_at"))
 
 
 # ---- sig: events as one-channel signals, one per user ------------------------
@@ -99,7 +100,7 @@ def sig(spark: SparkSession, sf_dir: str) -> DataFrame:
 def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One header per event: session start = midnight of ts, time_stamp = ms
     into that day, model = event type; preprocessing and rate defaulted."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     day = F.date_trunc("day", F.col("ts")).cast("timestamp_ntz")
     ms = ((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(day.cast("timestamp"))) / 1000).cast("long").cast("int")
     return make_header(
@@ -173,10 +174,10 @@ def label_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("user_id").alias("recording_id"), "event_id", seconds_since_start("ts").alias("t"))
 
 
-def train_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def train_annotations(spark: SparkSession, sf_dir: str, sig_df: DataFrame | None = None) -> DataFrame:
     """Annotations on the ``sig`` time axis: an error/purchase event at sample
     n opens [n/fs, n/fs + TRAIN_ANNOTATION_S]."""
-    s = sig(spark, sf_dir)
+    s = sig(spark, sf_dir) if sig_df is None else sig_df
     beg = F.col("sample_idx") / F.lit(float(SIG_FS))
     return s.where(F.col("event_type").isin("error", "purchase")).select(
         F.col("user_id").alias("recording_id"),

@@ -62,7 +62,7 @@ from cadence.sources.files import (
     render_annotations,
     write_annotation_files,
 )
-from cadence.sources.frames import classify_frames, decode_frames, encode_frames, read_frames, split_malformed
+from cadence.sources.frames import classify_frames, decode_frames, encode_frames, read_frames
 from cadence.sources.sinks import append_results, load_kmeans, route_by_model, save_model, write_routed, write_tiles
 from cadence.streaming.ops import dedup_frames, drop_expired, split_late, stateful_windows, with_event_time
 from cadence.streaming.runner import run_available_now, stage_files, stream_files
@@ -178,14 +178,13 @@ def corrupted_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame 1 carries a length field pointing past the message end."""
     fb = B.frame_bytes(spark, sf_dir)
     fn = F.col("frame_number")
-    rows = B.frame_rows(spark, sf_dir).select("vec_id", "frame_number")
     v = F.col("value")
     bad = (
         F.when(fn == 0, F.expr("substring(value, 1, octet_length(value) - 4)"))
         .when(fn == 1, F.concat(F.unhex(F.lit("FFFF0000")), F.expr("substring(value, 5)")))
         .otherwise(v)
     )
-    return fb.join(rows, "vec_id").select("vec_id", bad.alias("value"))
+    return fb.select("vec_id", bad.alias("value"))
 
 
 @query
@@ -282,10 +281,9 @@ def q_header_build(spark, sf_dir):
 @query
 def q_header_json(spark, sf_dir):
     h = B.headers(spark, sf_dir)
-    ev = B.table(spark, sf_dir, "events").select("event_id", "props")
-    j = h.select("event_id", header_to_json(F.col("header")).alias("header_json"), "header")
+    j = h.select("event_id", "props", header_to_json(F.col("header")).alias("header_json"), "header")
     back = j.withColumn("_back", parse_header(F.col("header_json")))
-    out = back.join(ev, "event_id").select(
+    out = back.select(
         "event_id",
         "header_json",
         F.length("header_json").alias("json_len"),
@@ -567,11 +565,12 @@ def q_annotation_scan(spark, sf_dir):
 @query
 def q_training_table(spark, sf_dir):
     """M7: whole-signal filter (D6) → STFT (D5) → interval labels."""
-    s = B.sig(spark, sf_dir).select("user_id", "sample_idx", "value")
+    sig = B.sig(spark, sf_dir)  # one binding feeds the signal and its annotations
+    s = sig.select("user_id", "sample_idx", "value")
     filt = dsp.filter_signals(s, ["user_id"], "sample_idx", "value", float(B.SIG_FS), "filters", SIG_FILTER_BLOCK)
     z = dsp.stft(filt, ["user_id"], "sample_idx", "filtered", float(B.SIG_FS))
     frames = z.select(F.col("user_id").alias("recording_id"), "seg", "t").distinct()
-    ann = B.train_annotations(spark, sf_dir)
+    ann = B.train_annotations(spark, sf_dir, sig)
     lab = interval_label(frames, ann, ids=("seg",), bucket_s=B.TRAIN_ANNOTATION_S)
     out = z.join(lab.withColumnRenamed("recording_id", "user_id").drop("t"), ["user_id", "seg"])
     return out.select(
@@ -658,10 +657,9 @@ def q_model_roundtrip(spark, sf_dir):
     v = vectors(spark, sf_dir).withColumn("features", as_vector("v"))
     model = train_kmeans(v, "features", KMEANS_K, 0)
     path = save_model(model, scratch_dir(spark, "kmeans-model"))
-    loaded = load_kmeans(path)
-    a = model.transform(v).select("vec_id", F.col("cluster").alias("cluster_before"))
-    b = loaded.transform(v).select("vec_id", F.col("cluster").alias("cluster_after"))
-    return a.join(b, "vec_id").select("vec_id", "cluster_before", "cluster_after", (F.col("cluster_before") == F.col("cluster_after")).alias("same"))
+    loaded = load_kmeans(path).setPredictionCol("cluster_after")
+    both = loaded.transform(model.setPredictionCol("cluster_before").transform(v))  # one pass, no join
+    return both.select("vec_id", "cluster_before", "cluster_after", (F.col("cluster_before") == F.col("cluster_after")).alias("same"))
 
 
 # ---- paths: listing, pairing, resume ---------------------------------------------------------

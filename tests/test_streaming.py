@@ -1,7 +1,6 @@
 """Streams: restart from checkpoint without duplicates, stateful windows
 equal batch windows under scrambled arrival, late-row side table."""
 
-import numpy as np
 from pyspark.sql import functions as F
 
 from cadence.operators import windows as W
