@@ -18,15 +18,33 @@ from cadence.functions.header import check_header, header_to_json, parse_header
 from cadence.schemas import FRAME_BYTES, HEADER_NAMES
 
 
-def read_frames(spark: SparkSession, path: str, stream: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Frame table (``value`` BINARY, ``received_at``) from parquet files;
-    as a stream when ``stream`` (each new file is a batch of messages)."""
-    if not stream:
-        return spark.read.schema(FRAME_BYTES).parquet(path)
-    reader = spark.readStream.schema(FRAME_BYTES)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path)
+def read_frames(
+    spark: SparkSession,
+    path: str | None = None,
+    stream: bool = False,
+    max_files_per_trigger: int | None = None,
+    fmt: str = "parquet",
+    options: dict | None = None,
+) -> DataFrame:
+    """Frame messages (``value`` BINARY, ``received_at``).
+
+    ``fmt="parquet"`` reads message files (as a stream when ``stream``: each
+    new file is a batch of messages).  Any other source format goes through
+    the standard reader with ``options`` — e.g. ``fmt="kafka"`` with
+    ``subscribe`` / ``kafka.bootstrap.servers`` when that connector is on the
+    classpath; its ``value`` and ``timestamp`` columns map onto the frame
+    table."""
+    if fmt == "parquet":
+        if not stream:
+            return spark.read.schema(FRAME_BYTES).parquet(path)
+        reader = spark.readStream.schema(FRAME_BYTES)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        return reader.parquet(path)
+    reader = (spark.readStream if stream else spark.read).format(fmt).options(**(options or {}))
+    raw = reader.load(path) if path else reader.load()
+    ts = F.col("timestamp") if "timestamp" in raw.columns else F.current_timestamp()
+    return raw.select(F.col("value").cast("binary").alias("value"), ts.cast("timestamp").alias("received_at"))
 
 
 def envelope(df: DataFrame, value: str = "value") -> DataFrame:

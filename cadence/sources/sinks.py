@@ -15,10 +15,15 @@ def route_by_model(df: DataFrame, model: str = "ML_model", prefix: str = ROUTE_P
     return df.withColumn("route", F.concat(F.lit(prefix), F.col(model)))
 
 
-def write_routed(df: DataFrame, path: str, route: str = "route") -> str:
-    """One folder per route (``route=<key>``); a Kafka sink would take
-    ``route`` as its ``topic`` column instead."""
-    df.write.mode("append").partitionBy(route).parquet(path)
+def write_routed(df: DataFrame, path: str | None, route: str = "route", fmt: str = "parquet", options: dict | None = None) -> str | None:
+    """One folder per route (``route=<key>``).  With ``fmt="kafka"`` (the
+    connector on the classpath) the route becomes each message's ``topic`` and
+    ``value`` its payload; ``options`` carry the broker settings."""
+    if fmt == "parquet":
+        df.write.mode("append").partitionBy(route).parquet(path)
+        return path
+    out = df.select(F.col(route).alias("topic"), F.col("value").cast("binary").alias("value"))
+    out.write.format(fmt).options(**(options or {})).save()
     return path
 
 
