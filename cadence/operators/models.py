@@ -163,16 +163,40 @@ def update_kmeans(batch: DataFrame, vec: str, centroids: list[list[float]], seen
 def minibatch_kmeans_sink(path: str, vec: str, centroids: list[list[float]]):
     """M5 on a stream: a ``foreachBatch`` function that updates the centres
     with each micro-batch and writes version ``batch_id`` of the centroid
-    table (a replayed batch rewrites the same version).  Only k·d numbers
-    live on the driver."""
-    state = {"c": [list(c) for c in centroids], "seen": [0] * len(centroids)}
+    table (cluster, dim, value, seen) — a replayed batch rewrites the same
+    version.  The k·d centres and k counts it carries are re-read from the
+    latest version before ``batch_id`` when the driver restarts."""
+    state: dict = {"c": None, "seen": None, "version": None}
+
+    def load_before(spark, batch_id: int) -> None:
+        state["c"], state["seen"] = [list(c) for c in centroids], [0] * len(centroids)
+        state["version"] = -1
+        try:
+            table = spark.read.parquet(path).where(F.col("version") < batch_id)
+        except Exception:  # noqa: BLE001 — no version written yet
+            return
+        last = table.agg(F.max("version")).first()[0]
+        if last is None:
+            return
+        for r in table.where(F.col("version") == last).collect():  # k·d rows
+            state["c"][r["cluster"]][r["dim"]] = r["value"]
+            state["seen"][r["cluster"]] = int(r["seen"])
+        state["version"] = last
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
-        upd = update_kmeans(batch_df, vec, state["c"], state["seen"])
-        upd.withColumn("version", F.lit(int(batch_id))).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
-        for r in upd.collect():  # k·d rows
-            state["c"][r["cluster"]][r["dim"]] = r["value"]
-        for r in upd.select("cluster", "n").distinct().collect():
-            state["seen"][r["cluster"]] += int(r["n"])
+        if state["c"] is None or state["version"] is None or state["version"] != batch_id - 1:
+            load_before(batch_df.sparkSession, batch_id)
+        upd = update_kmeans(batch_df, vec, state["c"], state["seen"]).collect()  # k·d rows
+        new_c, new_seen = [list(c) for c in state["c"]], list(state["seen"])
+        counted = set()
+        for r in upd:
+            new_c[r["cluster"]][r["dim"]] = r["value"]
+            if r["cluster"] not in counted:
+                new_seen[r["cluster"]] += int(r["n"])
+                counted.add(r["cluster"])
+        rows = [(j, d, float(new_c[j][d]), int(new_seen[j])) for j in range(len(new_c)) for d in range(len(new_c[j]))]
+        out = batch_df.sparkSession.createDataFrame(rows, "cluster int, dim int, value double, seen long")
+        out.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        state["c"], state["seen"], state["version"] = new_c, new_seen, batch_id
 
     return sink

@@ -77,42 +77,6 @@ def time_windows(
     )
 
 
-def window_pieces(
-    frames: DataFrame,
-    length_s: float = 1.0,
-    overlap: float = 0.8,
-    session: str = "session_id",
-    start_col: str | None = None,
-) -> DataFrame:
-    """Explode each frame into the (≤ (F+L)/S) windows it touches: one row per
-    (frame, window) with ``k``, the covered absolute range [_lo, _hi) — one
-    sample past the window end included as sentinel — and the ``_piece``."""
-    fs = F.col("sampling_rate")
-    C = F.col("num_channels").cast("long")
-    Fn = F.col("num_samples").cast("long")
-    a = F.col(start_col).cast("long") if start_col else F.col("frame_number").cast("long") * Fn
-
-    staged = frames.select(
-        *[F.col(n) for n in HEADER_NAMES if n != session],
-        F.col(session),
-        F.col("samples"),
-        a.alias("_a"),
-        window_length(length_s, fs).cast("long").alias("_L"),
-        window_stride(length_s, overlap, fs).cast("long").alias("_S"),
-    )
-    L, S, A = F.col("_L"), F.col("_S"), F.col("_a")
-    k_lo = F.greatest(F.lit(0).cast("long"), F.ceil((A - L) / S).cast("long"))
-    k_hi = F.floor((A + Fn - 1) / S).cast("long")
-    return (
-        staged.where((S > 0) & (L > 0))
-        .withColumn("k", F.explode(int_range(k_lo, k_hi)))
-        .withColumn("_lo", F.greatest(A, F.col("k") * S))
-        .withColumn("_hi", F.least(A + Fn, F.col("k") * S + L + 1))
-        .where(F.col("_hi") > F.col("_lo"))
-        .withColumn("_piece", F.slice("samples", ((F.col("_lo") - A) * C + 1).cast("int"), ((F.col("_hi") - F.col("_lo")) * C).cast("int")))
-    )
-
-
 def sample_windows(
     frames: DataFrame,
     length_s: float = 1.0,

@@ -40,19 +40,31 @@ def split_late(df: DataFrame, ts: str, batch: str, delay_s: float) -> DataFrame:
 
 def late_rows_sink(path: str, ts: str, delay_s: float):
     """T2 (stream side): a ``foreachBatch`` function writing the rows of each
-    micro-batch that fall behind the running watermark to ``path`` (side
-    table), keyed by batch id so a replayed batch overwrites itself."""
-    state = {"max": None}
+    micro-batch that fall behind the running watermark (largest time of the
+    earlier batches − delay) to ``path/late`` (side table), keyed by batch id
+    so a replayed batch overwrites itself.  The running maximum is stored per
+    batch under ``path/marks`` and re-read after a driver restart."""
+    state = {"max": None, "batch": None}
+
+    def previous_max(spark, batch_id: int):
+        try:
+            marks = spark.read.parquet(f"{path}/marks").where(F.col("batch_id") < batch_id)
+            return marks.agg(F.max("max_ts")).first()[0]
+        except Exception:  # noqa: BLE001 — no mark written yet
+            return None
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
-        mx = state["max"]
+        spark = batch_df.sparkSession
+        mx = state["max"] if state["batch"] == batch_id - 1 else previous_max(spark, batch_id)
         if mx is not None:
             cut = F.lit(mx) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(delay_s))
             late = batch_df.where(F.col(ts).cast("timestamp") < cut).withColumn("batch_id", F.lit(batch_id))
-            late.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            late.write.mode("overwrite").parquet(f"{path}/late/batch_id={batch_id}")
         new_max = batch_df.agg(F.max(F.col(ts).cast("timestamp"))).first()[0]
-        if new_max is not None and (mx is None or new_max > mx):
-            state["max"] = new_max
+        if mx is not None and (new_max is None or mx > new_max):
+            new_max = mx
+        spark.createDataFrame([(new_max,)], "max_ts timestamp").write.mode("overwrite").parquet(f"{path}/marks/batch_id={batch_id}")
+        state["max"], state["batch"] = new_max, batch_id
 
     return sink
 

@@ -61,7 +61,7 @@ def test_late_rows_side_table(spark):
     side = scratch_dir(spark, "late-side")
     s = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
     run_available_now(s, "late", foreach_batch=late_rows_sink(side, "ts", 3600.0))
-    late = spark.read.parquet(side)
+    late = spark.read.parquet(f"{side}/late")
     assert late.count() > 0
     assert set(r.batch_id for r in late.select("batch_id").distinct().collect()) <= {1, 2}
 
@@ -82,3 +82,34 @@ def test_scoring_stream_registers_each_session_once(spark):
     s = spark.read.parquet(sessions)
     assert d.count() == msgs.count()
     assert s.count() == s.select("sess_id").distinct().count() == d.select("sess_id").distinct().count()
+
+
+def test_minibatch_kmeans_stream_matches_sequential_updates(spark):
+    import numpy as np
+
+    from cadence.operators.models import minibatch_kmeans_sink
+
+    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("vec_id", F.slice("embedding", 1, 4).alias("v"))
+    src = None
+    for b in range(3):
+        src = stage_files(emb.where(F.col("vec_id") % 3 == b), "km-in", files=1, path=src)
+    init = [[0.0] * 4, [0.1] * 4]
+    out = scratch_dir(spark, "km-out")
+    s = spark.readStream.schema(emb.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    run_available_now(s, "km", foreach_batch=minibatch_kmeans_sink(out, "v", init))
+    table = spark.read.parquet(out)
+    last = table.agg(F.max("version")).first()[0]
+    got = np.zeros((2, 4))
+    for r in table.where(F.col("version") == last).collect():
+        got[r["cluster"], r["dim"]] = r["value"]
+    # sequential reference over the same batches (file order = arrival order)
+    c, seen = np.array(init), np.zeros(2)
+    for b in range(3):
+        X = np.array([r["v"] for r in emb.where(F.col("vec_id") % 3 == b).collect()], dtype=float)
+        lab = np.argmin(((X[:, None, :] - c[None]) ** 2).sum(-1), axis=1)
+        for j in range(2):
+            m = X[lab == j]
+            if len(m):
+                c[j] = c[j] + (m.sum(0) - len(m) * c[j]) / (seen[j] + len(m))
+                seen[j] += len(m)
+    assert np.allclose(got, c, atol=1e-9)
