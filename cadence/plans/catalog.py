@@ -733,3 +733,22 @@ def q_filter_attenuation(spark, sf_dir):
         "after",
         (F.col("after") / F.col("before")).alias("ratio"),
     )
+
+
+@query
+def q_processed_windows(spark, sf_dir):
+    """Windower → processor: frame windows (W2, 4 channels with a time
+    channel) through the standard chain (D4); output per window, channel and
+    bin — channel 0 keeps the time values, the others are |FFT| of the
+    filtered signal channels."""
+    w = frame_windows(spark, sf_dir).withColumn("time_idx", time_channel_idx(F.col("channel_names")))
+    p = dsp.transform_windows(w, "standard", time_idx=F.col("time_idx"))
+    C = F.col("num_channels")
+    e = p.select("session_id", "k", "num_channels", F.posexplode("processed").alias("i", "v"))
+    return e.select(
+        "session_id",
+        "k",
+        F.pmod(F.col("i"), C).cast("int").alias("channel"),
+        (F.col("i") / C).cast("int").alias("bin"),
+        r6(F.col("v")).alias("value"),
+    )

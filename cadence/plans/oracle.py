@@ -631,3 +631,21 @@ FROM files e JOIN files t ON e.base = t.base AND e.kind = 'edf' AND t.kind = 'ts
 @sql("skip_inputs")
 def _():
     return f"WITH {PATHS}\nSELECT path FROM (SELECT path FROM files WHERE kind = 'edf' ORDER BY path OFFSET 100)"
+
+
+@sql("processed_windows")
+def _():
+    return f"""WITH {FRAME_WINDOWS_CTE},
+wv AS (SELECT session_id, k, unnest(win)::DOUBLE AS v, unnest(range(64)) AS j FROM fw),
+cv AS (SELECT session_id, k, j // 4 AS m, (j % 4)::INTEGER AS channel, v FROM wv),
+{h_values(B.FRAMES_FS, 'standard', 16)},
+y AS (SELECT cv.session_id, cv.k, cv.channel, cv.m + h.j AS m, sum(h.hv * cv.v) AS v
+      FROM cv, h WHERE cv.channel <> 0 AND cv.m + h.j < 16 GROUP BY 1, 2, 3, 4),
+kk AS (SELECT unnest(range(16)) AS b),
+d AS (SELECT y.session_id, y.k, y.channel, kk.b,
+             sum(y.v * cos(2 * pi() * ((y.m * kk.b) % 16) / 16)) AS re,
+             sum(y.v * sin(2 * pi() * ((y.m * kk.b) % 16) / 16)) AS im
+      FROM y, kk GROUP BY 1, 2, 3, 4)
+SELECT session_id, k, channel, b::INTEGER AS bin, round(sqrt(re * re + im * im), 6) + 0.0 AS value FROM d
+UNION ALL
+SELECT session_id, k, 0 AS channel, m::INTEGER AS bin, round(v, 6) + 0.0 AS value FROM cv WHERE channel = 0"""
