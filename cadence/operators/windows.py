@@ -98,8 +98,10 @@ def sample_windows(
     frame is sent to the blocks whose range [b·H, b·H + H + L) it overlaps —
     about (H + L)/H copies of the data cross the shuffle instead of one per
     window — and each (session, block) group, at most H + L + 2F samples,
-    cuts all its windows locally.  A window is emitted only when the sample
-    one past its end exists (the strict rule), so an open window is never cut.
+    cuts all its windows locally.  A window is emitted only when all its
+    samples and the one past its end are present (the strict rule), so an
+    open window is never cut, and a missing frame suppresses exactly the
+    windows that would need it.
 
     Output: one row per window with the header of the frame holding its first
     sample, ``k``, ``start_idx``, ``num_samples`` = L, ``time_stamp`` (P14),
@@ -153,23 +155,19 @@ def sample_windows(
     )
     Lg, Sg, Cg = F.col("_L"), F.col("_S"), F.col("_C")
     base = F.col("_b") * Lg * block_windows
-    # end of the contiguous run of samples starting at the block start
-    run_end = F.aggregate(
-        "_ps",
-        base,
-        lambda acc, p: F.when(p["lo"] == acc, p["hi"]).otherwise(acc),
-    )
-    blocks = grouped.withColumn("_end", run_end).withColumn("_run", F.flatten(F.transform("_ps", lambda p: p["v"])))
+    blocks = grouped.withColumn("_run", F.flatten(F.transform("_ps", lambda p: p["v"])))
     k_first = F.ceil(base / Sg).cast("long")
-    k_last = F.least(
-        F.ceil((base + Lg * block_windows) / Sg).cast("long") - 1,  # starts inside this block
-        F.ceil((F.col("_end") - Lg) / Sg).cast("long") - 1,  # k·S + L < end (sentinel present)
-    )
+    k_last = F.ceil((base + Lg * block_windows) / Sg).cast("long") - 1  # starts inside this block
     wins = blocks.withColumn("k", F.explode(int_range(k_first, k_last)))
     s0 = F.col("k") * Sg
+    # samples of [s0, s0 + L] present (the window plus its sentinel), and the
+    # window's offset in the concatenated pieces (pieces never overlap)
+    covered = F.aggregate("_ps", F.lit(0).cast("long"), lambda acc, p: acc + F.greatest(F.lit(0).cast("long"), F.least(p["hi"], s0 + Lg + 1) - F.greatest(p["lo"], s0)))
+    before = F.aggregate("_ps", F.lit(0).cast("long"), lambda acc, p: acc + F.greatest(F.lit(0).cast("long"), F.least(p["hi"], s0) - p["lo"]))
+    wins = wins.where(covered == Lg + 1)
     first_piece = F.element_at(F.filter("_ps", lambda p: (p["lo"] <= s0) & (s0 < p["hi"])), 1)
     touched = F.size(F.filter("_ps", lambda p: (p["lo"] <= s0 + Lg) & (s0 < p["hi"])))
-    win = F.slice("_run", ((s0 - base) * Cg + 1).cast("int"), (Lg * Cg).cast("int"))
+    win = F.slice("_run", (before * Cg + 1).cast("int"), (Lg * Cg).cast("int"))
     out = wins.select(
         F.col(session), "k", s0.alias("start_idx"), first_piece["h"].alias("_h"), win.alias("samples"), touched.alias("n_frames"), Lg.alias("_L")
     )

@@ -133,3 +133,20 @@ def test_stat_buckets_split_hot_key(spark):
     sizes = b.groupBy("key", "_pid").count().toPandas()
     assert sizes[sizes.key == 7]["_pid"].nunique() >= 15
     assert sizes["count"].max() < 1500
+
+
+def test_missing_frame_suppresses_only_windows_that_need_it(spark):
+    df, rows = _frames(spark, {"s": 30}, F_=10, C=1, fs=20, seed=12)
+    holed = df.where(F.col("frame_number") != 13)
+    got = {r.k: list(r.samples) for r in W.sample_windows(holed, 1.0, 0.8).collect()}
+    L, S = 20, 4
+    flat = [v for r in sorted(rows, key=lambda r: r[2]) for v in r[-1]]
+    present = set(range(300)) - set(range(130, 140))
+    want = {
+        k: flat[k * S : k * S + L]
+        for k in range(300)
+        if k * S + L < 300 and all(i in present for i in range(k * S, k * S + L + 1))
+    }
+    assert got.keys() == want.keys()
+    assert any(k * S > 140 for k in got)  # windows after the gap are emitted
+    assert all(np.allclose(got[k], want[k]) for k in want)
