@@ -64,7 +64,7 @@ from cadence.sources.files import (
 )
 from cadence.sources.frames import classify_frames, decode_frames, encode_frames, read_frames
 from cadence.sources.sinks import append_results, load_kmeans, route_by_model, save_model, write_routed, write_tiles
-from cadence.streaming.ops import dedup_frames, drop_expired, split_late, stateful_windows, with_event_time
+from cadence.streaming.ops import dedup_frames, drop_expired, late_rows_sink, split_late, stateful_windows, with_event_time
 from cadence.streaming.runner import run_available_now, stage_files, stream_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -752,3 +752,23 @@ def q_processed_windows(spark, sf_dir):
         (F.col("i") / C).cast("int").alias("bin"),
         r6(F.col("v")).alias("value"),
     )
+
+
+@query
+def q_late_side_table(spark, sf_dir):
+    """T2 stream side: events arrive in three batches (event_id mod 3, one
+    micro-batch each); rows behind the running watermark (1 h delay) are
+    written to a side table by ``foreachBatch`` and read back."""
+    ev = B.table(spark, sf_dir, "events")
+    files = stream_files(spark)
+    src = None
+    for b in range(3):
+        src = stage_files(ev.where(F.col("event_id") % 3 == b), "late-input", files=files, path=src)
+    side = scratch_dir(spark, "late-side")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", files).parquet(src)
+    run_available_now(stream, "late-side", foreach_batch=late_rows_sink(side, "ts", 3600.0))
+    try:
+        late = spark.read.parquet(f"{side}/late")
+    except Exception:  # noqa: BLE001 — no late rows at all
+        return spark.createDataFrame([], "event_id bigint, batch_id int")
+    return late.select("event_id", F.col("batch_id").cast("int").alias("batch_id"))

@@ -649,3 +649,11 @@ d AS (SELECT y.session_id, y.k, y.channel, kk.b,
 SELECT session_id, k, channel, b::INTEGER AS bin, round(sqrt(re * re + im * im), 6) + 0.0 AS value FROM d
 UNION ALL
 SELECT session_id, k, 0 AS channel, m::INTEGER AS bin, round(v, 6) + 0.0 AS value FROM cv WHERE channel = 0"""
+
+
+@sql("late_side_table")
+def _():
+    return """WITH e AS (SELECT event_id, ts, (event_id % 3)::INTEGER AS arrival_batch FROM events),
+m AS (SELECT arrival_batch, max(ts) AS mx FROM e GROUP BY 1),
+w AS (SELECT arrival_batch, max(mx) OVER (ORDER BY arrival_batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 HOUR AS wm FROM m)
+SELECT event_id, arrival_batch AS batch_id FROM e JOIN w USING (arrival_batch) WHERE ts < wm"""
