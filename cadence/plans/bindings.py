@@ -39,6 +39,9 @@ RECORDING_CHANNELS = 4
 EVENT_TYPES = ("signup", "purchase", "error", "view", "click")
 
 ANNOTATION_HOURS = 6      # interval length of annotations built from events
+STORED_BEFORE = "2024-01-16 00:00:00"   # sessions started before this are already stored
+# arrival order of producer groups in the late-data fixtures: batch 0, 1, 2
+ARRIVAL_GROUPS = (("signup", "purchase"), ("error",), ("view", "click"))
 TRAIN_ANNOTATION_S = 2.0  # interval length in signal seconds (training table)
 
 
@@ -189,3 +192,14 @@ def train_annotations(spark: SparkSession, sf_dir: str, sig_df: DataFrame | None
 
 
 LABEL_MAP_ITEMS = sorted(LABEL_CODES.items(), key=lambda kv: kv[1])
+
+
+def arrival_batch():
+    """Arrival batch of an event: its producer group's position in
+    ARRIVAL_GROUPS (each group replays the whole month, so later groups
+    arrive behind the watermark)."""
+    expr = None
+    for b, types in enumerate(ARRIVAL_GROUPS):
+        cond = F.col("event_type").isin(*types)
+        expr = F.when(cond, F.lit(b)) if expr is None else expr.when(cond, F.lit(b))
+    return expr.cast("int")

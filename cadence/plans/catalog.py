@@ -328,8 +328,8 @@ def q_result_append(spark, sf_dir):
 
 # ---- sessions ------------------------------------------------------------------
 def existing_sessions(spark, sf_dir):
-    """Sessions already stored: those of users with an even id."""
-    h = B.headers(spark, sf_dir).where(F.col("user_id") % 2 == 0).select("header.*")
+    """Sessions already stored: those that started before the resume point."""
+    h = B.headers(spark, sf_dir).where(F.col("ts") < F.lit(B.STORED_BEFORE).cast("timestamp_ntz")).select("header.*")
     return first_per_session(score(h, models=all_types_default()))
 
 
@@ -379,7 +379,7 @@ def q_process_standard(spark, sf_dir):
 @query
 def q_dispatch_processing(spark, sf_dir):
     w = B.windows64(spark, sf_dir).withColumn(
-        "preprocessing", F.when(F.col("label") % 2 == 0, F.lit("standard")).otherwise(F.lit("spectrum"))
+        "preprocessing", F.when(F.col("label") < 5, F.lit("standard")).otherwise(F.lit("spectrum"))
     )
     out = dispatch_processing(w, processors=fixture_processors())
     return w64_long(out, extra=("preprocessing",))
@@ -495,7 +495,7 @@ def stage_events(spark, sf_dir, copies: int) -> str:
 
 @query
 def q_late_split(spark, sf_dir):
-    t = B.timed(spark, sf_dir).withColumn("arrival_batch", (F.col("event_id") % 3).cast("int"))
+    t = B.timed(spark, sf_dir).withColumn("arrival_batch", B.arrival_batch())
     return split_late(t, "ts", "arrival_batch", 3600.0).select("event_id", "arrival_batch", "is_late")
 
 
@@ -756,14 +756,14 @@ def q_processed_windows(spark, sf_dir):
 
 @query
 def q_late_side_table(spark, sf_dir):
-    """T2 stream side: events arrive in three batches (event_id mod 3, one
-    micro-batch each); rows behind the running watermark (1 h delay) are
-    written to a side table by ``foreachBatch`` and read back."""
+    """T2 stream side: events arrive in three batches (one per producer
+    group, one micro-batch each); rows behind the running watermark (1 h
+    delay) are written to a side table by ``foreachBatch`` and read back."""
     ev = B.table(spark, sf_dir, "events")
     files = stream_files(spark)
     src = None
-    for b in range(3):
-        src = stage_files(ev.where(F.col("event_id") % 3 == b), "late-input", files=files, path=src)
+    for b in range(len(B.ARRIVAL_GROUPS)):
+        src = stage_files(ev.where(B.arrival_batch() == b), "late-input", files=files, path=src)
     side = scratch_dir(spark, "late-side")
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", files).parquet(src)
     run_available_now(stream, "late-side", foreach_batch=late_rows_sink(side, "ts", 3600.0))

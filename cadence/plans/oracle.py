@@ -50,7 +50,7 @@ fw AS (
 
 HEADERS_CTE = f"""
 hd AS (
-  SELECT event_id, user_id, event_type, value, date_trunc('day', ts) AS day_start,
+  SELECT event_id, user_id, event_type, value, ts, date_trunc('day', ts) AS day_start,
          (epoch_us(ts) - epoch_us(date_trunc('day', ts))) // 1000 AS ms
   FROM events),
 hdr AS (
@@ -260,7 +260,7 @@ FROM hdr WHERE ML_model IN ('default', 'view', 'click', 'purchase')"""
 SCORED = f"""{HEADERS_CTE},
 sc AS (
   SELECT hdr.*, session_id AS sess_id, session_start + to_milliseconds(time_stamp) AS time_in, time_stamp AS time_ms,
-         (CASE WHEN time_stamp % 10000 > 5000 THEN 1 ELSE 0 END)::INTEGER AS class, hd.user_id
+         (CASE WHEN time_stamp % 10000 > 5000 THEN 1 ELSE 0 END)::INTEGER AS class, hd.user_id, hd.ts
   FROM hdr JOIN hd USING (event_id))"""
 
 
@@ -271,7 +271,9 @@ def _():
 
 @sql("new_sessions")
 def _():
-    return f"WITH {SCORED}\nSELECT DISTINCT sess_id FROM sc WHERE user_id % 2 = 1"
+    return f"""WITH {SCORED},
+stored AS (SELECT DISTINCT sess_id FROM sc WHERE ts < TIMESTAMP '{B.STORED_BEFORE}')
+SELECT DISTINCT sess_id FROM sc WHERE sess_id NOT IN (SELECT sess_id FROM stored)"""
 
 
 @sql("register_sessions")
@@ -280,12 +282,14 @@ def _():
 SELECT sess_id, arg_min(user_name, (frame_number, time_ms)) AS user_name,
        arg_min(ML_model, (frame_number, time_ms)) AS ml_model,
        arg_min(preprocessing, (frame_number, time_ms)) AS preprocessing
-FROM sc WHERE user_id % 2 = 1 GROUP BY sess_id"""
+FROM sc WHERE sess_id NOT IN (SELECT sess_id FROM sc WHERE ts < TIMESTAMP '{B.STORED_BEFORE}') GROUP BY sess_id"""
 
 
 @sql("fk_check")
 def _():
-    return f"WITH {SCORED}\nSELECT sess_id, time_in, time_ms, class FROM sc WHERE user_id % 2 = 1"
+    return f"""WITH {SCORED}
+SELECT sess_id, time_in, time_ms, class FROM sc
+WHERE sess_id NOT IN (SELECT sess_id FROM sc WHERE ts < TIMESTAMP '{B.STORED_BEFORE}')"""
 
 
 # ---- windows64 / sig signal transforms -------------------------------------------
@@ -344,10 +348,10 @@ ds AS (SELECT x.window_id, kk2.k, sum(x.v * cos(2 * pi() * ((x.m * kk2.k) % 64)
               sum(x.v * sin(2 * pi() * ((x.m * kk2.k) % 64) / 64)) AS im FROM x, kk2 GROUP BY 1, 2),
 lab AS (SELECT vec_id AS window_id, label FROM embeddings)
 SELECT d.window_id, 'standard' AS preprocessing, k::INTEGER AS n, round(sqrt(re * re + im * im), 6) + 0.0 AS value
-FROM d JOIN lab USING (window_id) WHERE label % 2 = 0
+FROM d JOIN lab USING (window_id) WHERE label < 5
 UNION ALL
 SELECT ds.window_id, 'spectrum' AS preprocessing, k::INTEGER AS n, round(sqrt(re * re + im * im), 6) + 0.0 AS value
-FROM ds JOIN lab USING (window_id) WHERE label % 2 = 1"""
+FROM ds JOIN lab USING (window_id) WHERE label >= 5"""
 
 
 @sql("sample_time")
@@ -439,7 +443,7 @@ def _():
 
 @sql("late_split")
 def _():
-    return """WITH e AS (SELECT event_id, ts, (event_id % 3)::INTEGER AS arrival_batch FROM events),
+    return """WITH e AS (SELECT event_id, ts, (CASE WHEN event_type IN ('signup', 'purchase') THEN 0 WHEN event_type = 'error' THEN 1 WHEN event_type IN ('view', 'click') THEN 2 END)::INTEGER AS arrival_batch FROM events),
 m AS (SELECT arrival_batch, max(ts) AS mx FROM e GROUP BY 1),
 w AS (SELECT arrival_batch, max(mx) OVER (ORDER BY arrival_batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 HOUR AS wm FROM m)
 SELECT event_id, arrival_batch, coalesce(ts < wm, false) AS is_late FROM e JOIN w USING (arrival_batch)"""
@@ -653,7 +657,7 @@ SELECT session_id, k, 0 AS channel, m::INTEGER AS bin, round(v, 6) + 0.0 AS valu
 
 @sql("late_side_table")
 def _():
-    return """WITH e AS (SELECT event_id, ts, (event_id % 3)::INTEGER AS arrival_batch FROM events),
+    return """WITH e AS (SELECT event_id, ts, (CASE WHEN event_type IN ('signup', 'purchase') THEN 0 WHEN event_type = 'error' THEN 1 WHEN event_type IN ('view', 'click') THEN 2 END)::INTEGER AS arrival_batch FROM events),
 m AS (SELECT arrival_batch, max(ts) AS mx FROM e GROUP BY 1),
 w AS (SELECT arrival_batch, max(mx) OVER (ORDER BY arrival_batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 HOUR AS wm FROM m)
 SELECT event_id, arrival_batch AS batch_id FROM e JOIN w USING (arrival_batch) WHERE ts < wm"""
