@@ -126,12 +126,20 @@ def recordings_to_samples(rec: DataFrame, start_col: str | None = "block_start")
 
     A recording may arrive as data records — one row per (channel, record)
     with ``block_start`` = index of its first sample — so no row ever holds a
-    whole long channel.  Each output group holds one value per channel."""
+    whole long channel.  The shuffle regroups whole records: one group per
+    (recording, record) holding its C channel arrays, transposed in place and
+    exploded to samples after the exchange."""
     off = _record_offset(rec, start_col)
-    long = rec.select("recording_id", "channel", off.alias("_o"), F.posexplode("samples").alias("_j", "value"))
-    long = long.withColumn("sample_idx", F.col("_o") + F.col("_j"))
-    grouped = long.groupBy("recording_id", "sample_idx").agg(F.array_sort(F.collect_list(F.struct("channel", "value"))).alias("_cv"))
-    return grouped.select("recording_id", F.col("sample_idx").cast("long"), F.transform("_cv", lambda z: z["value"]).alias("values"))
+    g = rec.select("recording_id", "channel", off.alias("_o"), "samples").groupBy("recording_id", "_o").agg(
+        F.array_sort(F.collect_list(F.struct("channel", "samples"))).alias("_chs")
+    )
+    n = F.aggregate(F.transform("_chs", lambda c: F.size(c["samples"])), F.lit(0), lambda a, x: F.greatest(a, x))
+    by_sample = F.transform(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.transform(F.col("_chs"), lambda c: F.try_element_at(c["samples"], i + 1)),
+    )
+    rows = g.select("recording_id", "_o", F.posexplode(F.when(n > 0, by_sample)).alias("_j", "values"))
+    return rows.select("recording_id", (F.col("_o") + F.col("_j")).cast("long").alias("sample_idx"), "values")
 
 
 def recordings_long(rec: DataFrame, start_col: str | None = "block_start") -> DataFrame:
