@@ -127,11 +127,24 @@ def time_channel_idx(channel_names: Column | str = "channel_names") -> Column:
     return (F.array_position(F.transform(_c(channel_names), lambda s: F.lower(s)), "time") - 1).cast("int")
 
 
+def java_int(x: Column) -> Column:
+    """float → int as the JVM's ``(int)`` cast: truncate toward zero, NaN → 0,
+    saturate outside the int range (no ANSI overflow error)."""
+    d = x.cast("double")
+    return (
+        F.when(F.isnan(d), F.lit(0))
+        .when(d >= F.lit(2147483647.0), F.lit(2147483647))
+        .when(d <= F.lit(-2147483648.0), F.lit(-2147483648))
+        .otherwise(d.cast("int"))
+    )
+
+
 def window_time_stamp(samples: Column, time_idx: Column, start_idx: Column, sampling_rate: Column) -> Column:
     """Time stamp of a window — the first sample of the time channel
-    truncated to int, else the window start in ms from its sample index."""
-    from_time = F.element_at(samples, time_idx + 1).cast("int")
-    from_index = ((start_idx * 1000) / sampling_rate).cast("long").cast("int")
+    truncated to int, else the window start in ms from its sample index
+    (NULL if that overflows the header's int field)."""
+    from_time = java_int(F.try_element_at(samples, (time_idx + 1).cast("int")))
+    from_index = F.floor((start_idx * 1000) / sampling_rate).cast("long").try_cast("int")
     return F.when(time_idx >= 0, from_time).otherwise(from_index)
 
 

@@ -145,7 +145,7 @@ def update_kmeans(batch: DataFrame, vec: str, centroids: list[list[float]], seen
     a = assign_cluster(batch, vec, centroids)
     sums = a.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.element_at(F.col(vec), i + 1).cast("double")).alias(f"s{i}") for i in range(d)],
+        *[F.sum(F.try_element_at(F.col(vec), F.lit(i + 1)).cast("double")).alias(f"s{i}") for i in range(d)],
     )
     c_lit = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centroids])
     seen_lit = F.array(*[F.lit(int(s)) for s in seen])

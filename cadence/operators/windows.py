@@ -165,7 +165,7 @@ def sample_windows(
     covered = F.aggregate("_ps", F.lit(0).cast("long"), lambda acc, p: acc + F.greatest(F.lit(0).cast("long"), F.least(p["hi"], s0 + Lg + 1) - F.greatest(p["lo"], s0)))
     before = F.aggregate("_ps", F.lit(0).cast("long"), lambda acc, p: acc + F.greatest(F.lit(0).cast("long"), F.least(p["hi"], s0) - p["lo"]))
     wins = wins.where(covered == Lg + 1)
-    first_piece = F.element_at(F.filter("_ps", lambda p: (p["lo"] <= s0) & (s0 < p["hi"])), 1)
+    first_piece = F.try_element_at(F.filter("_ps", lambda p: (p["lo"] <= s0) & (s0 < p["hi"])), F.lit(1))
     touched = F.size(F.filter("_ps", lambda p: (p["lo"] <= s0 + Lg) & (s0 < p["hi"])))
     win = F.slice("_run", (before * Cg + 1).cast("int"), (Lg * Cg).cast("int"))
     out = wins.select(

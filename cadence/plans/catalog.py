@@ -727,7 +727,7 @@ def q_filter_attenuation(spark, sf_dir):
     out = level(before, "before").join(level(after, "after"), ["user_id", "bin"])
     return out.select(
         F.col("user_id").alias("recording_id"),
-        F.element_at(pick, F.col("bin")).alias("tone_hz"),
+        F.try_element_at(pick, F.col("bin")).alias("tone_hz"),
         F.col("bin").cast("int").alias("bin"),
         "before",
         "after",

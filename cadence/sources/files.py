@@ -65,9 +65,9 @@ def read_annotations(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(
         "file",
         F.struct("_blk", "_pos").alias("line_key"),
-        F.expr("try_cast(element_at(split(trim(value), '\\\\s+'), 1) AS DOUBLE)").alias("beg"),
-        F.expr("try_cast(element_at(split(trim(value), '\\\\s+'), 2) AS DOUBLE)").alias("end"),
-        F.element_at(f, 3).alias("label"),
+        F.expr("try_cast(try_element_at(split(trim(value), '\\\\s+'), 1) AS DOUBLE)").alias("beg"),
+        F.expr("try_cast(try_element_at(split(trim(value), '\\\\s+'), 2) AS DOUBLE)").alias("end"),
+        F.try_element_at(f, F.lit(3)).alias("label"),
     )
 
 
@@ -110,7 +110,7 @@ def channels_like(frames: DataFrame, token: str = "EEG") -> DataFrame:
     ``token``; adds ``kept_channels`` and narrows ``samples`` to them."""
     C = F.col("num_channels")
     names = F.col("channel_names")
-    keep = lambda v, i: F.element_at(names, (F.pmod(i, C) + 1).cast("int")).contains(token)
+    keep = lambda v, i: F.coalesce(F.try_element_at(names, (F.pmod(i, C) + 1).cast("int")).contains(token), F.lit(False))
     return frames.withColumn("kept_channels", F.filter(names, lambda n: n.contains(token))).withColumn(
         "samples", F.filter(F.col("samples"), keep)
     )

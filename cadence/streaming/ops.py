@@ -120,6 +120,17 @@ CURSOR_STATE = T.StructType(
 )
 
 
+def _java_int(v: float) -> int:
+    """The JVM's ``(int)`` cast of a float (same rule as ``header.java_int``)."""
+    if np.isnan(v):
+        return 0
+    return int(max(-(2**31), min(2**31 - 1, np.trunc(v))))
+
+
+def _int_or_none(v: int):
+    return v if -(2**31) <= v < 2**31 else None
+
+
 def _stride(length_s: float, overlap: float, fs: int) -> tuple[int, int]:
     L = int(np.float32(length_s) * np.float32(fs))
     S = int(float((np.float32(1.0) - np.float32(overlap)) * np.float32(length_s) * np.float32(fs)) + 0.5)
@@ -158,7 +169,7 @@ def _cursor_fn(length_s: float, overlap: float):
         while L > 0 and S > 0 and next_k * S + L < have_until:
             s0 = next_k * S
             win = buf[(s0 - buf_start) * C : (s0 - buf_start + L) * C]
-            stamp = int(np.trunc(win[t])) if t >= 0 else (s0 * 1000) // fs
+            stamp = _java_int(float(win[t])) if t >= 0 else _int_or_none((s0 * 1000) // fs)
             rows.append((session, user, next_k, s0, s0 // flen, stamp, fs, L, C, names, win.tolist()))
             next_k += 1
         # keep samples from the next window start on

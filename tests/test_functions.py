@@ -56,3 +56,14 @@ def test_rule_class_and_checksum(spark):
     assert [r.c for r in df.select(rule_class(F.col("t")).alias("c")).collect()] == [0, 0, 1, 1, 1]
     cs = spark.createDataFrame([([0.5, -1.25, 2.0],)], "v array<double>").select(weighted_checksum(F.col("v")).alias("c")).first().c
     assert cs == 0.5 - 2.5 + 6.0
+
+
+def test_java_int_cast(spark):
+    from cadence.functions.header import java_int
+    from cadence.streaming.ops import _java_int
+
+    vals = [1.9, -1.9, float("nan"), 3e9, -3e9, 0.0]
+    got = [r.i for r in spark.createDataFrame([(v,) for v in vals], "x double").select(java_int(F.col("x")).alias("i")).collect()]
+    want = [1, -1, 0, 2147483647, -2147483648, 0]
+    assert got == want
+    assert [_java_int(v) for v in vals] == want
