@@ -65,8 +65,8 @@ def make_header(
     fields = {
         "user_name": user,
         "session_id": sid,
-        "frame_number": _c(frame_number).cast("int"),
-        "time_stamp": _c(time_stamp).cast("int"),
+        "frame_number": _c(frame_number).try_cast("int"),
+        "time_stamp": _c(time_stamp).try_cast("int"),
         "year": F.year(start),
         "month": F.month(start),
         "day": F.dayofmonth(start),
@@ -77,11 +77,13 @@ def make_header(
         "ML_model": model,
         "preprocessing": prep,
         "sampling_rate": rate.cast("int"),
-        "num_samples": _c(num_samples).cast("int"),
-        "num_channels": _c(num_channels).cast("int"),
+        "num_samples": _c(num_samples).try_cast("int"),
+        "num_channels": _c(num_channels).try_cast("int"),
         "channel_names": _c(channel_names).cast("array<string>"),
     }
-    return df.withColumn("header", F.struct(*[fields[n].cast(t).alias(n) for n, t in HEADER_FIELDS]))
+    # INT fields of the wire format: values that do not fit become NULL
+    # (and fail ``check_header``) instead of raising
+    return df.withColumn("header", F.struct(*[fields[n].try_cast(t).alias(n) for n, t in HEADER_FIELDS]))
 
 
 def check_header(header: Column) -> Column:

@@ -187,11 +187,13 @@ def sample_windows(
 
 def samples_as_frames(df: DataFrame, session: str, idx: str, value: str, sampling_rate: int, channel_name: str = "value") -> DataFrame:
     """View a long (session, sample_idx, value) table as one-sample frames so
-    the frame operators (W2, P14, …) apply to it directly."""
+    the frame operators (W2, P14, …) apply to it directly; ``start`` (BIGINT)
+    is each frame's absolute sample index — pass ``start_col="start"``."""
     return df.select(
         F.col(session).cast("string").alias("session_id"),
         F.col(session).cast("string").alias("user_name"),
-        F.col(idx).cast("int").alias("frame_number"),
+        F.col(idx).try_cast("int").alias("frame_number"),
+        F.col(idx).cast("long").alias("start"),
         F.lit(0).alias("time_stamp"),
         *[F.lit(0).alias(n) for n in ("year", "month", "day", "hour", "minute", "second", "microsecond")],
         F.lit("default").alias("ML_model"),
@@ -269,6 +271,7 @@ def apply_per_window(
     length_s: float = 1.0,
     overlap: float = 0.8,
     session: str = "session_id",
+    start_col: str | None = None,
 ) -> DataFrame:
     """Call ``fn(session, k, samples)`` on every complete window, where
     ``samples`` is the window as an (L, C) numpy array in sample order; ``fn``
@@ -277,7 +280,7 @@ def apply_per_window(
     import numpy as np
     import pandas as pd
 
-    wins = sample_windows(frames, length_s, overlap, session).select(session, "k", "num_samples", "num_channels", "samples")
+    wins = sample_windows(frames, length_s, overlap, session, start_col).select(session, "k", "num_samples", "num_channels", "samples")
 
     def run(batches):
         for pdf in batches:

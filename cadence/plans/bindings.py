@@ -110,7 +110,7 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         ev.withColumn("_day", day).withColumn("_ms", ms),
         session_start=F.col("_day"),
         user_name=F.concat(F.lit("user"), F.col("user_id").cast("string")),
-        frame_number=F.col("event_id"),
+        frame_number=(F.col("_ms") / 1000).cast("long"),  # one frame per second of the session
         time_stamp=F.col("_ms"),
         channel_names=F.array(F.lit("time"), F.lit("value")),
         num_samples=F.lit(1),

@@ -88,7 +88,7 @@ def frame_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sig_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = W.samples_as_frames(B.sig(spark, sf_dir), "user_id", "sample_idx", "value", B.SIG_FS)
-    return W.sample_windows(frames, B.SIG_LENGTH_S, B.SIG_OVERLAP)
+    return W.sample_windows(frames, B.SIG_LENGTH_S, B.SIG_OVERLAP, start_col="start")
 
 
 @query
@@ -413,7 +413,7 @@ def _window_stats(session, k, X):
 def q_window_udf(spark, sf_dir):
     frames = W.samples_as_frames(B.sig(spark, sf_dir), "user_id", "sample_idx", "value", B.SIG_FS)
     schema = "user_id long, k long, n long, mean double, max double"
-    return W.apply_per_window(frames, _window_stats, schema, B.SIG_LENGTH_S, B.SIG_OVERLAP)
+    return W.apply_per_window(frames, _window_stats, schema, B.SIG_LENGTH_S, B.SIG_OVERLAP, start_col="start")
 
 
 # Block length (samples) of the whole-signal filter: each block plus its

@@ -56,7 +56,7 @@ hd AS (
 hdr AS (
   SELECT event_id, value, 'user' || user_id::VARCHAR AS user_name,
          'user' || user_id::VARCHAR || strftime(day_start, '%Y-%m-%d %H:%M:%S') AS session_id,
-         event_id::INTEGER AS frame_number, ms::INTEGER AS time_stamp, day_start AS session_start,
+         (ms // 1000)::INTEGER AS frame_number, ms::INTEGER AS time_stamp, day_start AS session_start,
          event_type AS ML_model, 'standard' AS preprocessing
   FROM hd)"""
 
