@@ -59,5 +59,35 @@ def run_available_now(
     return out
 
 
+def start_stream(
+    stream: DataFrame,
+    purpose: str,
+    checkpoint: str,
+    every: str = "1 second",
+    output_mode: str = "append",
+    path: str | None = None,
+    foreach_batch: Callable[[DataFrame, int], None] | None = None,
+    partition_by: list[str] | None = None,
+):
+    """T5: start a long-running query (processing-time trigger) with a
+    checkpoint, returning the StreamingQuery handle.  Restarting with the same
+    ``checkpoint`` resumes after the last committed batch; with the
+    idempotent sinks of this package a replayed batch does not duplicate."""
+    w = (
+        stream.writeStream.queryName(f"{purpose}")
+        .outputMode(output_mode)
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=every)
+    )
+    if foreach_batch is not None:
+        w = w.foreachBatch(foreach_batch)
+    else:
+        w = w.format("parquet").option("path", path or scratch_dir(stream.sparkSession, purpose))
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+    return w.start()
+
+
 def last_progress(stream_query) -> dict | None:
+    """Metrics of the last micro-batch (rows in, rows dropped by watermark …)."""
     return stream_query.lastProgress

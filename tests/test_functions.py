@@ -67,3 +67,20 @@ def test_java_int_cast(spark):
     want = [1, -1, 0, 2147483647, -2147483648, 0]
     assert got == want
     assert [_java_int(v) for v in vals] == want
+
+
+def test_registries_hold_back_unserved_names(spark):
+    from cadence.operators.models import dispatch_model, dispatch_processing, fixture_processors
+
+    df = spark.createDataFrame([(1, "default", 6000), (2, "nobody", 6000)], "id int, ML_model string, time_stamp int")
+    kept = {r.id: r["class"] for r in dispatch_model(df).collect()}
+    assert kept == {1: 1, 2: None}
+    assert [r.id for r in dispatch_model(df, keep_unserved=False).collect()] == [1]
+    w = spark.createDataFrame(
+        [([1.0] * 8, 250, 1, "standard"), ([1.0] * 8, 250, 1, "spectrum"), ([1.0] * 8, 250, 1, "unknown")],
+        "samples array<float>, sampling_rate int, num_channels int, preprocessing string",
+    )
+    out = dispatch_processing(w, processors=fixture_processors()).collect()
+    assert sorted(r.preprocessing for r in out) == ["spectrum", "standard"]
+    spec = [r for r in out if r.preprocessing == "spectrum"][0].processed
+    assert spec[0] == 8.0 and max(abs(x) for x in spec[1:]) < 1e-12

@@ -113,3 +113,18 @@ def test_minibatch_kmeans_stream_matches_sequential_updates(spark):
                 c[j] = c[j] + (m.sum(0) - len(m) * c[j]) / (seen[j] + len(m))
                 seen[j] += len(m)
     assert np.allclose(got, c, atol=1e-9)
+
+
+def test_long_running_stream_and_progress(spark):
+    from cadence.streaming.runner import last_progress, start_stream
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    src = stage_files(ev, "lr-in", files=2)
+    out, ckpt = scratch_dir(spark, "lr-out"), scratch_dir(spark, "lr-ckpt")
+    q = start_stream(spark.readStream.schema(ev.schema).parquet(src).select("event_id"), "lr_events", ckpt, "1 second", path=out)
+    try:
+        q.processAllAvailable()
+        assert last_progress(q) is not None
+    finally:
+        q.stop()
+    assert spark.read.parquet(out).count() == ev.count()
