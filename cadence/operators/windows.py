@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions.dense import scatter_dense
-from cadence.functions.header import time_channel_idx, window_time_stamp
+from cadence.functions.header import session_start, time_channel_idx, window_time_stamp
 from cadence.schemas import HEADER_NAMES
 
 
@@ -84,6 +84,7 @@ def sample_windows(
     session: str = "session_id",
     start_col: str | None = None,
     block_windows: int = 4,
+    delay: str | None = None,
 ) -> DataFrame:
     """Overlapping windows of ``int(length·fs)`` samples every
     ``int((1-overlap)·length·fs + .5)`` samples, cut across frame edges.
@@ -106,6 +107,11 @@ def sample_windows(
     Output: one row per window with the header of the frame holding its first
     sample, ``k``, ``start_idx``, ``num_samples`` = L, ``time_stamp`` (P14),
     ``samples`` (L·C floats) and ``n_frames`` (frames the window touches).
+
+    On a streaming DataFrame each block is keyed by its event-time end
+    (session start + end of the block's needed range / fs) with a watermark
+    ``delay`` behind the largest seen; in append mode a block's windows are
+    emitted once, when the watermark passes its end.
     """
     fs = F.col("sampling_rate")
     C = F.col("num_channels").cast("long")
@@ -127,6 +133,9 @@ def sample_windows(
     b_lo = F.greatest(F.lit(0).cast("long"), F.floor((A - L - H + 1) / H).cast("long"))
     b_hi = F.floor((A + Fc - 1) / H).cast("long")
     span_hi = lambda b: b * H + H + L  # noqa: E731  (exclusive end of a block's needed range)
+    streaming = frames.isStreaming
+    if streaming and not delay:
+        raise ValueError("a streaming sample_windows needs a watermark delay")
     pieces = (
         staged.withColumn("_b", F.explode(int_range(b_lo, b_hi)))
         .withColumn("_lo", F.greatest(A, F.col("_b") * H))
@@ -138,6 +147,8 @@ def sample_windows(
             "_L",
             "_S",
             "_C",
+            F.col("_h.sampling_rate").alias("_fs"),
+            session_start("_h.year", "_h.month", "_h.day", "_h.hour", "_h.minute", "_h.second", "_h.microsecond").alias("_t0"),
             F.struct(
                 F.col("_lo").alias("lo"),
                 F.col("_hi").alias("hi"),
@@ -147,7 +158,15 @@ def sample_windows(
             ).alias("_p"),
         )
     )
-    grouped = pieces.groupBy(session, "_b").agg(
+    keys = [session, "_b"]
+    if streaming:
+        # event time of a block's end: session start + (b·H + H + L) / fs seconds
+        secs = ((F.col("_b") * F.col("_L") * block_windows + F.col("_L") * block_windows + F.col("_L")) * 1_000_000 / F.col("_fs")).cast("long")
+        pieces = pieces.withColumn(
+            "_blk_end", (F.unix_micros(F.col("_t0").cast("timestamp")) + secs).cast("long")
+        ).withColumn("_blk_end", F.timestamp_micros("_blk_end")).withWatermark("_blk_end", delay)
+        keys.append("_blk_end")
+    grouped = pieces.groupBy(*keys).agg(
         F.array_sort(F.collect_list("_p")).alias("_ps"),
         F.first("_L").alias("_L"),
         F.first("_S").alias("_S"),

@@ -772,3 +772,19 @@ def q_late_side_table(spark, sf_dir):
     except Exception:  # noqa: BLE001 — no late rows at all
         return spark.createDataFrame([], "event_id bigint, batch_id int")
     return late.select("event_id", F.col("batch_id").cast("int").alias("batch_id"))
+
+
+STREAM_WINDOW_DELAY = "5 seconds"
+
+
+@query
+def q_stream_windows(spark, sf_dir):
+    """W2 on a stream: frames staged as files and consumed with availableNow;
+    blocks of windows are keyed by their event-time end with a 5 s watermark
+    and emitted (append) when the watermark passes them — the closed subset
+    of ``sample_windows``."""
+    staged = stage_files(B.frame_rows(spark, sf_dir), "frames-w2-stream", files=stream_files(spark))
+    stream = spark.readStream.schema(spark.read.parquet(staged).schema).parquet(staged)
+    wins = W.sample_windows(stream, B.FRAMES_LENGTH_S, B.FRAMES_OVERLAP, delay=STREAM_WINDOW_DELAY)
+    out = run_available_now(window_report(wins), "stream-windows")
+    return spark.read.parquet(out)

@@ -661,3 +661,16 @@ def _():
 m AS (SELECT arrival_batch, max(ts) AS mx FROM e GROUP BY 1),
 w AS (SELECT arrival_batch, max(mx) OVER (ORDER BY arrival_batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 HOUR AS wm FROM m)
 SELECT event_id, arrival_batch AS batch_id FROM e JOIN w USING (arrival_batch) WHERE ts < wm"""
+
+
+@sql("stream_windows")
+def _():
+    # host block b = k·S div (4·L) = k div 16; its end (needed range b·64 + 80
+    # samples at 16 Hz) is 4·b + 5 s after the session start; the watermark is
+    # the largest block end seen (last frame's block, (n − 1) div 64) − 5 s
+    return f"""WITH {FRAME_WINDOWS_CTE},
+mx AS (SELECT max(4 * ((n - 1) // 64) + 5) AS m FROM sess)
+SELECT session_id, k, start_idx, frame_number::INTEGER AS frame_number,
+       trunc(win[1])::INTEGER AS time_stamp, 16 AS num_samples, 4 AS num_channels,
+       len(win)::INTEGER AS n_values, {checksum('win')} AS checksum
+FROM fw WHERE 4 * (k // 16) + 5 <= (SELECT m FROM mx) - 5"""
