@@ -788,3 +788,14 @@ def q_stream_windows(spark, sf_dir):
     wins = W.sample_windows(stream, B.FRAMES_LENGTH_S, B.FRAMES_OVERLAP, delay=STREAM_WINDOW_DELAY)
     out = run_available_now(window_report(wins), "stream-windows")
     return spark.read.parquet(out)
+
+
+@query
+def q_stream_window_scores(spark, sf_dir):
+    """The flagship as a stream: frames → W2 (watermarked blocks) → model →
+    event time → result rows appended to the ``data`` table."""
+    staged = stage_files(B.frame_rows(spark, sf_dir), "frames-score-stream", files=stream_files(spark))
+    stream = spark.readStream.schema(spark.read.parquet(staged).schema).parquet(staged)
+    wins = W.sample_windows(stream, B.FRAMES_LENGTH_S, B.FRAMES_OVERLAP, delay=STREAM_WINDOW_DELAY)
+    out = run_available_now(data_rows(score(wins)), "stream-window-scores")
+    return spark.read.parquet(out)
