@@ -526,7 +526,7 @@ def q_stateful_windows(spark, sf_dir):
     files = stream_files(spark)
     staged = stage_files(B.frame_rows(spark, sf_dir), "frames-stream", files=files)
     schema = spark.read.parquet(staged).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max(1, files // 4)).parquet(staged)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max(1, files // 2)).parquet(staged)
     out = run_available_now(stateful_windows(stream, B.FRAMES_LENGTH_S, B.FRAMES_OVERLAP), "stateful-windows")
     return window_report(spark.read.parquet(out))
 
