@@ -56,3 +56,12 @@ def test_filter_attenuation_bruteforce(spark):
             b = max(1, int(round(f)))
             assert mine.loc[f, "before"] == pytest.approx(before[:, b].mean(), rel=1e-9)
             assert mine.loc[f, "after"] == pytest.approx(after[:, b].mean(), rel=1e-7, abs=1e-12)
+
+
+def test_spectrum_parseval(spark):
+    """Σ_k |X_k|² = N · Σ_n x_n² for every window (D3 over windows64)."""
+    spec = E.queries()["spectrum"](spark, SF).toPandas()
+    energy = spec.assign(e=spec["value"] ** 2).groupby("window_id")["e"].sum()
+    emb = pd.read_parquet(f"{SF}/embeddings.parquet").set_index("vec_id")
+    want = emb["embedding"].apply(lambda v: 64 * float(np.sum(np.asarray(v, dtype=float) ** 2)))
+    assert np.allclose(energy.sort_index().to_numpy(), want.loc[energy.sort_index().index].to_numpy(), rtol=1e-4)
