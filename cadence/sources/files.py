@@ -22,10 +22,11 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 
 def list_inputs(paths: DataFrame, path: str = "path") -> DataFrame:
     """Keep names containing ``tse`` or ``.edf`` but not ``tse_bi``;
-    ``kind`` tells recordings (edf) from annotation files (tse)."""
+    ``kind`` is ``edf`` for names with ``.edf`` (recordings), ``tse`` for
+    names with ``.tse`` (annotation files), NULL for the rest of the listing."""
     p = F.col(path)
     keep = (p.contains("tse") | p.contains(".edf")) & ~p.contains("tse_bi")
-    kind = F.when(p.contains(".edf"), F.lit("edf")).otherwise(F.lit("tse"))
+    kind = F.when(p.contains(".edf"), F.lit("edf")).when(p.contains(".tse"), F.lit("tse"))
     return paths.where(keep).withColumn("kind", kind)
 
 

@@ -11,7 +11,7 @@ from cadence.sources.files import list_files, list_inputs, pair_inputs, read_ann
 
 def test_listing_and_pairing(spark):
     root = scratch_dir(spark, "tree")
-    for rel in ["a/s1/r1.edf", "a/s1/r1.tse", "a/s1/r1.tse_bi", "a/s2/r2.edf", "b/r3.tse", "b/notes.txt"]:
+    for rel in ["a/s1/r1.edf", "a/s1/r1.tse", "a/s1/r1.tse_bi", "a/s2/r2.edf", "b/r3.tse", "b/notes.txt", "b/tse_readme.txt"]:
         p = os.path.join(root, rel)
         os.makedirs(os.path.dirname(p), exist_ok=True)
         with open(p, "w") as fh:
@@ -19,8 +19,8 @@ def test_listing_and_pairing(spark):
     files = list_files(spark, root)
     assert "content" not in files.columns
     inputs = list_inputs(files)
-    kinds = sorted((os.path.basename(r.path), r.kind) for r in inputs.collect())
-    assert kinds == [("r1.edf", "edf"), ("r1.tse", "tse"), ("r2.edf", "edf"), ("r3.tse", "tse")]
+    kinds = sorted((os.path.basename(r.path), r.kind or "") for r in inputs.collect())
+    assert kinds == [("r1.edf", "edf"), ("r1.tse", "tse"), ("r2.edf", "edf"), ("r3.tse", "tse"), ("tse_readme.txt", "")]
     pairs, unmatched = pair_inputs(inputs)
     assert pairs.count() == 1 and unmatched.count() == 2
 
