@@ -109,11 +109,13 @@ CURSOR_STATE = T.StructType(
         T.StructField("buf_start", T.LongType()),
         T.StructField("have_until", T.LongType()),
         T.StructField("buf", T.ArrayType(T.FloatType())),
+        T.StructField("fr_start", T.ArrayType(T.LongType())),
+        T.StructField("fr_num", T.ArrayType(T.IntegerType())),
         T.StructField("pend_start", T.ArrayType(T.LongType())),
+        T.StructField("pend_num", T.ArrayType(T.IntegerType())),
         T.StructField("pend_data", T.ArrayType(T.ArrayType(T.FloatType()))),
         T.StructField("user_name", T.StringType()),
         T.StructField("fs", T.IntegerType()),
-        T.StructField("frame_len", T.IntegerType()),
         T.StructField("channels", T.IntegerType()),
         T.StructField("names", T.ArrayType(T.StringType())),
     ]
@@ -137,47 +139,62 @@ def _stride(length_s: float, overlap: float, fs: int) -> tuple[int, int]:
     return L, S
 
 
-def _cursor_fn(length_s: float, overlap: float):
+def _frame_at(fr_start: list[int], fr_num: list[int], s0: int) -> int | None:
+    """Frame number of the buffered frame holding absolute sample ``s0``."""
+    j = int(np.searchsorted(np.asarray(fr_start, dtype=np.int64), s0, side="right")) - 1
+    return int(fr_num[j]) if j >= 0 else None
+
+
+def _cursor_fn(length_s: float, overlap: float, has_start: bool = False):
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         (session,) = key
         if state.exists:
-            (next_k, buf_start, have_until, buf, pend_start, pend_data, user, fs, flen, C, names) = state.get
+            (next_k, buf_start, have_until, buf, fr_start, fr_num, p_start, p_num, p_data, user, fs, C, names) = state.get
             buf = np.asarray(buf, dtype=np.float32)
-            pending = {int(a): np.asarray(d, dtype=np.float32) for a, d in zip(pend_start, pend_data)}
+            fr_start, fr_num = list(fr_start), list(fr_num)
+            pending = {int(a): (int(n), np.asarray(d, dtype=np.float32)) for a, n, d in zip(p_start, p_num, p_data)}
         else:
-            next_k, buf_start, have_until, buf, pending = 0, 0, 0, np.zeros(0, np.float32), {}
-            user = fs = flen = C = names = None
+            next_k, buf_start, have_until, buf, fr_start, fr_num, pending = 0, 0, 0, np.zeros(0, np.float32), [], [], {}
+            user = fs = C = names = None
         for pdf in batches:
             for row in pdf.itertuples(index=False):
                 if fs is None:
-                    user, fs, flen, C, names = row.user_name, int(row.sampling_rate), int(row.num_samples), int(row.num_channels), list(row.channel_names)
-                a = int(row.frame_number) * int(row.num_samples)
+                    user, fs, C, names = row.user_name, int(row.sampling_rate), int(row.num_channels), list(row.channel_names)
+                a = int(row.start) if has_start else int(row.frame_number) * int(row.num_samples)
                 if a >= have_until:
-                    pending[a] = np.asarray(row.samples, dtype=np.float32)
+                    pending[a] = (int(row.frame_number), np.asarray(row.samples, dtype=np.float32))
         if fs is None:
             return
         # append frames that continue the contiguous run
         parts = [buf]
         while have_until in pending:
-            d = pending.pop(have_until)
+            n, d = pending.pop(have_until)
+            fr_start.append(have_until)
+            fr_num.append(n)
             parts.append(d)
             have_until += len(d) // C
         buf = np.concatenate(parts)
         L, S = _stride(length_s, overlap, fs)
-        t = next((i for i, n in enumerate(names) if n.lower() == "time"), -1)
+        t = next((i for i, nm in enumerate(names) if nm.lower() == "time"), -1)
         rows = []
         while L > 0 and S > 0 and next_k * S + L < have_until:
             s0 = next_k * S
             win = buf[(s0 - buf_start) * C : (s0 - buf_start + L) * C]
             stamp = _java_int(float(win[t])) if t >= 0 else _int_or_none((s0 * 1000) // fs)
-            rows.append((session, user, next_k, s0, s0 // flen, stamp, fs, L, C, names, win.tolist()))
+            rows.append((session, user, next_k, s0, _frame_at(fr_start, fr_num, s0), stamp, fs, L, C, names, win.tolist()))
             next_k += 1
-        # keep samples from the next window start on
+        # keep samples (and frame starts) from the next window start on
         keep_from = min(next_k * S, have_until)
         buf = buf[(keep_from - buf_start) * C :]
         buf_start = keep_from
+        j = max(0, int(np.searchsorted(np.asarray(fr_start, dtype=np.int64), keep_from, side="right")) - 1)
+        fr_start, fr_num = fr_start[j:], fr_num[j:]
         state.update(
-            (next_k, buf_start, have_until, buf.tolist(), list(pending), [v.tolist() for v in pending.values()], user, fs, flen, C, names)
+            (
+                next_k, buf_start, have_until, buf.tolist(), fr_start, fr_num,
+                list(pending), [v[0] for v in pending.values()], [v[1].tolist() for v in pending.values()],
+                user, fs, C, names,
+            )
         )
         if rows:
             yield pd.DataFrame(rows, columns=WINDOW_OUT.names)
@@ -185,12 +202,17 @@ def _cursor_fn(length_s: float, overlap: float):
     return fn
 
 
-def stateful_windows(frames: DataFrame, length_s: float = 1.0, overlap: float = 0.8, session: str = "session_id") -> DataFrame:
+def stateful_windows(
+    frames: DataFrame, length_s: float = 1.0, overlap: float = 0.8, session: str = "session_id", start_col: str | None = None
+) -> DataFrame:
     """Sample windows with an explicit per-session cursor in state —
     next window index, the sample tail it still needs and frames that arrived
     ahead of a gap.  Emits each window once, when the sample after its end has
-    arrived (same rule and result as W2, which needs no state)."""
+    arrived (same rule and result as W2, which needs no state).  A frame's
+    first sample index is ``start_col`` when given (frames of varying length),
+    else frame_number · num_samples."""
     cols = ["user_name", "frame_number", "sampling_rate", "num_samples", "num_channels", "channel_names", "samples"]
-    return frames.select(session, *cols).groupBy(session).applyInPandasWithState(
-        _cursor_fn(length_s, overlap), WINDOW_OUT, CURSOR_STATE, "append", GroupStateTimeout.NoTimeout
+    extra = [F.col(start_col).cast("long").alias("start")] if start_col else []
+    return frames.select(session, *cols, *extra).groupBy(session).applyInPandasWithState(
+        _cursor_fn(length_s, overlap, bool(start_col)), WINDOW_OUT, CURSOR_STATE, "append", GroupStateTimeout.NoTimeout
     )

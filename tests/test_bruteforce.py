@@ -65,3 +65,20 @@ def test_spectrum_parseval(spark):
     emb = pd.read_parquet(f"{SF}/embeddings.parquet").set_index("vec_id")
     want = emb["embedding"].apply(lambda v: 64 * float(np.sum(np.asarray(v, dtype=float) ** 2)))
     assert np.allclose(energy.sort_index().to_numpy(), want.loc[energy.sort_index().index].to_numpy(), rtol=1e-4)
+
+
+def test_constant_channel_gives_null_correlation_and_no_feature_row(spark):
+    from cadence.operators.features import channel_corr, corr_features
+
+    rows = []
+    for seg in (0, 1):
+        for b in range(5):
+            rows.append((1, seg, b, 0, float(b + seg), float(b * b)))  # varying channel
+            rows.append((1, seg, b, 1, 2.0, 0.0 if seg == 0 else float(b)))  # constant in seg 0 only
+    df = spark.createDataFrame(rows, "recording_id long, seg long, bin int, channel int, re double, im double")
+    cc = {(r.seg, r.ch_a, r.ch_b): r.corr for r in channel_corr(df).collect()}
+    assert cc[(0, 0, 1)] is None and cc[(0, 1, 1)] is None and cc[(0, 0, 0)] == pytest.approx(1.0)
+    assert cc[(1, 0, 1)] is not None
+    feats = corr_features(df).collect()
+    assert [r.seg for r in feats] == [1]
+    assert feats[0].n_eig == 2 and feats[0].trace == pytest.approx(2.0)

@@ -128,3 +128,24 @@ def test_long_running_stream_and_progress(spark):
     finally:
         q.stop()
     assert spark.read.parquet(out).count() == ev.count()
+
+
+def test_stateful_windows_with_ragged_frames(spark):
+    import numpy as np
+
+    from cadence.operators.ordinal import prefix_sum_within
+
+    rng = np.random.default_rng(21)
+    sizes = [5, 12, 3, 9, 20, 1, 7, 16, 4, 11]
+    rows = []
+    for f, n in enumerate(sizes):
+        vals = rng.normal(size=n).astype(np.float32).tolist()
+        rows.append(("s", "u", f, 0, 2024, 1, 1, 0, 0, 0, 0, "default", "standard", 10, n, 1, ["x"], vals))
+    cols = "session_id string, user_name string, frame_number int, time_stamp int, year int, month int, day int, hour int, minute int, second int, microsecond int, ML_model string, preprocessing string, sampling_rate int, num_samples int, num_channels int, channel_names array<string>, samples array<float>"
+    df = prefix_sum_within(spark.createDataFrame(rows, cols), ["session_id"], ["frame_number"], "num_samples", "start", min_rows_per_bucket=3)
+    batch = {(r.k, r.frame_number, tuple(r.samples)) for r in W.sample_windows(df, 1.0, 0.8, start_col="start").collect()}
+    staged = stage_files(df.orderBy(F.rand(5)), "t6-ragged-in", files=3)
+    stream = spark.readStream.schema(spark.read.parquet(staged).schema).option("maxFilesPerTrigger", 1).parquet(staged)
+    out = run_available_now(stateful_windows(stream, 1.0, 0.8, start_col="start"), "t6-ragged-out")
+    got = {(r.k, r.frame_number, tuple(r.samples)) for r in spark.read.parquet(out).collect()}
+    assert got == batch and len(got) > 0
