@@ -3,12 +3,15 @@
 window time stamps (P14) and the fan-out metric (T7).
 
 Sample windows use an *absolute* window index ``k``: window k covers samples
-[k·S, k·S + L) of its session.  Every frame is exploded into the windows it
-touches (bounded by (F + L)/S rows per frame) and the pieces are regrouped by
-(session, k).  A group never holds more than L + 1 samples however large the
-session is, so a hot session spreads over as many tasks as it has windows.
-A window is emitted only when sample k·S + L (one past its end) exists — the
-strict "start + length < available" rule — so batch and stream agree.
+[k·S, k·S + L) of its session, so no cursor has to be carried between
+firings and arrival order does not matter.  Windows are hosted by fixed
+blocks of samples: each frame goes to the (≤ 3) blocks whose range it
+overlaps, and each (session, block) group — bounded by the block size, never
+by the session — cuts its windows locally, so a hot session spreads over as
+many tasks as it has blocks.  A window is emitted only when all its samples
+and sample k·S + L (one past its end) exist — the strict "start + length <
+available" rule — so batch and stream agree.  STFT segments (W5) use the same
+block scheme on long sample tables.
 """
 
 from __future__ import annotations
