@@ -255,11 +255,12 @@ def stft_segments(
 
     ``samples``: long table (keys…, idx, value), idx = 0 … N−1.  Segments
     are hosted by blocks of ``block_hops`` hops; a sample is sent to the (≤ 2)
-    blocks whose range — the block plus one segment of look-ahead — holds it,
-    and each block rebuilds its dense stretch (absent positions are 0) and
-    slices its segments out, all in Catalyst.  Whether a segment fits before
-    the end is decided inside the block from the signal's last sample, which
-    every block that hosts a final segment holds.
+    blocks whose range — the block plus one segment of look-ahead — holds it;
+    each block rebuilds its dense stretch with one Arrow scatter per batch
+    (absent positions are 0) and slices its segments out in Catalyst.
+    Whether a segment fits before the end is decided inside the block from
+    the largest index it received: a block that does not hold the signal's end
+    receives its whole look-ahead, so all its segments pass.
     Output: keys…, ``seg``, ``segment`` ARRAY<DOUBLE>."""
     hop = nperseg - noverlap
     pad = nperseg // 2
