@@ -86,7 +86,7 @@ def sample_windows(
     overlap: float = 0.8,
     session: str = "session_id",
     start_col: str | None = None,
-    block_windows: int = 4,
+    block_windows: int | None = None,
     delay: str | None = None,
 ) -> DataFrame:
     """Overlapping windows of ``int(length·fs)`` samples every
@@ -114,8 +114,12 @@ def sample_windows(
     On a streaming DataFrame each block is keyed by its event-time end
     (session start + end of the block's needed range / fs) with a watermark
     ``delay`` behind the largest seen; in append mode a block's windows are
-    emitted once, when the watermark passes its end.
+    emitted once, when the watermark passes its end.  ``block_windows``
+    defaults to 4 in batch (≈1.25× shuffle) and 1 on streams (a window waits
+    only for its own end, ≈2× shuffle).
     """
+    if block_windows is None:
+        block_windows = 1 if frames.isStreaming else 4
     fs = F.col("sampling_rate")
     C = F.col("num_channels").cast("long")
     Fn = F.col("num_samples").cast("long")

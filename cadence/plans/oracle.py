@@ -665,22 +665,23 @@ SELECT event_id, arrival_batch AS batch_id FROM e JOIN w USING (arrival_batch) W
 
 @sql("stream_windows")
 def _():
-    # host block b = k·S div (4·L) = k div 16; its end (needed range b·64 + 80
-    # samples at 16 Hz) is 4·b + 5 s after the session start; the watermark is
-    # the largest block end seen (last frame's block, (n − 1) div 64) − 5 s
+    # streams host windows in blocks of one window length (L = 16 samples):
+    # block b = k·S div 16 = k div 4; its end (needed range b·16 + 32 samples
+    # at 16 Hz) is b + 2 s after the session start; the watermark is the
+    # largest block end seen (last frame's block, (n − 1) div 16) − 5 s
     return f"""WITH {FRAME_WINDOWS_CTE},
-mx AS (SELECT max(4 * ((n - 1) // 64) + 5) AS m FROM sess)
+mx AS (SELECT max((n - 1) // 16 + 2) AS m FROM sess)
 SELECT session_id, k, start_idx, frame_number::INTEGER AS frame_number,
        trunc(win[1])::INTEGER AS time_stamp, 16 AS num_samples, 4 AS num_channels,
        len(win)::INTEGER AS n_values, {checksum('win')} AS checksum
-FROM fw WHERE 4 * (k // 16) + 5 <= (SELECT m FROM mx) - 5"""
+FROM fw WHERE k // 4 + 2 <= (SELECT m FROM mx) - 5"""
 
 
 @sql("stream_window_scores")
 def _():
     return f"""WITH {FRAME_WINDOWS_CTE},
-mx AS (SELECT max(4 * ((n - 1) // 64) + 5) AS m FROM sess)
+mx AS (SELECT max((n - 1) // 16 + 2) AS m FROM sess)
 SELECT session_id AS sess_id, {START} + to_milliseconds(trunc(win[1])::INTEGER) AS time_in,
        trunc(win[1])::INTEGER AS time_ms,
        CASE WHEN trunc(win[1])::INTEGER % 10000 > 5000 THEN 1 ELSE 0 END AS class
-FROM fw WHERE 4 * (k // 16) + 5 <= (SELECT m FROM mx) - 5"""
+FROM fw WHERE k // 4 + 2 <= (SELECT m FROM mx) - 5"""
