@@ -610,10 +610,13 @@ def q_pad_truncate(spark, sf_dir):
     )
 
 
+TILE_BUCKETS = 16  # tile folders (hash of recording id)
+
+
 @query
 def q_tile_store(spark, sf_dir):
     z = rec_stft(spark, sf_dir)
-    path = write_tiles(z, scratch_dir(spark, "tiles"))
+    path = write_tiles(z, scratch_dir(spark, "tiles"), buckets=TILE_BUCKETS)
     back = spark.read.parquet(path)
     return back.select(
         F.col("recording_id").cast("long").alias("recording_id"), "channel", "seg", "bin", "t", "freq",

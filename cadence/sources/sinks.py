@@ -42,9 +42,20 @@ def append_results(data: DataFrame, path: str, batch_id: int | None = None) -> s
     return path
 
 
-def write_tiles(tiles: DataFrame, path: str, key: str = "recording_id") -> str:
-    """Per-recording tile store — one folder per recording."""
-    tiles.repartition(key).write.mode("append").partitionBy(key).parquet(path)
+def write_tiles(tiles: DataFrame, path: str, key: str = "recording_id", buckets: int | None = None) -> str:
+    """Tile store keyed by recording.
+
+    ``buckets=None``: one folder per recording (``key=<id>``), as the
+    reference keeps one file per recording.  With many recordings pass
+    ``buckets``: a fixed number of ``tile_bucket`` folders (hash of the key),
+    the key kept as a column.  Either way no shuffle: each task writes its own
+    rows, sorted by recording, so a recording holding most of the tiles is
+    written by many tasks, not one."""
+    if buckets:
+        out = tiles.withColumn("tile_bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(int(buckets))))
+        out.sortWithinPartitions("tile_bucket", key).write.mode("append").partitionBy("tile_bucket").parquet(path)
+    else:
+        tiles.sortWithinPartitions(key).write.mode("append").partitionBy(key).parquet(path)
     return path
 
 

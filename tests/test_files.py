@@ -36,3 +36,14 @@ def test_annotation_scan_and_label_join(spark):
     times = spark.createDataFrame([(1, i, float(t)) for i, t in enumerate([0, 5, 7.5, 8, 9, 20, 21])], "recording_id int, event_id int, t double")
     got = {r.event_id: r.code for r in interval_label(times, a, bucket_s=4.0).collect()}
     assert got == {0: 6, 1: 8, 2: 9, 3: 9, 4: 9, 5: 9, 6: 0}
+
+
+def test_tile_store_layouts(spark):
+    from cadence.sources.sinks import write_tiles
+
+    df = spark.range(0, 1000).select((F.col("id") % 7).alias("recording_id"), F.col("id").alias("v"))
+    per_rec = spark.read.parquet(write_tiles(df, scratch_dir(spark, "tiles-a")))
+    bucketed = spark.read.parquet(write_tiles(df, scratch_dir(spark, "tiles-b"), buckets=3))
+    assert per_rec.count() == bucketed.count() == 1000
+    assert bucketed.select("tile_bucket").distinct().count() <= 3
+    assert sorted(r.v for r in bucketed.where("recording_id = 5").collect()) == list(range(5, 1000, 7))
