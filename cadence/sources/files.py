@@ -94,7 +94,9 @@ def render_annotations(ann: DataFrame) -> DataFrame:
 
 
 def write_annotation_files(lines: DataFrame, path: str) -> str:
-    """One text file per ``file`` key (folder ``file=<key>``), lines sorted."""
+    """One text file per ``file`` key (folder ``file=<key>``), lines sorted.
+    A file's lines meet in one task because the format is one text file per
+    recording; annotation files are small (a line per labelled interval)."""
     (
         lines.repartition("file")
         .sortWithinPartitions("file", "o")
