@@ -672,7 +672,7 @@ def input_paths(spark, sf_dir):
     documents that have a labels row."""
     docs = B.table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
     labelled = docs.join(B.table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
-    base = lambda d: F.concat(F.lit("tuh/"), d["lang"], F.lit("/"), d["source"], F.lit("/rec_"), d["doc_id"].cast("string"))
+    base = lambda d: F.concat(F.lit("corpus/"), d["lang"], F.lit("/"), d["source"], F.lit("/rec_"), d["doc_id"].cast("string"))
     edf = docs.select(F.concat(base(docs), F.lit(".edf")).alias("path"))
     tse = labelled.select(F.explode(F.array(F.concat(base(labelled), F.lit(".tse")), F.concat(base(labelled), F.lit(".tse_bi")))).alias("path"))
     return edf.unionByName(tse)

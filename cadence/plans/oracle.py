@@ -611,7 +611,7 @@ SELECT u.cluster, n.n, u.dim, round(avg(x), 6) + 0.0 AS value FROM u JOIN n USIN
 # ---- paths -----------------------------------------------------------------------------------
 PATHS = """
 pth AS (
-  SELECT 'tuh/' || lang || '/' || source || '/rec_' || doc_id::VARCHAR AS base, doc_id,
+  SELECT 'corpus/' || lang || '/' || source || '/rec_' || doc_id::VARCHAR AS base, doc_id,
          doc_id IN (SELECT doc_id FROM labels) AS labelled
   FROM documents),
 files AS (
