@@ -40,20 +40,36 @@ def get_spark(cpus: int | str = "*", app: str = "cadence", shuffle_partitions: i
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext when the session has one (not under Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 — Spark Connect sessions expose no context
+        return None
+
+
 def _checkpoint_root(spark: SparkSession) -> str:
+    sc = _context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         # Unset only in local tests: take a private folder and publish it so
         # DataFrame.checkpoint() and our staged tables agree on one place.
         root = tempfile.mkdtemp(prefix="cadence-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
+def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return int(sc.defaultParallelism)
+    return int(spark.conf.get("spark.default.parallelism", str(fallback)))
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unique folder under the shared checkpoint root.
 

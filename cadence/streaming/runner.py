@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.session import scratch_dir
+from cadence.session import default_parallelism, scratch_dir
 
 
 def stage_files(df: DataFrame, purpose: str, files: int | None = 4, path: str | None = None) -> str:
@@ -28,7 +28,7 @@ def stream_files(spark: SparkSession, minimum: int = 4) -> int:
     """File count for staging a table as stream input: at least ``minimum``
     (so a stream sees several micro-batches), else the cluster's default
     parallelism, so each file stays a task-sized piece at any scale."""
-    return max(minimum, spark.sparkContext.defaultParallelism)
+    return max(minimum, default_parallelism(spark))
 
 
 def run_available_now(
