@@ -21,6 +21,8 @@ HEADLINE = [
     "sample_windows",     # flagship windower (W2)
     "window_scores",      # frames → windows → model → result rows
     "process_standard",   # D1 → D2 → D3 as one operator
+    "processed_windows",  # frames → W2 → D4 (time channel kept)
+    "stream_windows",     # W2 on a stream, watermarked blocks
     "spectrum",
     "interval_label",     # range join (J2)
     "stream_sliding",     # event-time stream, watermark, append
