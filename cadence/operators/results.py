@@ -85,9 +85,7 @@ def scoring_sink(sessions_path: str, data_path: str, models: dict | None = None,
         if existing is not None:
             stored = stored.unionByName(existing.select("sess_id"))
         new = register_sessions(scored, stored)
-        new.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch_id").parquet(sessions_path)
+        new.write.mode("overwrite").parquet(f"{sessions_path}/batch_id={int(batch_id)}")
         append_results(data_rows(scored), data_path, batch_id=batch_id)
         scored.unpersist()
 

@@ -36,9 +36,8 @@ def append_results(data: DataFrame, path: str, batch_id: int | None = None) -> s
     if batch_id is None:
         out.write.mode("append").partitionBy("day").parquet(path)
     else:
-        out.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch_id", "day").parquet(path)
+        # the batch owns folder batch_id=N: overwriting it replays idempotently
+        out.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch_id={int(batch_id)}")
     return path
 
 
