@@ -88,3 +88,39 @@ def ensure_utc(spark: SparkSession) -> None:
     timestamp arithmetic runs with the session time zone set to UTC."""
     if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cadence`` importable in the session's Python workers (its Arrow
+    UDFs are resolved by module name there): zip the package once per
+    application into the shared scratch folder and ``addPyFile`` it — the
+    runtime form of ``spark-submit --py-files``.  No-op when already shipped
+    or when the session exposes no SparkContext (Spark Connect ships code
+    through its own artifact mechanism)."""
+    import zipfile
+
+    sc = _context(spark)
+    if sc is None:
+        return
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = _checkpoint_root(spark)
+    if "://" in root and not root.startswith("file:"):
+        # remote shared folder: build the archive beside the driver process;
+        # addPyFile uploads it to every executor (as --py-files does)
+        target = os.path.join(tempfile.mkdtemp(prefix="cadence-pyfiles-"), "cadence.zip")
+    else:
+        target = os.path.join(scratch_dir(spark, "pyfiles").replace("file:", ""), "cadence.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.join("cadence", os.path.relpath(full, pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
