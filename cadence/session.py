@@ -37,6 +37,7 @@ def get_spark(cpus: int | str = "*", app: str = "cadence", shuffle_partitions: i
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
