@@ -118,8 +118,9 @@ def _stat_buckets(df: DataFrame, keys: list[str], x: Column, rows_per_bucket: in
         return df.withColumn("_pid", F.lit(0).cast("long"))
     side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
     j = df.withColumn("_x", x).join(side, keys, "left")
+    # NULL order values sort first, so they belong to bucket 0
     pid = F.when(
-        F.col("_w").isNotNull() & (F.col("_w") > 0),
+        F.col("_w").isNotNull() & (F.col("_w") > 0) & F.col("_x").isNotNull(),
         F.least(F.col("_nb") - 1, F.floor((F.col("_x") - F.col("_lo")) / F.col("_w"))),
     ).otherwise(F.lit(0))
     return j.withColumn("_pid", pid.cast("long")).drop("_x", "_lo", "_w", "_nb")

@@ -150,3 +150,14 @@ def test_missing_frame_suppresses_only_windows_that_need_it(spark):
     assert got.keys() == want.keys()
     assert any(k * S > 140 for k in got)  # windows after the gap are emitted
     assert all(np.allclose(got[k], want[k]) for k in want)
+
+
+def test_positions_with_null_order_values_in_hot_key(spark):
+    rows = [(1, None if i % 10 == 0 else i, i) for i in range(200)] + [(2, i, 1000 + i) for i in range(5)]
+    df = spark.createDataFrame(rows, "key int, ts int, id int")
+    got = {r.id: r.pos for r in position_within(df, ["key"], ["ts", "id"], "pos", min_rows_per_bucket=20).collect()}
+    pdf = pd.DataFrame(rows, columns=["key", "ts", "id"])
+    pdf["tsn"] = pdf["ts"].fillna(-1)  # NULLs first
+    pdf = pdf.sort_values(["key", "tsn", "id"])
+    pdf["want"] = pdf.groupby("key").cumcount()
+    assert all(got[i] == w for i, w in zip(pdf["id"], pdf["want"]))
