@@ -24,7 +24,7 @@ def _c(x):
 def make_header(
     df: DataFrame,
     *,
-    session_start: Column | str,
+    session_start: Column | str | None,
     user_name: Column | str = "user_name",
     frame_number: Column | str = "frame_number",
     time_stamp: Column | str = "time_stamp",
@@ -38,10 +38,14 @@ def make_header(
 ) -> DataFrame:
     """Add a typed ``header`` struct column, applying the defaults.
 
-    The session start must be given (batch jobs never read the wall clock);
-    a missing session id becomes user name + start time text.
+    A missing session id becomes user name + start time text.  The session
+    start should be given; ``None`` stamps the current UTC time as a live
+    producer does — nondeterministic, so batch jobs and fixtures never use it.
     """
-    start = _c(session_start).cast("timestamp_ntz")
+    if session_start is None:
+        start = F.current_timestamp().cast("timestamp_ntz")
+    else:
+        start = _c(session_start).cast("timestamp_ntz")
     micro = F.unix_micros(start.cast("timestamp")) % 1_000_000
     start_text = F.concat(
         F.date_format(start, "yyyy-MM-dd HH:mm:ss"),

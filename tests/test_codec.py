@@ -58,3 +58,15 @@ def test_malformed_are_quarantined(spark):
     assert st[4] == "ok" and st[5] == "ok"
     good, q = split_malformed(bad)
     assert good.count() == 2 and q.count() == 4
+
+
+def test_live_header_stamps_current_time(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([("u", 0)], "user string, i int")
+    h = make_header(
+        df, session_start=None, user_name=F.col("user"), frame_number=F.col("i"), time_stamp=F.col("i"),
+        channel_names=F.array(F.lit("c")), num_samples=F.lit(1), num_channels=F.lit(1),
+    ).select("header.*").first()
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert abs(h.year - now.year) <= 1 and h.session_id.startswith("u")
