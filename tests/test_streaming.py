@@ -149,3 +149,16 @@ def test_stateful_windows_with_ragged_frames(spark):
     out = run_available_now(stateful_windows(stream, 1.0, 0.8, start_col="start"), "t6-ragged-out")
     got = {(r.k, r.frame_number, tuple(r.samples)) for r in spark.read.parquet(out).collect()}
     assert got == batch and len(got) > 0
+
+
+def test_console_sink_runs(spark):
+    from cadence.sources.sinks import write_console
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(5)
+    src = stage_files(ev, "console-in", files=1)
+    q = write_console(spark.readStream.schema(ev.schema).parquet(src).select("event_id", "event_type"))
+    try:
+        q.processAllAvailable()
+        assert q.lastProgress["numInputRows"] == 5
+    finally:
+        q.stop()
