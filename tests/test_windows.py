@@ -161,3 +161,17 @@ def test_positions_with_null_order_values_in_hot_key(spark):
     pdf = pdf.sort_values(["key", "tsn", "id"])
     pdf["want"] = pdf.groupby("key").cumcount()
     assert all(got[i] == w for i, w in zip(pdf["id"], pdf["want"]))
+
+
+def test_sessions_with_different_rates(spark):
+    a, rows_a = _frames(spark, {"fast": 12}, F_=25, C=2, fs=25, seed=31)
+    b, rows_b = _frames(spark, {"slow": 9}, F_=10, C=2, fs=10, seed=32)
+    got = {(r.session_id, r.k): (r.num_samples, list(r.samples)) for r in W.sample_windows(a.unionByName(b), 1.0, 0.8).collect()}
+    want = {}
+    for rows, fs in ((rows_a, 25), (rows_b, 10)):
+        L = fs
+        S = int(float((np.float32(1.0) - np.float32(0.8)) * np.float32(1.0) * np.float32(fs)) + 0.5)
+        for (sid, k), v in _brute(rows, L, S, 2).items():
+            want[(sid, k)] = (L, v)
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == want[k][0] and np.allclose(got[k][1], want[k][1]) for k in want)
