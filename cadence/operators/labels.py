@@ -31,14 +31,22 @@ def interval_label(
     key: str = "recording_id",
     ids: tuple[str, ...] = ("event_id",),
     t: str = "t",
-    bucket_s: float = 3600.0,
+    bucket_s: float | None = None,
     code: str = "code",
 ) -> DataFrame:
     """Every row of ``times`` with ``code`` = code of the annotation
     covering ``t`` (beg ≤ t ≤ end, inclusive) with the largest ``line_no``;
-    0 when none covers it.  ``ids`` must identify a time row."""
+    0 when none covers it.  ``ids`` must identify a time row.
+
+    The result does not depend on ``bucket_s``; only the cost does (each
+    annotation is copied to ⌈length / bucket⌉ + 1 buckets).  When not given it
+    is the median annotation length — one approximate aggregate over the
+    annotation table."""
     ann = annotations.where(F.col(code).isNotNull()) if code in annotations.columns else annotations.withColumn(code, label_code(F.col("label")))
     ann = ann.where(F.col(code).isNotNull())
+    if bucket_s is None:
+        med = ann.select(F.percentile_approx(F.col("end") - F.col("beg"), 0.5).alias("m")).first()["m"]
+        bucket_s = float(med) if med is not None and med > 0 else 1.0
     b_lo = F.floor(F.col("beg") / bucket_s).cast("long")
     b_hi = F.floor(F.col("end") / bucket_s).cast("long")
     spread = ann.select(

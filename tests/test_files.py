@@ -47,3 +47,14 @@ def test_tile_store_layouts(spark):
     assert per_rec.count() == bucketed.count() == 1000
     assert bucketed.select("tile_bucket").distinct().count() <= 3
     assert sorted(r.v for r in bucketed.where("recording_id = 5").collect()) == list(range(5, 1000, 7))
+
+
+def test_interval_label_does_not_depend_on_bucket_width(spark):
+    import __spark_entry__  # noqa: F401  (repo root on the path)
+    from cadence.plans import bindings as B
+
+    sf = "/root/testdata/sf0.001"
+    times, ann = B.label_times(spark, sf), B.annotations(spark, sf)
+    base = {(r.event_id, r.code) for r in interval_label(times, ann, bucket_s=21600.0).collect()}
+    for width in (None, 500.0, 86400.0 * 40):
+        assert {(r.event_id, r.code) for r in interval_label(times, ann, bucket_s=width).collect()} == base
