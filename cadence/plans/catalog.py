@@ -759,17 +759,19 @@ def q_processed_windows(spark, sf_dir):
 
 @query
 def q_late_side_table(spark, sf_dir):
-    """T2 stream side: events arrive in three batches (one per producer
-    group, one micro-batch each); rows behind the running watermark (1 h
-    delay) are written to a side table by ``foreachBatch`` and read back."""
+    """T2 stream side: events arrive in three batches, one per producer group.
+    Each group is staged and consumed by its own availableNow run on the same
+    checkpoint (so each run is one micro-batch, whatever the file counts, and
+    every run restarts the sink, which re-reads its running maximum).  Rows
+    behind the running watermark (1 h delay) go to a side table, read back."""
     ev = B.table(spark, sf_dir, "events")
     files = stream_files(spark)
-    src = None
+    src, side = scratch_dir(spark, "late-input"), scratch_dir(spark, "late-side")
+    ckpt = scratch_dir(spark, "late-side-checkpoint")
     for b in range(len(B.ARRIVAL_GROUPS)):
-        src = stage_files(ev.where(B.arrival_batch() == b), "late-input", files=files, path=src)
-    side = scratch_dir(spark, "late-side")
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", files).parquet(src)
-    run_available_now(stream, "late-side", foreach_batch=late_rows_sink(side, "ts", 3600.0))
+        stage_files(ev.where(B.arrival_batch() == b), "late-input", files=files, path=src)
+        stream = spark.readStream.schema(ev.schema).parquet(src)
+        run_available_now(stream, "late-side", foreach_batch=late_rows_sink(side, "ts", 3600.0), checkpoint=ckpt)
     try:
         late = spark.read.parquet(f"{side}/late")
     except Exception:  # noqa: BLE001 — no late rows at all
