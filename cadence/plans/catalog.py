@@ -93,23 +93,27 @@ def sig_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_sample_windows(spark, sf_dir):
+    """W2 (flagship): overlapping windows of the frame sessions, as a scalar report."""
     return window_report(frame_windows(spark, sf_dir))
 
 
 @query
 def q_window_timestamp(spark, sf_dir):
+    """P14 (no time channel): window stamps start_idx·1000 div fs of the event signals."""
     w = sig_windows(spark, sf_dir)
     return w.select(F.col("session_id").cast("long").alias("user_id"), "k", "start_idx", "time_stamp")
 
 
 @query
 def q_rule_class(spark, sf_dir):
+    """M1: class of every header's time stamp."""
     h = B.headers(spark, sf_dir)
     return h.select("event_id", F.col("header.time_stamp").alias("time_stamp"), rule_class(F.col("header.time_stamp")).alias("class"))
 
 
 @query
 def q_event_time(spark, sf_dir):
+    """Session start from the header fields plus time_stamp ms."""
     h = B.headers(spark, sf_dir).select("event_id", "header.*")
     start = session_start()
     return h.select(
@@ -156,11 +160,13 @@ def q_window_scores(spark, sf_dir):
 # ---- frames: codec, quarantine, source ---------------------------------------
 @query
 def q_frame_decode(spark, sf_dir):
+    """Decode the frame messages (envelope, JSON header, float payload)."""
     return frame_report(decode_frames(B.frame_bytes(spark, sf_dir)))
 
 
 @query
 def q_frame_encode(spark, sf_dir):
+    """S3: encode frames and read the wire layout back (lengths, header JSON)."""
     enc = B.frame_bytes(spark, sf_dir)
     env = enc.select(split_frames(F.col("value")).alias("e"))
     h = F.from_json(F.col("e.header_text"), HEADER)
@@ -189,6 +195,7 @@ def corrupted_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_frame_quarantine(spark, sf_dir):
+    """Verdict per message, two kinds of corruption injected."""
     verdicts = classify_frames(corrupted_frames(spark, sf_dir))
     return verdicts.select("vec_id", "n_bytes", "status")
 
@@ -207,12 +214,14 @@ def q_frame_source(spark, sf_dir):
 # ---- frames: channels, time split, concat, fan-out ----------------------------
 @query
 def q_time_channel(spark, sf_dir):
+    """Index of the time channel of each frame."""
     f = B.frame_rows(spark, sf_dir)
     return f.select("session_id", "frame_number", time_channel_idx(F.col("channel_names")).alias("time_idx"))
 
 
 @query
 def q_split_time(spark, sf_dir):
+    """Time channel and signal channels of each frame."""
     f = B.frame_rows(spark, sf_dir).withColumn("time_idx", time_channel_idx(F.col("channel_names")))
     parts = split_time(f)
     return parts.select(
@@ -228,6 +237,7 @@ def q_split_time(spark, sf_dir):
 
 @query
 def q_channel_subset(spark, sf_dir):
+    """The channels whose label contains EEG."""
     f = B.frame_rows(spark, sf_dir)
     kept = channels_like(f, "EEG")
     return kept.select(
@@ -257,11 +267,13 @@ def q_block_concat(spark, sf_dir):
 
 @query
 def q_fanout(spark, sf_dir):
+    """Windows per input frame, per session."""
     return W.fanout(B.frame_rows(spark, sf_dir), frame_windows(spark, sf_dir))
 
 
 @query
 def q_relayout(spark, sf_dir):
+    """Channel-major recordings to sample-major rows."""
     s = recordings_to_samples(B.recordings(spark, sf_dir))
     return s.select(
         "recording_id",
@@ -274,12 +286,14 @@ def q_relayout(spark, sf_dir):
 # ---- headers -----------------------------------------------------------------
 @query
 def q_header_build(spark, sf_dir):
+    """Headers with defaults from the events."""
     h = B.headers(spark, sf_dir).select("event_id", "header.*")
     return h.withColumn("channel_names", F.array_join("channel_names", ","))
 
 
 @query
 def q_header_json(spark, sf_dir):
+    """Header JSON round trip, plus the events' props JSON."""
     h = B.headers(spark, sf_dir)
     j = h.select("event_id", "props", header_to_json(F.col("header")).alias("header_json"), "header")
     back = j.withColumn("_back", parse_header(F.col("header_json")))
@@ -295,6 +309,7 @@ def q_header_json(spark, sf_dir):
 
 @query
 def q_route_by_model(spark, sf_dir):
+    """Messages routed to ml.<model>, written per route, counted."""
     h = B.headers(spark, sf_dir).select("event_id", "header.*")
     routed = route_by_model(h)
     out = write_routed(routed.select("route", "session_id", "frame_number", "time_stamp"), scratch_dir(spark, "routes"))
@@ -310,6 +325,7 @@ def dispatch_fixture_models():
 
 @query
 def q_dispatch_model(spark, sf_dir):
+    """Each header scored by the model it names (unserved held back)."""
     h = B.headers(spark, sf_dir).select("event_id", "header.*")
     scored = dispatch_model(h, models=dispatch_fixture_models(), keep_unserved=False)
     return scored.select("event_id", F.col("ML_model").alias("ml_model"), "class")
@@ -322,6 +338,7 @@ def scored_events(spark, sf_dir):
 
 @query
 def q_result_append(spark, sf_dir):
+    """Result rows appended to a day-partitioned table and read back."""
     out = append_results(data_rows(scored_events(spark, sf_dir)), scratch_dir(spark, "data-table"))
     return spark.read.parquet(out).select("sess_id", "time_in", "time_ms", "class")
 
@@ -335,17 +352,20 @@ def existing_sessions(spark, sf_dir):
 
 @query
 def q_new_sessions(spark, sf_dir):
+    """Sessions not yet stored."""
     cands = first_per_session(scored_events(spark, sf_dir))
     return new_sessions(cands, existing_sessions(spark, sf_dir)).select("sess_id")
 
 
 @query
 def q_register_sessions(spark, sf_dir):
+    """The sessions rows to insert (first row per new session)."""
     return register_sessions(scored_events(spark, sf_dir), existing_sessions(spark, sf_dir))
 
 
 @query
 def q_fk_check(spark, sf_dir):
+    """Result rows whose session is not stored."""
     return fk_orphans(data_rows(scored_events(spark, sf_dir)), existing_sessions(spark, sf_dir))
 
 
@@ -358,26 +378,31 @@ def w64_long(df: DataFrame, col: str = "processed", extra: tuple[str, ...] = ())
 
 @query
 def q_bandstop(spark, sf_dir):
+    """Mains band-stop over single-channel windows."""
     return w64_long(dsp.transform_windows(B.windows64(spark, sf_dir), "bandstop"))
 
 
 @query
 def q_highpass(spark, sf_dir):
+    """Drift high-pass over single-channel windows."""
     return w64_long(dsp.transform_windows(B.windows64(spark, sf_dir), "highpass"))
 
 
 @query
 def q_spectrum(spark, sf_dir):
+    """D3: |FFT| of every window, all bins."""
     return w64_long(dsp.transform_windows(B.windows64(spark, sf_dir), "spectrum"))
 
 
 @query
 def q_process_standard(spark, sf_dir):
+    """Band-stops → high-pass → |FFT| as one operator."""
     return w64_long(dsp.transform_windows(B.windows64(spark, sf_dir), "standard"))
 
 
 @query
 def q_dispatch_processing(spark, sf_dir):
+    """Each window through the processor its header names."""
     w = B.windows64(spark, sf_dir).withColumn(
         "preprocessing", F.when(F.col("label") < 5, F.lit("standard")).otherwise(F.lit("spectrum"))
     )
@@ -388,12 +413,14 @@ def q_dispatch_processing(spark, sf_dir):
 # ---- sig: sample time, frequency axis, per-window UDF, whole-signal ops -------
 @query
 def q_sample_time(spark, sf_dir):
+    """Sample time n / fs."""
     s = B.sig(spark, sf_dir)
     return s.select("user_id", "sample_idx", (F.col("sample_idx") / F.lit(float(B.SIG_FS))).alias("t"))
 
 
 @query
 def q_freq_axis(spark, sf_dir):
+    """FFT bin frequencies of the event-signal windows."""
     w = sig_windows(spark, sf_dir)
     b = w.select(
         F.col("session_id").cast("long").alias("user_id"), "k", "num_samples", "sampling_rate",
@@ -411,6 +438,7 @@ def _window_stats(session, k, X):
 
 @query
 def q_window_udf(spark, sf_dir):
+    """A user function (mean / max) over every window."""
     frames = W.samples_as_frames(B.sig(spark, sf_dir), "user_id", "sample_idx", "value", B.SIG_FS)
     schema = "user_id long, k long, n long, mean double, max double"
     return W.apply_per_window(frames, _window_stats, schema, B.SIG_LENGTH_S, B.SIG_OVERLAP, start_col="start")
@@ -424,6 +452,7 @@ SIG_FILTER_BLOCK = 1 << 16
 
 @query
 def q_filter_recording(spark, sf_dir):
+    """Continuous-state filter over each whole signal."""
     s = B.sig(spark, sf_dir).select("user_id", "sample_idx", "value")
     y = dsp.filter_signals(s, ["user_id"], "sample_idx", "value", float(B.SIG_FS), "filters", SIG_FILTER_BLOCK)
     return y.select("user_id", "sample_idx", r6(F.col("filtered")).alias("filtered"))
@@ -431,6 +460,7 @@ def q_filter_recording(spark, sf_dir):
 
 @query
 def q_stft_segments(spark, sf_dir):
+    """Zero-extended STFT segments of each signal."""
     s = B.sig(spark, sf_dir).select("user_id", "sample_idx", "value")
     segs = W.stft_segments(s, ["user_id"], "sample_idx", "value", B.SIG_FS, int(B.SIG_FS * 4 / 5))
     return segs.select("user_id", "seg", F.size("segment").alias("n_values"), weighted_checksum(F.col("segment")).alias("checksum"))
@@ -438,6 +468,7 @@ def q_stft_segments(spark, sf_dir):
 
 @query
 def q_stft(spark, sf_dir):
+    """STFT of each signal (periodic Hann, one-sided, scaled by 1/Σw)."""
     s = B.sig(spark, sf_dir).select("user_id", "sample_idx", "value")
     z = dsp.stft(s, ["user_id"], "sample_idx", "value", float(B.SIG_FS))
     return z.select("user_id", "seg", "bin", "t", "freq", r6(F.col("re")).alias("re"), r6(F.col("im")).alias("im"))
@@ -450,6 +481,7 @@ def _sum_value():
 
 @query
 def q_sliding_time(spark, sf_dir):
+    """2 h / 1 h event-time windows per user."""
     t = B.timed(spark, sf_dir)
     aggs = [F.count(F.lit(1)).alias("n_events"), _sum_value().alias("sum_value")]
     return W.time_windows(t, "ts", "2 hours", "1 hour", ["user_id"], aggs)
@@ -457,6 +489,7 @@ def q_sliding_time(spark, sf_dir):
 
 @query
 def q_global_sliding(spark, sf_dir):
+    """Unkeyed 2 h / 1 h windows with combinable aggregates."""
     t = B.timed(spark, sf_dir)
     order = F.struct("ts", "event_id")
     aggs = [
@@ -495,6 +528,7 @@ def stage_events(spark, sf_dir, copies: int) -> str:
 
 @query
 def q_late_split(spark, sf_dir):
+    """T2 (batch rule): rows behind the watermark of the earlier arrival batches."""
     t = B.timed(spark, sf_dir).withColumn("arrival_batch", B.arrival_batch())
     return split_late(t, "ts", "arrival_batch", 3600.0).select("event_id", "arrival_batch", "is_late")
 
@@ -514,6 +548,7 @@ TTL_DAYS = 7
 
 @query
 def q_ttl_filter(spark, sf_dir):
+    """T4: messages received within 7 days of the newest."""
     t = B.timed(spark, sf_dir)
     as_of = t.select(F.max("ts")).scalar()
     return drop_expired(t, "ts", TTL_DAYS * 86400.0, as_of).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
@@ -537,17 +572,20 @@ ANNOTATION_BUCKET_S = B.ANNOTATION_HOURS * 3600.0
 
 @query
 def q_label_code(spark, sf_dir):
+    """Annotation label → class code."""
     a = B.annotations(spark, sf_dir)
     return a.select("line_no", "label", label_code(F.col("label")).alias("code"))
 
 
 @query
 def q_class_counts(spark, sf_dir):
+    """A2: background vs seizure annotation lines per recording."""
     return class_counts(B.annotations(spark, sf_dir))
 
 
 @query
 def q_interval_label(spark, sf_dir):
+    """Class code of every event time from the covering annotations."""
     return interval_label(B.label_times(spark, sf_dir), B.annotations(spark, sf_dir), bucket_s=ANNOTATION_BUCKET_S)
 
 
@@ -582,6 +620,7 @@ def q_training_table(spark, sf_dir):
 # ---- recordings: catalogue, correlation, features, tiles, padding -------------------
 @query
 def q_channel_catalog(spark, sf_dir):
+    """A4: sorted channel labels per recording."""
     c = channel_catalog(B.recordings(spark, sf_dir))
     return c.select("recording_id", F.size("channels").alias("n_channels"), F.array_join("channels", ",").alias("channels"))
 
@@ -592,17 +631,20 @@ def rec_stft(spark, sf_dir):
 
 @query
 def q_channel_corr(spark, sf_dir):
+    """A5: |complex correlation| of channel pairs per STFT frame."""
     c = channel_corr(rec_stft(spark, sf_dir))
     return c.select("recording_id", "seg", "ch_a", "ch_b", r6(F.col("corr")).alias("corr"))
 
 
 @query
 def q_corr_features(spark, sf_dir):
+    """M3: eigenvalue features (width 32) per STFT frame."""
     return corr_features(rec_stft(spark, sf_dir))
 
 
 @query
 def q_pad_truncate(spark, sf_dir):
+    """Positive samples padded / cut to 32."""
     r = B.recordings(spark, sf_dir)
     v = pad_truncate(F.filter("samples", lambda x: x > 0), 32)
     return r.select("recording_id", "channel", F.posexplode(v).alias("pos", "value")).select(
@@ -636,6 +678,7 @@ def vectors(spark, sf_dir):
 
 @query
 def q_kmeans_train(spark, sf_dir):
+    """M4: k-means (k = 2, seed 0) over the vectors; cluster per vector."""
     v = vectors(spark, sf_dir).withColumn("features", as_vector("v"))
     model = train_kmeans(v, "features", KMEANS_K, 0)
     return model.transform(v).select("vec_id", F.col("cluster").cast("int").alias("cluster"))
@@ -643,6 +686,7 @@ def q_kmeans_train(spark, sf_dir):
 
 @query
 def q_assign_cluster(spark, sf_dir):
+    """M6: nearest of the first k vectors."""
     v = vectors(spark, sf_dir)
     cents = first_k_centroids(v, "v", "vec_id", KMEANS_K)
     return assign_cluster(v, "v", cents).select("vec_id", "cluster", r6(F.col("dist")).alias("dist"))
@@ -650,6 +694,7 @@ def q_assign_cluster(spark, sf_dir):
 
 @query
 def q_minibatch_update(spark, sf_dir):
+    """M5: one mini-batch step from those centroids."""
     v = vectors(spark, sf_dir)
     cents = first_k_centroids(v, "v", "vec_id", KMEANS_K)
     return update_kmeans(v, "v", cents).select("cluster", "n", "dim", r6(F.col("value")).alias("value"))
@@ -657,6 +702,7 @@ def q_minibatch_update(spark, sf_dir):
 
 @query
 def q_model_roundtrip(spark, sf_dir):
+    """Model saved, loaded, and both score the vectors."""
     v = vectors(spark, sf_dir).withColumn("features", as_vector("v"))
     model = train_kmeans(v, "features", KMEANS_K, 0)
     path = save_model(model, scratch_dir(spark, "kmeans-model"))
@@ -680,11 +726,13 @@ def input_paths(spark, sf_dir):
 
 @query
 def q_list_inputs(spark, sf_dir):
+    """Recordings and annotation files of the corpus listing."""
     return list_inputs(input_paths(spark, sf_dir))
 
 
 @query
 def q_pair_inputs(spark, sf_dir):
+    """Recordings paired with annotation files by stem."""
     pairs, _unmatched = pair_inputs(list_inputs(input_paths(spark, sf_dir)))
     return pairs
 
@@ -694,6 +742,7 @@ SKIP_FIRST = 100
 
 @query
 def q_skip_inputs(spark, sf_dir):
+    """O2: recordings after the first 100 by path."""
     edf = list_inputs(input_paths(spark, sf_dir)).where(F.col("kind") == "edf").select("path")
     return skip_first(edf, ["path"], SKIP_FIRST)
 
