@@ -535,6 +535,7 @@ def q_late_split(spark, sf_dir):
 
 @query
 def q_stream_dedup(spark, sf_dir):
+    """Events delivered twice, deduplicated on a stream within the watermark."""
     schema = B.table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).parquet(stage_events(spark, sf_dir, 2))
     dedup = dedup_frames(stream, ["user_id", "event_id"], "ts", STREAM_DELAY)
@@ -657,6 +658,7 @@ TILE_BUCKETS = 16  # tile folders (hash of recording id)
 
 @query
 def q_tile_store(spark, sf_dir):
+    """Recording STFT tiles written to the tile store and read back."""
     z = rec_stft(spark, sf_dir)
     path = write_tiles(z, scratch_dir(spark, "tiles"), buckets=TILE_BUCKETS)
     back = spark.read.parquet(path)
