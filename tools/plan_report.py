@@ -21,6 +21,20 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 PY_NODES = ("ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas", "FlatMapGroupsInPandasWithState", "FlatMapGroupsInArrow")
 
 
+def final_section(plan: str) -> str:
+    """Tree and details of the final adaptive plan only (drops the
+    "Initial Plan" subtree and the details of its nodes)."""
+    if "== Final Plan ==" not in plan:
+        return plan
+    tree_end = plan.index("== Initial Plan ==") if "== Initial Plan ==" in plan else len(plan)
+    tree = plan[: tree_end]
+    ids = set(re.findall(r"\((\d+)\)", tree[plan.index("== Final Plan =="):]))
+    details = plan[plan.index("\n\n", tree_end) if "\n\n" in plan[tree_end:] else tree_end :]
+    blocks = re.split(r"\n(?=\(\d+\) )", details)
+    keep = [b for b in blocks if (m := re.match(r"\((\d+)\) ", b)) and m.group(1) in ids]
+    return tree + "\n" + "\n".join(keep)
+
+
 def summarise(plan: str) -> dict:
     heads = re.findall(r"^\(\d+\) (\S+(?: \S+)?)", plan, flags=re.M)
     names = [h.split(" [")[0] for h in heads]
@@ -47,6 +61,7 @@ def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.1")
     ap.add_argument("--out", default="PLANS.md")
+    ap.add_argument("--final", action="store_true", help="execute each query first and report its final adaptive plan")
     ap.add_argument("keys", nargs="*")
     a = ap.parse_args()
     from cadence.plans.catalog import QUERIES
@@ -56,14 +71,20 @@ def main():
     rows = []
     for k in a.keys or sorted(QUERIES):
         df = QUERIES[k](spark, a.sf)
+        if a.final:
+            # run this DataFrame's own query execution in the JVM (no rows
+            # into Python) so AQE settles its final plan
+            df._jdf.queryExecution().toRdd().count()
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             df.explain("formatted")
-        rows.append((k, summarise(buf.getvalue())))
+        text = buf.getvalue()
+        rows.append((k, summarise(final_section(text) if a.final else text)))
         print(k, rows[-1][1]["shuffles"], flush=True)
     with open(a.out, "w") as fh:
         fh.write("# Physical plans of the registered queries\n\n")
-        fh.write(f"Generated by `tools/plan_report.py` at `{a.sf}` (initial adaptive plans).\n")
+        kind = "final adaptive plans, after execution" if a.final else "initial adaptive plans"
+        fh.write(f"Generated by `tools/plan_report.py{' --final' if a.final else ''}` at `{a.sf}` ({kind}).\n")
         fh.write("Shuffles = `Exchange` nodes; Python = Arrow / pandas stages (all batch-vectorised).\n\n")
         fh.write("| query | shuffles | broadcasts | codegen stages | Python stages | tables | pushed filters | widest read schema |\n")
         fh.write("|---|---|---|---|---|---|---|---|\n")
