@@ -104,8 +104,9 @@ def _order_number(df: DataFrame, col: str) -> Column | None:
     return None
 
 
-def _stat_buckets(df: DataFrame, keys: list[str], x: Column, rows_per_bucket: int) -> DataFrame:
-    """Add ``_pid`` from exact per-key statistics (see module doc)."""
+def _stat_buckets(df: DataFrame, keys: list[str], x: Column, rows_per_bucket: int) -> tuple[DataFrame, bool]:
+    """Add ``_pid`` from exact per-key statistics (see module doc); the flag
+    tells whether any key was split at all."""
     hot = (
         df.select(*keys, x.alias("_x"))
         .groupBy(*keys)
@@ -115,7 +116,7 @@ def _stat_buckets(df: DataFrame, keys: list[str], x: Column, rows_per_bucket: in
     )
     n_hot = hot.count()
     if n_hot == 0:
-        return df.withColumn("_pid", F.lit(0).cast("long"))
+        return df.withColumn("_pid", F.lit(0).cast("long")), False
     side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
     j = df.withColumn("_x", x).join(side, keys, "left")
     # NULL order values sort first, so they belong to bucket 0
@@ -123,7 +124,7 @@ def _stat_buckets(df: DataFrame, keys: list[str], x: Column, rows_per_bucket: in
         F.col("_w").isNotNull() & (F.col("_w") > 0) & F.col("_x").isNotNull(),
         F.least(F.col("_nb") - 1, F.floor((F.col("_x") - F.col("_lo")) / F.col("_w"))),
     ).otherwise(F.lit(0))
-    return j.withColumn("_pid", pid.cast("long")).drop("_x", "_lo", "_w", "_nb")
+    return j.withColumn("_pid", pid.cast("long")).drop("_x", "_lo", "_w", "_nb"), True
 
 
 def prefix_sum_within(
@@ -151,18 +152,23 @@ def prefix_sum_within(
     v = F.lit(1).cast("long") if value is None else _as_col(value)
     x = _order_number(df, order_names[0])
     if x is not None and buckets is None:
-        staged = _stat_buckets(df, keys, x, rows_per_bucket).withColumn("_pv", v)
+        staged, split = _stat_buckets(df, keys, x, rows_per_bucket)
+        staged = staged.withColumn("_pv", v)
     else:
         nb = min(buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200")), MAX_TREE_BUCKETS)
         cols = keys + order_names
         bounds = bucket_bounds(df, cols, nb, min_rows=rows_per_bucket)
         staged = df.withColumn("_pv", v).withColumn("_pid", bucket_of(df, cols, bounds))
+        split = bool(bounds)
     frame = (
         Window.partitionBy(*keys, "_pid")
         .orderBy(*[F.col(c) for c in order_names])
         .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     )
     local = staged.withColumn("_loc", F.coalesce(F.sum("_pv").over(frame), F.lit(0)))
+    if not split:
+        # no key was split: one bucket per key, so every offset is 0
+        return local.withColumn(name, F.col("_loc").cast("long")).drop("_pv", "_pid", "_loc")
 
     # At most (#buckets + #keys) rows: totals per key and bucket, then the
     # offsets from the buckets before it.  AQE broadcasts it when small.

@@ -129,7 +129,8 @@ def test_stat_buckets_split_hot_key(spark):
     n = 20000
     pdf = pd.DataFrame({"key": np.where(rng.random(n) < 0.5, 7, rng.integers(0, 100, n)), "ts": rng.permutation(n)})
     df = spark.createDataFrame(pdf)
-    b = _stat_buckets(df, ["key"], F.col("ts").cast("double"), 500)
+    b, split = _stat_buckets(df, ["key"], F.col("ts").cast("double"), 500)
+    assert split
     sizes = b.groupBy("key", "_pid").count().toPandas()
     assert sizes[sizes.key == 7]["_pid"].nunique() >= 15
     assert sizes["count"].max() < 1500
