@@ -268,7 +268,8 @@ def q_block_concat(spark, sf_dir):
 @query
 def q_fanout(spark, sf_dir):
     """Windows per input frame, per session."""
-    return W.fanout(B.frame_rows(spark, sf_dir), frame_windows(spark, sf_dir))
+    frames = B.frame_rows(spark, sf_dir)  # one binding feeds both counts
+    return W.fanout(frames, W.sample_windows(frames, B.FRAMES_LENGTH_S, B.FRAMES_OVERLAP))
 
 
 @query
