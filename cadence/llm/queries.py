@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import simhash
+from cadence.llm import simhash, toxicity
 from cadence.llm.common import prepared
 
 
@@ -20,7 +20,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score, learnt from the labels outside the held-out quarter."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(toxicity.labelled_sample(docs, table(spark, sf_dir, "labels")))
+    return toxicity.scored(docs.select("doc_id", "text"), model).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES = {
+    "op5_toxicity": op5_toxicity,
     "op3_simhash": op3_simhash,
 }
 
