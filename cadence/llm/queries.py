@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import simhash, toxicity
+from cadence.llm import decontaminate, simhash, toxicity
 from cadence.llm.common import prepared
 
 
@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, re-parameterised ones included."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with fingerprint and near-duplicate class."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), simhash.SHINGLE, simhash.MAX_BITS)
@@ -28,6 +33,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op5_toxicity": op5_toxicity,
     "op3_simhash": op3_simhash,
 }
