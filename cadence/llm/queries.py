@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import decontaminate, simhash, toxicity
+from cadence.llm import decontaminate, simhash, tokens, toxicity
 from cadence.llm.common import prepared
 
 
@@ -32,7 +32,15 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs.select("doc_id", "text"), model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum in the token files."""
+    import public_tokenizers
+
+    return tokens.tokenised(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
+    "op6_tokens": op6_tokens,
     "op1_decontaminate": op1_decontaminate,
     "op5_toxicity": op5_toxicity,
     "op3_simhash": op3_simhash,
