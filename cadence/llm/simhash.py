@@ -40,6 +40,8 @@ MAX_BITS = 4
 GROUPS = 8
 SEED = 42
 PIVOTS = 3
+#: Names of crowded cells (8 bytes each) that are sent to every task; more are joined by shuffle.
+BROADCAST_CELLS = 1_000_000
 _LOW = 0x5555555555555555
 
 
@@ -94,7 +96,7 @@ def _signed(x: int) -> int:
 
 
 def cells(fps: DataFrame, max_bits: int, groups: int = GROUPS) -> DataFrame:
-    """One row (cell, fp, rep) per fingerprint and choice of groups.  A cell's
+    """One row (cell, fp) per fingerprint and choice of groups.  A cell's
     name hashes the choice and the counts on it; two cells that share a name
     by accident only add tests, never links."""
     if not 0 <= max_bits < groups or 64 % groups:
@@ -105,9 +107,9 @@ def cells(fps: DataFrame, max_bits: int, groups: int = GROUPS) -> DataFrame:
         _signed(sum(one << (g * width) for g in chosen))
         for chosen in itertools.combinations(range(groups), groups - max_bits)
     ]
-    code = fps.select("fp", "rep", thermometer(F.col("fp")).alias("code"))
+    code = fps.select("fp", thermometer(F.col("fp")).alias("code"))
     picked = code.withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
-    return picked.select(F.xxhash64("mask", F.col("code").bitwiseAND(F.col("mask"))).alias("cell"), "fp", "rep")
+    return picked.select(F.xxhash64("mask", F.col("code").bitwiseAND(F.col("mask"))).alias("cell"), "fp")
 
 
 def _close(a, b, max_bits: int):
@@ -121,23 +123,42 @@ def link_classes(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """fps: (fp, rep), fp distinct.  Returns (node, component) over the reps
     of every class that has a link."""
     every = cells(fps, max_bits)
-    # cells of one fingerprint link nothing and go at once
-    crowd = every.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cell")
-    held = staged(every.join(crowd, "cell", "left_semi"), "simhash-members")
+    # one grouped pass: cells of one member link nothing, cells of two are
+    # their smallest and largest, only larger ones are listed
+    size = staged(
+        every.groupBy("cell")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("lo"), F.max("fp").alias("hi"))
+        .where((F.col("n") > 2) | ((F.col("n") == 2) & _close(F.col("lo"), F.col("hi"), max_bits))),
+        "simhash-cells",
+    )
+    pairs = size.where("n = 2")
+    crowd = size.where("n > 2").select("cell")
+    few_cells = crowd.count() <= BROADCAST_CELLS
+    held = staged(every.join(F.broadcast(crowd) if few_cells else crowd, "cell", "left_semi"), "simhash-members")
     # pivots of a cell: its smallest members under a few fixed scrambles, by
     # grouped minima (pre-aggregated, whatever the cell's size)
-    member = F.struct("fp", "rep")
     pivots = (
         held.groupBy("cell")
-        .agg(*[F.min_by(member, F.xxhash64("fp", F.lit(i))).alias(f"p{i}") for i in range(PIVOTS)])
+        .agg(*[F.min_by("fp", F.xxhash64("fp", F.lit(i))).alias(f"p{i}") for i in range(PIVOTS)])
         .select("cell", F.array_distinct(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("ps"))
     )
-    near = held.join(pivots, "cell").select("fp", "rep", F.explode("ps").alias("p"))
-    near = near.where(_close(F.col("fp"), F.col("p.fp"), max_bits) & (F.col("rep") != F.col("p.rep")))
-    first = staged(near.select(F.col("rep").alias("a"), F.col("p.rep").alias("b")).distinct(), "simhash-links")
+    near = held.join(pivots, "cell").select(
+        "fp", F.explode(F.filter("ps", lambda p: (p != F.col("fp")) & _close(p, F.col("fp"), max_bits))).alias("p")
+    )
+    of = lambda links, a, b: (  # noqa: E731  from fingerprints to their reps
+        links.select(F.col(a).alias("fp"), F.col(b).alias("other"))
+        .distinct()
+        .join(fps, "fp")
+        .select(F.col("rep").alias("a"), F.col("other").alias("fp"))
+        .join(fps, "fp")
+        .select("a", F.col("rep").alias("b"))
+    )
+    first = staged(of(pairs, "lo", "hi").unionByName(of(near, "fp", "p")), "simhash-links")
     known = staged(components(first), "simhash-classes")
-    cls = F.coalesce("component", "rep").alias("cls")
-    classed = held.join(known.withColumnRenamed("node", "rep"), "rep", "left").select("cell", "fp", "rep", cls)
+    classes = fps.join(known, fps.rep == known.node, "left").select(
+        "fp", F.coalesce("component", "rep").alias("cls")
+    )
+    classed = held.join(classes, "fp").select("cell", "fp", "cls")
     # what still lies in a cell with another class: few beside the largest class
     tally = classed.groupBy("cell", "cls").agg(F.count(F.lit(1)).alias("k"))
     mixed = (
