@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import decontaminate, simhash, tokens, toxicity
+from cadence.llm import decontaminate, mixing, simhash, tokens, toxicity
 from cadence.llm.common import prepared
 
 
@@ -39,11 +39,19 @@ def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.tokenised(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schedule of documents that mixes the sources to the target entropy."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    plan = mixing.mixed(docs, mixing.ENTROPY, mixing.MAX_REPEAT)
+    return plan.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "epoch", "block_rank", "n_tokens")
+
+
 QUERIES = {
+    "op4_mixing": op4_mixing,
     "op6_tokens": op6_tokens,
     "op1_decontaminate": op1_decontaminate,
     "op5_toxicity": op5_toxicity,
     "op3_simhash": op3_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_mixing": mixing.sql()}
