@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import decontaminate, mixing, simhash, tokens, toxicity
+from cadence.llm import decontaminate, mixing, pii, simhash, tokens, toxicity
 from cadence.llm.common import prepared
 
 
@@ -19,6 +19,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base counts and checksum, and all spans."""
+    return pii.digest(pii.sanitised(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with fingerprint and near-duplicate class."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), simhash.SHINGLE, simhash.MAX_BITS)
@@ -47,6 +52,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_pii": op2_pii,
     "op4_mixing": op4_mixing,
     "op6_tokens": op6_tokens,
     "op1_decontaminate": op1_decontaminate,
