@@ -22,11 +22,11 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+def staged(df: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back: cuts
     the lineage, survives lost executors, and is computed one time only."""
     path = scratch_dir(df.sparkSession, purpose) + "/t"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

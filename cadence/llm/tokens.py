@@ -19,6 +19,8 @@ speculative tasks and lost executors leave at most unlisted files.
 
 from __future__ import annotations
 
+import itertools
+import json
 import re
 import uuid
 import zlib
@@ -27,6 +29,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,7 +40,9 @@ from cadence.llm.common import prepared, scratch_dir, staged, text_or_empty
 END_ID = 0
 SHARD_IDS = 4_000_000
 BLOCK_IDS = 1 << 18
-MEMO = 900_000
+MEMO = 1_200_000
+#: Characters that a task gathers before it looks pieces up.
+BATCH_CHARS = 6_000_000
 MAGIC = b"SVBRANK1"
 
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.int64) + 1
@@ -68,6 +74,21 @@ def unpack(block: memoryview, at: int = 0) -> tuple[np.ndarray, int]:
     return v & _MASKS[length], at + 8 + n_control + size
 
 
+#: Marks that end a word; a run of them is one pre-token of its own.
+MARKS = ".,;:!?"
+
+
+def _byte_letters() -> dict[int, int]:
+    """The byte-level alphabet: printable Latin-1 stands for itself, other
+    bytes for the letters from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
 @lru_cache(maxsize=4)
 def _encoder(path: str):
     return Encoder(path)
@@ -75,8 +96,9 @@ def _encoder(path: str):
 
 class Encoder:
     """Ids of whole texts.  The pre-tokeniser never joins a non-blank with a
-    space after it, so a text is the concatenation of pieces that each start
-    with such a space; ids of pieces seen are kept, up to a bound."""
+    space after it, so the ids of a text are those of its pieces, cut before
+    each such space.  Ids of pieces seen are kept, up to a bound, in one flat
+    array; a batch looks each different piece up once and gathers by numpy."""
 
     def __init__(self, path: str):
         import os
@@ -87,30 +109,100 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.kind = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
-        self.memo: dict[str, bytes] = {}
-        self.odd = re.compile(r"^\s|\s $|\s ")
+        self.odd = re.compile(r"^\s|\s ")
         self.cut = re.compile(r"(?<=\S)(?= )")
-
-    def pieces(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if self.odd.search(text) or text[-1] == " ":
-            return self.cut.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]]
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) for t in texts]
-        memo = self.memo
-        new = list({p for c in cut for p in c if p not in memo})
-        if len(memo) + len(new) > MEMO:
-            memo.clear()
-            new = list({p for c in cut for p in c})
+        # byte-level vocabularies: a space and letters, or a run of marks, is one
+        # pre-token, and goes straight to the library's model
+        form = json.loads(self.tok.to_str())
+        level = form["pre_tokenizer"] or {}
+        plain = level.get("type") == "ByteLevel" and level.get("use_regex") and not level.get("add_prefix_space")
+        self.direct = bool(plain and not form["normalizer"] and form["model"]["type"] == "BPE")
+        self.model = self.tok.model
+        self.marks: dict[str, list[int]] = {}
+        self._clear()
+
+    def _clear(self) -> None:
+        self.first: dict[str, int] = {}  # pieces at the start of a text
+        self.later: dict[str, int] = {}  # further pieces, without their space
+        self.flat = np.zeros(1 << 16, self.kind)
+        self.end = np.zeros(1 << 14, np.int64)  # end[i]: where piece i - 1 ends
+        self.n = 0
+
+    def _known(self, memo: dict[str, int], keys: list[str], lead: str) -> np.ndarray:
+        """Numbers of the pieces lead + key."""
+        new = [k for k in keys if k not in memo]
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            for p, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                memo[p] = np.array(e.ids, dtype=self.kind).tobytes()
-        return [b"".join([memo[p] for p in c]) for c in cut]
+            ids = self._encode([lead + k for k in part])
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            used, more = int(self.end[self.n]), int(size.sum())
+            while used + more > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            while self.n + len(part) >= len(self.end):
+                self.end = np.concatenate([self.end, np.zeros_like(self.end)])
+            self.flat[used : used + more] = np.fromiter(itertools.chain.from_iterable(ids), self.kind, more)
+            self.end[self.n + 1 : self.n + 1 + len(part)] = used + np.cumsum(size)
+            memo.update(zip(part, range(self.n, self.n + len(part))))
+            self.n += len(part)
+        return np.fromiter(map(memo.__getitem__, keys), np.int64, len(keys))
+
+    def _encode(self, pieces: list[str]) -> list[list[int]]:
+        ids: list[list[int] | None] = [None] * len(pieces)
+        if self.direct:
+            for i, piece in enumerate(pieces):
+                word = piece.rstrip(MARKS)
+                if word[1:].isalpha() and (word[0] == " " or word[0].isalpha()):
+                    ids[i] = self._model(word) + self._marks(piece[len(word) :])
+        rest = [i for i, x in enumerate(ids) if x is None]
+        for i, e in zip(rest, self.tok.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)):
+            ids[i] = e.ids
+        return ids
+
+    def _model(self, pre_token: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(pre_token.encode().decode("latin-1").translate(BYTE_LETTERS))]
+
+    def _marks(self, run: str) -> list[int]:
+        if run not in self.marks:
+            if len(self.marks) > 10_000:
+                self.marks.clear()
+            self.marks[run] = self._model(run) if run else []
+        return self.marks[run]
+
+    def batch(self, texts: list[str], end: bytes = b"") -> list[bytes]:
+        """The ids of every text, ``end`` behind each."""
+        if self.n > MEMO:
+            self._clear()
+        heads, rests = [], []
+        for t in texts:
+            if self.odd.search(t) or t[-1:] == " ":
+                head, *more = self.cut.split(t)
+                rests.append([m[1:] for m in more])
+            else:
+                head, *more = t.split(" ", 1)
+                rests.append(more[0] if more else None)
+            heads.append(head)
+        plain = pc.split_pattern(pa.array([r if isinstance(r, str) else None for r in rests], pa.large_string()), " ")
+        odd = pa.array([r if isinstance(r, list) else None for r in rests], pa.large_list(pa.large_string()))
+        parts = [plain.flatten().dictionary_encode(), odd.flatten().dictionary_encode()]
+        numbers = [self._known(self.later, p.dictionary.to_numpy(zero_copy_only=False).tolist(), " ")[p.indices.to_numpy()] for p in parts]
+        counts = [pc.fill_null(pc.list_value_length(x), 0).to_numpy() for x in (plain, odd)]
+        first = self._known(self.first, list(dict.fromkeys(heads)), "")
+        first = dict(zip(dict.fromkeys(heads), first.tolist()))
+        at, out = [0, 0], []
+        which = [int(isinstance(r, list)) for r in rests]
+        for i, head in enumerate(heads):
+            k = which[i]
+            n = int(counts[k][i])
+            own = numbers[k][at[k] : at[k] + n]
+            at[k] += n
+            out.append(self._gather(np.concatenate([[first[head]], own]).astype(np.int64)).tobytes() + end)
+        return out
+
+    def _gather(self, numbers: np.ndarray) -> np.ndarray:
+        start = self.end[numbers]
+        size = self.end[numbers + 1] - start
+        upto = np.cumsum(size)
+        return self.flat[np.repeat(start - (upto - size), size) + np.arange(upto[-1])]
 
 
 def encoded(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFrame:
@@ -121,11 +213,15 @@ def encoded(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFram
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = _encoder(path)
         end = b"" if end_id is None else np.array([end_id], enc.kind).tobytes()
-        for b in batches:
-            texts = b["text"].tolist()
-            for at in range(0, len(texts), 64):
-                ids = [x + end for x in enc.batch(texts[at : at + 64])]
-                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[at : at + 64], "ids": ids})
+        held, chars = [], 0
+        for b in itertools.chain(batches, [None]):
+            if held and (b is None or chars >= BATCH_CHARS):
+                own = pd.concat(held)
+                yield pd.DataFrame({"doc_id": own["doc_id"], "ids": enc.batch(own["text"].tolist(), end)})
+                held, chars = [], 0
+            if b is not None and len(b):
+                held.append(b)
+                chars += int(b["text"].str.len().sum())
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return own.mapInPandas(run, "doc_id long, ids binary")
@@ -304,6 +400,6 @@ def tokenised(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFr
     no files but an empty rank table, no rows."""
     spark = prepared(docs.sparkSession)
     kind = _id_kind(path)
-    ids = staged(encoded(docs, path, end_id), "tokens-ids")
+    ids = staged(encoded(docs, path, end_id), "tokens-ids", "zstd")
     folder = scratch_dir(spark, "tokens-files")
     return read_back(spark, write_shards(ids, kind, folder), folder)
