@@ -22,6 +22,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +53,7 @@ NUMBER_WORDS = frozenset(
     "two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen "
     "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million".split()
 )
+_PUNCTUATION = ".,;:!?\"'()[]{}«»“”„’‘…—–-"
 _EDGE = re.compile(r"^[^\w%$€£°]+|[^\w%°]+$")
 _NUMBER = re.compile(r"[+-]?[$€£]?\d+(?:[.,:/]\d+)*")
 _QUANTITY = re.compile(r"[+-]?\d+(?:[.,]\d+)*([a-z%°/]+)")
@@ -66,73 +69,88 @@ def _mark(kind: int) -> np.uint64:
 _MARKS = np.array([0, *[int(_mark(k)) for k in (_NUM, _UNIT, _NAME, _AMOUNT)]], dtype=np.uint64)
 
 
-def _props(raw: str) -> tuple[int, int, int, int]:
-    """(word hash, kind without context, flags, length of the core): flag 1 a
-    capitalised word, 2 it may be a unit, 4 it ends a sentence."""
-    core = _EDGE.sub("", raw)
-    low = core.lower()
+def _props(raw: str) -> tuple[int, int, int]:
+    """(word hash, kind without context, flags): flag 1 a capitalised word, 2
+    it may be a unit, 4 it ends a sentence."""
     ends = 4 if raw.rstrip("\"')]»”’")[-1:] in (".", "!", "?", ":", "…") else 0
+    core = raw.strip(_PUNCTUATION)
+    if not core.isalpha():
+        core = _EDGE.sub("", raw)
+    low = core.lower()
     if not low:
-        return 0, -1, ends, 0
+        return 0, -1, ends
     kind, flags = _WORD, ends
-    q = _QUANTITY.fullmatch(low)
-    if _NUMBER.fullmatch(low) or low in NUMBER_WORDS:
+    if low in NUMBER_WORDS:
         kind = _NUM
-    elif q and q[1] in UNITS:
-        kind = _AMOUNT
-    else:
-        if low in UNITS:
-            flags |= 2
-        if len(core) > 1 and core[0].isupper() and core[1:].islower():
-            flags |= 1
-    return xxhash.xxh64_intdigest(low), kind, flags, len(low)
+    elif low in UNITS:
+        flags |= 2
+    elif not low.isalpha():
+        q = _QUANTITY.fullmatch(low)
+        if _NUMBER.fullmatch(low):
+            kind = _NUM
+        elif q and q[1] in UNITS:
+            kind = _AMOUNT
+    if kind == _WORD and len(core) > 1 and core[0].isupper() and core[1:].islower():
+        flags |= 1
+    return xxhash.xxh64_intdigest(low), kind, flags
 
 
 class Canon:
-    """Template of a text; properties of words seen are kept, up to a bound."""
+    """Templates of texts; properties of words seen are kept, up to a bound."""
 
-    def __init__(self, most: int = 300_000):
-        self.known: dict[str, tuple[int, int, int, int]] = {}
+    def __init__(self, most: int = 400_000):
+        self.known: dict[str, tuple[int, int, int]] = {}
         self.most = most
 
-    def _of(self, raw: str) -> tuple[int, int, int, int]:
-        got = self.known.get(raw)
-        if got is None:
-            got = _props(raw)
-            if len(raw) <= 64:
-                if len(self.known) >= self.most:
-                    self.known.clear()
-                self.known[raw] = got
+    def _of(self, raw: str) -> tuple[int, int, int]:
+        got = _props(raw)
+        if len(raw) <= 64:
+            if len(self.known) >= self.most:
+                self.known.clear()
+            self.known[raw] = got
         return got
 
-    def __call__(self, text: str):
-        """(raw words, word hashes, template hashes, kinds) without words that
-        are punctuation only."""
-        raw = text.split()
-        if not raw:
-            return [], np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, int)
+    def __call__(self, texts: list[str]):
+        """For every text: (cores, literal hashes, template hashes, kinds) of
+        its words without those of punctuation only; cores(i, j) gives the
+        words i to j in lower case, stripped.  Each different word of the
+        batch is looked at once."""
+        split = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
+        flat = split.flatten()
+        # the splitter leaves empty strings at the ends of a text
+        words = flat.dictionary_encode()
         of, known = self._of, self.known
-        p = [known.get(w) or of(w) for w in raw]
-        h = np.array([x[0] for x in p], dtype=np.uint64)
-        kind = np.array([x[1] for x in p], dtype=np.int8)
-        flags = np.array([x[2] for x in p], dtype=np.int8)
-        starts = np.r_[True, (flags[:-1] & 4) > 0]
-        if (kind < 0).any():
-            # the end of a sentence carries over words of punctuation only
+        p = [known.get(w) or of(w) for w in words.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        number = words.indices.to_numpy()
+        h_of = np.array([x[0] for x in p], dtype=np.uint64)
+        kind_of = np.array([x[1] for x in p], dtype=np.int8)
+        flag_of = np.array([x[2] for x in p], dtype=np.int8)
+        at = 0
+        for n in pc.list_value_length(split).to_pylist():
+            own = number[at : at + n]
+            kind, flags = kind_of[own], flag_of[own]
             keep = np.flatnonzero(kind >= 0)
             ends = np.r_[0, np.cumsum((flags & 4) > 0)]
-            before = np.r_[-1, keep[:-1]]
-            first = np.where(before < 0, True, ends[keep] - ends[np.maximum(before, 0)] > 0) if len(keep) else keep > 0
-            raw = [raw[i] for i in keep.tolist()]
-            h, kind, flags, starts = h[keep], kind[keep], flags[keep], first
-        kind = kind.astype(int)
-        after_number = np.r_[False, kind[:-1] == _NUM] if len(kind) else np.zeros(0, bool)
-        unit = (kind == _WORD) & after_number & ((flags & 2) > 0)
-        name = (kind == _WORD) & ~unit & ~starts & ((flags & 1) > 0)
-        kind = np.where(unit, _UNIT, np.where(name, _NAME, kind))
-        literal = np.where((kind == _WORD) | (kind == _NAME), h, _MARKS[kind])
-        template = np.where(kind == _WORD, h, _MARKS[kind])
-        return raw, literal, template, kind
+            # a sentence starts if one ended since the last word that counts
+            starts = np.r_[True, ends[keep[1:]] > ends[keep[:-1]]] if len(keep) else np.zeros(0, bool)
+            h, kind, flags = h_of[own[keep]], kind[keep].astype(np.int64), flags[keep]
+            after_number = np.r_[False, kind[:-1] == _NUM] if len(kind) else np.zeros(0, bool)
+            unit = (kind == _WORD) & after_number & ((flags & 2) > 0)
+            name = (kind == _WORD) & ~unit & ~starts & ((flags & 1) > 0)
+            kind = np.where(unit, _UNIT, np.where(name, _NAME, kind))
+            literal = np.where((kind == _WORD) | (kind == _NAME), h, _MARKS[kind])
+            template = np.where(kind == _WORD, h, _MARKS[kind])
+
+            def cores(i: int, j: int, at=at, keep=keep) -> list[str]:
+                return [_core(flat[at + k].as_py()) for k in keep[i:j].tolist()]
+
+            yield cores, literal, template, kind
+            at += n
+
+
+def _core(raw: str) -> str:
+    core = raw.strip(_PUNCTUATION)
+    return (core if core.isalpha() else _EDGE.sub("", raw)).lower()
 
 
 def _roll(h: np.ndarray, w: int) -> np.ndarray:
@@ -161,10 +179,6 @@ def windows(literal: np.ndarray, template: np.ndarray, kind: np.ndarray, w: int)
     return out
 
 
-def _core(raw: str) -> str:
-    return _EDGE.sub("", raw).lower()
-
-
 def _bench_rows(w: int, short: bool):
     """Windows of the items; an item shorter than w is one window of its length."""
 
@@ -172,16 +186,14 @@ def _bench_rows(w: int, short: bool):
         canon = Canon()
         for b in batches:
             rows = []
-            for item, text in zip(b["item"], b["text"]):
-                raw, literal, template, kind = canon(text)
-                n = len(raw)
+            for item, (cores, literal, template, kind) in zip(b["item"], canon(b["text"].tolist())):
+                n = len(kind)
                 if short and not LEAST <= n < w:
                     continue
                 width = n if short else w
-                cores = [_core(x) for x in raw]
                 for hs, at in windows(literal, template, kind, width):
                     for h, i in zip(hs.view(np.int64).tolist(), at.tolist()):
-                        rows.append((h, width, item, i, n, kind.tolist(), cores))
+                        rows.append((h, width, item, i, n, kind.tolist(), cores(0, n)))
             yield pd.DataFrame(rows, columns=["h", "w", "item", "ipos", "n", "kinds", "cores"])
 
     return make
@@ -201,16 +213,16 @@ def _found(widths: list[int], lookup):
             sieve[hashes & low] = True
         for b in batches:
             rows = []
-            for doc, text in zip(b["doc_id"], b["text"]):
-                raw, literal, template, kind = canon(text)
+            for doc, (cores, literal, template, kind) in zip(b["doc_id"], canon(b["text"].tolist())):
                 for w in widths:
                     for hs, at in windows(literal, template, kind, w):
                         if hashes is not None and len(hs):
                             hit = np.flatnonzero(sieve[hs & low])
-                            hit = hit[np.isin(hs[hit], hashes)]
+                            place = np.minimum(np.searchsorted(hashes, hs[hit]), len(hashes) - 1)
+                            hit = hit[hashes[place] == hs[hit]] if len(hashes) else hit[:0]
                             hs, at = hs[hit], at[hit]
                         for h, i in zip(hs.view(np.int64).tolist(), at.tolist()):
-                            rows.append((doc, h, w, i, [_core(x) for x in raw[i : i + w]]))
+                            rows.append((doc, h, w, i, cores(i, i + w)))
             yield pd.DataFrame(rows, columns=["doc_id", "h", "w", "pos", "cores"])
 
     return make
