@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import decontaminate, mixing, pii, simhash, tokens, toxicity
+from cadence.llm import decontaminate, hamming, mixing, pii, simhash, tokens, toxicity
 from cadence.llm.common import prepared
 
 
@@ -51,7 +51,13 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "epoch", "block_rank", "n_tokens")
 
 
+def op9_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every vector whose id is divisible by 50."""
+    return hamming.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0, hamming.K)
+
+
 QUERIES = {
+    "op9_hamming": op9_hamming,
     "op2_pii": op2_pii,
     "op4_mixing": op4_mixing,
     "op6_tokens": op6_tokens,
