@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import decontaminate, hamming, mixing, pii, simhash, tokens, toxicity
+from cadence.llm import decontaminate, hamming, language, lines, mixing, pii, simhash, tokens, toxicity, webarchive
 from cadence.llm.common import prepared
 
 
@@ -56,7 +56,28 @@ def op9_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0, hamming.K)
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines, those of recurring templates dropped, and what is left."""
+    found = lines.deduplicated(table(spark, sf_dir, "documents"), lines.MIN_DOCS)
+    return found.select("doc_id", "n_lines", "n_dropped", F.md5(F.col("kept").cast("binary")).alias("kept_md5"))
+
+
+def op8_webarchive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata and conversion record of every page's response."""
+    made = webarchive.derivatives(webarchive.responses(table(spark, sf_dir, "pages")))
+    return made.withColumn("block", F.decode("block", "UTF-8"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's language from text, markup, address and host together."""
+    model = language.train(table(spark, sf_dir, "documents"))
+    return language.identified(table(spark, sf_dir, "pages"), model)
+
+
 QUERIES = {
+    "op7_lines": op7_lines,
+    "op8_webarchive": op8_webarchive,
+    "op10_language": op10_language,
     "op9_hamming": op9_hamming,
     "op2_pii": op2_pii,
     "op4_mixing": op4_mixing,
@@ -66,4 +87,4 @@ QUERIES = {
     "op3_simhash": op3_simhash,
 }
 
-ORACLE: dict[str, str] = {"op4_mixing": mixing.sql()}
+ORACLE: dict[str, str] = {"op4_mixing": mixing.sql(), "op7_lines": lines.SQL}
