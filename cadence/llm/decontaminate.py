@@ -308,5 +308,5 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, lookup_
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that match no item (all their columns); rows without an id stay."""
-    bad = staged(matches(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"].cast("long") == bad["_bad"], "left_anti")
+    bad = staged(matches(docs, benchmark).select("doc_id").distinct(), "contaminated")
+    return docs.join(bad, docs["doc_id"].cast("long") == bad["doc_id"], "left_anti")

@@ -136,62 +136,62 @@ def _hash(*parts):
 
 
 def _placed(docs: DataFrame, sources: DataFrame, block_docs: int) -> DataFrame:
-    """docs with _source, _block."""
-    src = sources.select(F.col("source").alias("_source"), "docs").withColumn(
-        "_blocks", F.ceil(F.col("docs") / block_docs).cast("long")
-    )
-    h = F.conv(F.substring(_hash(F.col("doc_id")), 1, 8), 16, 10).cast("long")
+    """(row, source, block): docs as a struct, so that no column name clashes."""
+    src = sources.select("source", F.ceil(F.col("docs") / block_docs).cast("long").alias("blocks"))
+    h = F.conv(F.substring(_hash(F.col("row.doc_id")), 1, 8), 16, 10).cast("long")
     return (
-        docs.withColumn("_source", F.coalesce("source", F.lit("")))
-        .join(_small(src.select("_source", "_blocks")), "_source")
-        .withColumn("_block", h % F.col("_blocks"))
+        docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+        .withColumn("source", F.coalesce("row.source", F.lit("")))
+        .join(_small(src), "source")
+        .select("row", "source", (h % F.col("blocks")).alias("block"))
     )
 
 
 def schedule(docs: DataFrame, sources: DataFrame, seed: int = SEED, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """docs (columns doc_id, source, text, further ones) repeated by the quotas
-    of ``sources``; added: epoch, block_rank (place of the block in its epoch)
-    and n_tokens.  Rows that repeat an id are documents of their own; texts
-    without words cost nothing and come with their block."""
+    """(row, epoch, block_rank, n_tokens): the rows of docs (columns doc_id,
+    source, text, further ones) as structs, repeated by the quotas of
+    ``sources``; block_rank is the place of the block in its epoch.  Rows that
+    repeat an id are documents of their own; texts without words cost nothing
+    and come with their block."""
     sources = staged(sources, "mixing-weights")
     placed = _placed(docs, sources, block_docs)
     blocks = (
-        placed.select("_source", "_block", token_count().alias("n"))
-        .groupBy("_source", "_block")
+        placed.select("source", "block", token_count("row.text").alias("n"))
+        .groupBy("source", "block")
         .agg(F.sum("n").alias("tokens"))
     )
     quota = sources.select(
-        F.col("source").alias("_source"),
+        "source",
         F.when(F.col("tokens") > 0, F.floor(F.col("quota") / F.col("tokens"))).otherwise(1).cast("int").alias("full"),
         F.when(F.col("tokens") > 0, F.col("quota") % F.col("tokens")).otherwise(0).alias("rest"),
     )
     last = F.when(F.col("rest") > 0, F.col("full")).otherwise(F.col("full") - 1)
     turns = (
-        blocks.join(_small(quota), "_source")
+        blocks.join(_small(quota), "source")
         .withColumn("last", last)
         .where("last >= 0")
         .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("last"))))
-        .withColumn("h", _hash(F.lit(seed), F.col("epoch"), F.col("_block"), F.col("_source")))
+        .withColumn("h", _hash(F.lit(seed), F.col("epoch"), F.col("block"), F.col("source")))
         .withColumn("part", F.substring("h", 1, 2))
     )
-    turns = staged(turns.select("_source", "_block", "epoch", "tokens", "full", "rest", "h", "part"), "mixing-turns")
+    turns = staged(turns.select("source", "block", "epoch", "tokens", "full", "rest", "h", "part"), "mixing-turns")
     # ordered sums in two levels: 256 parts an epoch, then inside a part
-    before = Window.partitionBy("_source", "epoch").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("source", "epoch").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
-        turns.groupBy("_source", "epoch", "part")
+        turns.groupBy("source", "epoch", "part")
         .agg(F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("k"))
         .select(
-            "_source",
+            "source",
             "epoch",
             "part",
             F.coalesce(F.sum("t").over(before), F.lit(0)).alias("t0"),
             F.coalesce(F.sum("k").over(before), F.lit(0)).alias("k0"),
         )
     )
-    inside = Window.partitionBy("_source", "epoch", "part").orderBy("h", "_block")
-    ranked = turns.join(parts, ["_source", "epoch", "part"]).select(
-        "_source",
-        "_block",
+    inside = Window.partitionBy("source", "epoch", "part").orderBy("h", "block")
+    ranked = turns.join(parts, ["source", "epoch", "part"]).select(
+        "source",
+        "block",
         "epoch",
         "tokens",
         "full",
@@ -201,24 +201,23 @@ def schedule(docs: DataFrame, sources: DataFrame, seed: int = SEED, block_docs:
     )
     ranked = staged(ranked, "mixing-ranked")
     fits = (F.col("epoch") < F.col("full")) | (F.col("at") + F.col("tokens") <= F.col("rest"))
-    key = ["_source", "_block"]
+    key = ["source", "block"]
     whole = ranked.where(fits).select(*key, "epoch", "block_rank")
     edge = ranked.where(~fits & (F.col("at") < F.col("rest"))).select(
         *key, "epoch", "block_rank", (F.col("rest") - F.col("at")).alias("left")
     )
-    out = [*docs.columns, "epoch", "block_rank", "n_tokens"]
-    n = token_count().alias("n_tokens")
-    taken = placed.join(_small(whole), key).withColumn("n_tokens", token_count())
+    n = token_count("row.text").alias("n_tokens")
+    taken = placed.join(_small(whole), key).select("row", "epoch", "block_rank", n)
     order = Window.partitionBy(*key).orderBy(
-        _hash(F.lit(seed), F.col("epoch"), F.col("doc_id")), "doc_id", F.md5(text_or_empty().cast("binary"))
+        _hash(F.lit(seed), F.col("epoch"), F.col("row.doc_id")), "row.doc_id", F.md5(text_or_empty("row.text").cast("binary"))
     )
     partly = (
         placed.join(_small(edge), key)
-        .withColumn("n_tokens", n)
-        .withColumn("_sum", F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .where(F.col("_sum") <= F.col("left"))
+        .select("row", *key, "epoch", "block_rank", "left", n)
+        .withColumn("upto", F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .where(F.col("upto") <= F.col("left"))
     )
-    return taken.select(*out).unionByName(partly.select(*out))
+    return taken.unionByName(partly.select("row", "epoch", "block_rank", "n_tokens"))
 
 
 def mixed(
@@ -228,10 +227,10 @@ def mixed(
     budget: int | None = None,
     seed: int = SEED,
 ) -> DataFrame:
-    """``docs`` repeated to the target mix, see ``weights`` and ``schedule``.
-    A column of docs named epoch, block_rank, n_tokens or beginning with _ must
-    be renamed first; no rows give no rows."""
-    return schedule(docs, weights(docs, entropy, max_repeat, budget), seed)
+    """The rows of ``docs``, all its columns, repeated to the target mix; see
+    ``weights`` and ``schedule``.  No rows give no rows."""
+    plan = schedule(docs, weights(docs, entropy, max_repeat, budget), seed)
+    return plan.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 #: DuckDB SQL of the same schedule over a table {docs} (doc_id, source, text).

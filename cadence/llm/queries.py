@@ -34,7 +34,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity score, learnt from the labels outside the held-out quarter."""
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(toxicity.labelled_sample(docs, table(spark, sf_dir, "labels")))
-    return toxicity.scored(docs.select("doc_id", "text"), model).select("doc_id", "held_out", "score", "predicted")
+    return toxicity.scored(docs, model)
 
 
 def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,8 +47,8 @@ def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The schedule of documents that mixes the sources to the target entropy."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    plan = mixing.mixed(docs, mixing.ENTROPY, mixing.MAX_REPEAT)
-    return plan.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "epoch", "block_rank", "n_tokens")
+    plan = mixing.schedule(docs, mixing.weights(docs, mixing.ENTROPY, mixing.MAX_REPEAT), mixing.SEED)
+    return plan.select("row.doc_id", F.coalesce("row.source", F.lit("")).alias("source"), "epoch", "block_rank", "n_tokens")
 
 
 def op9_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:

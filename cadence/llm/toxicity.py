@@ -248,17 +248,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id")
 
 
-def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with score, predicted and held_out added; null text is empty,
-    an empty text gets the model's base rate."""
-    prepared(docs.sparkSession)
-
+def score_udf(model: Model):
     @F.pandas_udf(DoubleType())
     def score(texts: pd.Series) -> pd.Series:
         return pd.Series([model.score(t) for t in texts], dtype="float64")
 
-    return (
-        docs.withColumn("score", score(text_or_empty()))
-        .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
-        .withColumn("held_out", held_out())
+    return score(text_or_empty())
+
+
+def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row; null text is empty,
+    an empty text gets the model's base rate.  Further columns are ignored."""
+    prepared(docs.sparkSession)
+    return docs.select("doc_id", held_out().alias("held_out"), score_udf(model).alias("score")).withColumn(
+        "predicted", (F.col("score") >= threshold).cast("int")
     )
+
+
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all their columns, that are not predicted toxic."""
+    prepared(docs.sparkSession)
+    return docs.where(score_udf(model) < threshold)
