@@ -20,7 +20,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     the documents it is given."""
     labels = prepared(spark).read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(toxicity.labelled_sample(docs, labels))
-    return toxicity.scored(docs, model).where("predicted = 0").select(*docs.columns)
+    return toxicity.accepted(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
