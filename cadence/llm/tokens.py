@@ -239,7 +239,7 @@ def _open(uri: str, mode: str):
 
     local = re.fullmatch(r"(?:file:(?://)?)?(/.*)", uri)
     store, at = (fs.LocalFileSystem(), local[1]) if local else fs.FileSystem.from_uri(uri)
-    return store.open_output_stream(at) if mode == "w" else store.open_input_file(at)
+    return store.open_output_stream(at, compression=None) if mode == "w" else store.open_input_file(at)
 
 
 def rank_table(ids: DataFrame, kind: str) -> np.ndarray:
