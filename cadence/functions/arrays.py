@@ -22,13 +22,3 @@ def pad_truncate(arr: Column, width: int = 32, fill: float = 0.0) -> Column:
     """Zero-pad on the right or cut to exactly ``width`` elements."""
     filler = F.array_repeat(F.lit(fill).cast("double"), width)
     return F.slice(F.concat(F.transform(arr, lambda x: x.cast("double")), filler), 1, width)
-
-
-def channel_of(arr: Column, num_channels: Column, channel: Column) -> Column:
-    """Values of one channel from a sample-major block."""
-    return F.filter(arr, lambda v, i: F.pmod(i, num_channels) == channel)
-
-
-def drop_channel(arr: Column, num_channels: Column, channel: Column) -> Column:
-    """Sample-major block without one channel (P7 complement)."""
-    return F.filter(arr, lambda v, i: F.pmod(i, num_channels) != channel)

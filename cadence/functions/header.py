@@ -91,15 +91,20 @@ def make_header(
 
 
 def check_header(header: Column) -> Column:
-    """A header is usable when it parsed, names are a list and their count
-    equals ``num_channels``."""
-    return (
+    """A header is usable when it parsed, every field that decoding and
+    windowing need is there, the rate is positive, names are a list and their
+    count equals ``num_channels``.  Never NULL: a missing field is a defect."""
+    usable = (
         header.isNotNull()
+        & header["session_id"].isNotNull()
+        & header["frame_number"].isNotNull()
+        & (header["sampling_rate"] > 0)
         & header["channel_names"].isNotNull()
         & (F.size(header["channel_names"]) == header["num_channels"])
         & (header["num_samples"] > 0)
         & (header["num_channels"] > 0)
     )
+    return F.coalesce(usable, F.lit(False))
 
 
 def header_to_json(header: Column) -> Column:
@@ -112,11 +117,6 @@ def parse_header(text: Column) -> Column:
     return F.from_json(text, HEADER, {"mode": "PERMISSIVE"})
 
 
-def flatten_header(df: DataFrame, col: str = "header") -> DataFrame:
-    others = [c for c in df.columns if c != col and c not in HEADER_NAMES]
-    return df.select(*others, *[F.col(f"{col}.{n}").alias(n) for n in HEADER_NAMES])
-
-
 def session_start(year="year", month="month", day="day", hour="hour", minute="minute", second="second", micro="microsecond") -> Column:
     """Session start (naive UTC) from the seven header fields, exact to the µs."""
     secs = _c(second).cast("decimal(16,6)") + _c(micro).cast("decimal(16,6)") / F.lit(1_000_000).cast("decimal(16,6)")

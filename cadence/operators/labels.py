@@ -76,9 +76,18 @@ def interval_label(
 
 
 def class_counts(annotations: DataFrame, key: str = "recording_id", code: str = "code") -> DataFrame:
-    """A2: background vs seizure annotation lines per recording."""
+    """A2: background vs seizure annotation lines per recording; a line whose
+    label is unknown is no background line."""
     c = F.col(code) if code in annotations.columns else label_code(F.col("label"))
-    return annotations.withColumn("_c", c).where(F.col("_c").isNotNull()).groupBy(key).agg(
-        F.count_if(F.col("_c") == BACKGROUND_CODE).alias("n_background"),
-        F.count_if(F.col("_c") != BACKGROUND_CODE).alias("n_seizure"),
+    background = F.coalesce(c == BACKGROUND_CODE, F.lit(False))
+    return annotations.groupBy(key).agg(
+        F.count_if(background).alias("n_background"),
+        F.count_if(~background).alias("n_seizure"),
     )
+
+
+def split_unknown(annotations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lines with a known label and its ``code``, quarantined lines whose
+    label is missing or unknown)."""
+    coded = annotations.withColumn("code", label_code(F.col("label")))
+    return coded.where(F.col("code").isNotNull()), coded.where(F.col("code").isNull()).drop("code")

@@ -9,6 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadence.session import read_if_written
+
 
 def rule_class(time_stamp: Column, period_ms: int = 10_000, threshold_ms: int = 5_000) -> Column:
     """M1: class 1 when ``time_stamp mod period > threshold`` else 0."""
@@ -171,10 +173,10 @@ def minibatch_kmeans_sink(path: str, vec: str, centroids: list[list[float]]):
     def load_before(spark, batch_id: int) -> None:
         state["c"], state["seen"] = [list(c) for c in centroids], [0] * len(centroids)
         state["version"] = -1
-        try:
-            table = spark.read.parquet(path).where(F.col("version") < batch_id)
-        except Exception:  # noqa: BLE001 — no version written yet
+        table = read_if_written(spark, path)
+        if table is None:  # no version written yet
             return
+        table = table.where(F.col("version") < batch_id)
         last = table.agg(F.max("version")).first()[0]
         if last is None:
             return

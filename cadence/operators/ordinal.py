@@ -179,7 +179,13 @@ def prefix_sum_within(
         .withColumn("_off", F.coalesce(F.sum("_tot").over(before), F.lit(0)))
         .drop("_tot")
     )
-    joined = local.join(offsets, on=[*keys, "_pid"], how="inner")
+    # null-safe: rows whose key (or bucket) is NULL are a group like any other
+    parts = [*keys, "_pid"]
+    named = offsets.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(parts)], "_off")
+    same = F.lit(True)
+    for i, c in enumerate(parts):
+        same = same & local[c].eqNullSafe(named[f"_o{i}"])
+    joined = local.join(named, same, "inner").drop(*[f"_o{i}" for i in range(len(parts))])
     return joined.withColumn(name, (F.col("_off") + F.col("_loc")).cast("long")).drop("_pv", "_pid", "_loc", "_off")
 
 

@@ -59,11 +59,6 @@ def fk_orphans(data: DataFrame, sessions: DataFrame) -> DataFrame:
     return data.join(sessions.select("sess_id"), "sess_id", "left_anti")
 
 
-def fk_valid(data: DataFrame, sessions: DataFrame) -> DataFrame:
-    """``data`` rows that satisfy the foreign key (left semi-join)."""
-    return data.join(sessions.select("sess_id"), "sess_id", "left_semi")
-
-
 def scoring_sink(sessions_path: str, data_path: str, models: dict | None = None, existing=None):
     """M2 as a stream sink: a ``foreachBatch`` function that, per micro-batch
     of decoded frames, scores them (U2 → P5), registers sessions not stored

@@ -181,6 +181,16 @@ def sample_windows(
     )
     Lg, Sg, Cg = F.col("_L"), F.col("_S"), F.col("_C")
     base = F.col("_b") * Lg * block_windows
+    # pieces in order and disjoint: a frame delivered twice, or one that starts
+    # inside another, neither counts as cover nor shifts the samples behind it
+    disjoint = F.aggregate(
+        "_ps",
+        F.slice("_ps", 1, 0),
+        lambda acc, p: F.when(
+            (F.size(acc) == 0) | (F.try_element_at(acc, F.lit(-1))["hi"] <= p["lo"]), F.concat(acc, F.array(p))
+        ).otherwise(acc),
+    )
+    grouped = grouped.withColumn("_ps", disjoint)
     blocks = grouped.withColumn("_run", F.flatten(F.transform("_ps", lambda p: p["v"])))
     k_first = F.ceil(base / Sg).cast("long")
     k_last = F.ceil((base + Lg * block_windows) / Sg).cast("long") - 1  # starts inside this block
@@ -262,9 +272,8 @@ def stft_segments(
     blocks whose range — the block plus one segment of look-ahead — holds it;
     each block rebuilds its dense stretch with one Arrow scatter per batch
     (absent positions are 0) and slices its segments out in Catalyst.
-    Whether a segment fits before the end is decided inside the block from
-    the largest index it received: a block that does not hold the signal's end
-    receives its whole look-ahead, so all its segments pass.
+    Blocks are laid out from each signal's last index (one grouped maximum),
+    so a gap of any length changes no segment count: its samples are zeros.
     Output: keys…, ``seg``, ``segment`` ARRAY<DOUBLE>."""
     hop = nperseg - noverlap
     pad = nperseg // 2
@@ -278,15 +287,28 @@ def stft_segments(
         F.struct(n_ext.alias("p"), F.col(value).cast("double").alias("v")).alias("_x"),
         F.explode(int_range(b_lo, b_hi)).alias("_b"),
     )
-    g = fan.groupBy(*keys, "_b").agg(
-        F.collect_list("_x").alias("_xs"),
-        F.max("_x.p").alias("_last"),
+    g = fan.groupBy(*keys, "_b").agg(F.collect_list("_x").alias("_xs"))
+    # segment k fits when k·hop + nperseg ≤ N + 2·pad = last extended index + 1 + pad
+    k_end = F.floor((F.max(n_ext) + 1 + pad - nperseg) / hop).cast("long")
+    ends = samples.where(F.col(idx).isNotNull()).groupBy(*keys).agg(k_end.alias("_k")).where("_k >= 0")
+    blocks = ends.select(
+        *[F.col(c).alias(f"_key{i}") for i, c in enumerate(keys)],
+        "_k",
+        F.explode(int_range(F.lit(0).cast("long"), F.floor(F.col("_k") / block_hops).cast("long"))).alias("_blk"),
+    )
+    same = blocks["_blk"] == g["_b"]
+    for i, c in enumerate(keys):
+        same = same & blocks[f"_key{i}"].eqNullSafe(g[c])
+    g = blocks.join(g, same, "left").select(
+        *[F.col(f"_key{i}").alias(c) for i, c in enumerate(keys)],
+        "_k",
+        F.col("_blk").alias("_b"),
+        F.coalesce("_xs", F.array().cast("array<struct<p:bigint,v:double>>")).alias("_xs"),
     )
     base = F.col("_b") * H
     dense = scatter_dense(F.col("_xs"), base, F.lit(reach))
-    # segment k fits when k·hop + nperseg ≤ N + 2·pad = last extended index + 1 + pad
     k_first = F.col("_b") * block_hops
-    k_last = F.least(k_first + block_hops - 1, F.floor((F.col("_last") + 1 + pad - nperseg) / hop).cast("long"))
+    k_last = F.least(k_first + block_hops - 1, F.col("_k"))
     segs = g.select(*keys, "_b", dense.alias("_d"), F.explode(int_range(k_first, k_last)).alias("seg"))
     return segs.select(*keys, "seg", F.slice("_d", ((F.col("seg") * hop - base) + 1).cast("int"), nperseg).alias("segment"))
 

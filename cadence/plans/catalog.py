@@ -52,7 +52,7 @@ from cadence.operators.results import (
 from cadence.plans import bindings as B
 from cadence.plans.reports import frame_report, window_report
 from cadence.schemas import HEADER
-from cadence.session import scratch_dir
+from cadence.session import read_if_written, scratch_dir
 from cadence.sources.files import (
     channels_like,
     list_inputs,
@@ -671,13 +671,12 @@ def q_tile_store(spark, sf_dir):
 
 
 # ---- vectors: k-means -------------------------------------------------------------------
-VECTOR_DIMS = 8
 KMEANS_K = 2
 
 
 def vectors(spark, sf_dir):
     e = B.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return e.select("vec_id", F.slice("embedding", 1, VECTOR_DIMS).alias("v"))
+    return e.select("vec_id", F.col("embedding").alias("v"))
 
 
 @query
@@ -825,9 +824,8 @@ def q_late_side_table(spark, sf_dir):
         stage_files(ev.where(B.arrival_batch() == b), "late-input", files=files, path=src)
         stream = spark.readStream.schema(ev.schema).parquet(src)
         run_available_now(stream, "late-side", foreach_batch=late_rows_sink(side, "ts", 3600.0), checkpoint=ckpt)
-    try:
-        late = spark.read.parquet(f"{side}/late")
-    except Exception:  # noqa: BLE001 — no late rows at all
+    late = read_if_written(spark, f"{side}/late")
+    if late is None:  # no late rows at all
         return spark.createDataFrame([], "event_id bigint, batch_id int")
     return late.select("event_id", F.col("batch_id").cast("int").alias("batch_id"))
 

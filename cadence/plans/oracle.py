@@ -588,10 +588,10 @@ FROM embeddings"""
 
 # ---- vectors -------------------------------------------------------------------------------
 KM = """
-v AS (SELECT vec_id, embedding[1:8] AS e FROM embeddings),
-c AS (SELECT (row_number() OVER (ORDER BY vec_id) - 1)::INTEGER AS cluster, embedding[1:8] AS ce FROM embeddings ORDER BY vec_id LIMIT 2),
+v AS (SELECT vec_id, embedding AS e FROM embeddings),
+c AS (SELECT (row_number() OVER (ORDER BY vec_id) - 1)::INTEGER AS cluster, embedding AS ce FROM embeddings ORDER BY vec_id LIMIT 2),
 d AS (SELECT v.vec_id, v.e, c.cluster,
-             list_sum(list_transform(range(8), lambda i: (v.e[i + 1]::DOUBLE - c.ce[i + 1]::DOUBLE) ** 2)) AS dist FROM v, c),
+             list_sum(list_transform(range(len(v.e)), lambda i: (v.e[i + 1]::DOUBLE - c.ce[i + 1]::DOUBLE) ** 2)) AS dist FROM v, c),
 a AS (SELECT vec_id, arg_min(cluster, (dist, cluster)) AS cluster, min(dist) AS dist, any_value(e) AS e FROM d GROUP BY vec_id)"""
 
 
@@ -603,7 +603,7 @@ def _():
 @sql("minibatch_update")
 def _():
     return f"""WITH {KM},
-u AS (SELECT cluster, unnest(e)::DOUBLE AS x, unnest(range(8))::INTEGER AS dim FROM a),
+u AS (SELECT cluster, unnest(e)::DOUBLE AS x, unnest(range(len(e)))::INTEGER AS dim FROM a),
 n AS (SELECT cluster, count(*) AS n FROM a GROUP BY cluster)
 SELECT u.cluster, n.n, u.dim, round(avg(x), 6) + 0.0 AS value FROM u JOIN n USING (cluster) GROUP BY u.cluster, n.n, u.dim"""
 

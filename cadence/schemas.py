@@ -34,30 +34,6 @@ FRAME_BYTES = T.StructType(
     ]
 )
 
-# Decoded frame: header fields flattened + payload, sample-major.
-FRAME = T.StructType(
-    [T.StructField(n, t, True) for n, t in HEADER_FIELDS]
-    + [T.StructField("samples", T.ArrayType(T.FloatType()), True)]
-)
-
-# Result tables of the scoring stage.
-SESSIONS = T.StructType(
-    [
-        T.StructField("sess_id", T.StringType(), False),
-        T.StructField("user_name", T.StringType(), False),
-        T.StructField("ml_model", T.StringType(), False),
-        T.StructField("preprocessing", T.StringType(), False),
-    ]
-)
-DATA = T.StructType(
-    [
-        T.StructField("time_ms", T.IntegerType(), False),
-        T.StructField("class", T.IntegerType(), False),
-        T.StructField("sess_id", T.StringType(), True),
-        T.StructField("time_in", T.TimestampType(), False),
-    ]
-)
-
 # Annotation label → class code; 0 means unlabelled.
 LABEL_CODES = {
     "BCKG": 6,

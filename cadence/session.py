@@ -54,6 +54,8 @@ def _checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
+    if not root and sc is not None and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         # Unset only in local tests: take a private folder and publish it so
         # DataFrame.checkpoint() and our staged tables agree on one place.
@@ -84,6 +86,19 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def read_if_written(spark: SparkSession, path: str):
+    """The Parquet table at ``path``, or None if nothing was written there;
+    any other failure is raised."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Session starts are naive UTC (the wire format carries no zone), so
     timestamp arithmetic runs with the session time zone set to UTC."""

@@ -62,7 +62,7 @@ def frame_status_col() -> Column:
         F.when(F.col("_env.n_bytes") < 4, "too_short")
         .when(F.col("_env.header_text").isNull(), "bad_length")
         .when(~check_header(h), "bad_header")
-        .when(F.col("_env.payload_bytes") != expected, "payload_size")
+        .when(~F.col("_env.payload_bytes").eqNullSafe(expected), "payload_size")
         .otherwise("ok")
     )
 

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from cadence.session import read_if_written
+
 
 # ---- T1 ------------------------------------------------------------------------------
 def with_event_time(df: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -47,11 +49,8 @@ def late_rows_sink(path: str, ts: str, delay_s: float):
     state = {"max": None, "batch": None}
 
     def previous_max(spark, batch_id: int):
-        try:
-            marks = spark.read.parquet(f"{path}/marks").where(F.col("batch_id") < batch_id)
-            return marks.agg(F.max("max_ts")).first()[0]
-        except Exception:  # noqa: BLE001 — no mark written yet
-            return None
+        marks = read_if_written(spark, f"{path}/marks")  # None: no mark written yet
+        return None if marks is None else marks.where(F.col("batch_id") < batch_id).agg(F.max("max_ts")).first()[0]
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
@@ -145,7 +144,7 @@ def _frame_at(fr_start: list[int], fr_num: list[int], s0: int) -> int | None:
     return int(fr_num[j]) if j >= 0 else None
 
 
-def _cursor_fn(length_s: float, overlap: float, has_start: bool = False):
+def _cursor_fn(length_s: float, overlap: float, has_start: bool = False, max_pending: int = 32):
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         (session,) = key
         if state.exists:
@@ -165,24 +164,33 @@ def _cursor_fn(length_s: float, overlap: float, has_start: bool = False):
                     pending[a] = (int(row.frame_number), np.asarray(row.samples, dtype=np.float32))
         if fs is None:
             return
-        # append frames that continue the contiguous run
-        parts = [buf]
-        while have_until in pending:
-            n, d = pending.pop(have_until)
-            fr_start.append(have_until)
-            fr_num.append(n)
-            parts.append(d)
-            have_until += len(d) // C
-        buf = np.concatenate(parts)
         L, S = _stride(length_s, overlap, fs)
         t = next((i for i, nm in enumerate(names) if nm.lower() == "time"), -1)
         rows = []
-        while L > 0 and S > 0 and next_k * S + L < have_until:
-            s0 = next_k * S
-            win = buf[(s0 - buf_start) * C : (s0 - buf_start + L) * C]
-            stamp = _java_int(float(win[t])) if t >= 0 else _int_or_none((s0 * 1000) // fs)
-            rows.append((session, user, next_k, s0, _frame_at(fr_start, fr_num, s0), stamp, fs, L, C, names, win.tolist()))
-            next_k += 1
+        while True:
+            # append frames that continue the contiguous run
+            parts = [buf]
+            while have_until in pending:
+                n, d = pending.pop(have_until)
+                fr_start.append(have_until)
+                fr_num.append(n)
+                parts.append(d)
+                have_until += len(d) // C
+            buf = np.concatenate(parts)
+            while L > 0 and S > 0 and next_k * S + L < have_until:
+                s0 = next_k * S
+                win = buf[(s0 - buf_start) * C : (s0 - buf_start + L) * C]
+                stamp = _java_int(float(win[t])) if t >= 0 else _int_or_none((s0 * 1000) // fs)
+                rows.append((session, user, next_k, s0, _frame_at(fr_start, fr_num, s0), stamp, fs, L, C, names, win.tolist()))
+                next_k += 1
+            pending = {a: x for a, x in pending.items() if a >= have_until}
+            if len(pending) <= max_pending:
+                break
+            # more frames wait than may: the one before them counts as lost;
+            # go on with the first window that starts behind the gap
+            have_until = buf_start = min(pending)
+            next_k = max(next_k, -(-have_until // S)) if S > 0 else next_k
+            buf, fr_start, fr_num = np.zeros(0, np.float32), [], []
         # keep samples (and frame starts) from the next window start on
         keep_from = min(next_k * S, have_until)
         buf = buf[(keep_from - buf_start) * C :]
@@ -203,16 +211,23 @@ def _cursor_fn(length_s: float, overlap: float, has_start: bool = False):
 
 
 def stateful_windows(
-    frames: DataFrame, length_s: float = 1.0, overlap: float = 0.8, session: str = "session_id", start_col: str | None = None
+    frames: DataFrame,
+    length_s: float = 1.0,
+    overlap: float = 0.8,
+    session: str = "session_id",
+    start_col: str | None = None,
+    max_pending: int = 32,
 ) -> DataFrame:
     """Sample windows with an explicit per-session cursor in state —
     next window index, the sample tail it still needs and frames that arrived
     ahead of a gap.  Emits each window once, when the sample after its end has
-    arrived (same rule and result as W2, which needs no state).  A frame's
+    arrived (the rule of W2, which needs no state).  At most ``max_pending``
+    frames wait for a missing one; then it counts as lost, the windows that
+    need it are skipped, and the cursor goes on behind the gap.  A frame's
     first sample index is ``start_col`` when given (frames of varying length),
     else frame_number · num_samples."""
     cols = ["user_name", "frame_number", "sampling_rate", "num_samples", "num_channels", "channel_names", "samples"]
     extra = [F.col(start_col).cast("long").alias("start")] if start_col else []
     return frames.select(session, *cols, *extra).groupBy(session).applyInPandasWithState(
-        _cursor_fn(length_s, overlap, bool(start_col)), WINDOW_OUT, CURSOR_STATE, "append", GroupStateTimeout.NoTimeout
+        _cursor_fn(length_s, overlap, bool(start_col), max_pending), WINDOW_OUT, CURSOR_STATE, "append", GroupStateTimeout.NoTimeout
     )

@@ -54,16 +54,13 @@ def test_harmonics_stay_below_nyquist():
     assert len(dsp.chain_sections(250.0, "standard")) == 13
 
 
-def test_toeplitz_equals_recursion():
-    x = np.random.default_rng(1).normal(size=400)
+@pytest.mark.parametrize("w", [5, 64, 400, 1500])
+def test_window_transforms_equal_recursion(w):
+    x = np.random.default_rng(1).normal(size=(3, w, 2))
     sos = dsp.chain_sections(250.0, "standard")
-    assert np.max(np.abs(dsp.toeplitz_operator(250.0, "standard", 400) @ x - _direct(sos, x))) < 1e-9
-
-
-def test_standard_operator_is_chain_then_fft():
-    x = np.random.default_rng(2).normal(size=64)
-    y = _direct(dsp.chain_sections(250.0, "standard"), x)
-    assert np.abs(dsp.standard_operator(250.0, 64) @ x) == pytest.approx(np.abs(np.fft.fft(y)), abs=1e-9)
+    y = np.stack([np.stack([_direct(sos, r[:, c]) for c in range(2)], axis=1) for r in x])
+    assert np.max(np.abs(dsp._zero_state_filter("standard", x, 250.0) - y)) < 1e-9
+    assert np.max(np.abs(dsp._apply("standard", x, 250.0) - np.abs(np.fft.fft(y, axis=1)))) < 1e-8
 
 
 def test_block_parallel_filter_equals_whole_signal(spark):

@@ -1,6 +1,8 @@
 """Every registered query against its DuckDB oracle at sf0.01 (the driver's
 correctness gate), plus the rows-only keys' invariants."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -13,7 +15,7 @@ KEYS = sorted(E.queries())
 
 def test_every_key_is_registered_with_entry_and_most_with_sql():
     assert len(KEYS) >= 60
-    rows_only = set(KEYS) - set(ORACLE)
+    rows_only = {k for k in set(KEYS) - set(ORACLE) if not re.match(r"op\d+_|pipeline$", k)}
     assert rows_only <= {"corr_features", "kmeans_train", "model_roundtrip", "filter_attenuation"}
     assert set(ORACLE) <= set(KEYS)
 
