@@ -6,10 +6,9 @@ transform → bilinear map → second-order sections), done once per
 bounded by the filter order, never by the data.
 
 Every transform here is linear and, per window, starts from zero state, so a
-filter is the lower-triangular Toeplitz matrix of its impulse response and a
-whole chain (band-stops → high-pass → FFT) collapses to one W×W complex
-matrix.  Windows are processed as stacked Arrow batches: one matmul / FFT per
-batch, no per-row Python.
+chain of filters is one convolution with its impulse response, done by FFT for
+any window length.  Windows are processed as stacked Arrow batches: a few FFTs
+per batch, no per-row Python.
 
 Whole-recording filtering (D6) uses the filter's finite memory: the impulse
 response falls below 1e-16 of its peak after ``memory`` samples, so a block
@@ -29,6 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+from cadence.functions.header import time_channel_idx
+
 # Fixed values of the standard chain: mains base frequency and half-width of
 # each stop band (Hz), drift cut-off (Hz), Butterworth order.
 MAINS_HZ = 60.0
@@ -272,7 +273,9 @@ def _make_udf(kind: str):
     def transform(samples: pa.Array, fs: pa.Array, nch: pa.Array, tidx: pa.Array) -> pa.Array:
         return _transform_batch(kind, samples, fs, nch, tidx)
 
-    return transform
+    # keeps an explode of the result from evaluating the function a second
+    # time in a pushed-down size(...) > 0 filter
+    return transform.asNondeterministic()
 
 
 _UDFS = {k: _make_udf(k) for k in ("bandstop", "highpass", "filters", "spectrum", "standard")}
@@ -291,9 +294,11 @@ def transform_windows(
 
     kind: ``bandstop`` (D1), ``highpass`` (D2), ``filters`` (D1+D2),
     ``spectrum`` (D3, |FFT|, all bins), ``standard`` (D4 = D1 → D2 → D3).
-    The time channel (``time_idx``, −1 for none) is never filtered; spectra put
-    it first.  Zero initial state per window."""
-    t = F.lit(-1) if time_idx is None else time_idx
+    The time channel (``time_idx``, −1 for none; by default found in
+    ``channel_names``) is never filtered; spectra put it first.  Zero initial state per window."""
+    if time_idx is None:
+        time_idx = time_channel_idx(F.col("channel_names")) if "channel_names" in df.columns else F.lit(-1)
+    t = F.coalesce(time_idx, F.lit(-1)).cast("int")
     return df.withColumn(out, _UDFS[kind](F.col(samples), F.col(sampling_rate), F.col(num_channels), t))
 
 

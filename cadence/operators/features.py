@@ -102,7 +102,7 @@ def frame_correlations(stft_long: DataFrame, key: str = "recording_id") -> DataF
     g = stft_long.groupBy(key, "seg").agg(
         F.array_sort(F.collect_list(F.struct(F.col("bin").cast("int").alias("bin"), F.col("channel").cast("int").alias("channel"), "re", "im"))).alias("z")
     )
-    return g.select(key, "seg", _corr_udf(F.col("z")).alias("c")).select(key, "seg", "c.channels", "c.corr", "c.eig")
+    return g.select(key, "seg", _corr_udf.asNondeterministic()(F.col("z")).alias("c")).select(key, "seg", "c.channels", "c.corr", "c.eig")
 
 
 def channel_corr(stft_long: DataFrame, key: str = "recording_id") -> DataFrame:

@@ -6,7 +6,8 @@ annotation with beg ≤ t ≤ end, the latest line winning.  Annotations are
 exploded over fixed-width time buckets they overlap, so the join is an
 equi-join on (recording, bucket) plus the range test — it never compares a
 point with annotations of other buckets, and a recording holding most of the
-data is spread over its buckets (AQE splits a still-skewed bucket)."""
+data is spread over its buckets.  One bucket that holds most points stays one
+task: the aggregate reuses the join's partitioning."""
 
 from __future__ import annotations
 

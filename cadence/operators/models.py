@@ -67,13 +67,13 @@ def registered_processors() -> dict[str, Callable[[DataFrame], DataFrame]]:
 def _standard(df: DataFrame) -> DataFrame:
     from cadence.operators.dsp import transform_windows
 
-    return transform_windows(df, "standard", time_idx=F.coalesce(F.col("time_idx"), F.lit(-1)) if "time_idx" in df.columns else None)
+    return transform_windows(df, "standard", time_idx=F.col("time_idx") if "time_idx" in df.columns else None)
 
 
 def _spectrum_only(df: DataFrame) -> DataFrame:
     from cadence.operators.dsp import transform_windows
 
-    return transform_windows(df, "spectrum", time_idx=F.coalesce(F.col("time_idx"), F.lit(-1)) if "time_idx" in df.columns else None)
+    return transform_windows(df, "spectrum", time_idx=F.col("time_idx") if "time_idx" in df.columns else None)
 
 
 register_processor("standard", _standard)

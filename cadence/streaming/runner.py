@@ -27,7 +27,7 @@ def stage_files(df: DataFrame, purpose: str, files: int | None = 4, path: str |
 def stream_files(spark: SparkSession, minimum: int = 4) -> int:
     """File count for staging a table as stream input: at least ``minimum``
     (so a stream sees several micro-batches), else the cluster's default
-    parallelism, so each file stays a task-sized piece at any scale."""
+    parallelism; file size therefore grows with the table."""
     return max(minimum, default_parallelism(spark))
 
 
