@@ -40,7 +40,7 @@ from cadence.llm.common import prepared, scratch_dir, staged, text_or_empty
 END_ID = 0
 SHARD_IDS = 4_000_000
 BLOCK_IDS = 1 << 18
-MEMO = 1_200_000
+MEMO = 1_500_000
 #: Characters that a task gathers before it looks pieces up.
 BATCH_CHARS = 6_000_000
 MAGIC = b"SVBRANK1"
@@ -96,8 +96,9 @@ def _encoder(path: str):
 
 class Encoder:
     """Ids of whole texts.  The pre-tokeniser never joins a non-blank with a
-    space after it, so the ids of a text are those of its pieces, cut before
-    each such space.  Ids of pieces seen are kept, up to a bound, in one flat
+    blank after it, so the ids of a text are those of its pieces, cut before
+    each such space, and, in texts whose blanks stand alone, before each line
+    end.  Ids of pieces seen are kept, up to a bound, in one flat
     array; a batch looks each different piece up once and gathers by numpy."""
 
     def __init__(self, path: str):
@@ -109,7 +110,7 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.kind = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
-        self.odd = re.compile(r"^\s|\s ")
+        self.odd = re.compile(r"^\s|\s\s|\s\Z")
         self.cut = re.compile(r"(?<=\S)(?= )")
         # byte-level vocabularies: a space and letters, or a run of marks, is one
         # pre-token, and goes straight to the library's model
@@ -119,11 +120,13 @@ class Encoder:
         self.direct = bool(plain and not form["normalizer"] and form["model"]["type"] == "BPE")
         self.model = self.tok.model
         self.marks: dict[str, list[int]] = {}
+        self.newline = self._model("\n") if self.direct else []
         self._clear()
 
     def _clear(self) -> None:
         self.first: dict[str, int] = {}  # pieces at the start of a text
-        self.later: dict[str, int] = {}  # further pieces, without their space
+        self.later: dict[str, int] = {}  # further pieces, without their space, or with their line end
+        self.other: dict[str, int] = {}  # further pieces of texts with blanks in a row
         self.flat = np.zeros(1 << 16, self.kind)
         self.end = np.zeros(1 << 14, np.int64)  # end[i]: where piece i - 1 ends
         self.n = 0
@@ -133,7 +136,7 @@ class Encoder:
         new = [k for k in keys if k not in memo]
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            ids = self._encode([lead + k for k in part])
+            ids = self._encode([k if k[:1] == "\n" and memo is self.later else lead + k for k in part])
             size = np.fromiter(map(len, ids), np.int64, len(ids))
             used, more = int(self.end[self.n]), int(size.sum())
             while used + more > len(self.flat):
@@ -150,9 +153,10 @@ class Encoder:
         ids: list[list[int] | None] = [None] * len(pieces)
         if self.direct:
             for i, piece in enumerate(pieces):
+                line = piece[:1] == "\n"
                 word = piece.rstrip(MARKS)
-                if word[1:].isalpha() and (word[0] == " " or word[0].isalpha()):
-                    ids[i] = self._model(word) + self._marks(piece[len(word) :])
+                if word[line + (word[:1] == " ") :].isalpha():
+                    ids[i] = (self.newline if line else []) + self._model(word[line:]) + self._marks(piece[len(word) :])
         rest = [i for i, x in enumerate(ids) if x is None]
         for i, e in zip(rest, self.tok.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)):
             ids[i] = e.ids
@@ -174,17 +178,20 @@ class Encoder:
             self._clear()
         heads, rests = [], []
         for t in texts:
-            if self.odd.search(t) or t[-1:] == " ":
+            if self.odd.search(t):
                 head, *more = self.cut.split(t)
                 rests.append([m[1:] for m in more])
             else:
-                head, *more = t.split(" ", 1)
+                head, *more = t.replace("\n", " \n").split(" ", 1)
                 rests.append(more[0] if more else None)
             heads.append(head)
         plain = pc.split_pattern(pa.array([r if isinstance(r, str) else None for r in rests], pa.large_string()), " ")
         odd = pa.array([r if isinstance(r, list) else None for r in rests], pa.large_list(pa.large_string()))
         parts = [plain.flatten().dictionary_encode(), odd.flatten().dictionary_encode()]
-        numbers = [self._known(self.later, p.dictionary.to_numpy(zero_copy_only=False).tolist(), " ")[p.indices.to_numpy()] for p in parts]
+        numbers = [
+            self._known(memo, p.dictionary.to_numpy(zero_copy_only=False).tolist(), " ")[p.indices.to_numpy()]
+            for memo, p in zip((self.later, self.other), parts)
+        ]
         counts = [pc.fill_null(pc.list_value_length(x), 0).to_numpy() for x in (plain, odd)]
         first = self._known(self.first, list(dict.fromkeys(heads)), "")
         first = dict(zip(dict.fromkeys(heads), first.tolist()))
