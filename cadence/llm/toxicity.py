@@ -245,7 +245,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(max_rows)
     )
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id")
+    # at most max_rows ids: sent to every task, so no text but the sample's is shuffled
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
 
 
 def score_udf(model: Model):
