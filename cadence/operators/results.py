@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions.header import event_time, session_start
 from cadence.operators.models import dispatch_model
+from cadence.session import read_if_written
 
 
 def score(frames: DataFrame, models: dict | None = None) -> DataFrame:
@@ -65,18 +66,17 @@ def scoring_sink(sessions_path: str, data_path: str, models: dict | None = None,
     yet (S7 against the sessions table, plus ``existing`` if given) and
     appends the result rows (S6).  Both writes are keyed by batch id, so a
     replayed batch overwrites its own output instead of duplicating it."""
-    from pyspark.sql.utils import AnalysisException
-
     from cadence.sources.sinks import append_results
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         # one micro-batch feeds two writes: keep its scored rows for both
         scored = score(batch_df, models=models).persist()
-        try:
-            stored = spark.read.parquet(sessions_path).where(F.col("batch_id") != batch_id).select("sess_id")
-        except AnalysisException:
+        stored = read_if_written(spark, sessions_path)
+        if stored is None:
             stored = spark.createDataFrame([], "sess_id string")
+        else:
+            stored = stored.where(F.col("batch_id") != batch_id).select("sess_id")
         if existing is not None:
             stored = stored.unionByName(existing.select("sess_id"))
         new = register_sessions(scored, stored)

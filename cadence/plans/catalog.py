@@ -142,10 +142,10 @@ def q_score_stream(spark, sf_dir):
     """M2: header messages staged as files and consumed as a stream; each
     micro-batch is decoded, scored, its new sessions registered and its
     result rows appended (foreachBatch, idempotent per batch id)."""
-    # all staged messages in one micro-batch; registration across batches and
-    # restarts is exercised in tests/test_streaming.py
-    staged = stage_files(header_frames(spark, sf_dir).select("value"), "score-input", files=stream_files(spark))
-    stream = decode_frames(spark.readStream.schema("value binary").parquet(staged))
+    files = stream_files(spark)
+    staged = stage_files(header_frames(spark, sf_dir).select("value"), "score-input", files=files)
+    # several micro-batches: sessions of one batch are known to the next
+    stream = decode_frames(spark.readStream.schema("value binary").option("maxFilesPerTrigger", -(-files // 3)).parquet(staged))
     sessions, data = scratch_dir(spark, "sessions-table"), scratch_dir(spark, "data-table")
     run_available_now(stream, "score-stream", foreach_batch=scoring_sink(sessions, data, all_types_default()))
     return spark.read.parquet(data).select("sess_id", "time_in", "time_ms", "class")

@@ -30,14 +30,15 @@ def write_routed(df: DataFrame, path: str | None, route: str = "route", fmt: str
 def append_results(data: DataFrame, path: str, batch_id: int | None = None) -> str:
     """Append (sess_id, time_in, time_ms, class) to the ``data`` table,
     partitioned by day of ``time_in`` (the hypertable's time partitioning).
-    With ``batch_id`` the write replaces only that batch's folder, so a
-    replayed micro-batch does not duplicate rows."""
+    With ``batch_id`` the write replaces only that batch's folders below its
+    days, so a replayed micro-batch does not duplicate rows and a reader of
+    one day lists that day only."""
     out = data.withColumn("day", F.to_date("time_in"))
     if batch_id is None:
         out.write.mode("append").partitionBy("day").parquet(path)
     else:
-        # the batch owns folder batch_id=N: overwriting it replays idempotently
-        out.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch_id={int(batch_id)}")
+        own = out.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+        own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(path)
     return path
 
 
