@@ -26,8 +26,10 @@ LEAST_CONSTANTS = 3
 SHARE = 0.5
 FIELD = "<*>"
 _BLANK = r"[ \t\r\x0B\f]+"
-#: Rows up to which a table of leaves or hits is sent to every task (under 100 bytes each, hits by their lines).
+#: Leaves (under 100 bytes each) up to which their table is sent to every task.
 BROADCAST_ROWS = 200_000
+#: Keys of lines to drop (32 bytes each) up to which they are sent to every task.
+BROADCAST_KEYS = 1_000_000
 
 
 def canonical(line):
@@ -45,7 +47,7 @@ def _split_lines(text):
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(doc_id, line) of the canonical lines to drop, and (template) they have."""
+    """(doc_id, line, key, template) of the canonical lines to drop; key is the line's md5."""
     text = text_or_empty()
     lines = docs.select(
         "doc_id",
@@ -85,7 +87,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         .where(F.col("texts") >= min_docs)
     )
     bad = template.join(common.select("template"), "template")
-    return staged(held.select("doc_id", "line", "key").join(bad, "key").select("doc_id", "line", "template"), "lines-recurring")
+    return staged(held.select("doc_id", "line", "key").join(bad, "key").select("doc_id", "line", "key", "template"), "lines-recurring")
 
 
 def deduplicated(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -98,12 +100,13 @@ def deduplicated(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     Further columns are ignored."""
     prepared(docs.sparkSession)
     bad = recurring_lines(docs.select("doc_id", "text"), min_docs)
-    drop = bad.groupBy("doc_id").agg(F.collect_set("line").alias("drop"))  # at most the lines of a text
+    few = bad.count() <= BROADCAST_KEYS
+    drop = bad.groupBy("doc_id").agg(F.collect_set("key").alias("drop"))  # at most the lines of a text
     drop = staged(drop.withColumnRenamed("doc_id", "id"), "lines-drop")
     own = docs.select("doc_id", text_or_empty().alias("text"))
-    joined = own.join(_small(drop), own["doc_id"].eqNullSafe(drop["id"]), "left")
+    joined = own.join(F.broadcast(drop) if few else drop, own["doc_id"].eqNullSafe(drop["id"]), "left")
     some = F.filter(_split_lines(F.col("text")), lambda x: F.trim(F.regexp_replace(x, _BLANK, " ")) != "")
-    kept = F.filter(_split_lines(F.col("text")), lambda x: ~F.array_contains(F.col("drop"), canonical(x)))
+    kept = F.filter(_split_lines(F.col("text")), lambda x: ~F.array_contains(F.col("drop"), F.md5(canonical(x).cast("binary"))))
     return joined.select(
         "doc_id",
         F.size(some).cast("long").alias("n_lines"),
