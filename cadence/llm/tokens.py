@@ -110,7 +110,6 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.kind = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
-        self.odd = re.compile(r"^\s|\s\s|\s\Z")
         self.cut = re.compile(r"(?<=\S)(?= )")
         # byte-level vocabularies: a space and letters, or a run of marks, is one
         # pre-token, and goes straight to the library's model
@@ -178,7 +177,8 @@ class Encoder:
             self._clear()
         heads, rests = [], []
         for t in texts:
-            if self.odd.search(t):
+            # plain: every blank is one space or line end between two words
+            if t.replace("\n", " ") != " ".join(t.split()):
                 head, *more = self.cut.split(t)
                 rests.append([m[1:] for m in more])
             else:
