@@ -560,12 +560,14 @@ def q_ttl_filter(spark, sf_dir):
 @query
 def q_stateful_windows(spark, sf_dir):
     """Frames streamed in four scrambled files, windows cut by the keyed
-    cursor state; same closed windows as ``sample_windows``."""
+    cursor state; same closed windows as ``sample_windows``.  The replay holds
+    every frame and scrambles whole sessions, so no frame is given up."""
     files = stream_files(spark)
     staged = stage_files(B.frame_rows(spark, sf_dir), "frames-stream", files=files)
     schema = spark.read.parquet(staged).schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max(1, files // 2)).parquet(staged)
-    out = run_available_now(stateful_windows(stream, B.FRAMES_LENGTH_S, B.FRAMES_OVERLAP), "stateful-windows")
+    cut = stateful_windows(stream, B.FRAMES_LENGTH_S, B.FRAMES_OVERLAP, lateness_s=None)
+    out = run_available_now(cut, "stateful-windows")
     return window_report(spark.read.parquet(out))
 
 

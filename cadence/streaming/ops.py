@@ -87,6 +87,8 @@ def drop_expired(df: DataFrame, received_at: str, ttl_s: float, as_of: Column) -
 
 
 # ---- T6 ------------------------------------------------------------------------------
+#: Sample time a session's missing frame is waited for.
+LATENESS_S = 86_400.0
 WINDOW_OUT = T.StructType(
     [
         T.StructField("session_id", T.StringType()),
@@ -117,6 +119,8 @@ CURSOR_STATE = T.StructType(
         T.StructField("fs", T.IntegerType()),
         T.StructField("channels", T.IntegerType()),
         T.StructField("names", T.ArrayType(T.StringType())),
+        T.StructField("gap_start", T.ArrayType(T.LongType())),
+        T.StructField("gap_end", T.ArrayType(T.LongType())),
     ]
 )
 
@@ -144,17 +148,31 @@ def _frame_at(fr_start: list[int], fr_num: list[int], s0: int) -> int | None:
     return int(fr_num[j]) if j >= 0 else None
 
 
-def _cursor_fn(length_s: float, overlap: float, has_start: bool = False, max_pending: int = 32):
+def _take_from(gaps: list[tuple[int, int]], a: int, b: int) -> tuple[list[tuple[int, int]], bool]:
+    """The lost ranges without [a, b), and whether any of it was lost."""
+    hit = any(x < b and a < y for x, y in gaps)
+    if not hit:
+        return gaps, False
+    cut = [p for x, y in gaps for p in ((x, min(y, a)), (max(x, b), y))]
+    return [(x, y) for x, y in dict.fromkeys(cut) if x < y], True
+
+
+def _cursor_fn(
+    length_s: float, overlap: float, has_start: bool = False, max_pending: int | None = None, lateness_s: float | None = None
+):
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         (session,) = key
         if state.exists:
-            (next_k, buf_start, have_until, buf, fr_start, fr_num, p_start, p_num, p_data, user, fs, C, names) = state.get
+            (next_k, buf_start, have_until, buf, fr_start, fr_num, p_start, p_num, p_data, user, fs, C, names, g_start, g_end) = state.get
+            gaps = list(zip(g_start, g_end))
             buf = np.asarray(buf, dtype=np.float32)
             fr_start, fr_num = list(fr_start), list(fr_num)
             pending = {int(a): (int(n), np.asarray(d, dtype=np.float32)) for a, n, d in zip(p_start, p_num, p_data)}
         else:
             next_k, buf_start, have_until, buf, fr_start, fr_num, pending = 0, 0, 0, np.zeros(0, np.float32), [], [], {}
             user = fs = C = names = None
+            gaps = []
+        rows = []
         for pdf in batches:
             for row in pdf.itertuples(index=False):
                 if fs is None:
@@ -162,11 +180,16 @@ def _cursor_fn(length_s: float, overlap: float, has_start: bool = False, max_pen
                 a = int(row.start) if has_start else int(row.frame_number) * int(row.num_samples)
                 if a >= have_until:
                     pending[a] = (int(row.frame_number), np.asarray(row.samples, dtype=np.float32))
+                    continue
+                # behind the cursor: a redelivered frame, or one that was given up
+                gaps, late = _take_from(gaps, a, a + len(row.samples) // C)
+                if late:
+                    d = np.asarray(row.samples, dtype=np.float32).tolist()
+                    rows.append((session, user, None, a, int(row.frame_number), None, fs, len(d) // C, C, names, d))
         if fs is None:
             return
         L, S = _stride(length_s, overlap, fs)
         t = next((i for i, nm in enumerate(names) if nm.lower() == "time"), -1)
-        rows = []
         while True:
             # append frames that continue the contiguous run
             parts = [buf]
@@ -184,10 +207,13 @@ def _cursor_fn(length_s: float, overlap: float, has_start: bool = False, max_pen
                 rows.append((session, user, next_k, s0, _frame_at(fr_start, fr_num, s0), stamp, fs, L, C, names, win.tolist()))
                 next_k += 1
             pending = {a: x for a, x in pending.items() if a >= have_until}
-            if len(pending) <= max_pending:
+            over = max_pending is not None and len(pending) > max_pending
+            old = bool(pending) and lateness_s is not None and max(pending) - have_until > lateness_s * fs
+            if not over and not old:
                 break
-            # more frames wait than may: the one before them counts as lost;
-            # go on with the first window that starts behind the gap
+            # the frame before those that wait counts as lost; go on with the
+            # first window that starts behind the gap
+            gaps.append((have_until, min(pending)))
             have_until = buf_start = min(pending)
             next_k = max(next_k, -(-have_until // S)) if S > 0 else next_k
             buf, fr_start, fr_num = np.zeros(0, np.float32), [], []
@@ -201,7 +227,7 @@ def _cursor_fn(length_s: float, overlap: float, has_start: bool = False, max_pen
             (
                 next_k, buf_start, have_until, buf.tolist(), fr_start, fr_num,
                 list(pending), [v[0] for v in pending.values()], [v[1].tolist() for v in pending.values()],
-                user, fs, C, names,
+                user, fs, C, names, [x for x, _ in gaps], [y for _, y in gaps],
             )
         )
         if rows:
@@ -216,18 +242,35 @@ def stateful_windows(
     overlap: float = 0.8,
     session: str = "session_id",
     start_col: str | None = None,
-    max_pending: int = 32,
+    max_pending: int | None = None,
+    lateness_s: float | None = LATENESS_S,
 ) -> DataFrame:
     """Sample windows with an explicit per-session cursor in state —
     next window index, the sample tail it still needs and frames that arrived
     ahead of a gap.  Emits each window once, when the sample after its end has
-    arrived (the rule of W2, which needs no state).  At most ``max_pending``
-    frames wait for a missing one; then it counts as lost, the windows that
-    need it are skipped, and the cursor goes on behind the gap.  A frame's
-    first sample index is ``start_col`` when given (frames of varying length),
-    else frame_number · num_samples."""
+    arrived (the rule of W2, which needs no state).  A missing frame counts as
+    lost once a frame of its session starts more than ``lateness_s`` of sample
+    time behind the gap (or, if ``max_pending`` is given, once more frames than
+    that wait): the windows that need it are skipped, and the cursor goes on
+    behind the gap.  ``lateness_s`` must exceed the disorder of arrival; None
+    waits for ever.  A lost frame that comes after all is a row without ``k``
+    (``split_late_frames``); frames redelivered are dropped.  A session that
+    ends within ``lateness_s`` of a gap keeps the frames behind it in state.
+    A frame's first sample index is ``start_col`` when given (frames of varying
+    length), else frame_number · num_samples."""
     cols = ["user_name", "frame_number", "sampling_rate", "num_samples", "num_channels", "channel_names", "samples"]
     extra = [F.col(start_col).cast("long").alias("start")] if start_col else []
     return frames.select(session, *cols, *extra).groupBy(session).applyInPandasWithState(
-        _cursor_fn(length_s, overlap, bool(start_col), max_pending), WINDOW_OUT, CURSOR_STATE, "append", GroupStateTimeout.NoTimeout
+        _cursor_fn(length_s, overlap, bool(start_col), max_pending, lateness_s),
+        WINDOW_OUT, CURSOR_STATE, "append", GroupStateTimeout.NoTimeout,
+    )
+
+
+def split_late_frames(out: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(windows, side table of the frames that came after they were given
+    up) of what ``stateful_windows`` wrote."""
+    late = out.where("k is null").select(
+        "session_id", "user_name", F.col("start_idx").alias("start"), "frame_number",
+        "sampling_rate", "num_samples", "num_channels", "channel_names", "samples",
     )
+    return out.where("k is not null"), late

@@ -162,3 +162,30 @@ def test_console_sink_runs(spark):
         assert q.lastProgress["numInputRows"] == 5
     finally:
         q.stop()
+
+
+def test_stateful_windows_wait_for_scrambled_halves_of_long_sessions(spark):
+    df, _ = _frames(spark, {"a": 400, "b": 300}, seed=5)
+    batch = {(r.session_id, r.k, tuple(r.samples)) for r in W.sample_windows(df, 1.0, 0.8).collect()}
+    src = None
+    for half in range(2):  # two micro-batches, each half of every session at random
+        src = stage_files(df.where(F.crc32(F.concat("session_id", F.col("frame_number").cast("string"))) % 2 == half), "t6-halves", files=1, path=src)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = spark.read.parquet(run_available_now(stateful_windows(stream, 1.0, 0.8), "t6-halves-out"))
+    assert {(r.session_id, r.k, tuple(r.samples)) for r in out.collect()} == batch
+
+
+def test_frames_given_up_by_event_time_go_to_the_side_table(spark):
+    from cadence.streaming.ops import split_late_frames
+
+    df, rows = _frames(spark, {"a": 60}, seed=6)  # frames of half a second
+    src = None
+    lost, twice = F.col("frame_number") == 20, F.col("frame_number") == 3
+    for part in (df.where(~lost), df.where(lost | twice), df.where(lost)):
+        src = stage_files(part, "t6-lost", files=1, path=src)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = run_available_now(stateful_windows(stream, 1.0, 0.8, lateness_s=10.0), "t6-lost-out")
+    windows, late = split_late_frames(spark.read.parquet(out))
+    want = {r.k for r in W.sample_windows(df, 1.0, 0.8).collect() if r.start_idx + 20 < 200 or r.start_idx >= 210}
+    assert sorted(r.k for r in windows.collect()) == sorted(want)
+    assert [(r.start, r.frame_number, tuple(r.samples)) for r in late.collect()] == [(200, 20, tuple(rows[20][-1]))]
