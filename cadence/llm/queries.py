@@ -41,7 +41,7 @@ def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, length and checksum in the token files."""
     import public_tokenizers
 
-    return tokens.tokenised(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.tokenised(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,8 +90,8 @@ BYTE_LETTERS = _byte_letters()
 
 
 @lru_cache(maxsize=4)
-def _encoder(path: str):
-    return Encoder(path)
+def _encoder(path: str, added: bool):
+    return Encoder(path, added)
 
 
 class Encoder:
@@ -99,21 +99,29 @@ class Encoder:
     blank after it, so the ids of a text are those of its pieces, cut before
     each such space, and, in texts whose blanks stand alone, before each line
     end.  Ids of pieces seen are kept, up to a bound, in one flat
-    array; a batch looks each different piece up once and gathers by numpy."""
+    array; a batch looks each different piece up once and gathers by numpy.
 
-    def __init__(self, path: str):
+    With ``added``, special tokens of the vocabulary that stand in a text keep
+    their own id, as in a plain call of the library; without, they are text.
+    Texts that hold an added token are encoded whole, so none is cut."""
+
+    def __init__(self, path: str, added: bool = False):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not added
         self.kind = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
         self.cut = re.compile(r"(?<=\S)(?= )")
         # byte-level vocabularies: a space and letters, or a run of marks, is one
         # pre-token, and goes straight to the library's model
         form = json.loads(self.tok.to_str())
+        own = [t for t in form["added_tokens"] if added or not t["special"]]
+        self.added = [t["content"] for t in own]
+        if form["normalizer"] and any(t["normalized"] for t in own):
+            self.added = [""]  # found in the normalised text only: every text is encoded whole
         level = form["pre_tokenizer"] or {}
         plain = level.get("type") == "ByteLevel" and level.get("use_regex") and not level.get("add_prefix_space")
         self.direct = bool(plain and not form["normalizer"] and form["model"]["type"] == "BPE")
@@ -175,6 +183,12 @@ class Encoder:
         """The ids of every text, ``end`` behind each."""
         if self.n > MEMO:
             self._clear()
+        whole = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+        if whole:
+            got = self.tok.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)
+            held = {i: np.array(e.ids, self.kind).tobytes() + end for i, e in zip(whole, got)}
+            rest = iter(self.batch([t for i, t in enumerate(texts) if i not in held], end) if len(held) < len(texts) else [])
+            return [held[i] if i in held else next(rest) for i in range(len(texts))]
         heads, rests = [], []
         for t in texts:
             # plain: every blank is one space or line end between two words
@@ -212,13 +226,13 @@ class Encoder:
         return self.flat[np.repeat(start - (upto - size), size) + np.arange(upto[-1])]
 
 
-def encoded(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFrame:
+def encoded(docs: DataFrame, path: str, end_id: int | None = END_ID, added: bool = False) -> DataFrame:
     """(doc_id, ids): little-endian ids of every whole text, u2 if the
-    vocabulary allows, else u4; null text is empty."""
+    vocabulary allows, else u4; null text is empty; ``added`` as in Encoder."""
     prepared(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = _encoder(path)
+        enc = _encoder(path, added)
         end = b"" if end_id is None else np.array([end_id], enc.kind).tobytes()
         held, chars = [], 0
         for b in itertools.chain(batches, [None]):
@@ -399,14 +413,15 @@ def _rows(rows: list[tuple]) -> pd.DataFrame:
     return df
 
 
-def tokenised(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFrame:
+def tokenised(docs: DataFrame, path: str, end_id: int | None = END_ID, added: bool = False) -> DataFrame:
     """Encode, write the binary files, read them back; one row a document.
 
     Null and empty texts hold the end id alone.  Rows that repeat an id are
     kept as documents of their own; rows without an id come first.  No rows:
-    no files but an empty rank table, no rows."""
+    no files but an empty rank table, no rows.  ``added``: special tokens in a
+    text keep their own id, as in a plain call of the library."""
     spark = prepared(docs.sparkSession)
     kind = _id_kind(path)
-    ids = staged(encoded(docs, path, end_id), "tokens-ids", "zstd")
+    ids = staged(encoded(docs, path, end_id, added), "tokens-ids", "zstd")
     folder = scratch_dir(spark, "tokens-files")
     return read_back(spark, write_shards(ids, kind, folder), folder)

@@ -43,7 +43,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token files' rows: doc_id, start, n_tokens, ids_crc32."""
     import public_tokenizers
 
-    return tokens.tokenised(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.tokenised(docs, public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 STAGES = [

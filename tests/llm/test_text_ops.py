@@ -384,6 +384,43 @@ def test_token_files_round_trip(spark):
     assert {(r["doc_id"], r["start"]) for r in last} == {(None, 0), (3, 2)}
 
 
+MARKER = "<|endoftext|>"
+MARKED = [
+    MARKER, f"a {MARKER} x", f"wo{MARKER}rd", f"  {MARKER}  ", f"a\n{MARKER}\nb", f"\n\n{MARKER}\n", f"{MARKER}{MARKER} {MARKER}", f"end.{MARKER}?!",
+    MARKER[:-1], f"<{MARKER}>", "plain text", "", "plain\nlines",
+]
+
+
+def test_added_tokens_equal_the_plain_library():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(path())
+    rng = random.Random(12)
+    parts = [" ", "  ", "a", "word", "\n", "\t", ".", "7", "語", MARKER, MARKER[:5]]
+    texts = MARKED + ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 20))) for _ in range(2000)]
+    enc = tokens.Encoder(path(), added=True)
+    for some in ([texts[0]], texts, ODD):
+        for t, got in zip(some, enc.batch(some)):
+            assert np.frombuffer(got, enc.kind).tolist() == plain.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_queries_keep_the_ids_of_added_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from cadence.llm.queries import op6_tokens
+
+    tok, start, want = Tokenizer.from_file(path()), 0, []
+    for i, t in enumerate(MARKED):
+        t = np.array(tok.encode(t, add_special_tokens=False).ids + [0], "<u4")
+        want.append((i, start, len(t), zlib.crc32(t.tobytes())))
+        start += len(t)
+    d = docs_of(spark, MARKED, ids=list(range(len(MARKED))))
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    for got in (op6_tokens(spark, str(tmp_path)), corpus_pipeline.token_ids(spark, d, "")):
+        assert sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in got.collect()) == want
+
+
 def test_many_shards_keep_the_order(spark):
     from cadence.session import scratch_dir
 
