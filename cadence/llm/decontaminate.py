@@ -10,7 +10,11 @@ names were replaced is found, and a sentence that shares only its frame with
 arbitrary fillings is not.
 
 Every window is hashed twice: once with all placeholders, once with names kept
-as words (a passage set in another sentence may lose or gain capitals).
+as words (a passage set in another sentence may lose or gain capitals).  These
+windows need words for half of their tokens.  Items with windows that fail this,
+and items of WINDOW words or less, are also looked for as they are: windows over
+all their words in lower case, numbers, signs and operators kept, an item of
+less than WINDOW words being one window.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 from cadence.llm.common import prepared, staged, text_or_empty
 
 WINDOW = 8
-#: An item of at least this many tokens can be matched.
+#: An item of at least this many tokens can be matched as a template.
 LEAST = 5
 #: A match covers half of the item's tokens, at least WINDOW, at most this many.
 ENOUGH = 13
@@ -60,6 +64,10 @@ _QUANTITY = re.compile(r"[+-]?\d+(?:[.,]\d+)*([a-z%°/]+)")
 _WORD, _NUM, _UNIT, _NAME, _AMOUNT = range(5)  # kinds; an amount is a number with its unit attached
 _MASK = (1 << 64) - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_RAW = np.uint64(0xD1B54A32D192ED03)  # keeps hashes of raw windows apart from the others
+#: Edges of a raw word; a number keeps its sign and point.
+_RAW_EDGE = re.compile(r"^(?:(?![+-]?[$€£]?\.?\d)[^\w%$€£°])+|[^\w%°]+$")
+_SENTENCE = ".,;:!?\"'()[]{}«»“”„’‘…"
 
 
 def _mark(kind: int) -> np.uint64:
@@ -69,16 +77,23 @@ def _mark(kind: int) -> np.uint64:
 _MARKS = np.array([0, *[int(_mark(k)) for k in (_NUM, _UNIT, _NAME, _AMOUNT)]], dtype=np.uint64)
 
 
-def _props(raw: str) -> tuple[int, int, int]:
-    """(word hash, kind without context, flags): flag 1 a capitalised word, 2
-    it may be a unit, 4 it ends a sentence."""
+def _raw_hash(raw: str) -> int:
+    """Hash of a word as it is (of operators too); 0 if it is punctuation only."""
+    low = raw.lower()
+    form = _RAW_EDGE.sub("", low) or low.strip(_SENTENCE)
+    return xxhash.xxh64_intdigest(form) or 1 if form else 0
+
+
+def _props(raw: str) -> tuple[int, int, int, int]:
+    """(word hash, kind without context, flags, raw hash): flag 1 a capitalised
+    word, 2 it may be a unit, 4 it ends a sentence."""
     ends = 4 if raw.rstrip("\"')]»”’")[-1:] in (".", "!", "?", ":", "…") else 0
     core = raw.strip(_PUNCTUATION)
     if not core.isalpha():
         core = _EDGE.sub("", raw)
     low = core.lower()
     if not low:
-        return 0, -1, ends
+        return 0, -1, ends, _raw_hash(raw)
     kind, flags = _WORD, ends
     if low in NUMBER_WORDS:
         kind = _NUM
@@ -92,17 +107,18 @@ def _props(raw: str) -> tuple[int, int, int]:
             kind = _AMOUNT
     if kind == _WORD and len(core) > 1 and core[0].isupper() and core[1:].islower():
         flags |= 1
-    return xxhash.xxh64_intdigest(low), kind, flags
+    h = xxhash.xxh64_intdigest(low)
+    return h, kind, flags, (h or 1) if core.isalpha() else _raw_hash(raw)
 
 
 class Canon:
     """Templates of texts; properties of words seen are kept, up to a bound."""
 
     def __init__(self, most: int = 400_000):
-        self.known: dict[str, tuple[int, int, int]] = {}
+        self.known: dict[str, tuple[int, int, int, int]] = {}
         self.most = most
 
-    def _of(self, raw: str) -> tuple[int, int, int]:
+    def _of(self, raw: str) -> tuple[int, int, int, int]:
         got = _props(raw)
         if len(raw) <= 64:
             if len(self.known) >= self.most:
@@ -111,10 +127,11 @@ class Canon:
         return got
 
     def __call__(self, texts: list[str]):
-        """For every text: (cores, literal hashes, template hashes, kinds) of
-        its words without those of punctuation only; cores(i, j) gives the
-        words i to j in lower case, stripped.  Each different word of the
-        batch is looked at once."""
+        """For every text: (cores, literal hashes, template hashes, kinds, raw
+        hashes) of its words without those of punctuation only; cores(i, j)
+        gives the words i to j in lower case, stripped.  The raw hashes count
+        operators as words.  Each different word of the batch is looked at
+        once."""
         split = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
         flat = split.flatten()
         # the splitter leaves empty strings at the ends of a text
@@ -125,6 +142,7 @@ class Canon:
         h_of = np.array([x[0] for x in p], dtype=np.uint64)
         kind_of = np.array([x[1] for x in p], dtype=np.int8)
         flag_of = np.array([x[2] for x in p], dtype=np.int8)
+        raw_of = np.array([x[3] for x in p], dtype=np.uint64)
         at = 0
         for n in pc.list_value_length(split).to_pylist():
             own = number[at : at + n]
@@ -144,7 +162,8 @@ class Canon:
             def cores(i: int, j: int, at=at, keep=keep) -> list[str]:
                 return [_core(flat[at + k].as_py()) for k in keep[i:j].tolist()]
 
-            yield cores, literal, template, kind
+            raw = raw_of[own]
+            yield cores, literal, template, kind, raw[raw != 0]
             at += n
 
 
@@ -179,6 +198,30 @@ def windows(literal: np.ndarray, template: np.ndarray, kind: np.ndarray, w: int)
     return out
 
 
+def raw_windows(raw: np.ndarray, w: int) -> np.ndarray:
+    return _roll(raw, w) ^ _RAW
+
+
+def _raw_rows(w: int):
+    """Raw windows, w counted negative, of the items whose copies the windows of
+    templates may not cover.  Longer items that are words for half of each
+    window need none: a copy differs in the kind of its first word at most."""
+
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        canon = Canon()
+        for b in batches:
+            rows = []
+            for item, (_, _, _, kind, raw) in zip(b["item"], canon(b["text"].tolist())):
+                c = np.r_[0, np.cumsum(kind != _WORD)]
+                if len(raw) and (len(kind) <= w or (2 * (c[w:] - c[:-w]) > w).any()):
+                    width = min(w, len(raw))
+                    for i, h in enumerate(raw_windows(raw, width).view(np.int64).tolist()):
+                        rows.append((h, -width, item, i, len(raw), [], []))
+            yield pd.DataFrame(rows, columns=["h", "w", "item", "ipos", "n", "kinds", "cores"])
+
+    return make
+
+
 def _bench_rows(w: int, short: bool):
     """Windows of the items; an item shorter than w is one window of its length."""
 
@@ -186,7 +229,7 @@ def _bench_rows(w: int, short: bool):
         canon = Canon()
         for b in batches:
             rows = []
-            for item, (cores, literal, template, kind) in zip(b["item"], canon(b["text"].tolist())):
+            for item, (cores, literal, template, kind, _) in zip(b["item"], canon(b["text"].tolist())):
                 n = len(kind)
                 if short and not LEAST <= n < w:
                     continue
@@ -199,9 +242,11 @@ def _bench_rows(w: int, short: bool):
     return make
 
 
-def _found(widths: list[int], lookup):
+def _found(widths: list[int], lookup, whole: int):
     """Rows (doc_id, h, w, pos, cores) of the documents' windows, those whose
-    hash is in the lookup if there is one."""
+    hash is in the lookup if there is one.  Raw windows (w negative) have no
+    cores; those shorter than ``whole`` are whole items, and one place of each
+    is enough."""
     hashes = lookup.value if lookup else None
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -213,16 +258,24 @@ def _found(widths: list[int], lookup):
             sieve[hashes & low] = True
         for b in batches:
             rows = []
-            for doc, (cores, literal, template, kind) in zip(b["doc_id"], canon(b["text"].tolist())):
+            for doc, (cores, literal, template, kind, raw) in zip(b["doc_id"], canon(b["text"].tolist())):
                 for w in widths:
-                    for hs, at in windows(literal, template, kind, w):
+                    if w < 0:
+                        hs = raw_windows(raw, -w)
+                        levels = [(hs, np.arange(len(hs)))]
+                    else:
+                        levels = windows(literal, template, kind, w)
+                    for hs, at in levels:
                         if hashes is not None and len(hs):
                             hit = np.flatnonzero(sieve[hs & low])
                             place = np.minimum(np.searchsorted(hashes, hs[hit]), len(hashes) - 1)
                             hit = hit[hashes[place] == hs[hit]] if len(hashes) else hit[:0]
                             hs, at = hs[hit], at[hit]
+                        if -whole < w < 0 and len(hs):
+                            hs, first = np.unique(hs, return_index=True)
+                            at = at[first]
                         for h, i in zip(hs.view(np.int64).tolist(), at.tolist()):
-                            rows.append((doc, h, w, i, cores(i, i + w)))
+                            rows.append((doc, h, w, i, cores(i, i + w) if w > 0 else []))
             yield pd.DataFrame(rows, columns=["doc_id", "h", "w", "pos", "cores"])
 
     return make
@@ -254,17 +307,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, lookup_
     """(doc_id, item_id, covered, item_tokens, slots, changed) of every
     document and item that match; the best diagonal of each pair.
 
-    Null texts are empty and match nothing, as do items under LEAST tokens;
-    rows without an id are left out; rows that repeat an id count as one
+    Null texts are empty and match nothing, as do items of punctuation only.
+    Items under LEAST tokens, and those made mostly of numbers, units or names,
+    match as they are: whole if they are shorter than ``window`` words, else as
+    much of them as of others; their tokens then count operators, and slots and
+    changed are 0.  Rows without an id are left out; rows that repeat an id count as one
     document or item.  Further columns are ignored."""
     spark = prepared(docs.sparkSession)
     items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item"), text_or_empty().alias("text"))
     schema = "h long, w int, item long, ipos int, n int, kinds array<int>, cores array<string>"
     bench = staged(
-        items.mapInPandas(_bench_rows(window, False), schema).unionByName(items.mapInPandas(_bench_rows(window, True), schema)),
+        items.mapInPandas(_bench_rows(window, False), schema)
+        .unionByName(items.mapInPandas(_bench_rows(window, True), schema))
+        .unionByName(items.mapInPandas(_raw_rows(window), schema)),
         "bench-windows",
     )
-    widths = sorted(r["w"] for r in bench.select("w").distinct().collect())  # at most `window` values
+    widths = sorted(r["w"] for r in bench.select("w").distinct().collect())  # at most 2 * `window` values
     own = bench.select("h").distinct()
     lookup = None
     if own.count() <= lookup_rows:
@@ -272,33 +330,41 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, lookup_
         lookup = spark.sparkContext.broadcast(hashes)
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     found = texts.mapInPandas(
-        _found(widths, lookup), "doc_id long, h long, w int, pos int, cores array<string>"
+        _found(widths, lookup, window), "doc_id long, h long, w int, pos int, cores array<string>"
     )
     on = bench.select("h", "w", "item", "ipos")
+    raw = (F.col("w") < 0).alias("raw")
     joined = found.join(on, ["h", "w"]).select(
-        "doc_id", "item", (F.col("pos") - F.col("ipos")).alias("diagonal"), F.struct("ipos", "cores").alias("hit")
+        "doc_id", "item", raw, (F.col("pos") - F.col("ipos")).alias("diagonal"), F.struct("ipos", "cores").alias("hit")
     )
     # a diagonal holds at most one window per position of the item and level
-    lines = joined.groupBy("doc_id", "item", "diagonal").agg(F.collect_set("hit").alias("hits"))
-    of_item = bench.groupBy("item").agg(
+    lines = joined.groupBy("doc_id", "item", "raw", "diagonal").agg(F.collect_set("hit").alias("hits"))
+    of_item = bench.groupBy("item", raw).agg(
         F.max("n").alias("n"), F.min_by("kinds", "ipos").alias("kinds"), F.min_by("cores", "ipos").alias("item_cores")
     )
 
     def verdict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for doc, item, n, kinds, cores, hits in zip(b["doc_id"], b["item"], b["n"], b["kinds"], b["item_cores"], b["hits"]):
+            for doc, item, raw, n, kinds, cores, hits in zip(
+                b["doc_id"], b["item"], b["raw"], b["n"], b["kinds"], b["item_cores"], b["hits"]
+            ):
+                if raw:
+                    covered = len({i for h in hits for i in range(h["ipos"], h["ipos"] + min(n, window))})
+                    if covered >= needed(n):
+                        rows.append((doc, item, True, covered, n, 0, 0))
+                    continue
                 if len(kinds) != n:
                     continue
                 covered, slots, off, changed = judge(n, list(kinds), list(cores), [(h["ipos"], list(h["cores"])) for h in hits])
                 if covered >= needed(n) and off <= SLACK * slots:
-                    rows.append((doc, item, covered, n, slots, changed))
-            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "covered", "item_tokens", "slots", "changed"])
+                    rows.append((doc, item, False, covered, n, slots, changed))
+            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "raw", "covered", "item_tokens", "slots", "changed"])
 
-    good = lines.join(of_item, "item").mapInPandas(
-        verdict, "doc_id long, item_id long, covered int, item_tokens int, slots int, changed int"
+    good = lines.join(of_item, ["item", "raw"]).mapInPandas(
+        verdict, "doc_id long, item_id long, raw boolean, covered int, item_tokens int, slots int, changed int"
     )
-    best = F.max(F.struct("covered", -F.col("changed"), "item_tokens", "slots", "changed"))
+    best = F.max(F.struct(~F.col("raw"), "covered", -F.col("changed"), "item_tokens", "slots", "changed"))
     return (
         good.groupBy("doc_id", "item_id")
         .agg(best.alias("b"))

@@ -155,6 +155,27 @@ def test_decontaminate_cases(spark, lookup_rows):
     assert {(names[i], j) for i, j in got} == {(n, j) for n in names for j in CASES[n][1]}
 
 
+EXACT = [
+    "What is 12 + 7 * 3 - 4 ?", "What is 15 + 7 ?", "1, 1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 144", "Zebras", "-7", "5 km 3 kg 20 min 8 ft 9 oz 4 lb",
+    "Year Sold Left 1990 12 40 1991 15 37 1992 19 33 1993 22 30 total of the years", "Ask Anna Bob Carl Dora Emil Fritz Gerda Hans",
+]
+NOT = [
+    "What is 12 + 7 * 3 + 4 ?", "What is 15 - 7 ?", "What is 15 + 8 ?", "1, 1, 2, 3, 6, 8, 13, 22, 34, 55, 90, 144", "zebra 7", "it is 7 or 8",
+    "6 km 3 kg 20 min 9 ft 9 oz 4 lb", "Year 1990 Sold 12",
+]
+
+
+@pytest.mark.parametrize("lookup_rows", [decontaminate.LOOKUP_ROWS, 0])
+def test_copies_of_items_of_numbers_and_of_few_words_are_found(spark, lookup_rows):
+    items = spark.createDataFrame(list(enumerate(EXACT)), "item_id long, text string")
+    around = [f"They wrote then {x} and went on." for x in EXACT] + [f'"{x}"' for x in EXACT] + [x.lower() for x in EXACT]
+    got = decontaminate.matches(docs_of(spark, around + NOT), items, lookup_rows=lookup_rows).collect()
+    n = len(EXACT)
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, i % n) for i in range(3 * n)}
+    twice = decontaminate.matches(docs_of(spark, ["zebras " * 50]), items, lookup_rows=lookup_rows).collect()
+    assert [tuple(r) for r in twice] == [(0, 3, 1, 1, 0, 0)]
+
+
 def test_slots_must_be_filled_consistently():
     kinds, cores = [0] * 12, [f"w{i}" for i in range(12)]
     for i in (1, 5, 9):
