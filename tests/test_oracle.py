@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_CHECK
-from tools.oracle_check import rows_of, type_mismatches
+from tools.oracle_check import fetched, rows_of, type_mismatches
 
 ORACLE = E.oracle_sql()
 KEYS = sorted(E.queries())
@@ -24,7 +24,7 @@ def test_every_key_is_registered_with_entry_and_most_with_sql():
 def test_matches_oracle(spark, duck, key):
     sdf = E.queries()[key](spark, SF_CHECK)
     assert type_mismatches(sdf, duck, ORACLE[key]) == {}
-    got = sdf.toPandas()
+    got = fetched(sdf)
     want = duck.execute(ORACLE[key]).df()
     gc, gr = rows_of(got)
     wc, wr = rows_of(want)
