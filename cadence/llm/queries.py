@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import decontaminate, hamming, language, lines, mixing, pii, simhash, tokens, toxicity, webarchive
+from cadence.llm import decontaminate, hamming, language, lines, mixing, pii, resample, simhash, tokens, toxicity, webarchive
 from cadence.llm.common import prepared
 
 
@@ -74,6 +74,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "pages"), model)
 
 
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's n-gram weight towards the benchmark, its noisy score, and its rank if drawn."""
+    return resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op7_lines": op7_lines,
     "op8_webarchive": op8_webarchive,
@@ -85,6 +90,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op5_toxicity": op5_toxicity,
     "op3_simhash": op3_simhash,
+    "op12_resample": op12_resample,
 }
 
-ORACLE: dict[str, str] = {"op4_mixing": mixing.sql(), "op7_lines": lines.SQL}
+ORACLE: dict[str, str] = {"op4_mixing": mixing.sql(), "op7_lines": lines.SQL, "op12_resample": resample.SQL}
