@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import decontaminate, hamming, language, lines, mixing, pii, resample, simhash, tokens, toxicity, webarchive
+from cadence.llm import decontaminate, divergence, hamming, language, lines, mixing, pii, resample, simhash, tokens, toxicity, webarchive
 from cadence.llm.common import prepared
 
 
@@ -79,6 +79,11 @@ def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of every language are apart, and the terms each of them raises."""
+    return divergence.audited(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op7_lines": op7_lines,
     "op8_webarchive": op8_webarchive,
@@ -91,6 +96,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op3_simhash": op3_simhash,
     "op12_resample": op12_resample,
+    "op13_divergence": op13_divergence,
 }
 
-ORACLE: dict[str, str] = {"op4_mixing": mixing.sql(), "op7_lines": lines.SQL, "op12_resample": resample.SQL}
+ORACLE: dict[str, str] = {"op4_mixing": mixing.sql(), "op7_lines": lines.SQL, "op12_resample": resample.SQL, "op13_divergence": divergence.SQL}

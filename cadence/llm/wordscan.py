@@ -73,17 +73,31 @@ def words(texts: pa.Array, form: np.ndarray) -> Words:
     return Words(flat.indices.to_numpy(zero_copy_only=False), flat.dictionary, np.searchsorted(start, offsets))
 
 
-def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Runs of rows of at most SLICE_BYTES of text, or of one row."""
-    if not batch.num_rows:
-        return
-    _, offsets = _buffers(batch.column(text))
-    first = 0
-    while first < batch.num_rows:
-        last = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1
-        last = min(max(last, first + 1), batch.num_rows)
-        yield batch.slice(first, last - first)
-        first = last
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in order, in batches of about SLICE_BYTES of
+    text: smaller ones are put together, larger ones cut between rows."""
+    held, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        _, offsets = _buffers(batch.column(text))
+        first = 0
+        while first < batch.num_rows:
+            last = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES - size, "right")) - 1
+            last = min(max(last, first + (not held)), batch.num_rows)
+            if last > first:
+                held.append(batch.slice(first, last - first))
+                size += int(offsets[last] - offsets[first])
+            if last < batch.num_rows or size >= SLICE_BYTES:
+                yield _joined(held)
+                held, size = [], 0
+            first = last
+    if held:
+        yield _joined(held)
+
+
+def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def text_bytes(docs: DataFrame, *columns) -> DataFrame:
