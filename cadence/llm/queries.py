@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import decontaminate, divergence, hamming, language, lines, mixing, pii, resample, simhash, tokens, toxicity, webarchive
+from cadence.llm import decontaminate, divergence, hamming, language, licenses, lines, mixing, pii, resample, simhash, tokens, toxicity, webarchive
 from cadence.llm.common import prepared
 
 
@@ -84,6 +84,11 @@ def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audited(table(spark, sf_dir, "documents"))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's license phrases and the licenses whose whole wording stands in it."""
+    return licenses.digest(licenses.scanned(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op7_lines": op7_lines,
     "op8_webarchive": op8_webarchive,
@@ -95,8 +100,9 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op5_toxicity": op5_toxicity,
     "op3_simhash": op3_simhash,
+    "op11_licenses": op11_licenses,
     "op12_resample": op12_resample,
     "op13_divergence": op13_divergence,
 }
 
-ORACLE: dict[str, str] = {"op4_mixing": mixing.sql(), "op7_lines": lines.SQL, "op12_resample": resample.SQL, "op13_divergence": divergence.SQL}
+ORACLE: dict[str, str] = {"op4_mixing": mixing.sql(), "op7_lines": lines.SQL, "op11_licenses": licenses.SQL, "op12_resample": resample.SQL, "op13_divergence": divergence.SQL}
