@@ -205,9 +205,9 @@ def _share(n, total):
 def _compare(rows_of_unit: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
     """The partial sums of one block and two tiles (lang, source, item, value),
     item after source in the order of the language's sources."""
-    none = pd.DataFrame({"lang": [], "source": [], "item": [], "value": []}).astype({"value": "int64"})
+    columns = ["lang", "source", "item", "value"]
     if not len(rows_of_unit):
-        return none
+        return pd.DataFrame([], columns=columns)
     u = rows_of_unit.iloc[0]
     width, terms = int(u["width"]), int(u["terms"])
     sources: dict[str, int] = {}
@@ -231,8 +231,8 @@ def _compare(rows_of_unit: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
         if items:
             q = p[[place[s] for s in items]]
             value = ((p[a] - q) ** 2 // (p[a] + q)).sum(axis=1)
-            out.append(pd.DataFrame({"lang": u["lang"], "source": r["source"], "item": items, "value": value}))
-    return pd.concat(out) if out else none
+            out += [(u["lang"], r["source"], item, v) for item, v in zip(items, value.tolist())]
+    return pd.DataFrame(out, columns=columns)
 
 
 def pairs(groups: DataFrame, counts: DataFrame) -> DataFrame:
