@@ -35,14 +35,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadence.llm.common import prepared, scratch_dir, staged, text_or_empty
+from cadence.llm.common import prepared, scratch_dir, staged
+from cadence.llm.wordscan import buffers, slices, text_bytes
 
 END_ID = 0
 SHARD_IDS = 4_000_000
 BLOCK_IDS = 1 << 18
 MEMO = 1_500_000
-#: Characters that a task gathers before it looks pieces up.
-BATCH_CHARS = 6_000_000
 MAGIC = b"SVBRANK1"
 
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.int64) + 1
@@ -76,6 +75,9 @@ def unpack(block: memoryview, at: int = 0) -> tuple[np.ndarray, int]:
 
 #: Marks that end a word; a run of them is one pre-token of its own.
 MARKS = ".,;:!?"
+#: Bytes of ASCII blanks other than space and line end, and first bytes of wide blanks.
+_OTHER_BLANK = np.isin(np.arange(256), [9, 11, 12, 13, 28, 29, 30, 31])
+_BLANK_LEAD = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
 
 
 def _byte_letters() -> dict[int, int]:
@@ -87,6 +89,7 @@ def _byte_letters() -> dict[int, int]:
 
 
 BYTE_LETTERS = _byte_letters()
+SPACE = chr(BYTE_LETTERS[ord(" ")])
 
 
 @lru_cache(maxsize=4)
@@ -140,34 +143,59 @@ class Encoder:
 
     def _known(self, memo: dict[str, int], keys: list[str], lead: str) -> np.ndarray:
         """Numbers of the pieces lead + key."""
-        new = [k for k in keys if k not in memo]
+        number = np.fromiter(map(memo.get, keys, itertools.repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(number < 0).tolist()
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            ids = self._encode([k if k[:1] == "\n" and memo is self.later else lead + k for k in part])
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            used, more = int(self.end[self.n]), int(size.sum())
+            pieces = [keys[i] if keys[i][:1] == "\n" and memo is self.later else lead + keys[i] for i in part]
+            order, ids, size = self._encode(pieces)
+            used, more = int(self.end[self.n]), len(ids)
             while used + more > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
             while self.n + len(part) >= len(self.end):
                 self.end = np.concatenate([self.end, np.zeros_like(self.end)])
-            self.flat[used : used + more] = np.fromiter(itertools.chain.from_iterable(ids), self.kind, more)
+            self.flat[used : used + more] = ids
             self.end[self.n + 1 : self.n + 1 + len(part)] = used + np.cumsum(size)
-            memo.update(zip(part, range(self.n, self.n + len(part))))
+            for n, i in enumerate(order, self.n):
+                memo[keys[part[i]]] = n
+            number[[part[i] for i in order]] = np.arange(self.n, self.n + len(part))
             self.n += len(part)
-        return np.fromiter(map(memo.__getitem__, keys), np.int64, len(keys))
+        return number
 
-    def _encode(self, pieces: list[str]) -> list[list[int]]:
-        ids: list[list[int] | None] = [None] * len(pieces)
+    def _encode(self, pieces: list[str]) -> tuple[list[int], list[int], list[int]]:
+        """(an order of the pieces, all their ids in it, number of ids of each)."""
+        order, ids, size, rest = [], [], [], []
         if self.direct:
+            tokenize, marks, newline = self.model.tokenize, self.marks, self.newline
             for i, piece in enumerate(pieces):
-                line = piece[:1] == "\n"
                 word = piece.rstrip(MARKS)
-                if word[line + (word[:1] == " ") :].isalpha():
-                    ids[i] = (self.newline if line else []) + self._model(word[line:]) + self._marks(piece[len(word) :])
-        rest = [i for i, x in enumerate(ids) if x is None]
+                line = word[:1] == "\n"
+                bare = word[1:] if line or word[:1] == " " else word
+                if not bare.isalpha():
+                    rest.append(i)
+                    continue
+                before = len(ids)
+                if line:
+                    ids += newline
+                    word = bare
+                if not bare.isascii():
+                    word = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+                elif word is not bare:
+                    word = SPACE + bare
+                for t in tokenize(word):
+                    ids.append(t.id)
+                if piece[-1] in MARKS:
+                    run = piece[len(piece.rstrip(MARKS)) :]
+                    ids += marks.get(run) or self._marks(run)
+                order.append(i)
+                size.append(len(ids) - before)
+        else:
+            rest = list(range(len(pieces)))
         for i, e in zip(rest, self.tok.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)):
-            ids[i] = e.ids
-        return ids
+            order.append(i)
+            size.append(len(e.ids))
+            ids += e.ids
+        return order, ids, size
 
     def _model(self, pre_token: str) -> list[int]:
         return [t.id for t in self.model.tokenize(pre_token.encode().decode("latin-1").translate(BYTE_LETTERS))]
@@ -219,6 +247,70 @@ class Encoder:
             out.append(self._gather(np.concatenate([[first[head]], own]).astype(np.int64)).tobytes() + end)
         return out
 
+    def arrow(self, texts: pa.Array, end: int | None = None) -> pa.Array:
+        """The same of binary texts without nulls, ``end`` behind each, as
+        binary; texts whose blanks stand alone are cut as arrays of bytes."""
+        if self.n > MEMO:
+            self._clear()
+        plain = self._plain(texts)
+        mark = b"" if end is None else np.array([end], self.kind).tobytes()
+        made = self._cut(texts if plain.all() else texts.filter(pa.array(plain)), end)
+        if plain.all():
+            return made
+        odd = [t.decode() for t in texts.filter(pa.array(~plain)).to_pylist()]
+        order = np.empty(len(texts), np.int64)
+        order[np.r_[np.flatnonzero(plain), np.flatnonzero(~plain)]] = np.arange(len(texts))
+        return pa.concat_arrays([made, pa.array(self.batch(odd, mark), pa.large_binary())]).take(pa.array(order))
+
+    def _plain(self, texts: pa.Array) -> np.ndarray:
+        """Whether all blanks of a text are a space or line end between two
+        others, and no added token stands in it."""
+        data, offsets = buffers(texts)
+        blank = (data == 32) | (data == 10)
+        bad = _OTHER_BLANK[data]
+        bad[:-1] |= blank[:-1] & blank[1:]
+        lead = np.flatnonzero(_BLANK_LEAD[data])
+        second, third = (data[np.minimum(lead + k, len(data) - 1)] for k in (1, 2))
+        wide = (data[lead] == 0xC2) & ((second == 0x85) | (second == 0xA0))
+        wide |= (data[lead] == 0xE2) & (second <= 0x81) & ((third <= 0x8A) | (third >= 0x9F))
+        bad[lead[wide | (data[lead] == 0xE1) & (second == 0x9A) | (data[lead] == 0xE3) & (second == 0x80)]] = True
+        upto = np.r_[0, np.cumsum(bad)]
+        ok = upto[offsets[1:]] == upto[offsets[:-1]]
+        some = np.flatnonzero(np.diff(offsets))
+        ok[some] &= ~(blank[offsets[some]] | blank[offsets[some + 1] - 1])
+        for a in self.added:
+            ok &= ~pc.match_substring(texts, a.encode()).to_numpy(zero_copy_only=False)
+        return ok
+
+    def _cut(self, texts: pa.Array, end: int | None) -> pa.Array:
+        data, offsets = buffers(texts)
+        begins = np.zeros(len(data) + 1, bool)
+        begins[1:] = data == 32
+        begins[:-1] |= data == 10
+        begins[offsets] = True
+        start = np.flatnonzero(begins[: len(data)])
+        kept = data != 32
+        at = np.r_[0, np.cumsum(kept)]
+        ends = at[np.r_[start, len(data)]].astype(np.int64)
+        pieces = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(ends), pa.py_buffer(data[kept]))
+        bound = np.searchsorted(start, offsets)
+        head = np.zeros(len(start), bool)
+        head[bound[:-1][np.diff(bound) > 0]] = True
+        number = np.zeros(len(start), np.int64)
+        for memo, own, lead in ((self.first, head, ""), (self.later, ~head, " ")):
+            d = pieces.filter(pa.array(own)).dictionary_encode()
+            known = self._known(memo, d.dictionary.to_numpy(zero_copy_only=False).tolist(), lead)
+            number[own] = known[d.indices.to_numpy(zero_copy_only=False)]
+        ids = self._gather(number) if len(number) else np.zeros(0, self.kind)
+        upto = np.r_[0, np.cumsum(self.end[number + 1] - self.end[number])][bound]
+        if end is not None:
+            n = len(texts)
+            full = np.full(len(ids) + n, end, self.kind)
+            full[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(upto))] = ids
+            ids, upto = full, upto + np.arange(n + 1)
+        places = (upto * ids.itemsize).astype(np.int64)
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(places), pa.py_buffer(ids)])
+
     def _gather(self, numbers: np.ndarray) -> np.ndarray:
         start = self.end[numbers]
         size = self.end[numbers + 1] - start
@@ -231,21 +323,13 @@ def encoded(docs: DataFrame, path: str, end_id: int | None = END_ID, added: bool
     vocabulary allows, else u4; null text is empty; ``added`` as in Encoder."""
     prepared(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(path, added)
-        end = b"" if end_id is None else np.array([end_id], enc.kind).tobytes()
-        held, chars = [], 0
-        for b in itertools.chain(batches, [None]):
-            if held and (b is None or chars >= BATCH_CHARS):
-                own = pd.concat(held)
-                yield pd.DataFrame({"doc_id": own["doc_id"], "ids": enc.batch(own["text"].tolist(), end)})
-                held, chars = [], 0
-            if b is not None and len(b):
-                held.append(b)
-                chars += int(b["text"].str.len().sum())
-
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return own.mapInPandas(run, "doc_id long, ids binary")
+        for part in slices(batches):
+            ids = enc.arrow(part.column("text"), end_id).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], names=["doc_id", "ids"])
+
+    return text_bytes(docs, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(run, "doc_id long, ids binary")
 
 
 def _id_kind(path: str) -> str:

@@ -45,8 +45,9 @@ class Words:
         return np.repeat(np.arange(len(self.bound) - 1), np.diff(self.bound))
 
 
-def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    wide = pa.types.is_large_binary(texts.type)
+def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of binary or string texts."""
+    wide = pa.types.is_large_binary(texts.type) or pa.types.is_large_string(texts.type)
     _, at, data = texts.buffers()
     offsets = np.frombuffer(at, np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1]
     flat = np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)
@@ -55,7 +56,7 @@ def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def words(texts: pa.Array, form: np.ndarray) -> Words:
     """The words of binary texts without nulls."""
-    data, offsets = _buffers(texts)
+    data, offsets = buffers(texts)
     low = form[data]
     inside = low != 0
     edge = np.zeros(len(low) + 1, bool)
@@ -67,7 +68,7 @@ def words(texts: pa.Array, form: np.ndarray) -> Words:
     size = end - start
     at = np.r_[0, np.cumsum(size)]
     kept = low[inside]
-    flat = pa.LargeBinaryArray.from_buffers(
+    flat = pa.LargeBinaryArray.frombuffers(
         pa.large_binary(), len(size), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(kept)]
     ).dictionary_encode()
     return Words(flat.indices.to_numpy(zero_copy_only=False), flat.dictionary, np.searchsorted(start, offsets))
@@ -80,7 +81,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
     for batch in batches:
         if not batch.num_rows:
             continue
-        _, offsets = _buffers(batch.column(text))
+        _, offsets = buffers(batch.column(text))
         first = 0
         while first < batch.num_rows:
             last = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES - size, "right")) - 1
