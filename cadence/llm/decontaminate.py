@@ -41,9 +41,9 @@ LEAST = 5
 ENOUGH = 13
 #: Share of slots that may disagree with the match's own substitution.
 SLACK = 0.2
-#: Window hashes (8 bytes each) up to which tasks get them all and look them up
-#: before the join; beyond it the windows of all documents are shuffled.
-LOOKUP_ROWS = 2_000_000
+#: Bits of the sieve of window hashes that tasks look windows up in before the
+#: join, whatever the number of items (16 MB).
+SIEVE_BITS = 27
 
 #: Units after a number (fixed values).
 UNITS = frozenset(
@@ -242,23 +242,33 @@ def _bench_rows(w: int, short: bool):
     return make
 
 
-def _found(widths: list[int], lookup, whole: int):
-    """Rows (doc_id, h, w, pos, cores) of the documents' windows, those whose
-    hash is in the lookup if there is one.  Raw windows (w negative) have no
-    cores; those shorter than ``whole`` are whole items, and one place of each
-    is enough."""
-    hashes = lookup.value if lookup else None
+def _sieve(hashes: DataFrame, bits: int) -> np.ndarray:
+    """A fixed number of bits (packed) in which those of all hashes are set;
+    its parts are made by a grouped aggregate."""
+    place = F.col("h").bitwiseAND(F.lit((1 << bits) - 1)) + 1
+    parts = (
+        hashes.select(place.alias("x"))
+        .groupBy(F.bitmap_bucket_number("x").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("bitmap"))
+    )
+    out = np.zeros(max(1 << bits >> 3, 4096), np.uint8)
+    for r in parts.collect():  # 2 ** bits / 32768 rows of 4096 bytes at most
+        at = (r["bucket"] - 1) * 4096
+        out[at : at + 4096] = np.frombuffer(r["bitmap"], np.uint8)
+    return out
+
+
+def _found(widths: list[int], sieve, bits: int, whole: int):
+    """Rows (doc_id, mark, h, w, pos, cores) of the documents' windows whose
+    hash may be one of the items'.  Raw windows (w negative) have no cores;
+    those shorter than ``whole`` are whole items, and one place of each is
+    enough."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        canon = Canon()
-        if hashes is not None:
-            bits = max(16, int(len(hashes)).bit_length() + 5)
-            low = np.uint64((1 << bits) - 1)
-            sieve = np.zeros(1 << bits, bool)
-            sieve[hashes & low] = True
+        canon, packed, low = Canon(), sieve.value, np.uint64((1 << bits) - 1)
         for b in batches:
             rows = []
-            for doc, (cores, literal, template, kind, raw) in zip(b["doc_id"], canon(b["text"].tolist())):
+            for doc, mark, (cores, literal, template, kind, raw) in zip(b["doc_id"], b["mark"], canon(b["text"].tolist())):
                 for w in widths:
                     if w < 0:
                         hs = raw_windows(raw, -w)
@@ -266,17 +276,17 @@ def _found(widths: list[int], lookup, whole: int):
                     else:
                         levels = windows(literal, template, kind, w)
                     for hs, at in levels:
-                        if hashes is not None and len(hs):
-                            hit = np.flatnonzero(sieve[hs & low])
-                            place = np.minimum(np.searchsorted(hashes, hs[hit]), len(hashes) - 1)
-                            hit = hit[hashes[place] == hs[hit]] if len(hashes) else hit[:0]
-                            hs, at = hs[hit], at[hit]
-                        if -whole < w < 0 and len(hs):
+                        place = hs & low
+                        hit = np.flatnonzero(packed[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
+                        if not len(hit):
+                            continue
+                        hs, at = hs[hit], at[hit]
+                        if -whole < w < 0:
                             hs, first = np.unique(hs, return_index=True)
                             at = at[first]
                         for h, i in zip(hs.view(np.int64).tolist(), at.tolist()):
-                            rows.append((doc, h, w, i, cores(i, i + w) if w > 0 else []))
-            yield pd.DataFrame(rows, columns=["doc_id", "h", "w", "pos", "cores"])
+                            rows.append((doc, mark, h, w, i, cores(i, i + w) if w > 0 else []))
+            yield pd.DataFrame(rows, columns=["doc_id", "mark", "h", "w", "pos", "cores"])
 
     return make
 
@@ -303,18 +313,16 @@ def needed(n: int) -> int:
     return min(n, ENOUGH, max(WINDOW, math.ceil(n / 2)))
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, lookup_rows: int = LOOKUP_ROWS) -> DataFrame:
-    """(doc_id, item_id, covered, item_tokens, slots, changed) of every
-    document and item that match; the best diagonal of each pair.
+def _mark():
+    """Names a row's text, for rows that share an id or have none."""
+    return F.md5(text_or_empty().cast("binary"))
 
-    Null texts are empty and match nothing, as do items of punctuation only.
-    Items under LEAST tokens, and those made mostly of numbers, units or names,
-    match as they are: whole if they are shorter than ``window`` words, else as
-    much of them as of others; their tokens then count operators, and slots and
-    changed are 0.  Rows without an id are left out; rows that repeat an id count as one
-    document or item.  Further columns are ignored."""
+
+def _judged(docs: DataFrame, benchmark: DataFrame, window: int, bits: int) -> DataFrame:
+    """The matches of every different document (doc_id, mark) and item text."""
     spark = prepared(docs.sparkSession)
-    items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item"), text_or_empty().alias("text"))
+    texts_of = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")).distinct()
+    items = staged(texts_of.withColumn("item", F.monotonically_increasing_id()), "bench-items")
     schema = "h long, w int, item long, ipos int, n int, kinds array<int>, cores array<string>"
     bench = staged(
         items.mapInPandas(_bench_rows(window, False), schema)
@@ -323,22 +331,20 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, lookup_
         "bench-windows",
     )
     widths = sorted(r["w"] for r in bench.select("w").distinct().collect())  # at most 2 * `window` values
-    own = bench.select("h").distinct()
-    lookup = None
-    if own.count() <= lookup_rows:
-        hashes = np.sort(np.array([r["h"] for r in own.collect()], dtype=np.int64).view(np.uint64))
-        lookup = spark.sparkContext.broadcast(hashes)
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    sieve = spark.sparkContext.broadcast(_sieve(bench.select("h"), bits))  # 2 ** bits bits
+    # ids as text: pandas has no whole numbers beside nulls
+    texts = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), _mark().alias("mark"), text_or_empty().alias("text"))
     found = texts.mapInPandas(
-        _found(widths, lookup, window), "doc_id long, h long, w int, pos int, cores array<string>"
+        _found(widths, sieve, bits, window), "doc_id string, mark string, h long, w int, pos int, cores array<string>"
     )
     on = bench.select("h", "w", "item", "ipos")
     raw = (F.col("w") < 0).alias("raw")
+    doc = ["doc_id", "mark"]
     joined = found.join(on, ["h", "w"]).select(
-        "doc_id", "item", raw, (F.col("pos") - F.col("ipos")).alias("diagonal"), F.struct("ipos", "cores").alias("hit")
+        *doc, "item", raw, (F.col("pos") - F.col("ipos")).alias("diagonal"), F.struct("ipos", "cores").alias("hit")
     )
     # a diagonal holds at most one window per position of the item and level
-    lines = joined.groupBy("doc_id", "item", "raw", "diagonal").agg(F.collect_set("hit").alias("hits"))
+    lines = joined.groupBy(*doc, "item", "raw", "diagonal").agg(F.collect_set("hit").alias("hits"))
     of_item = bench.groupBy("item", raw).agg(
         F.max("n").alias("n"), F.min_by("kinds", "ipos").alias("kinds"), F.min_by("cores", "ipos").alias("item_cores")
     )
@@ -346,33 +352,52 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, lookup_
     def verdict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for doc, item, raw, n, kinds, cores, hits in zip(
-                b["doc_id"], b["item"], b["raw"], b["n"], b["kinds"], b["item_cores"], b["hits"]
+            for doc, mark, item, raw, n, kinds, cores, hits in zip(
+                b["doc_id"], b["mark"], b["item"], b["raw"], b["n"], b["kinds"], b["item_cores"], b["hits"]
             ):
                 if raw:
                     covered = len({i for h in hits for i in range(h["ipos"], h["ipos"] + min(n, window))})
                     if covered >= needed(n):
-                        rows.append((doc, item, True, covered, n, 0, 0))
-                    continue
-                if len(kinds) != n:
+                        rows.append((doc, mark, item, True, covered, n, 0, 0))
                     continue
                 covered, slots, off, changed = judge(n, list(kinds), list(cores), [(h["ipos"], list(h["cores"])) for h in hits])
                 if covered >= needed(n) and off <= SLACK * slots:
-                    rows.append((doc, item, False, covered, n, slots, changed))
-            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "raw", "covered", "item_tokens", "slots", "changed"])
+                    rows.append((doc, mark, item, False, covered, n, slots, changed))
+            yield pd.DataFrame(rows, columns=["doc_id", "mark", "item", "raw", "covered", "item_tokens", "slots", "changed"])
 
     good = lines.join(of_item, ["item", "raw"]).mapInPandas(
-        verdict, "doc_id long, item_id long, raw boolean, covered int, item_tokens int, slots int, changed int"
+        verdict,
+        "doc_id string, mark string, item long, raw boolean, covered int, item_tokens int, slots int, changed int",
     )
+    return good.join(items.select("item", "item_id"), "item").withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bits: int = SIEVE_BITS) -> DataFrame:
+    """(doc_id, item_id, covered, item_tokens, slots, changed) of every
+    document and item that match; the best diagonal of each pair.
+
+    Null texts are empty and match nothing, as do items of punctuation only.
+    Items under LEAST tokens, and those made mostly of numbers, units or names,
+    match as they are: whole if they are shorter than ``window`` words, else as
+    much of them as of others; their tokens then count operators, and slots and
+    changed are 0.  Rows that repeat an id are looked at each with its own
+    text, documents and items alike, and give one row of their id, the best
+    match; rows without an id count under a null id.  Further columns are
+    ignored."""
     best = F.max(F.struct(~F.col("raw"), "covered", -F.col("changed"), "item_tokens", "slots", "changed"))
     return (
-        good.groupBy("doc_id", "item_id")
+        _judged(docs, benchmark, window, bits)
+        .groupBy("doc_id", "item_id")
         .agg(best.alias("b"))
         .select("doc_id", "item_id", "b.covered", "b.item_tokens", "b.slots", "b.changed")
     )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that match no item (all their columns); rows without an id stay."""
-    bad = staged(matches(docs, benchmark).select("doc_id").distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"].cast("long") == bad["doc_id"], "left_anti")
+    """The rows whose text matches no item (all their columns), whatever their
+    ids; of rows that share an id those that match go."""
+    found = _judged(docs, benchmark, WINDOW, SIEVE_BITS)
+    bad = staged(found.select(F.col("doc_id").alias("id"), "mark").distinct(), "contaminated")
+    own = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), _mark().alias("mark"))
+    same = own["id"].eqNullSafe(bad["id"]) & (own["mark"] == bad["mark"])
+    return own.join(bad, same, "left_anti").select("row.*")

@@ -176,11 +176,16 @@ def _terms(rows: DataFrame) -> DataFrame:
 
 
 def _mark(text: str, spans: list[tuple[str, int, int]], level: dict[str, float], remove: float) -> str:
-    """The text with entities replaced by their kind, terms generalised or removed."""
+    """The text with entities replaced by their kind, terms generalised or
+    removed.  Entities that overlap are replaced together, by the first's kind."""
     out, at = [], 0
+    whole: list[list] = []
     for kind, s, e in spans:
-        if s < at:
-            continue
+        if whole and s < whole[-1][2]:
+            whole[-1][2] = max(whole[-1][2], e)
+        else:
+            whole.append([kind, s, e])
+    for kind, s, e in whole:
         out.append(text[at:s])
         if kind != "term":
             out.append(f"[{kind.upper()}]")

@@ -213,18 +213,29 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents whose id is the smallest of their group (all columns of
-    ``docs``); of rows that repeat that id one stays.  Rows without an id stay."""
-    found = near_duplicates(docs, shingle, max_bits)
-    gone = staged(
-        found.where("doc_id is not null and doc_id <> component_id").select("doc_id").distinct(), "simhash-gone"
-    )
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    twice = staged(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "simhash-twice")
-    if not twice.limit(1).count():
+    """One row (all columns of ``docs``) of every group of linked texts: the one
+    of the smallest id, rows without an id last, ties to the smaller row.
+    Groups go by texts, not ids: of rows that share an id with unrelated texts
+    each stays if it is the first of its own group."""
+    fp = staged(with_fingerprint(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), shingle).select("id", "fp"), "simhash-fp")
+    fps = staged(fp.select("fp").distinct().withColumn("rep", F.col("fp")), "simhash-distinct")
+    linked = staged(link_classes(fps, max_bits), "simhash-found")
+    classes = fps.join(linked, fps.rep == linked.node, "left").select("fp", F.coalesce("component", "rep").alias("cls"))
+    classes = staged(classes, "simhash-classes")
+    of_row = fp.join(classes, "fp").select("id", "cls")
+    first = of_row.groupBy("cls").agg(F.min("id").alias("first"))  # null: no row of the class has an id
+    first = staged(first, "simhash-first")
+    marked = of_row.join(first, "cls")
+    gone = marked.where("id is not null and id <> first").select(F.col("id").alias("gone"))
+    # rows whose id does not tell them apart are decided by their own fingerprint
+    twice = fp.where("id is not null").groupBy("id").count().where("count > 1").select(F.col("id").alias("gone"))
+    out = staged(gone.unionByName(twice).distinct(), "simhash-gone")
+    own = docs.withColumn("row", F.struct(*docs.columns)).select("row", F.col("doc_id").cast("long").alias("id"), "text")
+    kept = own.where("id is not null").join(out, own["id"] == out["gone"], "left_anti").select("row.*")
+    unclear = staged(twice, "simhash-twice").withColumnRenamed("gone", "twice")
+    rest = own.join(unclear, own["id"] == unclear["twice"], "left_semi").unionByName(own.where("id is null"))
+    if not rest.limit(1).count():
         return kept
-    # rows that repeat an id: the smallest text's row stays, by a grouped minimum
-    rest = kept.join(twice, "doc_id", "left_semi")
-    first = rest.groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("r"))
-    one = first.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"r.`{c}`").alias(c) for c in docs.columns])
-    return kept.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
+    own_class = with_fingerprint(rest, shingle).join(classes, "fp").join(first, "cls")
+    chosen = own_class.where(F.col("id").eqNullSafe(F.col("first"))).groupBy("cls").agg(F.min("row").alias("row"))
+    return kept.unionByName(chosen.select("row.*"))

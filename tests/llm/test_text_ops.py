@@ -98,7 +98,8 @@ def test_simhash_odd_rows(spark):
     assert [r["component_id"] for r in got if r["doc_id"] is None] == [None]
     kept = simhash.keep_one(d)
     assert kept.columns == d.columns
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "7", "None"]
+    # id 7 stands for two unrelated texts, and one row of each stays
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "7", "7", "None"]
     assert simhash.near_duplicates(d.limit(0)).collect() == []
     assert simhash.keep_one(d.limit(0)).collect() == []
 
@@ -148,10 +149,10 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("lookup_rows", [decontaminate.LOOKUP_ROWS, 0])
-def test_decontaminate_cases(spark, lookup_rows):
+@pytest.mark.parametrize("bits", [decontaminate.SIEVE_BITS, 15])
+def test_decontaminate_cases(spark, bits):
     names = list(CASES)
-    got = matched(spark, [CASES[n][0] for n in names], lookup_rows=lookup_rows)
+    got = matched(spark, [CASES[n][0] for n in names], bits=bits)
     assert {(names[i], j) for i, j in got} == {(n, j) for n in names for j in CASES[n][1]}
 
 
@@ -165,14 +166,14 @@ NOT = [
 ]
 
 
-@pytest.mark.parametrize("lookup_rows", [decontaminate.LOOKUP_ROWS, 0])
-def test_copies_of_items_of_numbers_and_of_few_words_are_found(spark, lookup_rows):
+@pytest.mark.parametrize("bits", [decontaminate.SIEVE_BITS, 15])
+def test_copies_of_items_of_numbers_and_of_few_words_are_found(spark, bits):
     items = spark.createDataFrame(list(enumerate(EXACT)), "item_id long, text string")
     around = [f"They wrote then {x} and went on." for x in EXACT] + [f'"{x}"' for x in EXACT] + [x.lower() for x in EXACT]
-    got = decontaminate.matches(docs_of(spark, around + NOT), items, lookup_rows=lookup_rows).collect()
+    got = decontaminate.matches(docs_of(spark, around + NOT), items, bits=bits).collect()
     n = len(EXACT)
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, i % n) for i in range(3 * n)}
-    twice = decontaminate.matches(docs_of(spark, ["zebras " * 50]), items, lookup_rows=lookup_rows).collect()
+    twice = decontaminate.matches(docs_of(spark, ["zebras " * 50]), items, bits=bits).collect()
     assert [tuple(r) for r in twice] == [(0, 3, 1, 1, 0, 0)]
 
 
@@ -470,7 +471,7 @@ def test_lines_against_their_sql(spark):
         own.insert(2, f"user{i} logged in from host {word()} at 1{i}:00 today as usual")
         own.insert(4, rng.choice(["", "  ", "same line in all the texts", "same  line\tin all the texts "]))
         texts.append("\n".join(own))
-    texts += [None, "", "\n", LONG, texts[0], texts[0]]
+    texts += [None, "", "\n", LONG, texts[0], texts[0], *(f"{LONG[:900]}\n{i}\r\n\x0b \f" for i in range(4))]
     d = docs_of(spark, texts, extra=True)
     got = lines.deduplicated(d).select("doc_id", "n_lines", "n_dropped", F.md5(F.col("kept").cast("binary")).alias("kept_md5"))
     con = duckdb.connect()
@@ -480,3 +481,56 @@ def test_lines_against_their_sql(spark):
     one = lines.deduplicated(d).where("doc_id = 5").first()
     assert "logged in" not in one["kept"] and one["n_dropped"] >= 1
     assert lines.deduplicated(d.limit(0)).collect() == []
+
+
+def test_lines_count_texts_not_lines(spark):
+    """A text with ten lines of a leaf is one text; ten texts of one template lose them all."""
+    own = lambda i: f"user{i} logged in from host today as usual"
+    texts = [own(i) + f"\nrest {chr(97 + i)}" for i in range(9)] + ["\n".join(f"{own(i)} x" for i in range(10))]
+    texts[9] = "\n".join([own(99), *(f"name{chr(97 + i)} logged in from host today as usual" for i in range(10))])
+    got = {r["doc_id"]: r["n_dropped"] for r in lines.deduplicated(docs_of(spark, texts)).collect()}
+    assert got == dict.fromkeys(range(10), 1)
+    few = [f"alpha beta gamma {chr(97 + i)} delta" for i in range(10)]  # ten lines, but of one text
+    got = lines.deduplicated(docs_of(spark, ["\n".join(few)] + [f"{x} only" for x in "abc"])).agg(F.sum("n_dropped")).first()[0]
+    assert got == 0
+    # one template in ten texts, one of them with ten of its lines: all nineteen go
+    many = [f"job {i} was done on host {i * 7}" for i in range(9)] + ["\n".join(f"job {i} was done on host {i}" for i in range(20, 30))]
+    assert lines.deduplicated(docs_of(spark, many)).agg(F.sum("n_dropped")).first()[0] == 19
+
+
+def test_long_lines_need_fewer_texts(spark):
+    long = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(lines.LONG_TOKENS))
+    short = " ".join(long.split()[:-1])
+    for line, texts, dropped in ((long, 3, 3), (long, 2, 0), (short, 3, 0), (short, 10, 10)):
+        d = docs_of(spark, [f"{line}\nown {chr(97 + i)}" for i in range(texts)])
+        assert lines.deduplicated(d).agg(F.sum("n_dropped")).first()[0] == dropped
+
+
+def test_decontaminate_by_text_not_by_id(spark):
+    """Items that share an id are each found; rows without an id are looked at; rows that share one go by their text."""
+    a = "the quick brown foxes jump over every lazy dog near that old river bank"
+    b = "seven silent sailors sold several shiny shells while walking along some sandy shores"
+    items = spark.createDataFrame([(7, a), (7, b), (None, "green ideas sleep furiously beneath a pale moon all night long")], "item_id long, text string")
+    docs = [(1, f"x {a} y"), (2, f"x {b} y"), (None, f"z {a}"), (None, "kept without id"), (3, "kept"), (3, f"{b} w"), (4, None)]
+    docs.append((5, "green ideas sleep furiously beneath a pale moon all night long"))
+    d = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], DOC)
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(d, items).collect()}
+    assert got == {(1, 7), (2, 7), (None, 7), (3, 7), (5, None)}
+    kept = decontaminate.clean(d, items)
+    assert kept.columns == d.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([(None, "kept without id"), (3, "kept"), (4, None)], key=str)
+
+
+def test_keep_one_by_row_not_by_id(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(80)) for x in "ab")
+    rows = [(1, a), (2, a), (2, b), (3, b), (None, b), (None, "c d e f g"), (None, "c d e f g"), (4, None), (5, ""), (2, b), (6, "own text here")]
+    d = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOC)
+    got = sorted(((r["doc_id"], r["text"]) for r in simhash.keep_one(d).collect()), key=str)
+    assert got == sorted([(1, a), (2, b), (None, "c d e f g"), (4, None), (6, "own text here")], key=str)
+
+
+def test_overlapping_personal_data_is_replaced_whole():
+    text = "call 12.34.56.78 1234 5678 0003 now"
+    spans = pii.base_spans(text)
+    assert {k for k, _, _ in spans} >= {"ip", "card"}
+    assert pii._mark(text, spans, {}, 1.0) == "call [IP] now"
