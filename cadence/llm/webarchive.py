@@ -31,15 +31,48 @@ DERIVED = (
     "page_id long, type string, record_id string, refers_to string, target_uri string, date string, content_type string, "
     "source_headers string, payload_digest string, block_digest string, content_length long, block binary"
 )
-_DROP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_BREAK = re.compile(
-    r"</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|title|blockquote|pre|hr|td|th|main|aside|form|option)\b[^>]*>",
-    re.I,
+#: Elements whose content is not text, and those that start a line.
+_HIDDEN = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "noscript", "template")}
+_LINES = frozenset(
+    "p div br li ul ol tr table h1 h2 h3 h4 h5 h6 article section header footer nav title blockquote pre hr td th main aside "
+    "form option".split()
 )
-_TAG = re.compile(r"</?[a-zA-Z!?/][^>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LINK = re.compile(r"<(a|link|img|script|iframe)\b[^>]*?\s(href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_LANG = re.compile(r"<html\b[^>]*?\slang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
+_NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9]*)")
+_TITLE_END = re.compile(r"</title\s*>", re.I)
+_LINKING = frozenset(("a", "link", "img", "script", "iframe"))
+_REFERENCE = re.compile(r"\s(href|src)\s*=\s*", re.I)
+_UNQUOTED = re.compile(r"[^\s>]+")
+_LANG = re.compile(r"\slang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
+
+
+def tags(page: str) -> Iterator[tuple[int, int, str, bool]]:
+    """(start, end, name, hidden) of every tag, in one pass: a tag goes to the
+    next ``>``; what has none is text.  Comments, and elements whose content is
+    not text, are one hidden tag with all they hold; unclosed, they go to the
+    page's end."""
+    at, n = 0, len(page)
+    while (at := page.find("<", at)) >= 0:
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            end = n if end < 0 else end + 3
+            yield at, end, "!--", True
+            at = end
+            continue
+        if not (page[at + 1 : at + 2].isascii() and page[at + 1 : at + 2].isalpha() or page[at + 1 : at + 2] in ("!", "?", "/")):
+            at += 1
+            continue
+        end = page.find(">", at) + 1
+        if not end:
+            return
+        m = _NAME.match(page, at, end)
+        name = m[1].lower() if m else ""
+        if name in _HIDDEN and page[at + 1] != "/":
+            close = _HIDDEN[name].search(page, end)
+            end = close.end() if close else n
+            yield at, end, name, True
+        else:
+            yield at, end, name, False
+        at = end
 
 
 def digest(data: bytes) -> str:
@@ -51,26 +84,61 @@ def _urn(*parts: str) -> str:
 
 
 def plain_text(page: str) -> str:
-    """Visible text: blocks on lines of their own, blanks single."""
-    text = html.unescape(_TAG.sub("", _BREAK.sub("\n", _DROP.sub(" ", page))))
+    """Visible text: blocks on lines of their own, blanks single.  Linear in the
+    page's length, as are the other readers of pages."""
+    out, done = [], 0
+    for start, end, name, hidden in tags(page):
+        out += [page[done:start], " " if hidden else "\n" if name in _LINES else ""]
+        done = end
+    text = html.unescape("".join([*out, page[done:]]))
     lines = (" ".join(line.split()) for line in text.split("\n"))
     return "\n".join(x for x in lines if x)
 
 
+def title(page: str) -> str | None:
+    for start, end, name, hidden in tags(page):
+        if name == "title" and not hidden and page[start + 1] != "/":
+            close = _TITLE_END.search(page, end)
+            return page[end : close.start()] if close else None
+    return None
+
+
 def links(page: str, base: str) -> list[dict[str, str]]:
-    out = []
-    for m in _LINK.finditer(_DROP.sub(lambda d: d[0] if d[1] and d[1].lower() == "script" else " ", page)):
-        ref = html.unescape(m[3] or m[4] or m[5] or "")
+    out, done = [], 0
+    quotes = {"'": True, '"': True}  # whether one may still follow
+    for start, end, name, _ in tags(page):
+        if name not in _LINKING or start < done or page[start + 1] == "/":
+            continue
+        m = _REFERENCE.search(page, start, page.find(">", start) + 1 or end)
+        if not m:
+            continue
+        quote, ref = page[m.end() : m.end() + 1], None
+        if quote in quotes and quote and quotes[quote]:
+            close = page.find(quote, m.end() + 1)
+            quotes[quote] = close >= 0
+            if close >= 0:
+                ref, done = page[m.end() + 1 : close], close + 1
+        if ref is None:
+            plain = _UNQUOTED.match(page, m.end(), end)
+            if not plain:
+                continue
+            ref = plain[0]
+        ref = html.unescape(ref)
+        path = f"{name}@/{m[1].lower()}"
         try:
-            out.append({"path": f"{m[1].lower()}@/{m[2].lower()}", "url": urljoin(base, ref)})
+            out.append({"path": path, "url": urljoin(base, ref)})
         except ValueError:  # not an address
-            out.append({"path": f"{m[1].lower()}@/{m[2].lower()}", "url": ref})
+            out.append({"path": path, "url": ref})
     return out
 
 
 def declared_language(page: str) -> str | None:
-    m = _LANG.search(page)
-    return m[1].lower().split("-")[0] if m else None
+    for start, end, name, hidden in tags(page):
+        if name == "html" and not hidden and page[start + 1] != "/":
+            m = _LANG.search(page, start, end)
+            if m:
+                return m[1].lower().split("-")[0]
+    return None
 
 
 def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
@@ -108,9 +176,8 @@ def derivatives(records: DataFrame) -> DataFrame:
             rows = []
             for r in b.itertuples(index=False):
                 page = bytes(r.payload).decode("utf-8", "replace")
-                title = _TITLE.search(page)
                 meta = {
-                    "title": " ".join(html.unescape(title[1]).split()) if title else "",
+                    "title": " ".join(html.unescape(title(page) or "").split()),
                     "language": declared_language(page),
                     "links": links(page, r.target_uri),
                     "http_headers": _headers(r.http_headers),

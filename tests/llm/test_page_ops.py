@@ -2,9 +2,11 @@
 
 import json
 import random
+import time
 from html.parser import HTMLParser
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cadence.llm import hamming, language, webarchive
@@ -170,3 +172,29 @@ def test_fusion(spark):
 def test_address():
     assert language.address("https://m.a.example.co/de-at/x?y#z") == ("m.a.example.co", "example.co", "co", "co/de-at")
     assert language.address("") == ("", "", "", "/") and language.address("http://[bad") == ("", "", "", "")
+
+
+@pytest.mark.parametrize("piece", ["<a", "<a ", "<title>", "<html ", "<p ", "<!--", "<script", "<script>", "</script ", "<a href='", '<a href="x ', "<", "< lang=", "&#"])
+def test_hostile_pages_take_linear_time(piece):
+    page = piece * (1_000_000 // len(piece))
+    start = time.process_time()
+    webarchive.plain_text(page)
+    webarchive.links(page, "http://a.example/")
+    webarchive.title(page)
+    webarchive.declared_language(page)
+    assert time.process_time() - start < 8  # four readers of 1 MB; quadratic ones took minutes
+
+
+def test_reading_of_tags():
+    page = (
+        "<!doctype html><HTML  data-x=1 lang='de-AT'><title> A &amp; <b>B</b></title ><p>one<br/>two <!-- <p> hidden --> three"
+        "<script src=a.js>var x = '<a href=q>';</script><STYLE>p{}</style><a title=x href = \"b>c\">four</a> 1 < 2 <img src='d'>"
+        "<a href>five</a><link\nhref=e/f><a name=g"
+    )
+    # a tag ends at the first sign for it, in a quoted value too
+    assert webarchive.plain_text(page) == 'A & B\none\ntwo three c">four 1 < 2 five<a name=g'
+    assert [x["path"] for x in webarchive.links(page, "http://h/")] == ["script@/src", "a@/href", "img@/src", "link@/href"]
+    assert [x["url"] for x in webarchive.links(page, "http://h/")] == ["http://h/a.js", "http://h/b>c", "http://h/d", "http://h/e/f"]
+    assert webarchive.title(page) == " A &amp; <b>B</b>"
+    assert webarchive.declared_language(page) == "de"
+    assert webarchive.title("no <title>end") is None and webarchive.declared_language("<html>") is None
