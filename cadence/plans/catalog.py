@@ -64,6 +64,8 @@ from cadence.sources.files import (
 )
 from cadence.sources.frames import classify_frames, decode_frames, encode_frames, read_frames
 from cadence.sources.sinks import append_results, load_kmeans, route_by_model, save_model, write_routed, write_tiles
+from cadence.streaming.blocks import block_windows, split_late_frames as split_late_blocks
+from cadence.streaming.chain import Chain
 from cadence.streaming.ops import dedup_frames, drop_expired, late_rows_sink, split_late, stateful_windows, with_event_time
 from cadence.streaming.runner import run_available_now, stage_files, stream_files
 
@@ -571,6 +573,53 @@ def q_stateful_windows(spark, sf_dir):
     return window_report(spark.read.parquet(out))
 
 
+@query
+def q_block_windows(spark, sf_dir):
+    """T6 by (session, block): the frames arrive scrambled in at least four
+    micro-batches over two runs on one checkpoint; every window comes out, the
+    tails of the sessions too."""
+    frames = B.frame_rows(spark, sf_dir)
+    files, path, ckpt = stream_files(spark), scratch_dir(spark, "block-input"), scratch_dir(spark, "block-checkpoint")
+    out = scratch_dir(spark, "block-windows")
+    early = F.pmod(F.xxhash64("vec_id"), F.lit(2)) == 0
+    for part in (frames.where(early), frames.where(~early)):
+        stage_files(part, "block-input", files=files, path=path)
+        stream = spark.readStream.schema(frames.schema).option("maxFilesPerTrigger", max(1, files // 2)).parquet(path)
+        cut = block_windows(stream, B.FRAMES_LENGTH_S, B.FRAMES_OVERLAP)
+        run_available_now(cut, "block-windows", checkpoint=ckpt, path=out)
+    return window_report(split_late_blocks(spark.read.parquet(out))[0])
+
+
+def run_chain(spark: SparkSession, sf_dir: str) -> Chain:
+    """Windower → processor → scorer over the frame messages, which arrive in
+    two halves; each hop is a new stream on its old checkpoint for the second."""
+    bytes_ = B.frame_bytes(spark, sf_dir).select("frame_number", "value", "received_at")
+    files, path, root = stream_files(spark), scratch_dir(spark, "chain-input"), scratch_dir(spark, "chain")
+    half = bytes_.agg(F.percentile_approx("frame_number", 0.5)).first()[0] or 0
+    chain = Chain(spark, root)
+    for part in (bytes_.where(F.col("frame_number") <= half), bytes_.where(F.col("frame_number") > half)):
+        stage_files(part.select("value", "received_at"), "chain-input", files=files, path=path)
+        chain = Chain(spark, root)
+        chain.run_windower(path, B.FRAMES_LENGTH_S, B.FRAMES_OVERLAP, files=max(1, files // 2), disorder="1 day")
+        chain.run_processor()
+        chain.run_scorer()
+    return chain
+
+
+@query
+def q_stream_chain(spark, sf_dir):
+    """S1 → W2 → D4 → S3 → S5 → M2 → S6/S7 as chained streams: the result rows
+    equal those of the batch pipeline."""
+    return run_chain(spark, sf_dir).results()
+
+
+@query
+def q_stream_ledger(spark, sf_dir):
+    """Rows taken in and handed over by every hop of the chained streams."""
+    ledger = run_chain(spark, sf_dir).ledger()
+    return ledger.groupBy("hop").agg(F.sum("rows_in").alias("rows_in"), F.sum("rows_out").alias("rows_out"))
+
+
 # ---- annotations and labels -------------------------------------------------------
 ANNOTATION_BUCKET_S = B.ANNOTATION_HOURS * 3600.0
 

@@ -461,6 +461,17 @@ def _():
 
 # Same closed windows, same SQL.
 ORACLE["stateful_windows"] = ORACLE["sample_windows"]
+ORACLE["block_windows"] = ORACLE["sample_windows"]
+ORACLE["stream_chain"] = ORACLE["window_scores"]
+
+
+@sql("stream_ledger")
+def _():
+    return f"""WITH {FRAME_WINDOWS_CTE},
+n AS (SELECT count(*) AS windows, (SELECT count(*) FROM embeddings) AS frames FROM fw)
+SELECT 'windower' AS hop, frames AS rows_in, windows AS rows_out FROM n
+UNION ALL SELECT 'processor', windows, windows FROM n
+UNION ALL SELECT 'scorer', windows, windows FROM n"""
 
 
 # ---- annotations and labels -----------------------------------------------------------
