@@ -33,7 +33,7 @@ _BLANK = r"[ \t\r\x0B\f]+"
 _ODD = r"[ \t\r\x0B\f]{2,}|[\t\r\x0B\f]"
 #: Leaves (8 bytes each) up to which their table is sent to every task.
 BROADCAST_ROWS = 1_000_000
-#: Keys of lines to drop (32 bytes each) up to which they are sent to every task.
+#: Keys of lines to drop (16 bytes each) up to which they are sent to every task.
 BROADCAST_KEYS = 1_000_000
 #: Tasks that share the lines of one template.
 SPREAD = 32
@@ -63,6 +63,11 @@ def enough(n, min_docs: int = MIN_DOCS):
     return F.when(n >= LONG_TOKENS, min(LONG_DOCS, min_docs)).otherwise(min_docs)
 
 
+def _name(text):
+    """The md5 of a text, as 16 bytes."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
@@ -82,10 +87,10 @@ def _placed(docs: DataFrame, *columns) -> DataFrame:
 
 
 def _constants(held: DataFrame, tokens: DataFrame, min_docs: int) -> DataFrame:
-    """(n, lead, pos, token) that stand in lines of enough different texts.
+    """(n, leaf, pos, token) that stand in lines of enough different texts.
     One line in enough texts settles a place, and too few texts over all its
     lines do; only between, where each line has few texts, are they listed."""
-    place = ["n", "lead", "pos", "token"]
+    place = ["n", "leaf", "pos", "token"]
     tally = tokens.where(F.col("token") != FIELD).groupBy(*place).agg(F.max("texts").alias("most"), F.sum("texts").alias("all"))
     need = enough(F.col("n"), min_docs)
     tally = staged(tally.where(F.col("all") >= need), "lines-places")
@@ -96,19 +101,17 @@ def _constants(held: DataFrame, tokens: DataFrame, min_docs: int) -> DataFrame:
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(doc_id, line, key, template) of the canonical lines to drop; key is the line's md5."""
+    """(doc_id, line, key, template) of the canonical lines to drop; key is the line's md5 in bytes."""
     busy = _placed(docs).groupBy("n", "leaf").agg(F.count(F.lit(1)).alias("rows"))
     busy = staged(busy.where(F.col("rows") >= enough(F.col("n"), min_docs)).select("leaf").distinct(), "lines-leaves")
-    tid = F.md5(text_or_empty().cast("binary")).alias("tid")
-    held = _placed(docs, "doc_id", tid).join(_small(busy), "leaf")
-    lead = F.substring_index("line", " ", LEAD).alias("lead")
-    held = held.select("doc_id", "tid", "n", lead, "line", F.md5(F.col("line").cast("binary")).alias("key"))
+    held = _placed(docs, "doc_id", _name(text_or_empty()).alias("tid")).join(_small(busy), "leaf")
+    held = held.select("doc_id", "tid", "n", "leaf", "line", _name(F.col("line")).alias("key"))
     held = staged(held, "lines-held")
     seen = held.select("key", "tid").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("texts"))
-    one = held.groupBy("key").agg(F.first("n").alias("n"), F.first("lead").alias("lead"), F.first("line").alias("line"))
+    one = held.groupBy("key").agg(F.first("n").alias("n"), F.first("leaf").alias("leaf"), F.first("line").alias("line"))
     each = staged(one.join(seen, "key"), "lines-different")
-    tokens = each.select("key", "n", "lead", "texts", F.posexplode(F.split("line", " ")).alias("pos", "token"))
-    place = ["n", "lead", "pos", "token"]
+    tokens = each.select("key", "n", "leaf", "texts", F.posexplode(F.split("line", " ")).alias("pos", "token"))
+    place = ["n", "leaf", "pos", "token"]
     marked = tokens.join(_constants(held, tokens, min_docs).withColumn("c", F.lit(1)), place, "left")
     shape = marked.groupBy("key").agg(  # at most the tokens of a line
         F.sort_array(F.collect_list(F.struct("pos", F.when(F.col("c") == 1, F.col("token")).otherwise(FIELD).alias("t")))).alias("ts"),
@@ -148,7 +151,7 @@ def deduplicated(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     drop = staged(drop.withColumnRenamed("doc_id", "id"), "lines-drop")
     own = docs.select("doc_id", text_or_empty().alias("text"))
     joined = own.join(F.broadcast(drop) if few else drop, own["doc_id"].eqNullSafe(drop["id"]), "left")
-    kept = F.filter(_split_lines(F.col("text")), lambda x: ~F.array_contains(F.col("drop"), F.md5(canonical(x).cast("binary"))))
+    kept = F.filter(_split_lines(F.col("text")), lambda x: ~F.array_contains(F.col("drop"), _name(canonical(x))))
     return joined.select(
         "doc_id",
         F.regexp_count("text", F.lit(r"[^ \t\r\x0B\f\n][^\n]*+")).cast("long").alias("n_lines"),
