@@ -10,11 +10,13 @@ chain of filters is one convolution with its impulse response, done by FFT for
 any window length.  Windows are processed as stacked Arrow batches: a few FFTs
 per batch, no per-row Python.
 
-Whole-recording filtering (D6) uses the filter's finite memory: the impulse
-response falls below 1e-16 of its peak after ``memory`` samples, so a block
-filtered from zero state after a warm-up of the previous ``memory`` samples
-equals the continuous filter to double precision.  Blocks are bounded, so a
-recording of any length spreads over many tasks.
+Whole-recording filtering (D6) composes filter states.  A block of L samples
+maps the state s before it to pᴸ·s + g, one complex number per pole p of the
+chain (its modes are decoupled).  Every block gives its zero-state response
+and its g; the state before block b is Σ pᴸ⁽ʲ⁻¹⁾·g(b − j) over the blocks
+within the filter's memory; its free response is added to the block.  A sample
+crosses the shuffle once, a state is some tens of numbers, and a recording of
+any length spreads over as many tasks as it has blocks.
 """
 
 from __future__ import annotations
@@ -193,21 +195,93 @@ def impulse_response(fs: float, kind: str, n: int) -> np.ndarray:
     return h
 
 
+@lru_cache(maxsize=64)
+def modes(fs: float, kind: str):
+    """(p, w, c): the chain as h[n] = c·δ[n] + Σ Re(w·pⁿ), one entry for each
+    real pole and each conjugate pair."""
+    z, p, k = [], [], 1.0
+    if kind in ("bandstop", "filters", "standard"):
+        for f in mains_harmonics(fs):
+            zf, pf, kf = butter_zpk(ORDER, [f - STOP_HALF_WIDTH_HZ, f + STOP_HALF_WIDTH_HZ], "bandstop", fs)
+            z, p, k = [*z, *zf], [*p, *pf], k * kf
+    if kind in ("highpass", "filters", "standard"):
+        zf, pf, kf = butter_zpk(ORDER, HIGHPASS_HZ, "highpass", fs)
+        z, p, k = [*z, *zf], [*p, *pf], k * kf
+    z, p = np.array(z, complex), np.array(p, complex)
+    if not len(p):
+        return p, p, 1.0
+    ratio = 1.0 - p[None, :] / p[:, None]
+    np.fill_diagonal(ratio, 1.0)
+    # zeros and poles in pairs, so that no partial product over- or underflows
+    r = k * np.prod((1.0 - z[None, :] / p[:, None]) / ratio, axis=1)
+    keep = p.imag > -1e-12
+    w = np.where(p.imag > 1e-12, 2.0, 1.0) * r
+    return p[keep], w[keep], float(np.real(k * np.prod(z / p)))
+
+
 @lru_cache(maxsize=64)
 def memory_length(fs: float, kind: str, tol: float = 1e-16) -> int:
-    """Samples after which the chain's impulse response stays below
-    ``tol``·peak (its effective memory)."""
-    n = 1024
-    while True:
-        h = impulse_response(fs, kind, n)
-        peak = np.max(np.abs(h))
-        above = np.nonzero(np.abs(h) > tol * peak)[0]
-        last = int(above[-1]) + 1 if above.size else 1
-        if last < n * 3 // 4:
-            return last
-        if n >= 1 << 22:
-            raise ValueError(f"{kind} at {fs} Hz has not decayed after {n} samples; use a looser tol")
-        n *= 4
+    """Samples after which every mode together stays below ``tol`` of the
+    impulse response's first value (the chain's effective memory)."""
+    p, w, c = modes(fs, kind)
+    if not len(p):
+        return 1
+    peak = abs(c + np.sum(w.real))
+    hi = 1
+    while np.sum(np.abs(w) * np.abs(p) ** hi) > tol * peak:
+        hi *= 2
+    lo = hi // 2
+    while hi - lo > 1:
+        mid = (lo + hi) // 2
+        lo, hi = (mid, hi) if np.sum(np.abs(w) * np.abs(p) ** mid) > tol * peak else (lo, mid)
+    return hi
+
+
+CHUNK = 1024  # samples per matrix product of states and free responses
+
+
+@lru_cache(maxsize=64)
+def _mode_powers(fs: float, kind: str):
+    """pᵏ for k = 0 … CHUNK, modes × powers."""
+    p = modes(fs, kind)[0]
+    return p[:, None] ** np.arange(CHUNK + 1)[None, :]
+
+
+def end_state(x: np.ndarray, fs: float, kind: str) -> np.ndarray:
+    """Per mode Σ pⁿ⁻¹⁻ᵐ·x[m]: the state after ``x`` from zero state."""
+    p, pw = modes(fs, kind)[0], _mode_powers(fs, kind)
+    rows = np.concatenate([np.zeros(-len(x) % CHUNK), x]).reshape(-1, CHUNK)
+    s = np.zeros(len(p), complex)
+    for part in rows @ pw[:, CHUNK - 1 :: -1].T:
+        s = s * pw[:, CHUNK] + part
+    return s
+
+
+def free_response(state: np.ndarray, n: int, fs: float, kind: str) -> np.ndarray:
+    """Output over the next ``n`` samples of a chain in ``state`` without input."""
+    w, pw = modes(fs, kind)[1], _mode_powers(fs, kind)
+    out = np.empty((-(-n // CHUNK), CHUNK))
+    s = w * state
+    for row in out:
+        row[:] = np.real(s @ pw[:, 1:])
+        s = s * pw[:, CHUNK]
+    return out.reshape(-1)[:n]
+
+
+@lru_cache(maxsize=64)
+def _mode_response_pow2(fs: float, kind: str, n: int) -> np.ndarray:
+    p, _w, c = modes(fs, kind)
+    h = np.zeros(n)
+    h[0] = c
+    if len(p):
+        # an impulse one sample ago, read one power back
+        h += free_response(1.0 / p, n, fs, kind)
+    return h
+
+
+def mode_response(fs: float, kind: str, n: int) -> np.ndarray:
+    """First ``n`` samples of the impulse response from the modes."""
+    return _mode_response_pow2(fs, kind, 1 << max(10, (n - 1).bit_length()))[:n]
 
 
 # ---- window transforms (Arrow, stacked per batch) -----------------------------
@@ -304,36 +378,59 @@ def transform_windows(
 
 # ---- whole-recording filtering (D6) ---------------------------------------------
 BLOCK_OUT = T.ArrayType(T.StructType([T.StructField("i", T.LongType()), T.StructField("y", T.DoubleType())]))
+STATES_OUT = T.ArrayType(T.StructType([T.StructField("blk", T.LongType()), T.StructField("s", T.ArrayType(T.DoubleType()))]))
 
 
-def _filter_blocks(kind: str, fs: float, block: int, mem: int, xs: pa.Array, blk: pa.Array) -> pa.Array:
-    n = len(xs)
+def _list_array(values: pa.Array, counts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), values)
+
+
+def _dense_blocks(xs: pa.Array, blk: pa.Array, block: int):
+    """Per row (block): positions that hold a sample, the samples from the
+    first to the last of them (NULL, NaN and absent ones 0) and the offset of
+    the first from the block's begin."""
     offs = np.asarray(xs.offsets.to_numpy(zero_copy_only=False), dtype=np.int64)
-    base = offs[0]
-    ii = np.asarray(xs.values.field("i").to_numpy(zero_copy_only=False), dtype=np.int64)[base:]
-    vv = np.asarray(xs.values.field("v").to_numpy(zero_copy_only=False), dtype=np.float64)[base:]
-    vv = np.where(np.isnan(vv), 0.0, vv)  # NULL and NaN samples enter as 0, like absent ones
+    ii = np.asarray(xs.values.field("i").to_numpy(zero_copy_only=False), dtype=np.int64)
+    vv = np.asarray(xs.values.field("v").to_numpy(zero_copy_only=False), dtype=np.float64)
     bb = np.asarray(blk.to_numpy(zero_copy_only=False), dtype=np.int64)
-    out_i, out_y, counts = [], [], np.zeros(n, dtype=np.int64)
-    for r in range(n):
-        s0, s1 = offs[r] - base, offs[r + 1] - base
-        if s1 <= s0:
-            continue
-        i_r, v_r = ii[s0:s1], vv[s0:s1]
-        lo = int(i_r[0])
-        dense = np.zeros(int(i_r[-1]) - lo + 1)
-        dense[i_r - lo] = v_r
-        h = impulse_response(fs, kind, min(len(dense), mem + 1))
-        nfft = 1 << int(np.ceil(np.log2(len(dense) + len(h))))
-        y = np.fft.irfft(np.fft.rfft(dense, nfft) * np.fft.rfft(h, nfft), nfft)[: len(dense)]
-        keep = i_r >= bb[r] * block
-        out_i.append(i_r[keep])
-        out_y.append(y[i_r[keep] - lo])
-        counts[r] = int(keep.sum())
-    lo_offs = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-    cat = lambda xs_, dt: np.concatenate(xs_) if xs_ else np.zeros(0, dt)
-    values = pa.StructArray.from_arrays([pa.array(cat(out_i, np.int64)), pa.array(cat(out_y, np.float64))], names=["i", "y"])
-    return pa.ListArray.from_arrays(pa.array(lo_offs), values)
+    for r in range(len(xs)):
+        i, v = ii[offs[r] : offs[r + 1]], vv[offs[r] : offs[r + 1]]
+        dense = np.zeros(int(i[-1] - i[0]) + 1)
+        dense[i - i[0]] = np.where(np.isnan(v), 0.0, v)
+        yield i, dense, int(i[0] - bb[r] * block)
+
+
+def _block_states(kind: str, fs: float, block: int, reach: int, xs: pa.Array, blk: pa.Array) -> pa.Array:
+    """What every block adds to the states before the next ``reach`` blocks."""
+    p = modes(fs, kind)[0]
+    steps = p[None, :] ** (block * np.arange(reach))[:, None]
+    out = [np.zeros((0, len(p)), complex)]
+    for _i, dense, off in _dense_blocks(xs, blk, block):
+        out.append(steps * (end_state(dense, fs, kind) * p ** (block - off - len(dense)))[None, :])
+    flat = np.concatenate(out).view(np.float64).reshape(-1)
+    rows = len(xs) * reach
+    to = np.asarray(blk.to_numpy(zero_copy_only=False), dtype=np.int64)[:, None] + 1 + np.arange(reach)[None, :]
+    states = pa.StructArray.from_arrays([pa.array(to.reshape(-1)), _list_array(pa.array(flat), np.full(rows, 2 * len(p)))], names=["blk", "s"])
+    return _list_array(states, np.full(len(xs), reach))
+
+
+def _filter_blocks(kind: str, fs: float, block: int, xs: pa.Array, blk: pa.Array, states: pa.Array) -> pa.Array:
+    """Zero-state response of every block plus the free response of the sum of
+    its ``states``."""
+    modes_n = len(modes(fs, kind)[0])
+    out_i, out_y = [np.zeros(0, np.int64)], [np.zeros(0)]
+    for r, (i, dense, off) in enumerate(_dense_blocks(xs, blk, block)):
+        n = len(dense)
+        nfft = 1 << (2 * n - 1).bit_length()
+        y = np.fft.irfft(np.fft.rfft(dense, nfft) * np.fft.rfft(mode_response(fs, kind, n), nfft), nfft)[:n]
+        carried = states[r].values
+        if carried is not None and len(carried):
+            s = carried.flatten().to_numpy(zero_copy_only=False).reshape(-1, 2 * modes_n).sum(axis=0).view(np.complex128)
+            y = y + free_response(s * modes(fs, kind)[0] ** off, n, fs, kind)
+        out_i.append(i)
+        out_y.append(y[i - i[0]])
+    values = pa.StructArray.from_arrays([pa.array(np.concatenate(out_i)), pa.array(np.concatenate(out_y))], names=["i", "y"])
+    return _list_array(values, np.array([len(a) for a in out_i[1:]], dtype=np.int64))
 
 
 def filter_signals(
@@ -348,26 +445,40 @@ def filter_signals(
     """Continuous-state filtering of long signals (keys…, idx, value) →
     (keys…, idx, filtered).
 
-    Each sample also feeds the next ``memory`` samples' block as warm-up, so a
-    block (≤ block + memory samples, gathered into one sorted array) is
-    filtered independently from zero state; the result equals one pass over
-    the whole signal to double precision.  NULL and NaN samples count as 0,
-    like absent ones, whatever the block size; their positions get an output.  Blocks of many signals are filtered
-    in one Arrow batch."""
-    mem = int(memory_length(float(fs), kind))
-    blk = max(int(block), 1)
+    Samples are gathered into blocks of ``block`` positions (one shuffle, each
+    sample once, a sorted array of at most ``block`` a group).  Every block
+    hands its end state, damped by the blocks between, to the blocks within
+    the chain's memory (⌈memory / block⌉ of them, 1 at 250 Hz); the states meet
+    the blocks on the blocks' own partitioning.  The result equals one pass
+    over the whole signal to double precision.  NULL and NaN samples count as
+    0, like absent ones, whatever the block size; their positions get an
+    output.  NULL keys are a signal like any other."""
+    fs, blk = float(fs), max(int(block), 1)
     i = F.col(idx).cast("long")
-    first = F.floor(i / blk).cast("long")
-    last = F.floor((i + mem) / blk).cast("long")
-    fan = samples.select(*keys, F.struct(i.alias("i"), F.col(value).cast("double").alias("v")).alias("_x"), F.explode(F.sequence(first, last)).alias("_blk"))
-    grouped = fan.groupBy(*keys, "_blk").agg(F.array_sort(F.collect_list("_x")).alias("_xs"))
+    # the keys as one struct, never NULL itself, compare null-safe in a plain equi-join
+    rows = samples.select(
+        F.struct(*keys).alias("_k"),
+        F.floor(i / blk).cast("long").alias("_blk"),
+        F.struct(i.alias("i"), F.col(value).cast("double").alias("v")).alias("_x"),
+    ).where(F.col("_blk").isNotNull())
+    blocks = rows.groupBy("_k", "_blk").agg(F.array_sort(F.collect_list("_x")).alias("_xs"))
+    reach = -(-memory_length(fs, kind) // blk) if len(modes(fs, kind)[0]) else 0
+
+    @arrow_udf(STATES_OUT)
+    def hand_over(xs: pa.Array, b: pa.Array) -> pa.Array:
+        return _block_states(kind, fs, blk, reach, xs, b)
 
     @arrow_udf(BLOCK_OUT)
-    def run(xs: pa.Array, b: pa.Array) -> pa.Array:
-        return _filter_blocks(kind, float(fs), blk, mem, xs, b)
+    def run(xs: pa.Array, b: pa.Array, states: pa.Array) -> pa.Array:
+        return _filter_blocks(kind, fs, blk, xs, b, states)
 
-    out = grouped.select(*keys, F.explode(run(F.col("_xs"), F.col("_blk"))).alias("_o"))
-    return out.select(*keys, F.col("_o.i").alias(idx), F.col("_o.y").alias("filtered"))
+    if reach:
+        to = blocks.select("_k", F.explode(hand_over.asNondeterministic()("_xs", "_blk")).alias("_t")).select("_k", F.col("_t.blk").alias("_blk"), F.col("_t.s").alias("_s"))
+        blocks = blocks.join(to.groupBy("_k", "_blk").agg(F.collect_list("_s").alias("_states")), ["_k", "_blk"], "left")
+    else:
+        blocks = blocks.withColumn("_states", F.lit(None).cast("array<array<double>>"))
+    out = blocks.select("_k", F.explode(run.asNondeterministic()("_xs", "_blk", "_states")).alias("_o"))
+    return out.select(*[F.col("_k")[k].alias(k) for k in keys], F.col("_o.i").alias(idx), F.col("_o.y").alias("filtered"))
 
 
 # ---- short-time Fourier transform (D5) ------------------------------------------

@@ -127,6 +127,46 @@ def _stat_buckets(df: DataFrame, keys: list[str], x: Column, rows_per_bucket: in
     return j.withColumn("_pid", pid.cast("long")).drop("_x", "_lo", "_w", "_nb"), True
 
 
+def _with_offsets(local: DataFrame, offsets: DataFrame, parts: list[str]) -> DataFrame:
+    """``local`` with the ``_off`` of its bucket.  Null-safe: rows whose key
+    (or bucket) is NULL are a group like any other."""
+    named = offsets.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(parts)], "_off")
+    same = F.lit(True)
+    for i, c in enumerate(parts):
+        same = same & local[c].eqNullSafe(named[f"_o{i}"])
+    return local.join(named, same, "inner").drop(*[f"_o{i}" for i in range(len(parts))])
+
+
+def running_max_within(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    name: str,
+    pid: Column | None = None,
+    rows_per_bucket: int | None = None,
+) -> DataFrame:
+    """Add ``name`` = largest non-NULL ``value`` among the rows of the same
+    ``keys`` up to this one by ``order``.
+
+    The rows of a key are cut into ordered buckets: ``pid`` (non-decreasing in
+    ``order``) when given, else as for :func:`prefix_sum_within`; the maxima of
+    the buckets before supply what is carried in."""
+    keys = list(keys)
+    if pid is not None:
+        staged, split = df.withColumn("_pid", pid), True
+    else:
+        staged, split = _stat_buckets(df, keys, _order_number(df, order[0]), rows_per_bucket or ROWS_PER_BUCKET)
+    frame = Window.partitionBy(*keys, "_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = staged.withColumn("_loc", F.max(value).over(frame))
+    if not split:
+        return local.withColumn(name, F.col("_loc")).drop("_pid", "_loc")
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = staged.groupBy(*keys, "_pid").agg(F.max(value).alias("_tot")).withColumn("_off", F.max("_tot").over(before)).drop("_tot")
+    joined = _with_offsets(local, offsets, [*keys, "_pid"])
+    return joined.withColumn(name, F.greatest("_off", "_loc")).drop("_pid", "_loc", "_off")
+
+
 def prefix_sum_within(
     df: DataFrame,
     keys: Sequence[str],
@@ -179,13 +219,7 @@ def prefix_sum_within(
         .withColumn("_off", F.coalesce(F.sum("_tot").over(before), F.lit(0)))
         .drop("_tot")
     )
-    # null-safe: rows whose key (or bucket) is NULL are a group like any other
-    parts = [*keys, "_pid"]
-    named = offsets.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(parts)], "_off")
-    same = F.lit(True)
-    for i, c in enumerate(parts):
-        same = same & local[c].eqNullSafe(named[f"_o{i}"])
-    joined = local.join(named, same, "inner").drop(*[f"_o{i}" for i in range(len(parts))])
+    joined = _with_offsets(local, offsets, [*keys, "_pid"])
     return joined.withColumn(name, (F.col("_off") + F.col("_loc")).cast("long")).drop("_pv", "_pid", "_loc", "_off")
 
 

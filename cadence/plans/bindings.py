@@ -138,6 +138,14 @@ def windows64(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vector_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(label, sample_idx, value): each label's vectors end to end by vec_id."""
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    at = position_within(emb, ["label"], ["vec_id"], "_at")
+    v = at.select("label", "_at", F.posexplode("embedding").alias("_i", "value"))
+    return v.select("label", (F.col("_at") * 64 + F.col("_i")).alias("sample_idx"), F.col("value").cast("double").alias("value"))
+
+
 # ---- recordings: embeddings as 4-channel recordings (channel-major) ---------
 def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")

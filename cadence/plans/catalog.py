@@ -448,8 +448,8 @@ def q_window_udf(spark, sf_dir):
     return W.apply_per_window(frames, _window_stats, schema, B.SIG_LENGTH_S, B.SIG_OVERLAP, start_col="start")
 
 
-# Block length (samples) of the whole-signal filter: each block plus its
-# warm-up is one bounded group.  Multi-block results are checked against a
+# Block length (samples) of the whole-signal filter: each block is one bounded
+# group.  Multi-block results are checked against a
 # direct recursion in tests/test_dsp.py.
 SIG_FILTER_BLOCK = 1 << 16
 
@@ -462,6 +462,15 @@ def q_filter_recording(spark, sf_dir):
     return y.select("user_id", "sample_idx", r6(F.col("filtered")).alias("filtered"))
 
 
+@query
+def q_filter_states(spark, sf_dir):
+    """D6 at 250 Hz (all mains harmonics below Nyquist) over blocks of 1,024
+    samples: states composed across the blocks of each label's signal."""
+    s = B.vector_signals(spark, sf_dir)
+    y = dsp.filter_signals(s, ["label"], "sample_idx", "value", float(B.W64_FS), "filters", 1 << 10)
+    return y.select("label", "sample_idx", r6(F.col("filtered")).alias("filtered"))
+
+
 @query
 def q_stft_segments(spark, sf_dir):
     """Zero-extended STFT segments of each signal."""
@@ -621,9 +630,6 @@ def q_stream_ledger(spark, sf_dir):
 
 
 # ---- annotations and labels -------------------------------------------------------
-ANNOTATION_BUCKET_S = B.ANNOTATION_HOURS * 3600.0
-
-
 @query
 def q_label_code(spark, sf_dir):
     """Annotation label → class code."""
@@ -640,7 +646,7 @@ def q_class_counts(spark, sf_dir):
 @query
 def q_interval_label(spark, sf_dir):
     """Class code of every event time from the covering annotations."""
-    return interval_label(B.label_times(spark, sf_dir), B.annotations(spark, sf_dir), bucket_s=ANNOTATION_BUCKET_S)
+    return interval_label(B.label_times(spark, sf_dir), B.annotations(spark, sf_dir))
 
 
 @query
@@ -663,7 +669,7 @@ def q_training_table(spark, sf_dir):
     z = dsp.stft(filt, ["user_id"], "sample_idx", "filtered", float(B.SIG_FS))
     frames = z.select(F.col("user_id").alias("recording_id"), "seg", "t").distinct()
     ann = B.train_annotations(spark, sf_dir, sig)
-    lab = interval_label(frames, ann, ids=("seg",), bucket_s=B.TRAIN_ANNOTATION_S)
+    lab = interval_label(frames, ann, ids=("seg",))
     out = z.join(lab.withColumnRenamed("recording_id", "user_id").drop("t"), ["user_id", "seg"])
     return out.select(
         F.col("user_id").alias("recording_id"), "seg", "bin", "t", "freq",

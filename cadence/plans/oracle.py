@@ -389,6 +389,17 @@ JOIN h ON h.j = a.sample_idx - b.sample_idx
 GROUP BY a.user_id, a.sample_idx"""
 
 
+@sql("filter_states")
+def _():
+    return f"""WITH p AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS i0, embedding FROM embeddings),
+x AS (SELECT label, i0 * 64 + unnest(range(64)) AS n, unnest(embedding)::DOUBLE AS v FROM p),
+{h_values(B.W64_FS, 'filters', 5300)}
+SELECT a.label, a.n AS sample_idx, round(sum(h.hv * b.v), 6) + 0.0 AS filtered
+FROM x a JOIN x b ON a.label = b.label AND b.n <= a.n
+JOIN h ON h.j = a.n - b.n
+GROUP BY a.label, a.n"""
+
+
 SIG_SEGMENTS = f"""{SIG_CTE},
 ps AS (SELECT user_id, count(*) AS n,
               [0.0::DOUBLE, 0.0, 0.0, 0.0] || list(value::DOUBLE ORDER BY sample_idx) || [0.0::DOUBLE, 0.0, 0.0, 0.0] AS padded

@@ -80,6 +80,38 @@ def test_block_parallel_filter_equals_whole_signal(spark):
         assert np.max(np.abs(have - want)) < 1e-9
 
 
+@pytest.mark.parametrize("fs, n, block", [(250.0, 4000, 1024), (250.0, 4000, 100), (20000.0, 7000, 2048), (8.0, 50, 16)])
+def test_composed_states_equal_one_recursion(spark, fs, n, block):
+    """Three blocks and more, memory longer than the block, at 20 kHz too."""
+    x = np.random.default_rng(7).normal(size=n)
+    df = spark.createDataFrame(pd.DataFrame({"sid": "a", "i": np.arange(n), "v": x}))
+    got = dsp.filter_signals(df, ["sid"], "i", "v", fs, "filters", block=block).toPandas().sort_values("i")
+    want = _direct(dsp.chain_sections(fs, "filters"), x)
+    assert got["i"].tolist() == list(range(n))
+    assert np.max(np.abs(got["filtered"].to_numpy() - want)) < 1e-9
+
+
+def test_states_pass_absent_blocks_and_null_keys(spark):
+    """A gap of whole blocks is silence; a NULL key is one signal of its own."""
+    n, block = 1500, 128
+    x = np.random.default_rng(9).normal(size=n)
+    there = [i for i in range(n) if not 200 <= i < 700]
+    rows = [(k, i, None if i == 30 else float(x[i])) for k in (None, "b") for i in there]
+    df = spark.createDataFrame(rows, "sid string, i long, v double")
+    got = dsp.filter_signals(df, ["sid"], "i", "v", 250.0, "filters", block=block).toPandas()
+    silent = np.where(np.isin(np.arange(n), there) & (np.arange(n) != 30), x, 0.0)
+    want = _direct(dsp.chain_sections(250.0, "filters"), silent)[there]
+    for part in (got[got.sid.isna()], got[got.sid == "b"]):
+        part = part.sort_values("i")
+        assert part["i"].tolist() == there
+        assert np.max(np.abs(part["filtered"].to_numpy() - want)) < 1e-9
+
+
+def test_modes_equal_sections():
+    for fs, kind in ((250.0, "filters"), (8.0, "filters"), (500.0, "bandstop")):
+        assert np.max(np.abs(dsp.mode_response(fs, kind, 3000) - dsp.impulse_response(fs, kind, 3000))) < 1e-12
+
+
 def test_transform_windows_keeps_time_channel(spark):
     from pyspark.sql import functions as F
 
