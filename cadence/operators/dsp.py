@@ -513,6 +513,26 @@ def hann_rfft(segments: pa.Array) -> pa.Array:
     return _rfft_batch(segments)
 
 
+def spectra(
+    samples: DataFrame,
+    keys: list[str],
+    idx: str,
+    value: str,
+    fs: float,
+    nperseg: int | None = None,
+    noverlap: int | None = None,
+) -> DataFrame:
+    """D5 as a row of arrays per segment: (keys…, seg, re, im), bins in order.
+    Segments as in :func:`stft`."""
+    from cadence.operators.windows import stft_segments
+
+    nperseg = int(nperseg or fs)
+    noverlap = int(noverlap if noverlap is not None else int(fs * 4 / 5))
+    segs = stft_segments(samples, keys, idx, value, nperseg, noverlap)
+    spec = segs.select(*keys, "seg", hann_rfft(F.col("segment")).alias("z"))
+    return spec.select(*keys, "seg", F.col("z.re").alias("re"), F.col("z.im").alias("im"))
+
+
 def stft(
     samples: DataFrame,
     keys: list[str],
@@ -526,14 +546,15 @@ def stft(
     freq, re, im).  Segments of ``nperseg`` (default fs samples) every
     ``nperseg − noverlap`` (default noverlap = int(4·fs/5)), zero-extended by
     half a segment at both ends; t = seg·hop/fs, freq = bin·fs/nperseg."""
-    from cadence.operators.windows import stft_segments
+    return explode_bins(spectra(samples, keys, idx, value, fs, nperseg, noverlap), keys, fs, nperseg, noverlap)
+
 
+def explode_bins(spec: DataFrame, keys: list[str], fs: float, nperseg: int | None = None, noverlap: int | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Spectra → a row a bin with its time and frequency; ``extra`` columns of
+    the segment are repeated."""
     nperseg = int(nperseg or fs)
-    noverlap = int(noverlap if noverlap is not None else int(fs * 4 / 5))
-    hop = nperseg - noverlap
-    segs = stft_segments(samples, keys, idx, value, nperseg, noverlap)
-    spec = segs.select(*keys, "seg", hann_rfft(F.col("segment")).alias("z"))
-    z = spec.select(*keys, "seg", F.posexplode(F.arrays_zip(F.col("z.re").alias("re"), F.col("z.im").alias("im"))).alias("bin", "c"))
+    hop = nperseg - int(noverlap if noverlap is not None else int(fs * 4 / 5))
+    z = spec.select(*keys, "seg", *extra, F.posexplode(F.arrays_zip("re", "im")).alias("bin", "c"))
     return z.select(
         *keys,
         "seg",
@@ -542,6 +563,7 @@ def stft(
         (F.col("bin") * F.lit(fs / nperseg)).alias("freq"),
         F.col("c.re").alias("re"),
         F.col("c.im").alias("im"),
+        *extra,
     )
 
 

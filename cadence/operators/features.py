@@ -1,10 +1,11 @@
 """Channel catalogue (A4), complex channel correlation (A5) and
 correlation-spectrum features (M3).
 
-A5/M3 work per (recording, STFT frame): the frame's bins × channels complex
-matrix is gathered with one ``collect_list`` (bounded by bins × channels,
-independent of recording length) and whole batches of frames are turned into
-correlation matrices and eigenvalues with stacked numpy calls."""
+A5/M3 work per (recording, STFT frame).  A channel's spectrum stays one row of
+arrays until the frame's channels meet: C rows of a frame are shuffled, not one
+a bin, and a group holds C spectra whatever the recording's length.  Whole
+batches of frames are turned into correlation matrices and eigenvalues with
+stacked numpy calls."""
 
 from __future__ import annotations
 
@@ -46,32 +47,28 @@ CORR = T.StructType(
 
 def _corr_batch(z: pa.Array) -> pa.Array:
     n = len(z)
-    offs = np.asarray(z.offsets.to_numpy(zero_copy_only=False), dtype=np.int64)
-    vals = z.values
-    b = np.asarray(vals.field("bin").to_numpy(zero_copy_only=False), dtype=np.int64)
-    ch = np.asarray(vals.field("channel").to_numpy(zero_copy_only=False), dtype=np.int64)
-    re = np.asarray(vals.field("re").to_numpy(zero_copy_only=False), dtype=np.float64)
-    im = np.asarray(vals.field("im").to_numpy(zero_copy_only=False), dtype=np.float64)
-    base = offs[0]
-    starts, sizes = offs[:-1] - base, np.diff(offs)
-    b, ch, re, im = b[base:], ch[base:], re[base:], im[base:]
-    # channels per frame = entries sharing the frame's first bin (sorted bin-major)
-    nch = np.zeros(n, dtype=np.int64)
+    first = z.offsets.to_numpy(zero_copy_only=False).astype(np.int64)  # first channel of each frame
+    ch = z.values.field("channel").to_numpy(zero_copy_only=False).astype(np.int64)
+    re, im = z.values.field("re"), z.values.field("im")
+    at = re.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+    at_im = im.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+    re = re.values.to_numpy(zero_copy_only=False).astype(np.float64)
+    im = im.values.to_numpy(zero_copy_only=False).astype(np.float64)
+    bins = np.diff(at)
+    shapes: dict[tuple[int, int], list[int]] = {}
     for r in range(n):
-        if sizes[r]:
-            s = starts[r]
-            nch[r] = int(np.searchsorted(b[s : s + sizes[r]], b[s], side="right"))
+        own = bins[first[r] : first[r + 1]]
+        if len(own) and own[0] > 0 and (own == own[0]).all():
+            shapes.setdefault((int(own[0]), len(own)), []).append(r)
     chans: list = [None] * n
     corr: list = [None] * n
     eig: list = [None] * n
-    shape_ok = (sizes > 0) & (nch > 0) & (sizes % np.maximum(nch, 1) == 0)
-    for size, C in {(int(sizes[r]), int(nch[r])) for r in np.nonzero(shape_ok)[0]}:
-        rows = np.nonzero(shape_ok & (sizes == size) & (nch == C))[0]
-        B = size // C
-        idx = starts[rows][:, None] + np.arange(size)[None, :]
-        Z = (re[idx] + 1j * im[idx]).reshape(len(rows), B, C)
-        Zc = Z - Z.mean(axis=1, keepdims=True)
-        cov = np.einsum("gbi,gbj->gij", Zc, np.conj(Zc))
+    for (B, C), rows in shapes.items():
+        of = first[rows][:, None] + np.arange(C)[None, :]
+        step = np.arange(B)[None, None, :]
+        Z = re[at[of][:, :, None] + step] + 1j * im[at_im[of][:, :, None] + step]
+        Zc = Z - Z.mean(axis=2, keepdims=True)
+        cov = np.einsum("gib,gjb->gij", Zc, np.conj(Zc))
         var = np.real(np.einsum("gii->gi", cov))
         with np.errstate(divide="ignore", invalid="ignore"):
             R = np.abs(cov) / np.sqrt(var[:, :, None] * var[:, None, :])
@@ -80,7 +77,7 @@ def _corr_batch(z: pa.Array) -> pa.Array:
         if good.any():
             E[good] = np.sort(np.abs(np.linalg.eigvalsh(R[good])), axis=1)[:, ::-1]
         for j, r in enumerate(rows):
-            chans[r] = ch[starts[r] : starts[r] + C].tolist()
+            chans[r] = ch[first[r] : first[r + 1]].tolist()
             corr[r] = [None if not np.isfinite(x) else float(x) for x in R[j].reshape(-1)]
             eig[r] = E[j].tolist() if good[j] else None
     return pa.StructArray.from_arrays(
@@ -94,20 +91,37 @@ def _corr_udf(z: pa.Array) -> pa.Array:
     return _corr_batch(z)
 
 
-def frame_correlations(stft_long: DataFrame, key: str = "recording_id") -> DataFrame:
-    """A5 + eigenvalues: one row per (recording, seg) with ``channels``,
-    ``corr`` (C×C row-major |complex correlation|, NULL entries for constant
-    channels) and ``eig`` (|eigenvalues| of that matrix, descending; NULL when
-    the matrix is undefined)."""
-    g = stft_long.groupBy(key, "seg").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("bin").cast("int").alias("bin"), F.col("channel").cast("int").alias("channel"), "re", "im"))).alias("z")
+def recording_spectra(rec: DataFrame, fs: float) -> DataFrame:
+    """D5 over channel-major recordings, a row of arrays per segment:
+    (recording_id, channel, seg, re, im)."""
+    long = recordings_long(rec).select("recording_id", "channel", "sample_idx", "value")
+    return dsp.spectra(long, ["recording_id", "channel"], "sample_idx", "value", fs)
+
+
+def _as_spectra(stft: DataFrame, key: str) -> DataFrame:
+    """Spectra as they are; a long STFT (a row a bin) gathered to spectra."""
+    if "bin" not in stft.columns:
+        return stft.select(key, "seg", "channel", "re", "im")
+    one = F.array_sort(F.collect_list(F.struct(F.col("bin").cast("int").alias("bin"), "re", "im")))
+    z = stft.groupBy(key, "seg", "channel").agg(one.alias("_z"))
+    return z.select(key, "seg", "channel", F.col("_z.re").alias("re"), F.col("_z.im").alias("im"))
+
+
+def frame_correlations(stft: DataFrame, key: str = "recording_id") -> DataFrame:
+    """A5 + eigenvalues over spectra (:func:`recording_spectra`) or a long
+    STFT: one row per (recording, seg) with ``channels``, ``corr`` (C×C
+    row-major |complex correlation|, NULL entries for constant channels) and
+    ``eig`` (|eigenvalues| of that matrix, descending; NULL when the matrix is
+    undefined)."""
+    g = _as_spectra(stft, key).groupBy(key, "seg").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("channel").cast("int").alias("channel"), "re", "im"))).alias("z")
     )
     return g.select(key, "seg", _corr_udf.asNondeterministic()(F.col("z")).alias("c")).select(key, "seg", "c.channels", "c.corr", "c.eig")
 
 
-def channel_corr(stft_long: DataFrame, key: str = "recording_id") -> DataFrame:
+def channel_corr(stft: DataFrame, key: str = "recording_id") -> DataFrame:
     """A5 as a long table (recording, seg, ch_a, ch_b, corr)."""
-    m = frame_correlations(stft_long, key)
+    m = frame_correlations(stft, key)
     C = F.size("channels")
     e = m.select(key, "seg", "channels", F.posexplode("corr").alias("i", "corr"))
     return e.select(
@@ -119,11 +133,11 @@ def channel_corr(stft_long: DataFrame, key: str = "recording_id") -> DataFrame:
     )
 
 
-def corr_features(stft_long: DataFrame, key: str = "recording_id", width: int = FEATURE_WIDTH) -> DataFrame:
+def corr_features(stft: DataFrame, key: str = "recording_id", width: int = FEATURE_WIDTH) -> DataFrame:
     """M3: per (recording, seg) the |eigenvalues| of the channel-correlation
     magnitude matrix, descending, zero-padded / cut to ``width`` (P15).
     Frames with an undefined matrix (a constant channel) are dropped."""
-    m = frame_correlations(stft_long, key).where(F.col("eig").isNotNull())
+    m = frame_correlations(stft, key).where(F.col("eig").isNotNull())
     return m.select(
         key,
         "seg",

