@@ -88,7 +88,7 @@ def fixture_processors() -> dict[str, Callable[[DataFrame], DataFrame]]:
 def dispatch_processing(df: DataFrame, col: str = "preprocessing", processors: dict | None = None) -> DataFrame:
     """Run each window through the processor its header names — one
     branch per registered name over the same input, results unioned.  Rows
-    naming an unregistered processor are held back."""
+    naming no registered processor are those of :func:`split_unserved`."""
     processors = registered_processors() if processors is None else processors
     out = None
     for name, fn in processors.items():
@@ -97,6 +97,13 @@ def dispatch_processing(df: DataFrame, col: str = "preprocessing", processors: d
     return out
 
 
+def split_unserved(df: DataFrame, col: str, registry: dict) -> tuple[DataFrame, DataFrame]:
+    """(rows whose ``col`` names an entry of ``registry``, side table
+    of the rows that name another or none)."""
+    served = F.coalesce(F.col(col).isin(list(registry)), F.lit(False))
+    return df.where(served), df.where(~served)
+
+
 # ---- clustering (M4–M6) ------------------------------------------------------------
 def as_vector(arr_col: str, dims: int | None = None):
     """ARRAY<FLOAT|DOUBLE> (optionally its first ``dims``) → ML vector."""

@@ -86,13 +86,13 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return path
 
 
-def read_if_written(spark: SparkSession, path: str):
+def read_if_written(spark: SparkSession, path: str, schema: str | None = None):
     """The Parquet table at ``path``, or None if nothing was written there;
-    any other failure is raised."""
+    any other failure is raised.  With ``schema`` no file is opened for it."""
     from pyspark.errors import AnalysisException
 
     try:
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None

@@ -84,6 +84,46 @@ def test_scoring_stream_registers_each_session_once(spark):
     assert s.count() == s.select("sess_id").distinct().count() == d.select("sess_id").distinct().count()
 
 
+def test_registration_opens_only_the_days_of_its_batch(spark):
+    """Stored days grow tenfold, the files opened for one day do not; a batch
+    that is run again leaves the table as it was; ids without a start go too."""
+    from cadence.operators.results import append_sessions, register_sessions, stored_sessions
+
+    path = scratch_dir(spark, "session-index")
+
+    def rows(ids):
+        made = [(i, "u", "m", "p", 0, 0) for i in ids]
+        return spark.createDataFrame(made, "sess_id string, user_name string, ml_model string, preprocessing string, frame_number int, time_ms int")
+
+    def batch(n, ids, days):
+        append_sessions(register_sessions(rows(ids), stored_sessions(spark, path, days, n)), path, n)
+
+    def day(d):
+        return f"2024-01-{d:02d}"
+
+    opened = []
+    for n in range(1, 11):
+        batch(n, [f"u{j}{day(n)} 00:00:00" for j in range(3)] + [f"odd{n}"], [day(n), "none"])
+        one = stored_sessions(spark, path, [day(1)])
+        one.collect()
+        scan = one._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        opened.append(scan.metrics().apply("numFiles").value())
+    assert len(set(opened)) == 1 and opened[0] > 0
+    before = sorted(map(tuple, stored_sessions(spark, path, [day(d) for d in range(1, 11)] + ["none"]).collect()))
+    assert len(before) == 40
+    for n in (10, 11):  # the last batch again, then the same sessions as a new batch
+        batch(n, [f"u{j}{day(10)} 00:00:00" for j in range(3)] + ["odd10"], [day(10), "none"])
+    assert sorted(map(tuple, stored_sessions(spark, path, [day(d) for d in range(1, 11)] + ["none"]).collect())) == before
+
+
+def test_rows_of_unregistered_names_go_to_a_side_table(spark):
+    from cadence.operators.models import split_unserved
+
+    df = spark.createDataFrame([(1, "standard"), (2, "other"), (3, None)], "id int, preprocessing string")
+    served, rest = split_unserved(df, "preprocessing", {"standard": None})
+    assert [r.id for r in served.collect()] == [1] and sorted(r.id for r in rest.collect()) == [2, 3]
+
+
 def test_minibatch_kmeans_stream_matches_sequential_updates(spark):
     import numpy as np
 
