@@ -158,6 +158,7 @@ def sample_windows(
             session_start("_h.year", "_h.month", "_h.day", "_h.hour", "_h.minute", "_h.second", "_h.microsecond").alias("_t0"),
             F.struct(
                 F.col("_lo").alias("lo"),
+                (-F.col("_hi")).alias("to"),  # of pieces with one begin the longest comes first
                 F.col("_hi").alias("hi"),
                 F.col("_a").alias("a"),
                 F.col("_h").alias("h"),
@@ -181,16 +182,21 @@ def sample_windows(
     )
     Lg, Sg, Cg = F.col("_L"), F.col("_S"), F.col("_C")
     base = F.col("_b") * Lg * block_windows
-    # pieces in order and disjoint: a frame delivered twice, or one that starts
-    # inside another, neither counts as cover nor shifts the samples behind it
-    disjoint = F.aggregate(
+    # pieces in order and disjoint: a piece gives the samples behind those of
+    # the pieces before it, so a frame delivered twice gives none
+    reached = F.aggregate(
         "_ps",
-        F.slice("_ps", 1, 0),
-        lambda acc, p: F.when(
-            (F.size(acc) == 0) | (F.try_element_at(acc, F.lit(-1))["hi"] <= p["lo"]), F.concat(acc, F.array(p))
-        ).otherwise(acc),
+        F.array().cast("array<bigint>"),
+        lambda acc, p: F.concat(acc, F.array(F.greatest(F.try_element_at(acc, F.lit(-1)), p["hi"]))),
     )
-    grouped = grouped.withColumn("_ps", disjoint)
+
+    def behind(p, i):
+        lo = F.when(i > 0, F.greatest(p["lo"], F.get("_ends", i - 1))).otherwise(p["lo"])
+        rest = F.slice(p["v"], ((lo - p["lo"]) * Cg + 1).cast("int"), (F.greatest(p["hi"] - lo, F.lit(0)) * Cg).cast("int"))
+        return F.struct(lo.alias("lo"), p["hi"].alias("hi"), p["h"].alias("h"), F.when(lo == p["lo"], p["v"]).otherwise(rest).alias("v"))
+
+    grouped = grouped.withColumn("_ends", reached)
+    grouped = grouped.withColumn("_ps", F.filter(F.transform("_ps", behind), lambda p: p["lo"] < p["hi"])).drop("_ends")
     blocks = grouped.withColumn("_run", F.flatten(F.transform("_ps", lambda p: p["v"])))
     k_first = F.ceil(base / Sg).cast("long")
     k_last = F.ceil((base + Lg * block_windows) / Sg).cast("long") - 1  # starts inside this block

@@ -24,6 +24,29 @@ def frames(spark, numbers, per_frame=8):
     return base.crossJoin(rows).withColumn("num_samples", F.lit(per_frame)).withColumn("start", F.col("frame_number").cast("long") * per_frame)
 
 
+def test_windows_of_overlapping_frames_lose_nothing(spark):
+    """All samples are there: a short copy beside a frame, or a frame that
+    starts inside the one before and reaches beyond it, costs no window."""
+    fs, length = 8, 8
+    signal = [float(x) for x in range(48)]
+
+    def run(spans):
+        head = "session_id string, user_name string, year int, month int, day int, hour int, minute int, second int, microsecond int, frame_number int, time_stamp int, ML_model string, preprocessing string, sampling_rate int, num_samples int, num_channels int, channel_names array<string>, samples array<float>, start long"
+        rows = [("s", "u", 2024, 1, 1, 0, 0, 0, 0, n, 0, "m", "p", fs, hi - lo, 1, ["EEG"], signal[lo:hi], lo) for n, (lo, hi) in enumerate(spans)]
+        got = windows.sample_windows(spark.createDataFrame(rows, head), 1.0, 0.75, start_col="start").collect()
+        for r in got:
+            assert list(r.samples) == signal[r.start_idx : r.start_idx + length]
+        return sorted(r.k for r in got)
+
+    plain = [(n, n + 8) for n in range(0, 48, 8)]
+    whole = run(plain)
+    assert whole == list(range(20))
+    assert run([*plain, (16, 19)]) == whole
+    assert run([*plain[:2], (14, 24), *plain[3:]]) == whole
+    assert run([*plain, (0, 48), (5, 30)]) == whole
+    assert run([p for p in plain if p != (16, 24)]) != whole
+
+
 @pytest.mark.parametrize("numbers", [[0, 1, 2, 3, 4, 5], [5, 1, 0, 1, 3, 2, 4, 1], [0, 1, 1, 3, 4, 5]])
 def test_windows_of_redelivered_and_lost_frames(spark, numbers):
     got = windows.sample_windows(frames(spark, numbers), 1.0, 0.8, start_col="start").collect()
