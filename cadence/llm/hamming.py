@@ -170,9 +170,12 @@ def nearest(vectors: DataFrame, is_query, k: int = K, sample_rows: int = SAMPLE_
     if dims is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = every.where(F.col("dim") == dims["dim"]).select("id", "v")
-    sample = rows.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(sample_rows).collect()  # bounded by sample_rows
+    # the sample_rows rows of smallest hash, sorted among some twice as many
+    n, h = rows.count(), F.xxhash64("id", F.lit(3))
+    near = rows.where(h / F.lit(float(1 << 64)) + 0.5 <= F.lit((2 * sample_rows + 50) / n))
+    sample = near.orderBy(h, "id").limit(sample_rows).collect()  # bounded by sample_rows
     coder = spark.sparkContext.broadcast(Coder(_unit(np.array([r["v"] for r in sample])), k=k))
-    shards = shard_count(rows.count(), SHARD_ROWS)
+    shards = shard_count(n, SHARD_ROWS)
     queries = rows.where(is_query(F.col("id")))
     found = staged(_grid(rows, queries, coder, k, coder.value.radius, shards), "ann-found")
     # a query short of k neighbours looks at every row

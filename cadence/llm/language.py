@@ -25,7 +25,7 @@ from urllib.parse import urlsplit
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.llm.common import prepared, staged, text_or_empty
@@ -85,17 +85,29 @@ class TextModel:
         return total - total.mean() if len(total) else total
 
 
+def _sample(docs: DataFrame, sample_rows: int) -> DataFrame:
+    """(lang, text): at most ``sample_rows`` rows, shared evenly by the
+    languages, of each those with the smallest hashes.  A cutoff by the number
+    of different rows leaves about twice a language's share to be sorted;
+    repeated rows are one."""
+    keyed = docs.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    sizes = staged(keyed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")), "language-sizes")
+    share = max(1, sample_rows // max(1, sizes.count()))
+    cut = sizes.select("lang", (F.lit(2.0 * share + 50) / F.greatest("n", F.lit(1))).alias("part"))
+    place = (F.col("h") / F.lit(float(1 << 64))) + 0.5
+    near = keyed.join(_small(cut), "lang").where(place <= F.col("part")).dropDuplicates(["lang", "h"])
+    order = Window.partitionBy("lang").orderBy("h")
+    return near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= share).select("lang", "text")
+
+
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, max_grams: int = MAX_GRAMS) -> TextModel:
-    """docs: (doc_id, text, lang).  Uses at most ``sample_rows`` rows, those
-    with the smallest hash; rows without text or lang teach nothing."""
+    """docs: (doc_id, text, lang).  Learns from a bounded sample of every
+    language (:func:`_sample`); rows without text or lang teach nothing.  Each
+    language gives its most frequent n-grams to the table, ``max_grams``
+    shared evenly; what a language holds beside the table is spread evenly
+    over the n-grams seen outside it."""
     prepared(docs.sparkSession)
-    sample = staged(
-        docs.where("lang is not null and text is not null")
-        .select("lang", "text")
-        .orderBy(F.xxhash64("doc_id", "text"))
-        .limit(sample_rows),
-        "language-sample",
-    )
+    sample = staged(_sample(docs, sample_rows), "language-sample")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own: dict[str, Counter] = {}
@@ -109,14 +121,18 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, max_grams: int = MAX_
     counts = staged(counts, "language-grams")
     size = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}  # a row a language
     langs = sorted(size)
-    top = counts.groupBy("g").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "g").limit(max_grams)
+    most = Window.partitionBy("lang").orderBy(F.desc("n"), "g")
+    share = max(1, max_grams // max(1, len(langs)))
+    top = counts.withColumn("r", F.row_number().over(most)).where(F.col("r") <= share).select("g").distinct()
     rows = counts.join(top, "g").collect()  # at most max_grams a language
     n = {(r["lang"], r["g"]): r["n"] for r in rows}
     known = sorted({r["g"] for r in rows})
-    logp = lambda lang, g: math.log((n.get((lang, g), 0) + 0.5) / (size[lang] + 0.5 * (len(known) + 1)))
-    table = {g: [logp(lang, g) for lang in langs] for g in known}
-    # grams outside the table say nothing
-    return TextModel(langs, table, [0.0] * len(langs), [1 / max(1, len(langs))] * len(langs))
+    outside = counts.select("g").distinct().count() - len(known) + 1
+    held = {lang: sum(n.get((lang, g), 0) for g in known) for lang in langs}
+    logp = lambda lang, c, width: math.log((c + 0.5) / (width * (size[lang] + 0.5 * (len(known) + 1))))
+    table = {g: [logp(lang, n.get((lang, g), 0), 1) for lang in langs] for g in known}
+    rare = [logp(lang, size[lang] - held[lang], outside) for lang in langs]
+    return TextModel(langs, table, rare, [1 / max(1, len(langs))] * len(langs))
 
 
 def address(url: str) -> tuple[str, str, str, str]:

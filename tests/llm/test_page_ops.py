@@ -198,3 +198,21 @@ def test_reading_of_tags():
     assert webarchive.title(page) == " A &amp; <b>B</b>"
     assert webarchive.declared_language(page) == "de"
     assert webarchive.title("no <title>end") is None and webarchive.declared_language("<html>") is None
+
+
+def test_a_rare_language_is_learned(spark):
+    """One language holds nearly all rows, one text of it most of those; the
+    others still give their share of the sample and can be returned."""
+    from cadence.llm.language import _sample, train
+
+    rows = [(1, "the same words again and again", "en")] * 3000
+    rows += [(i, f"the river and the house number {i} with many words", "en") for i in range(2, 1500)]
+    rows += [(9000 + i, f"der fluss und das haus nummer {i} mit vielen worten", "de") for i in range(5)]
+    rows += [(9100, None, "de"), (9101, "kein name", None), (9102, "", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = {r["lang"]: r["count"] for r in _sample(docs, 300).groupBy("lang").count().collect()}
+    assert got == {"en": 100, "de": 5, "fr": 1}
+    model = train(docs, 300)
+    assert "de" in model.langs and model.langs[int(model.evidence("das haus mit worten").argmax())] == "de"
+    assert model.langs[int(model.evidence("the house with words").argmax())] == "en"
+    assert _sample(docs.limit(0), 300).count() == 0
