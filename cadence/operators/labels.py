@@ -30,6 +30,14 @@ def label_code(label: Column) -> Column:
 BAND = 6  # tree levels per join: a node meets at most 2^BAND rows
 
 
+def _ends(annotations: DataFrame, key: str, code: str) -> DataFrame:
+    """Begins (``_side`` 0) and ends (2) of the lines that cover anything."""
+    ann = annotations if code in annotations.columns else annotations.withColumn(code, label_code(F.col("label")))
+    ann = ann.select(key, "line_no", F.col(code).alias("_code"), F.col("beg").cast("double").alias("beg"), F.col("end").cast("double").alias("end"))
+    ends = F.explode(F.array(F.struct(F.col("beg").alias("_t"), F.lit(0).alias("_side")), F.struct(F.col("end").alias("_t"), F.lit(2).alias("_side"))))
+    return ann.dropna().where("beg <= end").select("*", ends.alias("_e")).select("*", "_e.*").drop("_e")
+
+
 def flatten_intervals(annotations: DataFrame, key: str = "recording_id", code: str = "code") -> DataFrame:
     """Disjoint pieces of overlapping intervals: (key, ``_t``, ``_side``,
     ``_r``, ``win``).  Piece ``_r`` of a recording begins at ``_t`` itself
@@ -44,11 +52,7 @@ def flatten_intervals(annotations: DataFrame, key: str = "recording_id", code: s
     winner is taken per node, and a piece takes the winner of its ancestors,
     ``BAND`` levels a join.  n lines cost n·log(overlap) rows whatever their
     lengths, and no key of a join holds more than 2^BAND rows."""
-    ann = annotations if code in annotations.columns else annotations.withColumn(code, label_code(F.col("label")))
-    ann = ann.select(key, "line_no", F.col(code).alias("_code"), F.col("beg").cast("double").alias("beg"), F.col("end").cast("double").alias("end"))
-    ann = ann.dropna().where("beg <= end")
-    ends = F.explode(F.array(F.struct(F.col("beg").alias("_t"), F.lit(0).alias("_side")), F.struct(F.col("end").alias("_t"), F.lit(2).alias("_side"))))
-    ranked = position_within(ann.select("*", ends.alias("_e")).select("*", "_e.*").drop("_e"), [key], ["_t", "_side", "line_no", "_code", "beg", "end"], "_r")
+    ranked = position_within(_ends(annotations, key, code), [key], ["_t", "_side", "line_no", "_code", "beg", "end"], "_r")
     spans = ranked.groupBy(key, "line_no", "_code", "beg", "end").agg(F.min("_r").alias("_lo"), F.max("_r").alias("_hi"))
     spans = spans.withColumn("_top", F.length(F.bin(F.col("_hi") - F.col("_lo"))) - 1)
     top = spans.agg(F.max("_top").alias("m")).first()["m"] or 0
@@ -105,7 +109,8 @@ def interval_label(
         F.struct(*times.columns).alias("_row"),
     )
     pid = None if bucket_s is None else F.coalesce(F.floor(F.col("_t") / bucket_s).cast("long"), F.lit(-(1 << 63)))
-    swept = running_max_within(marks.unionByName(points), [key], ["_t", "_side", "_r"], "_piece", "_last", pid)
+    like = _ends(annotations, key, code).select(key, "_t").unionByName(points.select(key, "_t"))
+    swept = running_max_within(marks.unionByName(points), [key], ["_t", "_side", "_r"], "_piece", "_last", pid, like=like)
     return swept.where("_side = 1").select("_row.*", F.coalesce(F.col("_last.code"), F.lit(UNLABELLED)).cast("int").alias(code))
 
 

@@ -104,11 +104,12 @@ def _order_number(df: DataFrame, col: str) -> Column | None:
     return None
 
 
-def _stat_buckets(df: DataFrame, keys: list[str], x: Column, rows_per_bucket: int) -> tuple[DataFrame, bool]:
-    """Add ``_pid`` from exact per-key statistics (see module doc); the flag
+def _stat_buckets(df: DataFrame, keys: list[str], x: Column, rows_per_bucket: int, like: DataFrame | None = None) -> tuple[DataFrame, bool]:
+    """Add ``_pid`` from exact per-key statistics (see module doc) of ``df``,
+    or of ``like``, cheaper rows with the same keys and order values; the flag
     tells whether any key was split at all."""
     hot = (
-        df.select(*keys, x.alias("_x"))
+        (df if like is None else like).select(*keys, x.alias("_x"))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
         .where(F.col("_n") > rows_per_bucket)
@@ -145,18 +146,20 @@ def running_max_within(
     name: str,
     pid: Column | None = None,
     rows_per_bucket: int | None = None,
+    like: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``name`` = largest non-NULL ``value`` among the rows of the same
     ``keys`` up to this one by ``order``.
 
     The rows of a key are cut into ordered buckets: ``pid`` (non-decreasing in
     ``order``) when given, else as for :func:`prefix_sum_within`; the maxima of
-    the buckets before supply what is carried in."""
+    the buckets before supply what is carried in.  ``like``: cheaper rows with
+    the same keys and order values, to find the keys to be cut."""
     keys = list(keys)
     if pid is not None:
         staged, split = df.withColumn("_pid", pid), True
     else:
-        staged, split = _stat_buckets(df, keys, _order_number(df, order[0]), rows_per_bucket or ROWS_PER_BUCKET)
+        staged, split = _stat_buckets(df, keys, _order_number(df, order[0]), rows_per_bucket or ROWS_PER_BUCKET, like)
     frame = Window.partitionBy(*keys, "_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = staged.withColumn("_loc", F.max(value).over(frame))
     if not split:
