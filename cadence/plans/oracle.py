@@ -6,6 +6,8 @@ rather than rebuilt from exploded frame pieces."""
 
 from __future__ import annotations
 
+import numpy as np
+
 from cadence.plans import bindings as B
 
 ORACLE: dict[str, str] = {}
@@ -293,11 +295,34 @@ WHERE sess_id NOT IN (SELECT sess_id FROM sc WHERE ts < TIMESTAMP '{B.STORED_BEF
 
 
 # ---- windows64 / sig signal transforms -------------------------------------------
-def h_values(fs: float, kind: str, n: int) -> str:
-    """Impulse response as a VALUES table h(j, hv) (design from the driver)."""
-    from cadence.operators.dsp import impulse_response
+def response(fs: float, kind: str, n: int) -> np.ndarray:
+    """First ``n`` samples of a chain's impulse response, from its frequency
+    response: the order-5 Butterworth low-pass 1 / Π(q − p) at the analogue
+    variable q of each stage (bilinear, pre-warped), transformed back over more
+    samples than the chain remembers.  Shares nothing with the library's design."""
+    size = 1 << 16
+    w = np.exp(-2j * np.pi * np.arange(size // 2 + 1) / size)
+    minus, plus = 1 - w, 1 + w  # s = minus / plus
+    poles = [np.exp(1j * np.pi * (2 * k + 6) / 10) for k in range(5)]
+    warp = lambda f: np.tan(np.pi * f / fs)
+    h = np.ones(len(w), complex)
+    if kind != "highpass":
+        f = 60.0
+        while f + 1 < fs / 2:
+            lo, hi = warp(f - 1), warp(f + 1)
+            den = minus**2 + lo * hi * plus**2
+            for p in poles:
+                h *= den / ((hi - lo) * minus * plus - p * den)
+            f += 60.0
+    if kind != "bandstop":
+        for p in poles:
+            h *= minus / (warp(1.0) * plus - p * minus)
+    return np.fft.irfft(h, size)[:n]
 
-    h = impulse_response(float(fs), kind, n)
+
+def h_values(fs: float, kind: str, n: int) -> str:
+    """Impulse response as a VALUES table h(j, hv)."""
+    h = response(float(fs), kind, n)
     return "h(j, hv) AS (VALUES " + ", ".join(f"({j}, {repr(float(v))}::DOUBLE)" for j, v in enumerate(h)) + ")"
 
 

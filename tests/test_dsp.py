@@ -107,6 +107,14 @@ def test_states_pass_absent_blocks_and_null_keys(spark):
         assert np.max(np.abs(part["filtered"].to_numpy() - want)) < 1e-9
 
 
+def test_design_equals_frequency_response():
+    """The oracle's response is made from the analogue low-pass alone."""
+    from cadence.plans.oracle import response
+
+    for fs, kind in ((250.0, "filters"), (250.0, "bandstop"), (16.0, "standard"), (500.0, "highpass")):
+        assert np.max(np.abs(response(fs, kind, 3000) - dsp.impulse_response(fs, kind, 3000))) < 1e-12
+
+
 def test_modes_equal_sections():
     for fs, kind in ((250.0, "filters"), (8.0, "filters"), (500.0, "bandstop")):
         assert np.max(np.abs(dsp.mode_response(fs, kind, 3000) - dsp.impulse_response(fs, kind, 3000))) < 1e-12
