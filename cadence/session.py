@@ -13,6 +13,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def get_spark(cpus: int | str = "*", app: str = "cadence", shuffle_partitions: int = 8) -> SparkSession:
     """Local session used by tests, bench and tools.  On a cluster the
@@ -30,10 +33,7 @@ def get_spark(cpus: int | str = "*", app: str = "cadence", shuffle_partitions: i
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
-        .config(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
+        .config(STATE_STORE, ROCKSDB)
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -106,6 +106,14 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def ensure_rocksdb(spark: SparkSession) -> None:
+    """State of ``transformWithState`` needs a store with column families,
+    which Spark's default store lacks; streams started from here on use
+    RocksDB, those on older checkpoints stay with the store they began with."""
+    if spark.conf.get(STATE_STORE, "HDFSBackedStateStoreProvider").endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(STATE_STORE, ROCKSDB)
+
+
 _SHIPPED: set = set()
 
 

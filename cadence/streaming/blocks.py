@@ -29,6 +29,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from cadence.functions.header import window_time_stamp, time_channel_idx
 from cadence.operators.windows import int_range, window_length, window_stride
 from cadence.schemas import HEADER, HEADER_NAMES
+from cadence.session import ensure_rocksdb
 
 #: Windows a block hosts at most; its state is (BLOCK_WINDOWS · S + L) · C samples.
 BLOCK_WINDOWS = 16
@@ -42,81 +43,88 @@ _STATE = (
 _OUT = "session_id string, header string, k long, start_idx long, n long, samples array<float>"
 
 
-class _Blocks(StatefulProcessor):
-    def __init__(self, idle_ms: int | None, forget_ms: int):
-        self.idle_ms, self.forget_ms = idle_ms, forget_ms  # idle None: no timers
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("block", _STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        session, block, L, S, C = key
-        H = BLOCK_WINDOWS * S
-        base, size = block * H, H - S + L + 1  # the last window's samples and the one past its end
-        came = pd.concat(rows).sort_values("start", kind="stable")
-        old = self.state.get() if self.state.exists() else None
-        if old is not None and old[5]:
-            if not np.frombuffer(old[4], bool).all():  # else all is out, and these are redelivered
-                yield self._table(session, came["header"], None, came["start"], came["n"], came["samples"])
-            return
-        if old is None:
-            buf, there = np.zeros((size, C), np.float32), np.zeros(size, bool)
-            f_start, f_header, emitted = np.zeros(0, np.int64), np.zeros(0, object), np.zeros(BLOCK_WINDOWS, bool)
-        else:
-            buf, there = np.array(old[0], np.float32).reshape(size, C), np.frombuffer(old[1], bool).copy()
-            f_start, f_header = np.array(old[2], np.int64), np.array(old[3], object)
-            emitted = np.frombuffer(old[4], bool).copy()
-        # all samples of the batch with their places; the first to arrive at a place stays
-        values = np.concatenate([np.asarray(x, np.float32) for x in came["samples"]]).reshape(-1, C)
-        starts, counts = came["start"].to_numpy(np.int64), came["n"].to_numpy(np.int64)
-        place = np.repeat(starts - base - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-        place, first = np.unique(place, return_index=True)
-        new = ~there[place]
-        buf[place[new]] = values[first][new]
-        there[place] = True
-        f_start, at = np.unique(np.r_[f_start, starts], return_index=True)
-        f_header = np.r_[f_header, came["header"].to_numpy(object)][at]
-        # windows with all samples and the one past their end
-        upto = np.r_[0, np.cumsum(there)]
-        begin = np.arange(BLOCK_WINDOWS) * S
-        ready = np.flatnonzero((upto[begin + L + 1] - upto[begin] == L + 1) & ~emitted)
-        emitted[ready] = True
-        done = bool(emitted.all())
-        kept = ([], b"", [], []) if done else (buf.reshape(-1).tolist(), there.tobytes(), f_start.tolist(), f_header.tolist())
-        self.state.update((*kept, emitted.tobytes(), done))
-        if self.idle_ms is not None:
-            self._wait(int(came["at"].max()) + (self.forget_ms if done else self.idle_ms))
-        if len(ready):
-            s0 = base + begin[ready]
-            own = f_header[np.searchsorted(f_start, s0, "right") - 1]
-            cut = [buf[i : i + L].reshape(-1) for i in begin[ready].tolist()]
-            yield self._table(session, own, block * BLOCK_WINDOWS + ready, s0, L, cut)
-
-    @staticmethod
-    def _table(session, header, k, start, n, samples) -> pd.DataFrame:
-        k = pd.array(k, "Int64") if k is not None else pd.array([None] * len(header), "Int64")
-        return pd.DataFrame({"session_id": session, "header": header, "k": k, "start_idx": start, "n": n, "samples": list(samples)})
-
-    def _wait(self, until_ms: int) -> None:
-        """One timer a block, never moved back."""
-        set_ = list(self.handle.listTimers())
-        if not set_ or max(set_) < until_ms:
-            for t in set_:
-                self.handle.deleteTimer(t)
-            self.handle.registerTimer(until_ms)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        old = self.state.get() if self.state.exists() else None
-        if old is None or old[5]:
-            self.state.clear()
-        else:
-            self.state.update(([], b"", [], [], old[4], True))
-            self.handle.registerTimer(expiredTimerInfo.getExpiryTimeInMs() + self.forget_ms)
-        return iter(())
-
-    def close(self) -> None:
-        pass
+def _processor(idle_ms: int | None, forget_ms: int) -> StatefulProcessor:
+    """The state machine of a block.  A class made in a function travels whole:
+    the driver's own Python worker, which starts it first, does not see the
+    files that were added to the session."""
+
+    class Blocks(StatefulProcessor):
+        def __init__(self, idle_ms: int | None, forget_ms: int):
+            self.idle_ms, self.forget_ms = idle_ms, forget_ms  # idle None: no timers
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.state = handle.getValueState("block", _STATE)
+
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            session, block, L, S, C = key
+            H = BLOCK_WINDOWS * S
+            base, size = block * H, H - S + L + 1  # the last window's samples and the one past its end
+            came = pd.concat(rows).sort_values("start", kind="stable")
+            old = self.state.get() if self.state.exists() else None
+            if old is not None and old[5]:
+                if not np.frombuffer(old[4], bool).all():  # else all is out, and these are redelivered
+                    yield self._table(session, came["header"], None, came["start"], came["n"], came["samples"])
+                return
+            if old is None:
+                buf, there = np.zeros((size, C), np.float32), np.zeros(size, bool)
+                f_start, f_header, emitted = np.zeros(0, np.int64), np.zeros(0, object), np.zeros(BLOCK_WINDOWS, bool)
+            else:
+                buf, there = np.array(old[0], np.float32).reshape(size, C), np.frombuffer(old[1], bool).copy()
+                f_start, f_header = np.array(old[2], np.int64), np.array(old[3], object)
+                emitted = np.frombuffer(old[4], bool).copy()
+            # all samples of the batch with their places; the first to arrive at a place stays
+            values = np.concatenate([np.asarray(x, np.float32) for x in came["samples"]]).reshape(-1, C)
+            starts, counts = came["start"].to_numpy(np.int64), came["n"].to_numpy(np.int64)
+            place = np.repeat(starts - base - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+            place, first = np.unique(place, return_index=True)
+            new = ~there[place]
+            buf[place[new]] = values[first][new]
+            there[place] = True
+            f_start, at = np.unique(np.r_[f_start, starts], return_index=True)
+            f_header = np.r_[f_header, came["header"].to_numpy(object)][at]
+            # windows with all samples and the one past their end
+            upto = np.r_[0, np.cumsum(there)]
+            begin = np.arange(BLOCK_WINDOWS) * S
+            ready = np.flatnonzero((upto[begin + L + 1] - upto[begin] == L + 1) & ~emitted)
+            emitted[ready] = True
+            done = bool(emitted.all())
+            kept = ([], b"", [], []) if done else (buf.reshape(-1).tolist(), there.tobytes(), f_start.tolist(), f_header.tolist())
+            self.state.update((*kept, emitted.tobytes(), done))
+            if self.idle_ms is not None:
+                self._wait(int(came["at"].max()) + (self.forget_ms if done else self.idle_ms))
+            if len(ready):
+                s0 = base + begin[ready]
+                own = f_header[np.searchsorted(f_start, s0, "right") - 1]
+                cut = [buf[i : i + L].reshape(-1) for i in begin[ready].tolist()]
+                yield self._table(session, own, block * BLOCK_WINDOWS + ready, s0, L, cut)
+
+        @staticmethod
+        def _table(session, header, k, start, n, samples) -> pd.DataFrame:
+            k = pd.array(k, "Int64") if k is not None else pd.array([None] * len(header), "Int64")
+            return pd.DataFrame({"session_id": session, "header": header, "k": k, "start_idx": start, "n": n, "samples": list(samples)})
+
+        def _wait(self, until_ms: int) -> None:
+            """One timer a block, never moved back."""
+            set_ = list(self.handle.listTimers())
+            if not set_ or max(set_) < until_ms:
+                for t in set_:
+                    self.handle.deleteTimer(t)
+                self.handle.registerTimer(until_ms)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            old = self.state.get() if self.state.exists() else None
+            if old is None or old[5]:
+                self.state.clear()
+            else:
+                self.state.update(([], b"", [], [], old[4], True))
+                self.handle.registerTimer(expiredTimerInfo.getExpiryTimeInMs() + self.forget_ms)
+            return iter(())
+
+        def close(self) -> None:
+            pass
+
+    return Blocks(idle_ms, forget_ms)
 
 
 def block_windows(
@@ -139,7 +147,9 @@ def block_windows(
     order but for ``disorder``; blocks without a frame for ``idle_ms`` of it are
     let go, and frames that come for one after that are rows whose ``k`` is
     null, one for each such block.  Without ``arrival`` state is kept.  Every frame crosses the shuffle about (H + L) / H times, H
-    being BLOCK_WINDOWS strides."""
+    being BLOCK_WINDOWS strides.  The session's streams keep their state in
+    RocksDB from here on (``ensure_rocksdb``)."""
+    ensure_rocksdb(frames.sparkSession)
     fs, C = F.col("sampling_rate"), F.col("num_channels").cast("long")
     n = F.col("num_samples").cast("long")
     a = F.col(start_col).cast("long") if start_col else F.col("frame_number").cast("long") * n
@@ -162,7 +172,7 @@ def block_windows(
     if arrival:
         pieces = pieces.withWatermark("_at", disorder)
     out = pieces.groupBy("session_id", "_b", "_L", "_S", "_C").transformWithStateInPandas(
-        _Blocks(idle_ms if arrival else None, forget_ms), _OUT, "Append", "EventTime" if arrival else "None"
+        _processor(idle_ms if arrival else None, forget_ms), _OUT, "Append", "EventTime" if arrival else "None"
     )
     h = F.from_json("header", HEADER)
     stamp = window_time_stamp(F.col("samples"), time_channel_idx(h["channel_names"]), F.col("start_idx"), h["sampling_rate"])

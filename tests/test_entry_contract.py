@@ -48,3 +48,23 @@ def test_entry_without_the_corpus_subpackage():
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", ALONE, work], cwd=work, env=env, capture_output=True, text=True, timeout=300)
     assert f"KEYS {len(QUERIES)} []" in out.stdout, out.stdout + out.stderr[-2000:]
+
+
+KEYED = r"""
+import sys
+sys.path.insert(0, sys.argv[1])
+import __spark_entry__ as E
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "4").config("spark.ui.showConsoleProgress", "false").getOrCreate())
+rows = lambda k: sorted(map(str, E.queries()[k](spark, "/root/testdata/sf0.001").collect()))
+print("SAME", rows("block_windows") == rows("sample_windows"), rows("stream_chain") == rows("window_scores"))
+print("LEDGER", len(rows("stream_ledger")))
+"""
+
+
+def test_keyed_state_in_a_plain_session():
+    """The driver's session names no state store: the queries with state in
+    blocks bring their own."""
+    out = subprocess.run([sys.executable, "-c", KEYED, ROOT], cwd=tempfile.mkdtemp(prefix="entry-keyed-"), capture_output=True, text=True, timeout=900)
+    assert "SAME True True" in out.stdout and "LEDGER 3" in out.stdout, out.stderr[-2000:]
