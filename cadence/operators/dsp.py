@@ -541,20 +541,35 @@ def stft(
     fs: float,
     nperseg: int | None = None,
     noverlap: int | None = None,
+    bins: list[int] | None = None,
 ) -> DataFrame:
     """STFT of long signals (keys…, idx, value) → (keys…, seg, bin, t,
     freq, re, im).  Segments of ``nperseg`` (default fs samples) every
     ``nperseg − noverlap`` (default noverlap = int(4·fs/5)), zero-extended by
-    half a segment at both ends; t = seg·hop/fs, freq = bin·fs/nperseg."""
-    return explode_bins(spectra(samples, keys, idx, value, fs, nperseg, noverlap), keys, fs, nperseg, noverlap)
+    half a segment at both ends; t = seg·hop/fs, freq = bin·fs/nperseg.  With
+    ``bins`` only the rows of those bins."""
+    return explode_bins(spectra(samples, keys, idx, value, fs, nperseg, noverlap), keys, fs, nperseg, noverlap, bins=bins)
 
 
-def explode_bins(spec: DataFrame, keys: list[str], fs: float, nperseg: int | None = None, noverlap: int | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
+def explode_bins(
+    spec: DataFrame,
+    keys: list[str],
+    fs: float,
+    nperseg: int | None = None,
+    noverlap: int | None = None,
+    extra: tuple[str, ...] = (),
+    bins: list[int] | None = None,
+) -> DataFrame:
     """Spectra → a row a bin with its time and frequency; ``extra`` columns of
-    the segment are repeated."""
+    the segment are repeated.  ``bins``: only these, the others make no row."""
     nperseg = int(nperseg or fs)
     hop = nperseg - int(noverlap if noverlap is not None else int(fs * 4 / 5))
-    z = spec.select(*keys, "seg", *extra, F.posexplode(F.arrays_zip("re", "im")).alias("bin", "c"))
+    if bins is None:
+        z = spec.select(*keys, "seg", *extra, F.posexplode(F.arrays_zip("re", "im")).alias("bin", "c"))
+    else:
+        cell = lambda b: F.struct(F.lit(b).alias("bin"), F.struct(F.get("re", F.lit(b)).alias("re"), F.get("im", F.lit(b)).alias("im")).alias("c"))
+        own = F.array(*[cell(b) for b in sorted(set(bins)) if 0 <= b <= nperseg // 2])
+        z = spec.select(*keys, "seg", *extra, F.inline(own))
     return z.select(
         *keys,
         "seg",

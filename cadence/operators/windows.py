@@ -292,31 +292,28 @@ def stft_segments(
         *keys,
         F.struct(n_ext.alias("p"), F.col(value).cast("double").alias("v")).alias("_x"),
         F.explode(int_range(b_lo, b_hi)).alias("_b"),
+        F.lit(None).cast("long").alias("_k"),
     )
-    g = fan.groupBy(*keys, "_b").agg(F.collect_list("_x").alias("_xs"))
     # segment k fits when k·hop + nperseg ≤ N + 2·pad = last extended index + 1 + pad
     k_end = F.floor((F.max(n_ext) + 1 + pad - nperseg) / hop).cast("long")
     ends = samples.where(F.col(idx).isNotNull()).groupBy(*keys).agg(k_end.alias("_k")).where("_k >= 0")
-    blocks = ends.select(
-        *[F.col(c).alias(f"_key{i}") for i, c in enumerate(keys)],
-        "_k",
-        F.explode(int_range(F.lit(0).cast("long"), F.floor(F.col("_k") / block_hops).cast("long"))).alias("_blk"),
-    )
-    same = blocks["_blk"] == g["_b"]
-    for i, c in enumerate(keys):
-        same = same & blocks[f"_key{i}"].eqNullSafe(g[c])
-    g = blocks.join(g, same, "left").select(
-        *[F.col(f"_key{i}").alias(c) for i, c in enumerate(keys)],
+    laid_out = ends.select(
+        *keys,
+        F.lit(None).cast("struct<p:bigint,v:double>").alias("_x"),
+        F.explode(int_range(F.lit(0).cast("long"), F.floor(F.col("_k") / block_hops).cast("long"))).alias("_b"),
         "_k",
-        F.col("_blk").alias("_b"),
-        F.coalesce("_xs", F.array().cast("array<struct<p:bigint,v:double>>")).alias("_xs"),
     )
+    # a block's row in the layout meets its samples in one grouping: a join
+    # could send the gathered samples to every task, their size being unknown
+    g = fan.unionByName(laid_out).groupBy(*keys, "_b").agg(F.collect_list("_x").alias("_xs"), F.max("_k").alias("_k")).where("_k IS NOT NULL")
     base = F.col("_b") * H
     dense = scatter_dense(F.col("_xs"), base, F.lit(reach))
     k_first = F.col("_b") * block_hops
     k_last = F.least(k_first + block_hops - 1, F.col("_k"))
-    segs = g.select(*keys, "_b", dense.alias("_d"), F.explode(int_range(k_first, k_last)).alias("seg"))
-    return segs.select(*keys, "seg", F.slice("_d", ((F.col("seg") * hop - base) + 1).cast("int"), nperseg).alias("segment"))
+    # cut inside the block: a row a segment would carry a copy of the stretch each
+    cut = lambda k: F.struct(k.alias("seg"), F.slice("_d", (k * hop - base + 1).cast("int"), nperseg).alias("segment"))
+    segs = g.select(*keys, "_b", "_k", dense.alias("_d"))
+    return segs.select(*keys, F.inline(F.transform(int_range(k_first, k_last), cut)))
 
 
 def apply_per_window(

@@ -845,17 +845,16 @@ def q_filter_attenuation(spark, sf_dir):
     x = s.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(SAMPLES_PER_EVENT - 1)))).select(
         "user_id", n.alias("n"), (tone + F.col("value") / 100.0).alias("x")
     )
-    before = dsp.stft(x, ["user_id"], "n", "x", float(TONE_FS))
-    y = dsp.filter_signals(x, ["user_id"], "n", "x", float(TONE_FS), "filters")
-    after = dsp.stft(y, ["user_id"], "n", "filtered", float(TONE_FS))
     # STFT bins are 1 Hz apart (nperseg = fs): tone f sits in bin round(f)
     # (the 0.5 Hz tone between bins 0 and 1 is reported at bin 1)
     tone_bins = {f: max(1, int(round(f))) for f in TONES_HZ}
+    before = dsp.stft(x, ["user_id"], "n", "x", float(TONE_FS), bins=list(tone_bins.values()))
+    y = dsp.filter_signals(x, ["user_id"], "n", "x", float(TONE_FS), "filters")
+    after = dsp.stft(y, ["user_id"], "n", "filtered", float(TONE_FS), bins=list(tone_bins.values()))
     pick = F.create_map(*[x for f, b in tone_bins.items() for x in (F.lit(b), F.lit(f))])
 
     def level(z, name):
-        m = z.where(F.col("bin").isin(list(tone_bins.values())))
-        return m.groupBy("user_id", "bin").agg(F.avg(dsp.magnitude(F.col("re"), F.col("im"))).alias(name))
+        return z.groupBy("user_id", "bin").agg(F.avg(dsp.magnitude(F.col("re"), F.col("im"))).alias(name))
 
     out = level(before, "before").join(level(after, "after"), ["user_id", "bin"])
     return out.select(

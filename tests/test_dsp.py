@@ -143,3 +143,19 @@ def test_long_windows_use_fft_path_with_same_result():
     assert np.max(np.abs(got - want)) < 1e-9
     std = dsp._apply("standard", x, 250.0)
     assert np.max(np.abs(std[:, :, 0] - np.abs(np.fft.fft(want[:, :, 0], axis=1)))) < 1e-7
+
+
+def test_stft_gathers_nothing_by_broadcast_and_picks_bins(spark):
+    """Segments of a signal with gaps: no join may send the gathered samples
+    to the driver; chosen bins are those of the full transform."""
+    rows = [(u, i, float(i * 7 % 11)) for u in (1, None) for i in range(3000) if not 400 <= i < 2500]
+    s = spark.createDataFrame(rows, "u long, i long, v double")
+    full = dsp.stft(s, ["u"], "i", "v", 10.0)
+    plan = full._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    order = ["u", "seg", "bin"]
+    some = dsp.stft(s, ["u"], "i", "v", 10.0, bins=[4, 1, 5, 6])
+    assert some.columns == full.columns and some.dtypes == full.dtypes
+    want = full.where("bin IN (1, 4, 5)").orderBy(*order).collect()
+    assert len(want) == 2 * 3 * ((3000 + 10 - 8) // 2)
+    assert some.orderBy(*order).collect() == want
