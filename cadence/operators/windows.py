@@ -327,8 +327,10 @@ def apply_per_window(
 ) -> DataFrame:
     """Call ``fn(session, k, samples)`` on every complete window, where
     ``samples`` is the window as an (L, C) numpy array in sample order; ``fn``
-    returns a pandas DataFrame matching ``schema``.  Runs over the rows of
-    :func:`sample_windows` in Arrow batches — no extra shuffle."""
+    returns a list of row tuples in the order of ``schema``, or a pandas
+    DataFrame matching it (some 0.2 ms a frame, more than most functions take),
+    or None.  Runs over the rows of :func:`sample_windows` in Arrow batches —
+    no extra shuffle."""
     import numpy as np
     import pandas as pd
 
@@ -336,12 +338,16 @@ def apply_per_window(
 
     def run(batches):
         for pdf in batches:
-            outs = [
-                fn(r[0], int(r[1]), np.asarray(r[4], dtype=np.float64).reshape(int(r[2]), int(r[3])))
-                for r in pdf.itertuples(index=False, name=None)
-            ]
-            outs = [o for o in outs if o is not None and len(o)]
-            if outs:
-                yield pd.concat(outs, ignore_index=True)
+            rows, tables = [], []
+            for r in pdf.itertuples(index=False, name=None):
+                out = fn(r[0], int(r[1]), np.asarray(r[4], dtype=np.float64).reshape(int(r[2]), int(r[3])))
+                if isinstance(out, list):
+                    rows += out
+                elif out is not None and len(out):
+                    tables.append(out)
+            if rows:
+                yield pd.DataFrame(rows)  # by position
+            if tables:
+                yield pd.concat(tables, ignore_index=True)
 
     return wins.mapInPandas(run, schema)

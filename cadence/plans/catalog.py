@@ -434,10 +434,8 @@ def q_freq_axis(spark, sf_dir):
 
 
 def _window_stats(session, k, X):
-    import pandas as pd
-
     v = X[:, 0]
-    return pd.DataFrame({"user_id": [int(session)], "k": [k], "n": [len(v)], "mean": [round(float(v.mean()), 6)], "max": [float(v.max())]})
+    return [(int(session), k, len(v), round(float(v.mean()), 6), float(v.max()))]
 
 
 @query

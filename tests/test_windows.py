@@ -176,3 +176,25 @@ def test_sessions_with_different_rates(spark):
             want[(sid, k)] = (L, v)
     assert got.keys() == want.keys()
     assert all(got[k][0] == want[k][0] and np.allclose(got[k][1], want[k][1]) for k in want)
+
+
+def test_apply_per_window_takes_rows(spark):
+    """A function may return row tuples, by position, beside tables."""
+    df = spark.createDataFrame([("s", 0, 40, [float(i) for i in range(40)])], "session_id string, start long, n int, samples array<float>")
+    frames = W.samples_as_frames(df.select("session_id", F.posexplode("samples").alias("i", "v")), "session_id", "i", "v", 10)
+
+    def fn(session, k, X):
+        if k % 3 == 0:
+            return None
+        if k % 3 == 1:
+            return [(k, float(X[0, 0])), (k, float(X[-1, 0]))]
+        return pd.DataFrame({"k": [k], "value": [float(X.sum())]})
+
+    got = sorted(map(tuple, W.apply_per_window(frames, fn, "k long, value double", 1.0, 0.8, start_col="start").collect()))
+    want = []
+    for k in range(15):  # windows [2k, 2k + 10) with the sample past their end
+        if k % 3 == 1:
+            want += [(k, 2.0 * k), (k, 2.0 * k + 9)]
+        elif k % 3 == 2:
+            want.append((k, sum(2.0 * k + i for i in range(10))))
+    assert got == sorted(want)
