@@ -9,6 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadence.session import default_parallelism
+
+LIST_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """All files below ``root`` (recursive): (path, length)."""
@@ -55,7 +59,7 @@ def read_annotations(spark: SparkSession, path: str) -> DataFrame:
     Lines holding ``version`` and blank lines are skipped; fields are split on
     whitespace, the first three used.  ``line_key`` orders lines within a file
     (block start, then position inside the split) for "later line wins"."""
-    raw = spark.read.text(path).select(
+    raw = _listed_text(spark, path).select(
         F.col("value"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("_blk"),
@@ -72,6 +76,20 @@ def read_annotations(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _listed_text(spark: SparkSession, path: str) -> DataFrame:
+    """The text files below ``path``, their folders listed by a few tasks a
+    core; Spark's own choice is a task a folder, up to 10,000."""
+    before = spark.conf.get(LIST_TASKS, None)
+    spark.conf.set(LIST_TASKS, str(4 * default_parallelism(spark)))
+    try:
+        return spark.read.text(path)
+    finally:
+        if before is None:
+            spark.conf.unset(LIST_TASKS)
+        else:
+            spark.conf.set(LIST_TASKS, before)
+
+
 def annotation_lines_only(df: DataFrame, value: str = "value") -> DataFrame:
     """P10: drop ``version`` lines and blank lines."""
     v = F.col(value)

@@ -58,3 +58,23 @@ def test_interval_label_does_not_depend_on_bucket_width(spark):
     base = {(r.event_id, r.code) for r in interval_label(times, ann, bucket_s=21600.0).collect()}
     for width in (None, 500.0, 86400.0 * 40):
         assert {(r.event_id, r.code) for r in interval_label(times, ann, bucket_s=width).collect()} == base
+
+
+def test_annotation_folders_are_listed_by_few_tasks(spark):
+    """A task a folder made listing dearer than reading; the setting is put back."""
+    from cadence.session import default_parallelism
+    from cadence.sources import files as f
+
+    ann = spark.range(400).selectExpr("CAST(id AS STRING) file", "id line_no", "id * 1.0D beg", "id + 1.5D `end`", "'fnsz' label")
+    path = f.write_annotation_files(f.render_annotations(ann), scratch_dir(spark, "test-annotations"))
+    before = spark.conf.get(f.LIST_TASKS, None)
+    spark.sparkContext.setJobGroup("list-annotations", "listing")
+    try:
+        back = f.read_annotations(spark, path)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = spark.sparkContext.statusTracker()
+    tasks = [jobs.getStageInfo(s).numTasks for j in jobs.getJobIdsForGroup("list-annotations") for s in jobs.getJobInfo(j).stageIds]
+    assert tasks and max(tasks) <= 4 * default_parallelism(spark)
+    assert spark.conf.get(f.LIST_TASKS, None) == before
+    assert back.count() == 400
