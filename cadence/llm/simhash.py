@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from cadence.llm.common import prepared, staged, text_or_empty
+from cadence.llm.common import prepared, shard_count, staged, text_or_empty
 from cadence.llm.components import components
 
 SHINGLE = 4
@@ -42,6 +42,9 @@ SEED = 42
 PIVOTS = 3
 #: Names of crowded cells (8 bytes each) that are sent to every task; more are joined by shuffle.
 BROADCAST_CELLS = 1_000_000
+#: Fingerprints a task expands to cells: each makes 70 rows that hardly combine
+#: in the task, so its table grows with them (some 100 bytes a row).
+SPREAD = 16_384
 _LOW = 0x5555555555555555
 
 
@@ -119,10 +122,16 @@ def _close(a, b, max_bits: int):
     )
 
 
+def spread(fps: DataFrame) -> DataFrame:
+    """Some ``SPREAD`` rows a task; fingerprints are so small that a file of
+    them, one task, holds hundreds of thousands."""
+    return fps.repartition(shard_count(fps.count(), SPREAD), "fp")
+
+
 def link_classes(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """fps: (fp, rep), fp distinct.  Returns (node, component) over the reps
     of every class that has a link."""
-    every = cells(fps, max_bits)
+    every = cells(spread(fps), max_bits)
     # one grouped pass: cells of one member link nothing, cells of two are
     # their smallest and largest, only larger ones are listed
     size = staged(

@@ -534,3 +534,20 @@ def test_overlapping_personal_data_is_replaced_whole():
     spans = pii.base_spans(text)
     assert {k for k, _, _ in spans} >= {"ip", "card"}
     assert pii._mark(text, spans, {}, 1.0) == "call [IP] now"
+
+
+def test_simhash_cells_are_spread_over_tasks(spark, monkeypatch):
+    """One small file of fingerprints is one task; its cells are made by many."""
+    rng = random.Random(5)
+    base = [rng.getrandbits(64) for _ in range(300)]
+    fps = sorted({f - (1 << 64) if f >= 1 << 63 else f for b in base for f in (b, b ^ 5)})
+    df = simhash.staged(spark.createDataFrame([(f, f) for f in fps], "fp long, rep long").coalesce(1), "test-fps")
+    monkeypatch.setattr(simhash, "SPREAD", 100)
+    assert df.rdd.getNumPartitions() == 1
+    assert simhash.spread(df).rdd.getNumPartitions() == -(-len(fps) // 100)
+    got = {r["node"]: r["component"] for r in simhash.link_classes(df).collect()}
+    want = {}
+    for b in base:
+        pair = [f - (1 << 64) if f >= 1 << 63 else f for f in (b, b ^ 5)]
+        want |= {f: min(pair) for f in pair}
+    assert got == want
