@@ -68,3 +68,28 @@ def test_keyed_state_in_a_plain_session():
     blocks bring their own."""
     out = subprocess.run([sys.executable, "-c", KEYED, ROOT], cwd=tempfile.mkdtemp(prefix="entry-keyed-"), capture_output=True, text=True, timeout=900)
     assert "SAME True True" in out.stdout and "LEDGER 3" in out.stdout, out.stderr[-2000:]
+
+
+AGAINST_SQL = r"""
+import os, sys
+sys.path.insert(0, sys.argv[1])
+import duckdb
+import __spark_entry__ as E
+from pyspark.sql import SparkSession
+from tools.oracle_check import fetched, rows_of, type_mismatches
+sf = "/root/testdata/sf0.001"
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.shuffle.partitions", "4").config("spark.ui.showConsoleProgress", "false").getOrCreate())
+con = duckdb.connect()
+for f in os.listdir(sf):
+    con.execute(f"CREATE VIEW {f.split('.')[0]} AS SELECT * FROM read_parquet('{sf}/{f}')")
+for key in ("block_windows", "stream_chain", "stream_ledger"):
+    got, sql = E.queries()[key](spark, sf), E.oracle_sql()[key]
+    print(key, type_mismatches(got, con, sql) == {} and rows_of(fetched(got)) == rows_of(con.execute(sql).df()))
+"""
+
+
+def test_keyed_state_equals_its_sql_in_a_plain_session():
+    """As the driver compares them: no state store is named, the rows are the SQL's."""
+    out = subprocess.run([sys.executable, "-c", AGAINST_SQL, ROOT], cwd=tempfile.mkdtemp(prefix="entry-sql-"), capture_output=True, text=True, timeout=900)
+    assert all(f"{key} True" in out.stdout for key in ("block_windows", "stream_chain", "stream_ledger")), out.stdout + out.stderr[-2000:]
