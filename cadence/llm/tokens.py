@@ -41,22 +41,26 @@ from cadence.llm.wordscan import buffers, slices, text_bytes
 END_ID = 0
 SHARD_IDS = 4_000_000
 BLOCK_IDS = 1 << 18
+ENCODE_BYTES = 8_000_000
 MEMO = 1_500_000
 MAGIC = b"SVBRANK1"
 
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.int64) + 1
-_MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], dtype=np.uint32)
 
 
 def pack(ranks: np.ndarray) -> bytes:
     """One block of u32 values."""
-    r = ranks.astype("<u4")
-    code = (r > 0xFF).astype(np.uint8) + (r > 0xFFFF) + (r > 0xFFFFFF)
+    wide = int(ranks.max(initial=0)) > 0xFFFF
+    r = ranks.astype("<u4" if wide else "<u2")
+    code = (r > 0xFF).astype(np.uint8)
+    if wide:
+        code += (r > 0xFFFF).astype(np.uint8) + (r > 0xFFFFFF)
     quads = np.zeros(-(-len(r) // 4) * 4, np.uint8)
     quads[: len(r)] = code
     q = quads.reshape(-1, 4)
     control = q[:, 0] | q[:, 1] << 2 | q[:, 2] << 4 | q[:, 3] << 6
-    data = r.view(np.uint8).reshape(-1, 4)[np.arange(4) <= code[:, None]]
+    octets = r.view(np.uint8).reshape(-1, r.itemsize)
+    data = octets[np.arange(r.itemsize, dtype=np.uint8) <= code[:, None]]
     return np.array([len(r), len(data)], "<u4").tobytes() + control.astype(np.uint8).tobytes() + data.tobytes()
 
 
@@ -68,9 +72,11 @@ def unpack(block: memoryview, at: int = 0) -> tuple[np.ndarray, int]:
     data = np.frombuffer(block, np.uint8, size, at + 8 + n_control)
     length = _LENGTHS[control].reshape(-1)[:n]
     start = np.cumsum(length) - length
-    padded = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.uint32)
-    v = padded[start] | padded[start + 1] << 8 | padded[start + 2] << 16 | padded[start + 3] << 24
-    return v & _MASKS[length], at + 8 + n_control + size
+    v = data[start].astype(np.uint32)
+    for k in range(1, int(length.max(initial=1))):  # the further bytes of those that have them
+        more = np.flatnonzero(length > k)
+        v[more] |= data[start[more] + k].astype(np.uint32) << np.uint32(8 * k)
+    return v, at + 8 + n_control + size
 
 
 #: Marks that end a word; a run of them is one pre-token of its own.
@@ -101,7 +107,8 @@ class Encoder:
     """Ids of whole texts.  The pre-tokeniser never joins a non-blank with a
     blank after it, so the ids of a text are those of its pieces, cut before
     each such space, and, in texts whose blanks stand alone, before each line
-    end.  Ids of pieces seen are kept, up to a bound, in one flat
+    end.  A piece keeps its space or line end, so its ids are those
+    of its own text.  Ids of pieces seen are kept, up to a bound, in one flat
     array; a batch looks each different piece up once and gathers by numpy.
 
     With ``added``, special tokens of the vocabulary that stand in a text keep
@@ -118,6 +125,7 @@ class Encoder:
         self.tok.encode_special_tokens = not added
         self.kind = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
         self.cut = re.compile(r"(?<=\S)(?= )")
+        self.cut_lines = re.compile(r"(?=[ \n])")  # where blanks stand alone
         # byte-level vocabularies: a space and letters, or a run of marks, is one
         # pre-token, and goes straight to the library's model
         form = json.loads(self.tok.to_str())
@@ -134,33 +142,42 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.first: dict[str, int] = {}  # pieces at the start of a text
-        self.later: dict[str, int] = {}  # further pieces, without their space, or with their line end
-        self.other: dict[str, int] = {}  # further pieces of texts with blanks in a row
+        self.memo: dict[str | int, int] = {}  # number of a piece, or of an end id
         self.flat = np.zeros(1 << 16, self.kind)
         self.end = np.zeros(1 << 14, np.int64)  # end[i]: where piece i - 1 ends
         self.n = 0
 
-    def _known(self, memo: dict[str, int], keys: list[str], lead: str) -> np.ndarray:
-        """Numbers of the pieces lead + key."""
-        number = np.fromiter(map(memo.get, keys, itertools.repeat(-1)), np.int64, len(keys))
+    def _add(self, ids: list[int], size: list[int]) -> range:
+        """The numbers of new pieces, whose ids follow one another."""
+        used, more = int(self.end[self.n]), len(ids)
+        while used + more > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.n + len(size) >= len(self.end):
+            self.end = np.concatenate([self.end, np.zeros_like(self.end)])
+        self.flat[used : used + more] = ids
+        self.end[self.n + 1 : self.n + 1 + len(size)] = used + np.cumsum(size)
+        self.n += len(size)
+        return range(self.n - len(size), self.n)
+
+    def _numbers(self, pieces: pa.Array) -> np.ndarray:
+        """The number of every piece."""
+        d = pieces.dictionary_encode()
+        keys = d.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = np.fromiter(map(self.memo.get, keys, itertools.repeat(-1)), np.int64, len(keys))
         new = np.flatnonzero(number < 0).tolist()
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            pieces = [keys[i] if keys[i][:1] == "\n" and memo is self.later else lead + keys[i] for i in part]
-            order, ids, size = self._encode(pieces)
-            used, more = int(self.end[self.n]), len(ids)
-            while used + more > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            while self.n + len(part) >= len(self.end):
-                self.end = np.concatenate([self.end, np.zeros_like(self.end)])
-            self.flat[used : used + more] = ids
-            self.end[self.n + 1 : self.n + 1 + len(part)] = used + np.cumsum(size)
-            for n, i in enumerate(order, self.n):
-                memo[keys[part[i]]] = n
-            number[[part[i] for i in order]] = np.arange(self.n, self.n + len(part))
-            self.n += len(part)
-        return number
+            order, ids, size = self._encode([keys[i] for i in part])
+            own = [part[i] for i in order]
+            numbers = self._add(ids, size)
+            self.memo.update(zip([keys[i] for i in own], numbers))
+            number[own] = numbers
+        return number[d.indices.to_numpy(zero_copy_only=False)]
+
+    def _end(self, end: int) -> int:
+        if end not in self.memo:
+            self.memo[end] = self._add([end], [1])[0]
+        return self.memo[end]
 
     def _encode(self, pieces: list[str]) -> tuple[list[int], list[int], list[int]]:
         """(an order of the pieces, all their ids in it, number of ids of each)."""
@@ -182,8 +199,7 @@ class Encoder:
                     word = word.encode().decode("latin-1").translate(BYTE_LETTERS)
                 elif word is not bare:
                     word = SPACE + bare
-                for t in tokenize(word):
-                    ids.append(t.id)
+                ids += [t.id for t in tokenize(word)]
                 if piece[-1] in MARKS:
                     run = piece[len(piece.rstrip(MARKS)) :]
                     ids += marks.get(run) or self._marks(run)
@@ -217,35 +233,17 @@ class Encoder:
             held = {i: np.array(e.ids, self.kind).tobytes() + end for i, e in zip(whole, got)}
             rest = iter(self.batch([t for i, t in enumerate(texts) if i not in held], end) if len(held) < len(texts) else [])
             return [held[i] if i in held else next(rest) for i in range(len(texts))]
-        heads, rests = [], []
+        if not texts:
+            return []
+        parts = []
         for t in texts:
             # plain: every blank is one space or line end between two words
-            if t.replace("\n", " ") != " ".join(t.split()):
-                head, *more = self.cut.split(t)
-                rests.append([m[1:] for m in more])
-            else:
-                head, *more = t.replace("\n", " \n").split(" ", 1)
-                rests.append(more[0] if more else None)
-            heads.append(head)
-        plain = pc.split_pattern(pa.array([r if isinstance(r, str) else None for r in rests], pa.large_string()), " ")
-        odd = pa.array([r if isinstance(r, list) else None for r in rests], pa.large_list(pa.large_string()))
-        parts = [plain.flatten().dictionary_encode(), odd.flatten().dictionary_encode()]
-        numbers = [
-            self._known(memo, p.dictionary.to_numpy(zero_copy_only=False).tolist(), " ")[p.indices.to_numpy()]
-            for memo, p in zip((self.later, self.other), parts)
-        ]
-        counts = [pc.fill_null(pc.list_value_length(x), 0).to_numpy() for x in (plain, odd)]
-        first = self._known(self.first, list(dict.fromkeys(heads)), "")
-        first = dict(zip(dict.fromkeys(heads), first.tolist()))
-        at, out = [0, 0], []
-        which = [int(isinstance(r, list)) for r in rests]
-        for i, head in enumerate(heads):
-            k = which[i]
-            n = int(counts[k][i])
-            own = numbers[k][at[k] : at[k] + n]
-            at[k] += n
-            out.append(self._gather(np.concatenate([[first[head]], own]).astype(np.int64)).tobytes() + end)
-        return out
+            plain = t.replace("\n", " ") == " ".join(t.split())
+            parts.append((self.cut_lines if plain else self.cut).split(t))
+        bound = np.r_[0, np.cumsum([len(p) for p in parts])]
+        ids, upto = self._gather(self._numbers(pa.array(itertools.chain.from_iterable(parts), pa.large_string())))
+        at = upto[bound].tolist()
+        return [ids[i:j].tobytes() + end for i, j in zip(at, at[1:])]
 
     def arrow(self, texts: pa.Array, end: int | None = None) -> pa.Array:
         """The same of binary texts without nulls, ``end`` behind each, as
@@ -274,8 +272,8 @@ class Encoder:
         wide = (data[lead] == 0xC2) & ((second == 0x85) | (second == 0xA0))
         wide |= (data[lead] == 0xE2) & (second <= 0x81) & ((third <= 0x8A) | (third >= 0x9F))
         bad[lead[wide | (data[lead] == 0xE1) & (second == 0x9A) | (data[lead] == 0xE3) & (second == 0x80)]] = True
-        upto = np.r_[0, np.cumsum(bad)]
-        ok = upto[offsets[1:]] == upto[offsets[:-1]]
+        before = np.searchsorted(np.flatnonzero(bad), offsets)
+        ok = before[1:] == before[:-1]
         some = np.flatnonzero(np.diff(offsets))
         ok[some] &= ~(blank[offsets[some]] | blank[offsets[some + 1] - 1])
         for a in self.added:
@@ -284,38 +282,25 @@ class Encoder:
 
     def _cut(self, texts: pa.Array, end: int | None) -> pa.Array:
         data, offsets = buffers(texts)
-        begins = np.zeros(len(data) + 1, bool)
-        begins[1:] = data == 32
-        begins[:-1] |= data == 10
-        begins[offsets] = True
-        start = np.flatnonzero(begins[: len(data)])
-        kept = data != 32
-        at = np.r_[0, np.cumsum(kept)]
-        ends = at[np.r_[start, len(data)]].astype(np.int64)
-        pieces = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(ends), pa.py_buffer(data[kept]))
+        begins = (data == 32) | (data == 10)
+        begins[offsets[offsets < len(data)]] = True
+        start = np.flatnonzero(begins)
         bound = np.searchsorted(start, offsets)
-        head = np.zeros(len(start), bool)
-        head[bound[:-1][np.diff(bound) > 0]] = True
-        number = np.zeros(len(start), np.int64)
-        for memo, own, lead in ((self.first, head, ""), (self.later, ~head, " ")):
-            d = pieces.filter(pa.array(own)).dictionary_encode()
-            known = self._known(memo, d.dictionary.to_numpy(zero_copy_only=False).tolist(), lead)
-            number[own] = known[d.indices.to_numpy(zero_copy_only=False)]
-        ids = self._gather(number) if len(number) else np.zeros(0, self.kind)
-        upto = np.r_[0, np.cumsum(self.end[number + 1] - self.end[number])][bound]
+        places = np.append(start, len(data)).astype(np.int64)
+        number = self._numbers(pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(places), pa.py_buffer(data)))
         if end is not None:
-            n = len(texts)
-            full = np.full(len(ids) + n, end, self.kind)
-            full[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(upto))] = ids
-            ids, upto = full, upto + np.arange(n + 1)
-        places = (upto * ids.itemsize).astype(np.int64)
+            number = np.insert(number, bound[1:], self._end(end))
+            bound = bound + np.arange(len(bound))
+        ids, upto = self._gather(number)
+        places = (upto[bound] * ids.itemsize).astype(np.int64)
         return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(places), pa.py_buffer(ids)])
 
-    def _gather(self, numbers: np.ndarray) -> np.ndarray:
+    def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the pieces, where each begins and the last one ends)."""
         start = self.end[numbers]
         size = self.end[numbers + 1] - start
-        upto = np.cumsum(size)
-        return self.flat[np.repeat(start - (upto - size), size) + np.arange(upto[-1])]
+        upto = np.r_[0, np.cumsum(size)]
+        return self.flat[np.repeat(start - upto[:-1], size) + np.arange(upto[-1])], upto
 
 
 def encoded(docs: DataFrame, path: str, end_id: int | None = END_ID, added: bool = False) -> DataFrame:
@@ -325,7 +310,7 @@ def encoded(docs: DataFrame, path: str, end_id: int | None = END_ID, added: bool
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(path, added)
-        for part in slices(batches):
+        for part in slices(batches, most=ENCODE_BYTES):
             ids = enc.arrow(part.column("text"), end_id).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], names=["doc_id", "ids"])
 

@@ -74,9 +74,10 @@ def words(texts: pa.Array, form: np.ndarray) -> Words:
     return Words(flat.indices.to_numpy(zero_copy_only=False), flat.dictionary, np.searchsorted(start, offsets))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in order, in batches of about SLICE_BYTES of
-    text: smaller ones are put together, larger ones cut between rows."""
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in order, in batches of about ``most``
+    (SLICE_BYTES) of text: smaller ones are put together, larger ones cut between rows."""
+    most = most or SLICE_BYTES
     held, size = [], 0
     for batch in batches:
         if not batch.num_rows:
@@ -84,12 +85,12 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
         _, offsets = buffers(batch.column(text))
         first = 0
         while first < batch.num_rows:
-            last = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES - size, "right")) - 1
+            last = int(np.searchsorted(offsets, offsets[first] + most - size, "right")) - 1
             last = min(max(last, first + (not held)), batch.num_rows)
             if last > first:
                 held.append(batch.slice(first, last - first))
                 size += int(offsets[last] - offsets[first])
-            if last < batch.num_rows or size >= SLICE_BYTES:
+            if last < batch.num_rows or size >= most:
                 yield _joined(held)
                 held, size = [], 0
             first = last

@@ -551,3 +551,19 @@ def test_simhash_cells_are_spread_over_tasks(spark, monkeypatch):
         pair = [f - (1 << 64) if f >= 1 << 63 else f for f in (b, b ^ 5)]
         want |= {f: min(pair) for f in pair}
     assert got == want
+
+
+def test_a_piece_is_encoded_once_wherever_it_stands(monkeypatch):
+    """First, later, at a line's start, in texts with blanks in a row and in the
+    next batch: one piece, one encoding; ids are the library's, an end id behind each."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    seen, plain, enc = [], Tokenizer.from_file(path()), tokens.Encoder(path(), added=True)
+    encode = enc._encode
+    monkeypatch.setattr(enc, "_encode", lambda pieces: seen.extend(pieces) or encode(pieces))
+    for texts in (["word word other", "", "other\nword word", "word  other word", "", "é word, 語"], ["word", "a\tword word", *ODD], []):
+        want = [np.array([*plain.encode(t, add_special_tokens=False).ids, 7], enc.kind).tobytes() for t in texts]
+        assert enc.arrow(pa.array([t.encode() for t in texts], pa.binary()), 7).to_pylist() == want
+        assert enc.batch(texts, np.array([7], enc.kind).tobytes()) == want
+    assert len(seen) == len(set(seen)) and " word" in seen
