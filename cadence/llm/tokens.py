@@ -24,6 +24,7 @@ import json
 import re
 import uuid
 import zlib
+from codecs import charmap_decode
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -86,16 +87,22 @@ _OTHER_BLANK = np.isin(np.arange(256), [9, 11, 12, 13, 28, 29, 30, 31])
 _BLANK_LEAD = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
 
 
-def _byte_letters() -> dict[int, int]:
-    """The byte-level alphabet: printable Latin-1 stands for itself, other
-    bytes for the letters from 256 on."""
+def _byte_letters() -> str:
+    """The byte-level alphabet, a letter a byte: printable Latin-1 stands for
+    itself, other bytes for the letters from 256 on."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    hidden = [b for b in range(256) if b not in shown]
-    return {b: 256 + i for i, b in enumerate(hidden)}
+    hidden = itertools.count(256)
+    return "".join(chr(b if b in shown else next(hidden)) for b in range(256))
 
 
 BYTE_LETTERS = _byte_letters()
-SPACE = chr(BYTE_LETTERS[ord(" ")])
+SPACE = BYTE_LETTERS[ord(" ")]
+#: Pre-tokens of a byte-level vocabulary in printable ASCII text, blanks before words only.
+_PRINTABLE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ A-Za-z0-9]+")
+
+
+def _letters(text: str) -> str:
+    return charmap_decode(text.encode(), "strict", BYTE_LETTERS)[0]
 
 
 @lru_cache(maxsize=4)
@@ -126,8 +133,8 @@ class Encoder:
         self.kind = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
         self.cut = re.compile(r"(?<=\S)(?= )")
         self.cut_lines = re.compile(r"(?=[ \n])")  # where blanks stand alone
-        # byte-level vocabularies: a space and letters, or a run of marks, is one
-        # pre-token, and goes straight to the library's model
+        # byte-level vocabularies: the pre-tokens of letter words, runs of marks and
+        # printable ASCII pieces go straight to the library's model
         form = json.loads(self.tok.to_str())
         own = [t for t in form["added_tokens"] if added or not t["special"]]
         self.added = [t["content"] for t in own]
@@ -185,24 +192,31 @@ class Encoder:
         if self.direct:
             tokenize, marks, newline = self.model.tokenize, self.marks, self.newline
             for i, piece in enumerate(pieces):
+                bare = piece[1:]
+                if bare.isalpha() and piece[0] == " ":
+                    got = [t.id for t in tokenize(SPACE + bare if bare.isascii() else _letters(piece))]
+                    ids += got
+                    order.append(i)
+                    size.append(len(got))
+                    continue
                 word = piece.rstrip(MARKS)
                 line = word[:1] == "\n"
                 bare = word[1:] if line or word[:1] == " " else word
-                if not bare.isalpha():
+                before = len(ids)
+                if bare.isalpha():
+                    if line:
+                        ids += newline
+                        word = bare
+                    ids += [t.id for t in tokenize(_letters(word))]
+                    if piece[-1] in MARKS:
+                        run = piece[len(word) + line :]
+                        ids += marks.get(run) or self._marks(run)
+                elif piece != " " and piece.isascii() and piece.isprintable() and " " not in piece[1:]:
+                    for pre in _PRINTABLE.findall(piece):
+                        ids += [t.id for t in tokenize(pre.replace(" ", SPACE))]
+                else:
                     rest.append(i)
                     continue
-                before = len(ids)
-                if line:
-                    ids += newline
-                    word = bare
-                if not bare.isascii():
-                    word = word.encode().decode("latin-1").translate(BYTE_LETTERS)
-                elif word is not bare:
-                    word = SPACE + bare
-                ids += [t.id for t in tokenize(word)]
-                if piece[-1] in MARKS:
-                    run = piece[len(piece.rstrip(MARKS)) :]
-                    ids += marks.get(run) or self._marks(run)
                 order.append(i)
                 size.append(len(ids) - before)
         else:
@@ -214,7 +228,7 @@ class Encoder:
         return order, ids, size
 
     def _model(self, pre_token: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(pre_token.encode().decode("latin-1").translate(BYTE_LETTERS))]
+        return [t.id for t in self.model.tokenize(_letters(pre_token))]
 
     def _marks(self, run: str) -> list[int]:
         if run not in self.marks:

@@ -567,3 +567,21 @@ def test_a_piece_is_encoded_once_wherever_it_stands(monkeypatch):
         assert enc.arrow(pa.array([t.encode() for t in texts], pa.binary()), 7).to_pylist() == want
         assert enc.batch(texts, np.array([7], enc.kind).tobytes()) == want
     assert len(seen) == len(set(seen)) and " word" in seen
+
+
+def test_printable_pieces_equal_the_library():
+    """Digits, signs, quotes and contractions, by the model and by the whole encoder."""
+    import types
+
+    from tokenizers import Tokenizer
+
+    plain, rng = Tokenizer.from_file(path()), random.Random(21)
+    signs = [chr(c) for c in range(33, 127)] + ["'s", "'T", "'re", "n't", "''", "word", "Über", "12", " ", " ", " ", "\n"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 30))) for _ in range(4000)] + [" ", "a ", " '", "' s", "\x7f a\x7f"]
+    enc = tokens.Encoder(path(), added=True)
+    for t, got in zip(texts, enc.batch(texts)):
+        assert np.frombuffer(got, enc.kind).tolist() == plain.encode(t, add_special_tokens=False).ids, repr(t)
+    order, ids, size = enc._encode(["it's", " 7-up,", ' <x>="y"', " don't", " 3.5%"])
+    assert order == list(range(5))  # none was left to the whole encoder, whose pieces come last
+    enc.tok = types.SimpleNamespace(encode_batch_fast=lambda pieces, **kw: pytest.fail(str(pieces)) if pieces else [])
+    assert enc._encode(["(b)", " it's"])[0] == [0, 1]
