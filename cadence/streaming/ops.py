@@ -7,7 +7,9 @@ that states the same rule over a whole table."""
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -89,6 +91,8 @@ def drop_expired(df: DataFrame, received_at: str, ttl_s: float, as_of: Column) -
 # ---- T6 ------------------------------------------------------------------------------
 #: Sample time a session's missing frame is waited for.
 LATENESS_S = 86_400.0
+#: Windows leave the cursor in tables of about this many bytes of samples.
+TABLE_BYTES = 4 << 20
 WINDOW_OUT = T.StructType(
     [
         T.StructField("session_id", T.StringType()),
@@ -104,17 +108,18 @@ WINDOW_OUT = T.StructType(
         T.StructField("samples", T.ArrayType(T.FloatType())),
     ]
 )
+#: Samples are kept as float32 bytes.
 CURSOR_STATE = T.StructType(
     [
         T.StructField("next_k", T.LongType()),
         T.StructField("buf_start", T.LongType()),
         T.StructField("have_until", T.LongType()),
-        T.StructField("buf", T.ArrayType(T.FloatType())),
+        T.StructField("buf", T.BinaryType()),
         T.StructField("fr_start", T.ArrayType(T.LongType())),
         T.StructField("fr_num", T.ArrayType(T.IntegerType())),
         T.StructField("pend_start", T.ArrayType(T.LongType())),
         T.StructField("pend_num", T.ArrayType(T.IntegerType())),
-        T.StructField("pend_data", T.ArrayType(T.ArrayType(T.FloatType()))),
+        T.StructField("pend_data", T.ArrayType(T.BinaryType())),
         T.StructField("user_name", T.StringType()),
         T.StructField("fs", T.IntegerType()),
         T.StructField("channels", T.IntegerType()),
@@ -125,15 +130,15 @@ CURSOR_STATE = T.StructType(
 )
 
 
-def _java_int(v: float) -> int:
-    """The JVM's ``(int)`` cast of a float (same rule as ``header.java_int``)."""
-    if np.isnan(v):
-        return 0
-    return int(max(-(2**31), min(2**31 - 1, np.trunc(v))))
+def _java_int(v):
+    """The JVM's ``(int)`` cast of floats (same rule as ``header.java_int``)."""
+    v = np.asarray(v, np.float64)
+    return np.where(np.isnan(v), 0, np.clip(np.trunc(v), -(2**31), 2**31 - 1)).astype(np.int64)
 
 
-def _int_or_none(v: int):
-    return v if -(2**31) <= v < 2**31 else None
+def _int32(values: np.ndarray, there: np.ndarray):
+    """Int32 column with nulls where not ``there``."""
+    return pd.arrays.IntegerArray(np.where(there, values, 0).astype(np.int32), ~there)
 
 
 def _stride(length_s: float, overlap: float, fs: int) -> tuple[int, int]:
@@ -142,96 +147,150 @@ def _stride(length_s: float, overlap: float, fs: int) -> tuple[int, int]:
     return L, S
 
 
-def _frame_at(fr_start: list[int], fr_num: list[int], s0: int) -> int | None:
-    """Frame number of the buffered frame holding absolute sample ``s0``."""
-    j = int(np.searchsorted(np.asarray(fr_start, dtype=np.int64), s0, side="right")) - 1
-    return int(fr_num[j]) if j >= 0 else None
+def _take_from(starts: list[int], ends: list[int], a: int, b: int) -> bool:
+    """Cuts [a, b) out of the lost ranges, which are in order and disjoint;
+    tells whether any of it was lost."""
+    i, j = bisect_right(ends, a), bisect_left(starts, b)
+    if i >= j:
+        return False
+    rest = [(x, y) for x, y in ((starts[i], a), (b, ends[j - 1])) if x < y]
+    starts[i:j], ends[i:j] = [x for x, _ in rest], [y for _, y in rest]
+    return True
+
+
+def _late_table(own: dict, late: list[tuple]) -> pd.DataFrame:
+    """Frames that came after they were given up: rows without ``k``."""
+    none = np.zeros(len(late), bool)
+    return pd.DataFrame(
+        own
+        | {
+            "k": pd.arrays.IntegerArray(np.zeros(len(late), np.int64), ~none),
+            "start_idx": [a for a, _, _ in late],
+            "frame_number": [f for _, f, _ in late],
+            "time_stamp": _int32(none, none),
+            "num_samples": [len(d) // own["num_channels"] for _, _, d in late],
+            "samples": [d for _, _, d in late],
+        }
+    )
 
 
-def _take_from(gaps: list[tuple[int, int]], a: int, b: int) -> tuple[list[tuple[int, int]], bool]:
-    """The lost ranges without [a, b), and whether any of it was lost."""
-    hit = any(x < b and a < y for x, y in gaps)
-    if not hit:
-        return gaps, False
-    cut = [p for x, y in gaps for p in ((x, min(y, a)), (max(x, b), y))]
-    return [(x, y) for x, y in dict.fromkeys(cut) if x < y], True
+def _window_tables(own: dict, fs: int, L: int, S: int, t: int, runs: list[tuple], values, fr_start, fr_num) -> Iterator[pd.DataFrame]:
+    """The windows of all runs, (first, end, place of sample 0) in ``values``,
+    in tables of bounded size."""
+    C = own["num_channels"]
+    k = np.concatenate([np.arange(first, end) for first, end, _ in runs])
+    place = k * S + np.repeat([at for _, _, at in runs], [end - first for first, end, _ in runs])
+    fr_start, fr_num = np.array(fr_start, np.int64), np.array(fr_num, np.int64)
+    every = np.lib.stride_tricks.sliding_window_view(values, L * C)
+    step = max(1, TABLE_BYTES // (4 * L * C))
+    for lo in range(0, len(k), step):
+        s0 = k[lo : lo + step] * S
+        win = every[place[lo : lo + step] * C]
+        at = np.searchsorted(fr_start, s0, side="right") - 1  # the frame holding s0
+        if t >= 0:
+            stamp = _java_int(win[:, t])
+        else:
+            stamp = np.minimum(s0 // fs, 2**31) * 1000 + (s0 % fs) * 1000 // fs
+        yield pd.DataFrame(
+            own
+            | {
+                "k": pd.array(k[lo : lo + step], "Int64"),
+                "start_idx": s0,
+                "frame_number": fr_num[at],
+                "time_stamp": _int32(stamp, stamp < 2**31),
+                "num_samples": L,
+                "samples": list(win),
+            }
+        )
 
 
 def _cursor_fn(
     length_s: float, overlap: float, has_start: bool = False, max_pending: int | None = None, lateness_s: float | None = None
 ):
+    """The cursor of a session over one micro-batch.  Its work and memory grow
+    with the frames at hand and the windows they give, in any order of arrival
+    and with any number of frames lost."""
+
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         (session,) = key
         if state.exists:
             (next_k, buf_start, have_until, buf, fr_start, fr_num, p_start, p_num, p_data, user, fs, C, names, g_start, g_end) = state.get
-            gaps = list(zip(g_start, g_end))
-            buf = np.asarray(buf, dtype=np.float32)
-            fr_start, fr_num = list(fr_start), list(fr_num)
-            pending = {int(a): (int(n), np.asarray(d, dtype=np.float32)) for a, n, d in zip(p_start, p_num, p_data)}
+            buf = np.frombuffer(buf, np.float32)
+            fr_start, fr_num, g_start, g_end = list(fr_start), list(fr_num), list(g_start), list(g_end)
+            pending = {a: (n, np.frombuffer(d, np.float32)) for a, n, d in zip(p_start, p_num, p_data)}
         else:
             next_k, buf_start, have_until, buf, fr_start, fr_num, pending = 0, 0, 0, np.zeros(0, np.float32), [], [], {}
             user = fs = C = names = None
-            gaps = []
-        rows = []
+            g_start, g_end = [], []  # lost ranges
+        late = []
         for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                if fs is None:
-                    user, fs, C, names = row.user_name, int(row.sampling_rate), int(row.num_channels), list(row.channel_names)
-                a = int(row.start) if has_start else int(row.frame_number) * int(row.num_samples)
+            if not len(pdf):
+                continue
+            if fs is None:
+                row = pdf.iloc[0]
+                user, fs, C, names = row["user_name"], int(row["sampling_rate"]), int(row["num_channels"]), list(row["channel_names"])
+            number = pdf["frame_number"].astype("int64")
+            start = (pdf["start"] if has_start else number * pdf["num_samples"]).astype("int64")
+            for a, n, d in zip(start.tolist(), number.tolist(), pdf["samples"]):
+                d = np.asarray(d, dtype=np.float32)
                 if a >= have_until:
-                    pending[a] = (int(row.frame_number), np.asarray(row.samples, dtype=np.float32))
-                    continue
+                    pending[a] = (n, d)
                 # behind the cursor: a redelivered frame, or one that was given up
-                gaps, late = _take_from(gaps, a, a + len(row.samples) // C)
-                if late:
-                    d = np.asarray(row.samples, dtype=np.float32).tolist()
-                    rows.append((session, user, None, a, int(row.frame_number), None, fs, len(d) // C, C, names, d))
+                elif g_start and _take_from(g_start, g_end, a, a + len(d) // C):
+                    late.append((a, n, d))
         if fs is None:
             return
         L, S = _stride(length_s, overlap, fs)
         t = next((i for i, nm in enumerate(names) if nm.lower() == "time"), -1)
+        # runs of samples lie end to end; ``base`` is the place of the last one's sample 0
+        parts, runs, base = [buf], [], -buf_start
+        waiting, at = sorted(pending), 0
         while True:
             # append frames that continue the contiguous run
-            parts = [buf]
             while have_until in pending:
                 n, d = pending.pop(have_until)
                 fr_start.append(have_until)
                 fr_num.append(n)
-                parts.append(d)
+                parts.append(d[: len(d) // C * C])
                 have_until += len(d) // C
-            buf = np.concatenate(parts)
-            while L > 0 and S > 0 and next_k * S + L < have_until:
-                s0 = next_k * S
-                win = buf[(s0 - buf_start) * C : (s0 - buf_start + L) * C]
-                stamp = _java_int(float(win[t])) if t >= 0 else _int_or_none((s0 * 1000) // fs)
-                rows.append((session, user, next_k, s0, _frame_at(fr_start, fr_num, s0), stamp, fs, L, C, names, win.tolist()))
-                next_k += 1
-            pending = {a: x for a, x in pending.items() if a >= have_until}
-            over = max_pending is not None and len(pending) > max_pending
-            old = bool(pending) and lateness_s is not None and max(pending) - have_until > lateness_s * fs
+            if L > 0 and S > 0 and next_k * S + L < have_until:
+                end = -((L - have_until) // S)
+                runs.append((next_k, end, base))
+                next_k = end
+            while at < len(waiting) and (waiting[at] < have_until or waiting[at] not in pending):
+                pending.pop(waiting[at], None)
+                at += 1
+            over = max_pending is not None and len(waiting) - at > max_pending
+            old = at < len(waiting) and lateness_s is not None and waiting[-1] - have_until > lateness_s * fs
             if not over and not old:
                 break
             # the frame before those that wait counts as lost; go on with the
             # first window that starts behind the gap
-            gaps.append((have_until, min(pending)))
-            have_until = buf_start = min(pending)
+            g_start.append(have_until)
+            g_end.append(waiting[at])
+            base += have_until - waiting[at]
+            have_until = waiting[at]
             next_k = max(next_k, -(-have_until // S)) if S > 0 else next_k
-            buf, fr_start, fr_num = np.zeros(0, np.float32), [], []
+        values = np.concatenate(parts)
+        parts.clear()
         # keep samples (and frame starts) from the next window start on
-        keep_from = min(next_k * S, have_until)
-        buf = buf[(keep_from - buf_start) * C :]
-        buf_start = keep_from
-        j = max(0, int(np.searchsorted(np.asarray(fr_start, dtype=np.int64), keep_from, side="right")) - 1)
-        fr_start, fr_num = fr_start[j:], fr_num[j:]
+        keep_from = min(next_k * S, have_until) if L > 0 and S > 0 else have_until
+        j = max(0, bisect_right(fr_start, keep_from) - 1)
         state.update(
             (
-                next_k, buf_start, have_until, buf.tolist(), fr_start, fr_num,
-                list(pending), [v[0] for v in pending.values()], [v[1].tolist() for v in pending.values()],
-                user, fs, C, names, [x for x, _ in gaps], [y for _, y in gaps],
+                next_k, keep_from, have_until, values[(keep_from + base) * C :].tobytes(), fr_start[j:], fr_num[j:],
+                list(pending), [v[0] for v in pending.values()], [v[1].tobytes() for v in pending.values()],
+                user, fs, C, names, g_start, g_end,
             )
         )
-        if rows:
-            yield pd.DataFrame(rows, columns=WINDOW_OUT.names)
+        own = {"session_id": session, "user_name": user, "sampling_rate": fs, "num_channels": C}
+
+        tables = [_late_table(own, late)] if late else []
+        if runs:
+            tables = chain(tables, _window_tables(own, fs, L, S, t, runs, values, fr_start, fr_num))
+        for table in tables:
+            table["channel_names"] = [names] * len(table)
+            yield table[WINDOW_OUT.names]
 
     return fn
 

@@ -1,6 +1,7 @@
 """Redelivered, lost and gapped input: nothing vanishes, nothing is corrupted."""
 
 import json
+import time
 
 import numpy as np
 import pandas as pd
@@ -123,6 +124,55 @@ def test_cursor_goes_on_behind_a_lost_frame():
     assert len(state.get[6]) <= 3
 
 
+def cursor_input(numbers, values):
+    """Frames of 16 samples of 4 channels as one table of a micro-batch."""
+    own = dict(user_name="u", sampling_rate=16, num_samples=16, num_channels=4)
+    table = pd.DataFrame({"frame_number": numbers, "samples": list(values.reshape(-1, 64)[numbers]), **own})
+    table["channel_names"] = [["a", "b", "c", "d"]] * len(table)
+    return iter([table])
+
+
+def test_cursor_cuts_a_long_session_in_linear_time():
+    """12,000 scrambled frames in two halves, within 5 s of CPU (16 s when the
+    list of frames was gone through for each window), in tables of bounded size."""
+    n = 12_000
+    rng = np.random.default_rng(3)
+    values = rng.normal(size=n * 64).astype(np.float32)
+    order = rng.permutation(n)
+    fn, state, out = _cursor_fn(1.0, 0.75), State(), []
+    began = time.process_time()
+    for half in (order[: n // 2], order[n // 2 :]):
+        out += fn(("s",), cursor_input(half, values), state)
+    assert time.process_time() - began < 5
+    assert max(len(t) for t in out) * 64 * 4 <= 4 << 20
+    got = pd.concat(out)
+    assert got["k"].tolist() == list(range((n - 1) * 4)) and (got["frame_number"] == got["k"] // 4).all()
+    assert (np.stack(got["samples"]) == np.lib.stride_tricks.sliding_window_view(values, 64)[::16][: len(got)]).all()
+
+
+def test_cursor_gives_up_many_frames_in_linear_time():
+    """Every fourth of 20,000 frames is lost and comes at the end, scrambled:
+    within 5 s of CPU (31 s when all waiting frames were gone through for each
+    gap, all gaps for each late frame)."""
+    n = 20_000
+    rng = np.random.default_rng(4)
+    values = rng.normal(size=n * 64).astype(np.float32)
+    lost = np.arange(1, n - 4, 4)
+    fn, state = _cursor_fn(1.0, 0.75, lateness_s=2.0), State()
+    began = time.process_time()
+    first = pd.concat(fn(("s",), cursor_input(rng.permutation(np.setdiff1d(np.arange(n), lost)), values), state))
+    late = pd.concat(fn(("s",), cursor_input(rng.permutation(lost), values), state))
+    assert time.process_time() - began < 5
+    there = np.repeat(~np.isin(np.arange(n), lost), 16)
+    upto = np.r_[0, np.cumsum(there)]
+    s0 = np.arange((n - 1) * 4) * 4
+    want = s0[upto[s0 + 17] - upto[s0] == 17]
+    assert first["start_idx"].tolist() == want.tolist()
+    assert late["k"].isna().all() and sorted(late["frame_number"]) == lost.tolist()
+    assert all((d == values[f * 64 : f * 64 + 64]).all() for f, d in zip(late["frame_number"], late["samples"]))
+    assert not len(state.get[-1])
+
+
 def test_unknown_labels_are_counted_and_quarantined(spark):
     df = spark.createDataFrame([(1, "bckg"), (1, "xxxz"), (1, None), (2, "fnsz")], "recording_id int, label string")
     assert {tuple(r) for r in class_counts(df).collect()} == {(1, 1, 2), (2, 0, 1)}
