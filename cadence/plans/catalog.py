@@ -566,6 +566,10 @@ def q_ttl_filter(spark, sf_dir):
     return drop_expired(t, "ts", TTL_DAYS * 86400.0, as_of).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
+# A long session's windows come from one task; its report is made by many.
+WINDOWS_PER_FILE = 1 << 16
+
+
 @query
 def q_stateful_windows(spark, sf_dir):
     """Frames streamed in four scrambled files, windows cut by the keyed
@@ -576,7 +580,7 @@ def q_stateful_windows(spark, sf_dir):
     schema = spark.read.parquet(staged).schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max(1, files // 2)).parquet(staged)
     cut = stateful_windows(stream, B.FRAMES_LENGTH_S, B.FRAMES_OVERLAP, lateness_s=None)
-    out = run_available_now(cut, "stateful-windows")
+    out = run_available_now(cut, "stateful-windows", rows_per_file=WINDOWS_PER_FILE)
     return window_report(spark.read.parquet(out))
 
 

@@ -39,9 +39,12 @@ def run_available_now(
     foreach_batch: Callable[[DataFrame, int], None] | None = None,
     checkpoint: str | None = None,
     path: str | None = None,
+    rows_per_file: int | None = None,
 ) -> str:
     """Process everything available, then stop.  Returns the output folder
-    (parquet sink) — read it with ``spark.read.parquet``."""
+    (parquet sink) — read it with ``spark.read.parquet``.  With
+    ``rows_per_file`` a task that gives more rows writes several files, which
+    as many tasks can read."""
     spark: SparkSession = stream.sparkSession
     out = path or scratch_dir(spark, purpose)
     ckpt = checkpoint or scratch_dir(spark, purpose + "-checkpoint")
@@ -50,6 +53,8 @@ def run_available_now(
         w = w.foreachBatch(foreach_batch)
     else:
         w = w.format("parquet").option("path", out)
+        if rows_per_file:
+            w = w.option("maxRecordsPerFile", rows_per_file)
         if partition_by:
             w = w.partitionBy(*partition_by)
     q = w.start()

@@ -229,3 +229,12 @@ def test_frames_given_up_by_event_time_go_to_the_side_table(spark):
     want = {r.k for r in W.sample_windows(df, 1.0, 0.8).collect() if r.start_idx + 20 < 200 or r.start_idx >= 210}
     assert sorted(r.k for r in windows.collect()) == sorted(want)
     assert [(r.start, r.frame_number, tuple(r.samples)) for r in late.collect()] == [(200, 20, tuple(rows[20][-1]))]
+
+
+def test_windows_of_a_long_session_are_read_by_many_tasks(spark):
+    df, _ = _frames(spark, {"a": 60}, seed=7)
+    staged = stage_files(df, "t6-long", files=1)
+    cut = stateful_windows(spark.readStream.schema(df.schema).parquet(staged), 1.0, 0.8)
+    out = spark.read.parquet(run_available_now(cut, "t6-long-out", rows_per_file=50))
+    assert out.count() == W.sample_windows(df, 1.0, 0.8).count() == 145
+    assert sorted(r["count"] for r in out.groupBy(F.input_file_name()).count().collect()) == [45, 50, 50]
